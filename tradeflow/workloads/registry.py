@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import star
+from . import columns, star
 
-_MODULES = [star]
+_MODULES = [star, columns]
 
 
 def queries() -> dict:
