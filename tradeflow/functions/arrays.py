@@ -44,10 +44,14 @@ def strides(sizes) -> Column:
     )
 
 
-def mixed_radix(flat_index, sizes) -> Column:
-    """Flat cell index -> coordinate per axis: ``(k div stride) mod size``."""
+def mixed_radix(flat_index, sizes, stride=None) -> Column:
+    """Flat cell index -> coordinate per axis: ``(k div stride) mod size``.
+
+    Pass precomputed ``stride`` (see :func:`strides`) when many indexes share
+    one shape, e.g. all cells of a document.
+    """
     s = as_col(sizes)
-    st = strides(s)
+    st = as_col(stride) if stride is not None else strides(s)
     k = as_col(flat_index).cast("long")
     return F.transform(
         s, lambda size, i: (F.call_function("div", k, F.element_at(st, i + 1)) % size.cast("long")).cast("int"))

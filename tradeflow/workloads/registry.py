@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, star
+from . import columns, cubes, star
 
-_MODULES = [star, columns]
+_MODULES = [star, columns, cubes]
 
 
 def queries() -> dict:

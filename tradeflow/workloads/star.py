@@ -66,11 +66,12 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None) -> DataFr
                        "o_custkey")
                  .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
                        "c_nationkey")
-                 .select(F.col("o_orderkey").alias("l_orderkey"), "country"))
+                 .select(F.col("o_orderkey").alias("l_orderkey"), "country",
+                         F.col("c_nationkey").alias("reporter_key")))
     partners = (table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
                 .join(nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("partner")),
                       "s_nationkey")
-                .select("l_suppkey", "partner"))
+                .select("l_suppkey", "partner", F.col("s_nationkey").alias("partner_key")))
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
     return (li.join(reporters, "l_orderkey").join(partners, "l_suppkey").join(parts, "l_partkey")
               .withColumn("date", month_start("l_shipdate")))
