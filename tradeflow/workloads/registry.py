@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, cubes, star
+from . import columns, cubes, matrix, star
 
-_MODULES = [star, columns, cubes]
+_MODULES = [star, columns, cubes, matrix]
 
 
 def queries() -> dict:
