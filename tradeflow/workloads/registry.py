@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, cubes, matrix, star
+from . import columns, cubes, matrix, plans, star
 
-_MODULES = [star, columns, cubes, matrix]
+_MODULES = [star, columns, cubes, matrix, plans]
 
 
 def queries() -> dict:
