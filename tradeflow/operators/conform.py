@@ -46,26 +46,31 @@ def strict_inline(df: DataFrame, source: str, target: str, context: str) -> Data
 
 
 def conform_tyre(df: DataFrame, product_dim: DataFrame, category_dim: DataFrame, context: str,
-                 *, eager: bool = True) -> DataFrame:
-    """product -> hs_code, category -> general_category, all strict."""
+                 *, eager: bool | None = True) -> DataFrame:
+    """product -> hs_code, category -> general_category, all strict.
+
+    ``eager``: True runs the audit job now (full list of unmapped values);
+    False fails the job in-plan on the first one; None leaves the check to the
+    caller (e.g. on the written output).
+    """
     out = lookup(df, product_dim, "product", ["hs_code", "category"])
     out = lookup(out, category_dim, "category", ["general_category"])
     checks = [("product", "hs_code"), ("product", "category"), ("category", "general_category")]
     for source, target in checks:
         if eager:
             assert_mapped(out, source, target, context)
-        else:
+        elif eager is not None:
             out = strict_inline(out, source, target, context)
     return out
 
 
 def conform_vehicle(df: DataFrame, product_dim: DataFrame, general_dim: DataFrame,
-                    excluded_hs: Sequence[str], context: str, *, eager: bool = True) -> DataFrame:
+                    excluded_hs: Sequence[str], context: str, *, eager: bool | None = True) -> DataFrame:
     """product -> hs_code (strict); excluded headings out; hs -> general, default Other, Other out."""
     out = lookup(df, product_dim, "product", ["hs_code"])
     if eager:
         assert_mapped(out, "product", "hs_code", context)
-    else:
+    elif eager is not None:
         out = strict_inline(out, "product", "hs_code", context)
     out = exclude_values(out, "hs_code", excluded_hs)
     out = lookup_default(out, general_dim, "hs_code", {"general_category": "Other"})

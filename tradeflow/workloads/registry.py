@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, cubes, matrix, plans, star
+from . import columns, cubes, increment, matrix, plans, star
 
-_MODULES = [star, columns, cubes, matrix, plans]
+_MODULES = [star, columns, cubes, matrix, plans, increment]
 
 
 def queries() -> dict:
