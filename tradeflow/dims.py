@@ -9,6 +9,10 @@ partner_sub_region)``, e.g. read from their own reference CSV.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest dimension built from Python rows (shipped whole to every task).
+MAX_INLINE_ROWS = 10_000
 
 # General categories kept in the published table.
 FINAL_GENERAL_CATEGORIES = ("PCR", "TBR", "Specialty")
@@ -140,31 +144,44 @@ WEIGHT_FACTOR = 100
 PUBLISH_FLOOR = "2017-01-01"
 
 
+def small_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A dimension from Python rows, marked for broadcast.
+
+    A DataFrame built from a Python list carries no size statistics, so Spark
+    would shuffle-join it; its row count is known here, which is the bound
+    that makes the broadcast safe.
+    """
+    rows = list(rows)
+    if len(rows) > MAX_INLINE_ROWS:
+        raise ValueError(f"{len(rows)} rows is too many for an inline dimension")
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def values_df(spark: SparkSession, column: str, values) -> DataFrame:
     """One-column string dimension from a list of values."""
-    return spark.createDataFrame([(v,) for v in values], f"`{column}` string")
+    return small_table(spark, [(v,) for v in values], f"`{column}` string")
 
 
 def tyre_product_dim(spark: SparkSession) -> DataFrame:
     """``(product, hs_code, category)``."""
-    return spark.createDataFrame(list(TYRE_PRODUCTS), "product string, hs_code string, category string")
+    return small_table(spark, TYRE_PRODUCTS, "product string, hs_code string, category string")
 
 
 def tyre_category_dim(spark: SparkSession) -> DataFrame:
     """``(category, general_category)``."""
-    return spark.createDataFrame(list(TYRE_CATEGORY_GENERAL), "category string, general_category string")
+    return small_table(spark, TYRE_CATEGORY_GENERAL, "category string, general_category string")
 
 
 def vehicle_product_dim(spark: SparkSession) -> DataFrame:
     """``(product, hs_code)``."""
-    return spark.createDataFrame(list(VEHICLE_PRODUCTS), "product string, hs_code string")
+    return small_table(spark, VEHICLE_PRODUCTS, "product string, hs_code string")
 
 
 def vehicle_general_dim(spark: SparkSession) -> DataFrame:
     """``(hs_code, general_category)``."""
-    return spark.createDataFrame(list(VEHICLE_HS_GENERAL), "hs_code string, general_category string")
+    return small_table(spark, VEHICLE_HS_GENERAL, "hs_code string, general_category string")
 
 
 def indicator_dim(spark: SparkSession) -> DataFrame:
     """``(indicator_alias, indicator_code, measure)``."""
-    return spark.createDataFrame(list(INDICATORS), "indicator_alias string, indicator_code string, measure string")
+    return small_table(spark, INDICATORS, "indicator_alias string, indicator_code string, measure string")

@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from ._util import as_col
 
-# Fixed value: the month format of the sources (`%Y-%m`; the month may have
-# one or two digits, nothing may follow).
+# The month format of the sources (`%Y-%m`: four-digit year,
+# month with one or two digits, nothing around them).
 MONTH_PATTERN = "yyyy-M"
+MONTH_SHAPE = r"^[0-9]{4}-[0-9]{1,2}$"
 
 
 def parse_month(col) -> Column:
-    """``YYYY-MM`` / ``YYYY-M`` text -> first day of the month; else null."""
-    return F.try_to_timestamp(as_col(col).cast("string"), F.lit(MONTH_PATTERN)).cast("date")
+    """``YYYY-MM`` / ``YYYY-M`` text -> first day of the month; else null.
+
+    The shape check runs first: it rejects malformed text cheaply (the
+    parser would raise and catch per row) and keeps the year at four digits.
+    """
+    text = as_col(col).cast("string")
+    return F.when(text.rlike(MONTH_SHAPE), F.try_to_timestamp(text, F.lit(MONTH_PATTERN)).cast("date"))
 
 
 def parse_date(col) -> Column:

@@ -17,6 +17,9 @@ LABEL_RULES = (
 
 # Python's whitespace class for text is Unicode White_Space plus U+001C..U+001F.
 _PY_SPACE = r"[\s\x{1c}-\x{1f}]"
+# Literals one of the rules needs to match at all: labels without any of them
+# skip the rule regexes.
+_RULE_GUARDS = ("(", "from", "->")
 
 
 def java_regex(python_pattern: str) -> str:
@@ -41,10 +44,14 @@ def clean_label(col) -> Column:
 
     ``"Belgium (incl. Luxembourg 'LU' -> 1998)"`` -> ``"Belgium"``; null stays null.
     """
-    out = as_col(col).cast("string")
+    raw = as_col(col).cast("string")
+    out = raw
     for rule in LABEL_RULES:
         out = F.regexp_replace(out, java_regex(rule), "")
-    return py_strip(out)
+    needed = F.instr(raw, _RULE_GUARDS[0]) > 0
+    for literal in _RULE_GUARDS[1:]:
+        needed = needed | (F.instr(raw, literal) > 0)
+    return py_strip(F.when(needed, out).otherwise(raw))
 
 
 def safe_stem(col) -> Column:

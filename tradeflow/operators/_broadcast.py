@@ -11,14 +11,19 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def bounded_broadcast(dim: DataFrame, known_rows: int | None = None,
-                      max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when it provably holds at most ``max_rows`` rows.
+                      max_rows: int = MAX_BROADCAST_ROWS, check: bool = False) -> DataFrame:
+    """``broadcast(dim)`` only when it provably holds at most ``max_rows`` rows.
 
     ``known_rows`` is a bound the caller already has (a dimension built from a
-    Python list). Otherwise the bound is checked with a ``limit(max_rows + 1)``
-    count, which stops reading once the bound is exceeded. Beyond the bound the
-    dimension is returned unhinted and Spark plans a shuffle join (AQE may still
-    turn it into a broadcast from runtime sizes).
+    Python list, a partition count). With ``check=True`` the bound is measured
+    by a ``limit(max_rows + 1)`` count (one small job that stops early).
+    Otherwise no hint is added: Spark still broadcasts the side when its
+    statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+    switches a planned shuffle join to a broadcast from the side's runtime
+    size. Both are size checks, and beyond them the join shuffles.
     """
-    rows = known_rows if known_rows is not None else dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if rows <= max_rows else dim
+    if known_rows is None and check:
+        known_rows = dim.limit(max_rows + 1).count()
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(dim)
+    return dim

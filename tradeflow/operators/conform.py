@@ -21,17 +21,22 @@ def normalize_trade(df: DataFrame, measure: str, invalid_reporters: Sequence[str
     ``measure`` and any ``keep`` columns (lineage). Output adds year and month.
     Exclusions apply to the cleaned labels.
     """
-    out = df.select(
+    cleaned = df.select(
         clean_label("country").alias("country"),
         parse_month(date_col).alias("date"),
         F.col("product"), F.col("indicator"),
         clean_label("partner").alias("partner"),
         F.col(measure),
         *[F.col(c) for c in keep],
-    ).withColumns({"year": F.year("date"), "month": F.month("date")})
-    out = drop_missing(out, ["country", "partner", "date", measure])
+        # spark_partition_id() is nondeterministic, so Catalyst keeps the
+        # filters below above this projection: each label is cleaned once
+        # instead of again inside every pushed-down predicate.
+        F.spark_partition_id().alias("__part"),
+    )
+    out = drop_missing(cleaned.where(F.col("__part") >= 0), ["country", "partner", "date", measure])
     out = exclude_values(out, "country", invalid_reporters)
-    return exclude_values(out, "partner", excluded_partners)
+    out = exclude_values(out, "partner", excluded_partners).drop("__part")
+    return out.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
 def strict_inline(df: DataFrame, source: str, target: str, context: str) -> DataFrame:

@@ -72,18 +72,22 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
     docs = docs.withColumn("size", F.when(too_many, F.raise_error(
         F.lit(f"cube has more than {max_dims} dimensions"))).otherwise(F.col("size")))
     cells = docs.select("*", F.explode("__cells").alias("__key", "__cell")).drop("__cells")
-    cells = cells.where(F.col("__cell.a").isNotNull())
-    key = F.col("__key").cast("long")
+    cells = cells.where(F.col("__cell.a").isNotNull()).withColumns({
+        "__k": F.col("__key").cast("long"), "__n": F.size("__names")})
+    key = F.col("__k")
     codes, labels = [], []
     for i in range(1, max_dims + 1):
-        pos = F.pmod(F.call_function("div", key, F.try_element_at("__strides", F.lit(i))),
-                     F.try_element_at("size", F.lit(i))) + 1
-        codes.append(F.try_element_at(F.try_element_at("__codes", F.lit(i)), pos.cast("int")))
-        labels.append(F.try_element_at(F.try_element_at("__labels", F.lit(i)), pos.cast("int")))
+        # Slots past the document's dimension count are skipped by the CASE,
+        # so the plain (ANSI-checked) element_at only sees valid indexes.
+        live = F.lit(i) <= F.col("__n")
+        pos = (F.pmod(F.call_function("div", key, F.element_at("__strides", F.lit(i))),
+                      F.element_at("size", F.lit(i))) + 1).cast("int")
+        codes.append(F.when(live, F.element_at(F.element_at("__codes", F.lit(i)), pos)))
+        labels.append(F.when(live, F.element_at(F.element_at("__labels", F.lit(i)), pos)))
     n = F.size("__names")
     return cells.select(
         "dataset_code", "dataset_label", "source_updated", "source_path",
-        key.alias("flat_index"),
+        F.col("__k").alias("flat_index"),
         F.col("__cell.a.v").alias("value"),
         F.coalesce(F.col("__cell.s"), F.lit("")).alias("status"),
         F.map_from_arrays(F.col("__names"), F.slice(F.array(*codes), 1, n)).alias("codes"),

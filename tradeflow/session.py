@@ -22,6 +22,11 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Year partitions are replaced one by one, never the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A whole-stage method over the JVM's JIT size limit (8000 bytes of
+    # bytecode) would run interpreted; above it Spark compiles per operator
+    # instead. The cube decode projection (fixed dimension slots) needs this:
+    # 3x faster measured at sf0.1.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

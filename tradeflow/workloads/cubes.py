@@ -67,7 +67,7 @@ def star_cube_docs(spark: SparkSession, sf: str) -> DataFrame:
     rep_label = [(f"N{r.n_nationkey}", r.n_name + (" (incl. X from 1991)" if r.n_nationkey % NOTE_EVERY == 0 else ""))
                  for r in nations if r.n_nationkey != UNLABELLED_REPORTER]
     par_label = [(f"N{r.n_nationkey}", r.n_name) for r in nations]
-    prod_dim = spark.createDataFrame([(p, code, i) for i, (p, code) in enumerate(CUBE_PRODUCTS)],
+    prod_dim = dims.small_table(spark, [(p, code, i) for i, (p, code) in enumerate(CUBE_PRODUCTS)],
                                      "product string, product_code string, product_pos int")
 
     # One pass over the cells: both indicators stacked by an explode (no
@@ -125,7 +125,10 @@ def star_cube_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_cubes(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_cubes(star_cube_docs(spark, sf))
+    """The response documents, written once to the checkpoint folder (as a
+    landing folder holds them), so queries reading them twice do not rebuild
+    them."""
+    return parse_cubes(star_cube_docs(spark, sf).checkpoint())
 
 
 CUBE_DIMS = ["reporter", "partner", "product", "indicator", "time"]
@@ -158,7 +161,7 @@ def cube_tyre_value(spark: SparkSession, sf: str) -> DataFrame:
     """Tyre value rows from the cube: cleaned labels, HS category and general category."""
     long = decode_cube(star_cubes(spark, sf))
     tyre_codes = dims.values_df(spark, "code", [c for _p, c in STAR_TYRE_PRODUCTS])
-    cat = spark.createDataFrame([(c, cat) for _l, c, cat in dims.TYRE_PRODUCTS], "hs_code string, category string")
+    cat = dims.small_table(spark, [(c, cat) for _l, c, cat in dims.TYRE_PRODUCTS], "hs_code string, category string")
     gen = (cat.join(dims.tyre_category_dim(spark), "category").select("hs_code", "general_category"))
     return conform_cube(long, "VALUE_IN_EUROS", "value", tyre_codes, hs_dims=[cat, gen])
 

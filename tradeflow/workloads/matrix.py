@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dims
 from ..operators import bounded_broadcast
 from ..operators.matrix import HEADER_ROW, dedupe_headers, matrix_to_long, unpivot_measures
 from .tables import table
@@ -38,7 +39,7 @@ def order_cells(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nation = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
-    pcols = spark.createDataFrame(list(PRIORITY_COLUMNS), "o_orderpriority string, col int, header string")
+    pcols = dims.small_table(spark, list(PRIORITY_COLUMNS), "o_orderpriority string, col int, header string")
     base = (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(bounded_broadcast(pcols, len(PRIORITY_COLUMNS)), "o_orderpriority")

@@ -80,9 +80,9 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None) -> DataFr
 def star_product_dim(spark: SparkSession) -> DataFrame:
     """Part type -> type, hs_code, category, general_category, keep."""
     tyre_codes = dict((code, cat) for _label, code, cat in dims.TYRE_PRODUCTS)
-    tyre = spark.createDataFrame([(p, c, tyre_codes.get(c)) for p, c in STAR_TYRE_PRODUCTS],
+    tyre = dims.small_table(spark, [(p, c, tyre_codes.get(c)) for p, c in STAR_TYRE_PRODUCTS],
                                  "product string, hs_code string, category string")
-    vehicle = spark.createDataFrame(list(STAR_VEHICLE_PRODUCTS), "product string, hs_code string")
+    vehicle = dims.small_table(spark, list(STAR_VEHICLE_PRODUCTS), "product string, hs_code string")
     return combined_product_dim(tyre, dims.tyre_category_dim(spark), vehicle, dims.vehicle_general_dim(spark),
                                 dims.VEHICLE_EXCLUDED_HS)
 
@@ -180,8 +180,8 @@ CHAIN_PRODUCTS = (
 
 def product_lookup_strict(spark: SparkSession, sf: str) -> DataFrame:
     """product -> HS code -> category -> general category, every step strict."""
-    code_dim = spark.createDataFrame(list(CHAIN_PRODUCTS), "product string, hs_code string")
-    cat_dim = spark.createDataFrame([(code, cat) for _l, code, cat in dims.TYRE_PRODUCTS],
+    code_dim = dims.small_table(spark, list(CHAIN_PRODUCTS), "product string, hs_code string")
+    cat_dim = dims.small_table(spark, [(code, cat) for _l, code, cat in dims.TYRE_PRODUCTS],
                                     "hs_code string, category string")
     gen_dim = dims.tyre_category_dim(spark)
     out = lookup(_line_products(spark, sf), code_dim, "product", ["hs_code"], known_rows=len(CHAIN_PRODUCTS))
@@ -208,7 +208,7 @@ AUDIT_KNOWN = ("ECONOMY", "PROMO", "STANDARD", "SMALL")
 
 def unmapped_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Sorted distinct product labels the dictionary does not map."""
-    code_dim = spark.createDataFrame([(p, c) for p, c in CHAIN_PRODUCTS if p in AUDIT_KNOWN],
+    code_dim = dims.small_table(spark, [(p, c) for p, c in CHAIN_PRODUCTS if p in AUDIT_KNOWN],
                                      "product string, hs_code string")
     out = lookup(_line_products(spark, sf), code_dim, "product", ["hs_code"], known_rows=len(AUDIT_KNOWN))
     return unmapped_values(out, "product", "hs_code")
