@@ -181,3 +181,20 @@ def test_conform_tyre_unmapped_category(spark):
     pd_ = spark.createDataFrame([("Tyre Z", "4011", "Nope")], "product string, hs_code string, category string")
     with pytest.raises(ValueError, match="category -> general_category: Nope"):
         conform_tyre(df, pd_, dims.tyre_category_dim(spark), "tire value")
+
+
+def test_pad_columns(spark):
+    from tradeflow.operators import pad_columns
+    df = spark.createDataFrame([("a", None, 1)], "x string, y string, n int")
+    row = pad_columns(df, ["n", "x", "y", "z"]).first()
+    assert tuple(row) == (1, "a", "", "")
+    assert pad_columns(df, ["n", "z"]).columns == ["n", "z"]
+
+
+def test_require_rows_and_measure_names(spark):
+    from tradeflow.operators import normalize_measure, require_rows
+    assert normalize_measure(" Value ") == "value"
+    with pytest.raises(ValueError):
+        normalize_measure("volume")
+    with pytest.raises(RuntimeError, match="nothing"):
+        require_rows(spark.range(0), "nothing")

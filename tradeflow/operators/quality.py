@@ -20,3 +20,20 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     if df.isEmpty():
         raise RuntimeError(message)
     return df
+
+
+def pad_columns(df: DataFrame, columns, fill: str = "") -> DataFrame:
+    """Project ``columns`` in order; absent ones are added as ``fill`` and nulls
+    in text columns become ``fill`` (a column-complete manifest)."""
+    from pyspark.sql import functions as F
+
+    present = set(df.columns)
+    out = []
+    for c in columns:
+        if c not in present:
+            out.append(F.lit(fill).alias(c))
+        elif dict(df.dtypes)[c] == "string":
+            out.append(F.coalesce(F.col(c), F.lit(fill)).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)

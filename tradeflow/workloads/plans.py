@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chunk_array
-from ..plans.requests import TOO_LARGE, refine_plan, request_plan
+from ..plans.requests import TOO_LARGE, pending_slices, refine_plan, request_plan
 from .tables import table
 
 # Fixed values of the workload config.
@@ -92,6 +92,12 @@ def refined_slices(spark: SparkSession, sf: str) -> DataFrame:
     return plan.select(*_OUT, F.size("reporters").alias("n_reporters"))
 
 
+def pending_year_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Year slices still to fetch: the plan minus the slices that landed (status 200)."""
+    landed = slice_outcomes(spark, sf).where(F.col("status_code") == 200).select("cache_path")
+    return pending_slices(request_plan(star_config(spark, sf)), landed).select(*_OUT)
+
+
 def chunk_brands(spark: SparkSession, sf: str) -> DataFrame:
     """Brands of each part type in chunks of 4, chunk ids 01, 02 ..."""
     brands = table(spark, sf, "part").select("p_type", "p_brand").distinct().groupBy("p_type").agg(
@@ -164,6 +170,14 @@ SELECT indicator_alias, product_group, product_code, year, month, lpad(CAST(c +
        {_url('chunks.q', "'time=' || CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0')")},
        chunks.n
 FROM mslice CROSS JOIN chunks WHERE rejected""",
+    "pending_year_slices": _BASE_SQL + f"""
+SELECT indicator_alias, product_group, product_code, year, CAST(NULL AS BIGINT) AS month, 'all' AS reporter_chunk,
+       'year' AS granularity,
+       '{DATASET}/' || indicator_alias || '/' || product_code || '/' || CAST(year AS VARCHAR) || '.json' AS cache_path,
+       {_url('allrep.q', 'yq.tq')} AS request_url
+FROM base JOIN yq USING (year)
+LEFT JOIN ylines yl ON yl.p_brand = base.product_code AND yl.y = base.year, allrep
+WHERE yl.n > {YEAR_LIMIT} OR yl.n IS NULL""",
     "chunk_brands": """
 SELECT p_type, lpad(CAST(i // 4 + 1 AS VARCHAR), 2, '0') AS chunk_id, string_agg(p_brand, ',' ORDER BY p_brand) AS brands
 FROM (SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS i
@@ -174,5 +188,6 @@ GROUP BY p_type, i // 4""",
 QUERIES = {
     "request_slices": request_slices,
     "refined_slices": refined_slices,
+    "pending_year_slices": pending_year_slices,
     "chunk_brands": chunk_brands,
 }
