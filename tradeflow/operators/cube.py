@@ -85,14 +85,18 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
         codes.append(F.when(live, F.element_at(F.element_at("__codes", F.lit(i)), pos)))
         labels.append(F.when(live, F.element_at(F.element_at("__labels", F.lit(i)), pos)))
     n = F.size("__names")
-    return cells.select(
+    decoded = cells.select(
         "dataset_code", "dataset_label", "source_updated", "source_path",
         F.col("__k").alias("flat_index"),
         F.col("__cell.a.v").alias("value"),
         F.coalesce(F.col("__cell.s"), F.lit("")).alias("status"),
         F.map_from_arrays(F.col("__names"), F.slice(F.array(*codes), 1, n)).alias("codes"),
         F.map_from_arrays(F.col("__names"), F.slice(F.array(*labels), 1, n)).alias("labels"),
+        # Nondeterministic column: later filters on codes (indicator, product)
+        # stay above this projection instead of re-decoding inside the filter.
+        F.spark_partition_id().alias("__part"),
     )
+    return decoded.where(F.col("__part") >= 0).drop("__part")
 
 
 def cube_columns(cube_long: DataFrame, dims: Sequence[str], keep: Sequence[str] = (

@@ -83,37 +83,38 @@ def refine_plan(slices: DataFrame, outcomes: DataFrame) -> DataFrame:
     ``outcomes``: ``cache_path, status_code``. A rejected year slice becomes
     one slice per configured month; a rejected month slice becomes reporter
     chunks of ``reporter_chunk_size`` (``<= 0``: one chunk) with ids ``01``,
-    ``02`` ... . Other slices are kept as they are.
+    ``02`` ... . Other slices are kept as they are. One pass: each slice
+    explodes into itself or its children.
     """
     o = outcomes.select("cache_path", F.col("status_code").alias("__status"))
     s = slices.join(o, "cache_path", "left")
     rejected = F.coalesce(F.col("__status") == F.lit(TOO_LARGE), F.lit(False))
-    keep = s.where(~rejected)
-
-    years = s.where(rejected & (F.col("granularity") == F.lit("year")))
-    months = years.select("*", F.explode("months").alias("__m")).withColumns({
-        "month": F.col("__m"),
-        "granularity": F.lit("month"),
-        "times": F.array(month_token(F.col("year"), F.col("__m"))),
-        "cache_path": _path(F.col("dataset_code"), F.col("indicator_alias"), F.col("product_code"),
-                            F.concat(month_token(F.col("year"), F.col("__m")), F.lit(".json"))),
-    }).drop("__m")
-
-    month_rej = s.where(rejected & (F.col("granularity") == F.lit("month")))
-    chunks = month_rej.select("*", F.posexplode(chunk_array("all_reporters", F.col("reporter_chunk_size")))
-                              .alias("__i", "__chunk"))
-    chunk_id = F.lpad((F.col("__i") + 1).cast("string"), 2, "0")
-    chunks = chunks.withColumns({
-        "reporter_chunk": chunk_id,
-        "granularity": F.lit("month_reporter_chunk"),
-        "reporters": F.col("__chunk"),
-        "cache_path": _path(F.col("dataset_code"), F.col("indicator_alias"), F.col("product_code"),
-                            F.concat(month_token(F.col("year"), F.col("month")), F.lit("_reporters_"), chunk_id,
-                                     F.lit(".json"))),
-    }).drop("__i", "__chunk")
-
-    refined = _with_url(months.unionByName(chunks))
-    return keep.drop("__status").unionByName(refined.drop("__status")).select(*SLICE_COLUMNS, *CONFIG_CARRY)
+
+    def child(month, granularity, chunk, reporters, times, path):
+        return F.struct(month.cast("long").alias("month"), granularity.alias("granularity"),
+                        chunk.alias("reporter_chunk"), reporters.alias("reporters"), times.alias("times"),
+                        path.alias("cache_path"))
+
+    def prefix():
+        return [F.col("dataset_code"), F.col("indicator_alias"), F.col("product_code")]
+
+    keep = F.array(child(F.col("month"), F.col("granularity"), F.col("reporter_chunk"), F.col("reporters"),
+                         F.col("times"), F.col("cache_path")))
+    months = F.transform("months", lambda m: child(
+        m, F.lit("month"), F.lit("all"), F.col("all_reporters"), F.array(month_token(F.col("year"), m)),
+        _path(*prefix(), F.concat(month_token(F.col("year"), m), F.lit(".json")))))
+    chunks = F.transform(chunk_array("all_reporters", F.col("reporter_chunk_size")), lambda c, i: child(
+        F.col("month"), F.lit("month_reporter_chunk"), F.lpad((i + 1).cast("string"), 2, "0"), c, F.col("times"),
+        _path(*prefix(), F.concat(month_token(F.col("year"), F.col("month")), F.lit("_reporters_"),
+                                  F.lpad((i + 1).cast("string"), 2, "0"), F.lit(".json")))))
+    children = (F.when(rejected & (F.col("granularity") == F.lit("year")), months)
+                 .when(rejected & (F.col("granularity") == F.lit("month")), chunks)
+                 .otherwise(keep))
+    carry = [c for c in SLICE_COLUMNS + CONFIG_CARRY
+             if c not in ("month", "granularity", "reporter_chunk", "reporters", "times", "cache_path",
+                          "request_url")]
+    out = s.select(*carry, F.explode(children).alias("__c")).select(*carry, "__c.*")
+    return _with_url(out).select(*SLICE_COLUMNS, *CONFIG_CARRY)
 
 
 def pending_slices(plan: DataFrame, landed: DataFrame, force: bool = False) -> DataFrame:
