@@ -14,6 +14,7 @@ from .. import dims
 from ..functions import clean_label, parse_month, safe_stem, to_measure
 from ..operators import normalize_trade
 from .star import star_facts
+from .fixtures import materialized
 from .tables import table
 
 # Decorated customer names: the three suffix forms, blanks, and a form that
@@ -101,7 +102,7 @@ def _raw_trade_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def normalize_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-row normalisation: labels, months, missing cells, excluded labels."""
-    raw = _raw_trade_rows(spark, sf)
+    raw = materialized(spark, sf, "raw_trade_rows", lambda: _raw_trade_rows(spark, sf))
     return normalize_trade(raw, "value", dims.INVALID_REPORTERS, dims.EXCLUDED_PARTNERS,
                            keep=["l_orderkey", "l_partkey", "l_suppkey"])
 

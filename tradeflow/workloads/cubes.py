@@ -19,6 +19,7 @@ from ..operators.cube import check_latest_periods, conform_cube, cube_cell_count
 from ..operators.cube import latest_period as latest_period_op
 from ..sources.cubes import parse_cubes
 from .star import EXACT, STAR_TYRE_PRODUCTS, STAR_VEHICLE_PRODUCTS, star_facts
+from .fixtures import materialized
 from .tables import table
 
 # Product dimension of the star cube, in position order.
@@ -125,10 +126,9 @@ def star_cube_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_cubes(spark: SparkSession, sf: str) -> DataFrame:
-    """The response documents, written once to the checkpoint folder (as a
-    landing folder holds them), so queries reading them twice do not rebuild
-    them."""
-    return parse_cubes(star_cube_docs(spark, sf).checkpoint())
+    """The response documents, written once per session to the checkpoint
+    folder (as a landing folder holds them), then parsed by each query."""
+    return parse_cubes(materialized(spark, sf, "cube_docs", lambda: star_cube_docs(spark, sf)))
 
 
 CUBE_DIMS = ["reporter", "partner", "product", "indicator", "time"]

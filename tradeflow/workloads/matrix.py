@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..operators import bounded_broadcast
 from ..operators.matrix import HEADER_ROW, dedupe_headers, matrix_to_long, unpivot_measures
+from .fixtures import materialized
 from .tables import table
 
 # Priority -> (column, header text) in the synthetic tabs.
@@ -85,7 +86,7 @@ def order_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def matrix_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Matrix tabs -> long rows with metadata, cleaned of the units row."""
-    long = matrix_to_long(order_cells(spark, sf))
+    long = matrix_to_long(materialized(spark, sf, "order_cells", lambda: order_cells(spark, sf)))
     return long.select("source_name", "sheet", "row", "country", "date", "frequency", "product", "flow",
                        "indicator", "partner", "partner_ord", "value")
 
