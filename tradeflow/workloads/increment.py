@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dims
+from ..operators import keep_latest
 from ..operators.increment import affected_years, diff_sources, profile_sources
 from .tables import table
 
@@ -72,6 +74,40 @@ def affected_years_q(spark: SparkSession, sf: str) -> DataFrame:
     return affected_years(d, _supplier_years(spark, sf, only_f=False)).select(F.col("year").cast("int"))
 
 
+def _snapshot(spark: SparkSession, sf: str, name: str, mtime: str, restated: bool) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    value = F.col("l_extendedprice").cast("decimal(18,2)")
+    if restated:
+        li, value = li.where(F.col("l_returnflag") == F.lit("R")), value * 2
+    return li.select(F.lit(f"landing/{name}").alias("source_path"), F.lit(name).alias("source_name"),
+                     F.lit(mtime).cast("timestamp").alias("source_mtime"), "l_orderkey", "l_linenumber",
+                     "l_shipdate", "l_suppkey", "l_partkey", F.col("l_shipdate").cast("date").alias("date"),
+                     F.year("l_shipdate").alias("year"), value.alias("value"))
+
+
+def stage_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as two overlapping sources; the second (a later restatement of
+    R-flagged lines) is new. Rebuild the affected years: latest file wins per
+    (year, order, line)."""
+    v1 = _snapshot(spark, sf, "lines_v1.xlsx", "2024-01-01 00:00:00", restated=False)
+    v2 = _snapshot(spark, sf, "lines_v2.xlsx", "2024-02-01 00:00:00", restated=True)
+    cache = v1.unionByName(v2)
+    listing = dims.small_table(spark, [("landing/lines_v1.xlsx", "lines_v1.xlsx", "1"),
+                                       ("landing/lines_v2.xlsx", "lines_v2.xlsx", "2")],
+                               "source_path string, source_name string, fingerprint string").select(
+        "*", F.lit(0).cast("long").alias("size_bytes"), F.lit(None).cast("timestamp").alias("mtime"))
+    manifest = profile_sources(v1, "source_path", "date").select(
+        "source_path", F.lit("lines_v1.xlsx").alias("source_name"), F.lit("1").alias("fingerprint"),
+        "years", F.lit(True).alias("active"), F.lit("v1").alias("source_id"))
+    diff = diff_sources(listing, manifest)
+    refreshed = cache.join(diff.where(F.col("refresh")).select("source_path"), "source_path", "left_semi")
+    years = affected_years(diff, profile_sources(refreshed, "source_path", "date"))
+    rebuilt = keep_latest(cache.join(years, "year", "left_semi"), ["year", "l_orderkey", "l_linenumber"],
+                          ["source_mtime", "source_name", "l_shipdate", "l_suppkey", "l_partkey"])
+    return rebuilt.select(F.col("year").cast("int"), "l_orderkey", "l_linenumber",
+                          F.col("value").cast("double").alias("value"), "source_name")
+
+
 _DIFF_SQL = """
 WITH listing AS (
   SELECT 'landing/supplier_' || CAST(s_suppkey AS VARCHAR) || '.xlsx' AS source_path,
@@ -107,8 +143,23 @@ WHERE (d.state IN ('new', 'changed', 'restored'))
    OR (d.state = 'removed' AND ly.is_f)""",
 }
 
+SQL["stage_rebuild"] = """
+WITH src AS (
+  SELECT 'lines_v1.xlsx' AS source_name, 1 AS mtime, l_orderkey, l_linenumber, l_shipdate, l_suppkey, l_partkey,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS value FROM lineitem
+  UNION ALL
+  SELECT 'lines_v2.xlsx', 2, l_orderkey, l_linenumber, l_shipdate, l_suppkey, l_partkey,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * 2 FROM lineitem WHERE l_returnflag = 'R'),
+yrs AS (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem WHERE l_returnflag = 'R')
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_orderkey, l_linenumber, CAST(value AS DOUBLE) AS value,
+       source_name
+FROM src WHERE year(l_shipdate) IN (SELECT y FROM yrs)
+QUALIFY row_number() OVER (PARTITION BY year(l_shipdate), l_orderkey, l_linenumber
+    ORDER BY mtime DESC, source_name DESC, l_shipdate DESC, l_suppkey DESC, l_partkey DESC) = 1"""
+
 QUERIES = {
     "source_profile": source_profile,
     "source_diff": source_diff,
     "affected_years": affected_years_q,
+    "stage_rebuild": stage_rebuild,
 }
