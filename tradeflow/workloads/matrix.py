@@ -127,7 +127,8 @@ WITH agg AS (
 firsts AS (SELECT year, partner,
                   min((CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END) * 100000 + col) AS first_key
            FROM agg WHERE o_orderstatus <> 'P' GROUP BY ALL),
-ords AS (SELECT year, partner, dense_rank() OVER (PARTITION BY year ORDER BY first_key) - 1 AS partner_ord
+ords AS (SELECT year, partner,
+                CAST(dense_rank() OVER (PARTITION BY year ORDER BY first_key) - 1 AS INTEGER) AS partner_ord
          FROM firsts)
 SELECT 'orders_' || CAST(year AS VARCHAR) || '.xlsx' AS source_name, 'Sheet ' || agg.o_orderstatus AS sheet,
        11 + n_nationkey * 12 + month - 1 AS row,

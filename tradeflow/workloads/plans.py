@@ -113,7 +113,8 @@ yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS year FROM orders),
 ind(indicator_alias, indicator_code) AS (VALUES ('value', 'VALUE_IN_EUROS'), ('weight', 'QUANTITY_IN_100KG')),
 rep AS (SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS code,
                row_number() OVER (ORDER BY 'N' || CAST(n_nationkey AS VARCHAR)) - 1 AS i FROM nation),
-allrep AS (SELECT string_agg('reporter=' || code, '&' ORDER BY code) AS q, count(*) AS n FROM rep),
+allrep AS (SELECT string_agg('reporter=' || code, '&' ORDER BY code) AS q, CAST(count(*) AS INTEGER) AS n
+           FROM rep),
 mon AS (SELECT unnest(generate_series(1, 12)) AS month),
 yq AS (SELECT year, string_agg('time=' || CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0'),
                                '&' ORDER BY month) AS tq FROM yrs, mon GROUP BY year),
@@ -148,7 +149,8 @@ mslice AS (
   FROM yslice y CROSS JOIN mon
   LEFT JOIN lines l ON l.p_brand = y.product_code AND l.y = y.year AND l.m = mon.month
   WHERE y.rejected),
-chunks AS (SELECT i // {CHUNK} AS c, string_agg('reporter=' || code, '&' ORDER BY code) AS q, count(*) AS n
+chunks AS (SELECT i // {CHUNK} AS c, string_agg('reporter=' || code, '&' ORDER BY code) AS q,
+                  CAST(count(*) AS INTEGER) AS n
            FROM rep GROUP BY 1)
 SELECT indicator_alias, product_group, product_code, year, CAST(NULL AS BIGINT) AS month, 'all' AS reporter_chunk,
        'year' AS granularity,
