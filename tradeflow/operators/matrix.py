@@ -24,16 +24,28 @@ SHEET_PREFIX = "Sheet"
 SHEET_KEYS = ["source_path", "sheet_ord"]
 
 
+# Columns per bucket when numbering repeated headers (bounds one window task).
+HEADER_BUCKET = 4096
+
+
 def dedupe_headers(headers: DataFrame, keys: Sequence[str], text: str = "text", col: str = "col",
                    out: str = "header") -> DataFrame:
     """Repeated header texts get ``.1``, ``.2`` ... in column order, as a sheet reader names them.
 
-    The window is per (sheet, header text), at most a sheet's width of rows.
+    Two levels, so no single task numbers a whole group: row numbers within
+    buckets of ``HEADER_BUCKET`` columns, plus each bucket's offset from the
+    running count of earlier buckets (one row per bucket).
     """
-    w = Window.partitionBy(*keys, text).orderBy(col)
-    rn = F.row_number().over(w) - 1
-    return headers.withColumn(out, F.when(rn == 0, F.col(text)).otherwise(
-        F.concat(F.col(text), F.lit("."), rn.cast("string"))))
+    group = [*keys, text]
+    b = headers.withColumn("__bucket", F.floor(F.col(col) / F.lit(HEADER_BUCKET)))
+    local = b.withColumn("__rn", F.row_number().over(Window.partitionBy(*group, "__bucket").orderBy(col)))
+    counts = b.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = local.join(offsets.select(*group, "__bucket", "__off"), [*group, "__bucket"])
+    rn = F.col("__off") + F.col("__rn") - 1
+    return ranked.withColumn(out, F.when(rn == 0, F.col(text)).otherwise(
+        F.concat(F.col(text), F.lit("."), rn.cast("string")))).drop("__bucket", "__rn", "__off")
 
 
 def sheet_metadata(cells: DataFrame, meta_rows: Mapping[int, str] = META_ROWS,
