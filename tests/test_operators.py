@@ -198,3 +198,12 @@ def test_require_rows_and_measure_names(spark):
         normalize_measure("volume")
     with pytest.raises(RuntimeError, match="nothing"):
         require_rows(spark.range(0), "nothing")
+
+
+def test_strict_inline_survives_later_filters(spark):
+    from tradeflow.operators import lookup, strict_inline
+    df = spark.createDataFrame([("A", 1.0), ("Z", 2.0)], "product string, value double")
+    dim = dims.small_table(spark, [("A", "1", True)], "product string, hs_code string, keep boolean")
+    out = strict_inline(lookup(df, dim, "product", ["hs_code", "keep"]), "product", "hs_code", "ctx")
+    with pytest.raises(Exception, match="Unmapped values in ctx: product -> hs_code: Z"):
+        out.where(F.col("keep")).collect()

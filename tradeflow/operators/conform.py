@@ -47,7 +47,14 @@ def strict_inline(df: DataFrame, source: str, target: str, context: str) -> Data
     """
     bad = F.col(target).isNull() & F.col(source).isNotNull()
     msg = F.concat(F.lit(f"Unmapped values in {context}: {source} -> {target}: "), F.col(source).cast("string"))
-    return df.withColumn(target, F.when(bad, F.raise_error(msg)).otherwise(F.col(target)))
+    # The check is a filter condition (true or raise), so it runs for every row
+    # that reaches it; a checked output column would only be evaluated for rows
+    # that survive later filters.
+    checked = df.where(F.when(bad, F.raise_error(msg)).otherwise(F.lit(True)))
+    # Nondeterministic barrier: filters written after the check (e.g. on
+    # looked-up flags) must not move below it, where they would drop the
+    # unmapped rows first or turn the lookup into an inner join.
+    return checked.withColumn("__check", F.spark_partition_id()).where(F.col("__check") >= 0).drop("__check")
 
 
 def conform_tyre(df: DataFrame, product_dim: DataFrame, category_dim: DataFrame, context: str,
