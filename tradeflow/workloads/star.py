@@ -45,13 +45,15 @@ PUBLISHED = ["date", "hs_code", "product", "category", "general_category", "coun
 PUBLISH_ORDER = ["type", "country", "date", "hs_code", "partner"]
 
 
-def star_facts(spark: SparkSession, sf: str, floor: str | None = None) -> DataFrame:
+def star_facts(spark: SparkSession, sf: str, floor: str | None = None,
+               conform=None) -> DataFrame:
     """Line-level facts with reporter, partner, product and month labels.
 
     Orders are resolved to reporters first (orders-sized join), so the line
-    table is shuffled once per remaining key. Nation is broadcast behind a
-    count check; the other dimensions join by shuffle unless Spark's own
-    statistics or AQE show them small.
+    table is shuffled once per remaining key. Parts join first and
+    ``conform`` (product lookups and filters) runs right after, so lines that
+    are dropped never reach the supplier and order joins. Small dimensions are
+    broadcast by Spark's size statistics or AQE; the others join by shuffle.
     """
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
@@ -73,8 +75,11 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None) -> DataFr
                       "s_nationkey")
                 .select("l_suppkey", "partner", F.col("s_nationkey").alias("partner_key")))
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
-    return (li.join(reporters, "l_orderkey").join(partners, "l_suppkey").join(parts, "l_partkey")
-              .withColumn("date", month_start("l_shipdate")))
+    lines = li.join(parts, "l_partkey")
+    if conform is not None:
+        lines = conform(lines)
+    return (lines.join(partners, "l_suppkey").join(reporters, "l_orderkey")
+                 .withColumn("date", month_start("l_shipdate")))
 
 
 def star_product_dim(spark: SparkSession) -> DataFrame:
@@ -100,22 +105,27 @@ def star_partner_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 def merged_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Published table: aligned value and weight per key, both branches, enriched."""
-    facts = star_facts(spark, sf, FLOOR)
+    n_products = len(STAR_TYRE_PRODUCTS) + len(STAR_VEHICLE_PRODUCTS)
+
+    def conform(lines: DataFrame) -> DataFrame:
+        out = lookup(lines, star_product_dim(spark), "product",
+                     ["type", "hs_code", "category", "general_category", "keep"], known_rows=n_products)
+        out = strict_inline(out, "product", "hs_code", "star facts").where(F.col("keep"))
+        # The published categories filter is on a grouping key, so it may run
+        # before the alignment; here it also shrinks the later joins.
+        return keep_values(out, "general_category", dims.FINAL_GENERAL_CATEGORIES)
+
+    facts = star_facts(spark, sf, FLOOR, conform)
     has_value = F.coalesce(F.col("l_returnflag") != F.lit("N"), F.lit(False))
     has_weight = F.coalesce(F.col("l_linestatus") == F.lit("F"), F.lit(False))
     flagged = facts.select(
-        "country", "partner", "product", "date",
+        "type", "country", "date", "product", "partner", "hs_code", "category", "general_category",
         F.when(has_value, F.col("l_extendedprice").cast(EXACT)).alias("value"),
         F.when(has_weight, F.col("l_quantity").cast(EXACT)).alias("weight"),
         has_value.alias("__has_value"), has_weight.alias("__has_weight"),
     ).where(has_value | has_weight)
-    n_products = len(STAR_TYRE_PRODUCTS) + len(STAR_VEHICLE_PRODUCTS)
-    conformed = lookup(flagged, star_product_dim(spark), "product",
-                       ["type", "hs_code", "category", "general_category", "keep"], known_rows=n_products)
-    conformed = strict_inline(conformed, "product", "hs_code", "star facts").where(F.col("keep"))
-    aligned = align_measures(conformed, MERGE_KEYS, ["value", "weight"])
+    aligned = align_measures(flagged, MERGE_KEYS, ["value", "weight"])
     out = aligned.withColumn("weight", scale("weight", dims.WEIGHT_FACTOR))
-    out = keep_values(out, "general_category", dims.FINAL_GENERAL_CATEGORIES)
     out = enrich_partner(out, star_partner_dim(spark, sf), known_rows=25)
     out = date_floor(out, "date", FLOOR)
     return out.select(
