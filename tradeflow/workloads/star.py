@@ -74,6 +74,10 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None,
                 .join(nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("partner")),
                       "s_nationkey")
                 .select("l_suppkey", "partner", F.col("s_nationkey").alias("partner_key")))
+    # Without table statistics Spark over-estimates this join's output and
+    # plans a shuffle of the line table; a measured bound (a count that stops
+    # at the limit) lets a small supplier side be broadcast instead.
+    partners = bounded_broadcast(partners, check=True)
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
     lines = li.join(parts, "l_partkey")
     if conform is not None:
