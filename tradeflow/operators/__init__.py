@@ -10,7 +10,7 @@ from .ordering import order_columns, ordered, ordered_within
 from .quality import normalize_measure, pad_columns, require_rows
 
 __all__ = [
-    "MAX_BROADCAST_ROWS", "align_measures", "align_pair", "assert_mapped", "bounded_broadcast",
+    "MAX_BROADCAST_ROWS", "align_measures", "align_pair", "assert_all_mapped", "assert_mapped", "bounded_broadcast",
     "combined_product_dim", "compose_dims", "conform_tyre", "conform_vehicle", "date_floor", "drop_missing",
     "enrich_partner", "exclude_values", "keep_latest", "keep_values", "lookup", "lookup_default",
     "lookup_strict", "normalize_measure", "normalize_trade", "order_columns", "ordered", "ordered_within",
