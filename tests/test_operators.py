@@ -207,3 +207,46 @@ def test_strict_inline_survives_later_filters(spark):
     out = strict_inline(lookup(df, dim, "product", ["hs_code", "keep"]), "product", "hs_code", "ctx")
     with pytest.raises(Exception, match="Unmapped values in ctx: product -> hs_code: Z"):
         out.where(F.col("keep")).collect()
+
+
+def test_workbook_cells_shared_and_rich_strings():
+    import io
+    import zipfile
+
+    from tradeflow.sources.workbooks import workbook_cells
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+                    '<sheet name="Sheet 1" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        zf.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/'
+                    'package/2006/relationships"><Relationship Id="rId1" Target="worksheets/s1.xml"/>'
+                    '</Relationships>')
+        zf.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>Spain</t></si>'
+                    '<si><r><t>Ger</t></r><r><t>many</t></r><rPh><t>x</t></rPh></si></sst>')
+        zf.writestr("xl/worksheets/s1.xml", f'<worksheet xmlns="{main}"><sheetData><row r="12">'
+                    '<c r="A12" t="s"><v>0</v></c><c r="B12" t="s"><v>1</v></c><c r="C12"><v>1.5</v></c>'
+                    '<c r="D12" t="b"><v>1</v></c><c r="AA12"><v></v></c></row></sheetData></worksheet>')
+    got = list(workbook_cells(buf.getvalue()))
+    assert got == [(0, "Sheet 1", 11, 0, "Spain", None), (0, "Sheet 1", 11, 1, "Germany", None),
+                   (0, "Sheet 1", 11, 2, "1.5", None), (0, "Sheet 1", 11, 3, "True", None)]
+
+
+def test_scan_workbooks_reports_unreadable_files(spark):
+    import tempfile
+
+    from tradeflow.sources.workbooks import scan_workbooks, workbook_errors
+    from xlsx import trade_sheet, write_xlsx
+    d = tempfile.mkdtemp(prefix="tf-wb-")
+    write_xlsx(f"{d}/good.xlsx", [("Sheet 1", trade_sheet(TYRE_A, "VALUE_IN_EUROS", ["China"],
+                                                         [("Spain", "2024-01", [1])]))])
+    with open(f"{d}/bad.xlsx", "wb") as fh:
+        fh.write(b"not a zip")
+    with open(f"{d}/~$good.xlsx", "wb") as fh:
+        fh.write(b"lock file")
+    cells = scan_workbooks(spark, d)
+    errors = workbook_errors(cells).collect()
+    assert [r.source_path.rsplit("/", 1)[-1] for r in errors] == ["bad.xlsx"]
+    good = cells.where(F.col("error").isNull())
+    assert good.where((F.col("row") == 11) & (F.col("col") == 0)).first().text == "Spain"

@@ -71,7 +71,16 @@ def _col_index(letters: str) -> int:
 
 
 def _text_of(node) -> str:
-    return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
+    """Text of a string item: its own ``t`` or its rich-text runs' ``t``;
+    phonetic runs (``rPh``) are not part of the value."""
+    t_tag, r_tag = f"{{{_NS['m']}}}t", f"{{{_NS['m']}}}r"
+    parts = []
+    for child in node:
+        if child.tag == t_tag:
+            parts.append(child.text or "")
+        elif child.tag == r_tag:
+            parts.extend(t.text or "" for t in child.findall("m:t", _NS))
+    return "".join(parts)
 
 
 def workbook_cells(content: bytes) -> Iterator[tuple]:
