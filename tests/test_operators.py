@@ -229,8 +229,8 @@ def test_workbook_cells_shared_and_rich_strings():
                     '<c r="A12" t="s"><v>0</v></c><c r="B12" t="s"><v>1</v></c><c r="C12"><v>1.5</v></c>'
                     '<c r="D12" t="b"><v>1</v></c><c r="AA12"><v></v></c></row></sheetData></worksheet>')
     got = list(workbook_cells(buf.getvalue()))
-    assert got == [(0, "Sheet 1", 11, 0, "Spain", None), (0, "Sheet 1", 11, 1, "Germany", None),
-                   (0, "Sheet 1", 11, 2, "1.5", None), (0, "Sheet 1", 11, 3, "True", None)]
+    assert got == [(0, "Sheet 1", 11, 0, "Spain", None, None), (0, "Sheet 1", 11, 1, "Germany", None, None),
+                   (0, "Sheet 1", 11, 2, "1.5", None, None), (0, "Sheet 1", 11, 3, "True", None, None)]
 
 
 def test_scan_workbooks_reports_unreadable_files(spark):
@@ -250,3 +250,20 @@ def test_scan_workbooks_reports_unreadable_files(spark):
     assert [r.source_path.rsplit("/", 1)[-1] for r in errors] == ["bad.xlsx"]
     good = cells.where(F.col("error").isNull())
     assert good.where((F.col("row") == 11) & (F.col("col") == 0)).first().text == "Spain"
+
+
+def test_date_cells_become_dates(spark):
+    import tempfile
+
+    from tradeflow.operators import normalize_trade
+    from tradeflow.sources.workbooks import scan_workbooks
+    from xlsx import trade_sheet, write_xlsx
+    d = tempfile.mkdtemp(prefix="tf-wb-")
+    write_xlsx(f"{d}/dates.xlsx", [("Sheet 1", trade_sheet(TYRE_A, "VALUE_IN_EUROS", ["China"], [
+        ("Spain", dt.date(2024, 3, 1), [1]), ("Spain", "2024-04", [2]), ("Spain", "2024-05-01", [3])]))])
+    long = matrix_to_long(scan_workbooks(spark, d))
+    kinds = {r.date: r.date_kind for r in long.collect()}
+    assert kinds == {"2024-03-01": "date", "2024-04": None, "2024-05-01": None}
+    out = normalize_trade(long, "value", dims.INVALID_REPORTERS, dims.EXCLUDED_PARTNERS, date_kind="date_kind")
+    got = sorted((r.date, r.value) for r in out.collect())
+    assert got == [(dt.date(2024, 3, 1), 1.0), (dt.date(2024, 4, 1), 2.0)]  # text with a day is not a month

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -20,7 +21,10 @@ def _sheet_xml(cells: dict[tuple[int, int], object]) -> str:
     for (r, c), v in sorted(cells.items()):
         if v is None:
             continue
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
+        if isinstance(v, dt.date):
+            serial = (dt.datetime(v.year, v.month, v.day) - dt.datetime(1899, 12, 30)).days
+            xml = f'<c r="{_ref(r, c)}" s="1"><v>{serial}</v></c>'
+        elif isinstance(v, (int, float)) and not isinstance(v, bool):
             xml = f'<c r="{_ref(r, c)}"><v>{v}</v></c>'
         else:
             xml = f'<c r="{_ref(r, c)}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
@@ -40,6 +44,8 @@ def write_xlsx(path: str, sheets: list[tuple[str, dict[tuple[int, int], object]]
     with zipfile.ZipFile(path, "w") as zf:
         zf.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/'
                     'package/2006/content-types"/>')
+        zf.writestr("xl/styles.xml", f'<?xml version="1.0"?><styleSheet xmlns="{main}"><cellXfs count="2">'
+                    '<xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
         zf.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{main}" xmlns:r="{rel}">'
                     f"<sheets>{sheet_list}</sheets></workbook>")
         zf.writestr("xl/_rels/workbook.xml.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.'

@@ -116,9 +116,10 @@ def build_stage(spark: SparkSession, spec: StageSpec, layout: StageLayout, manif
         delete_partitions(spark, layout.cache, "source_id", [r.source_id for r in refresh_rows])
         cells = scan_workbooks(spark, [r.source_path for r in refresh_rows])
         long = matrix_to_long(cells, spec.measure)
-        normalized = normalize_trade(long.select("country", "date", "product", "indicator", "partner",
-                                                 spec.measure, *LINEAGE),
-                                     spec.measure, dims.INVALID_REPORTERS, dims.EXCLUDED_PARTNERS, keep=LINEAGE)
+        normalized = normalize_trade(long.select("country", "date", "date_kind", "product", "indicator",
+                                                 "partner", spec.measure, *LINEAGE),
+                                     spec.measure, dims.INVALID_REPORTERS, dims.EXCLUDED_PARTNERS, keep=LINEAGE,
+                                     date_kind="date_kind")
         conformed, checks = spec.conform(spark, normalized)
         conformed = conformed.withColumn("source_id", source_id())
         write_partitions(conformed.select(*spec.columns, *LINEAGE, "source_id"), layout.cache,

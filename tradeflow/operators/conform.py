@@ -14,16 +14,22 @@ from .lookup import assert_mapped, lookup, lookup_default
 
 def normalize_trade(df: DataFrame, measure: str, invalid_reporters: Sequence[str],
                     excluded_partners: Sequence[str], *, date_col: str = "date",
-                    keep: Sequence[str] = ()) -> DataFrame:
+                    keep: Sequence[str] = (), date_kind: str | None = None) -> DataFrame:
     """Clean labels, parse the month, drop incomplete rows and non-country labels.
 
     Input columns: country, date (text month), product, indicator, partner,
     ``measure`` and any ``keep`` columns (lineage). Output adds year and month.
-    Exclusions apply to the cleaned labels.
+    Exclusions apply to the cleaned labels. With ``date_kind``, a value that
+    was a real date cell (kind ``'date'``) is taken as that date; text must
+    match the month format.
     """
+    date = parse_month(date_col)
+    if date_kind is not None:
+        date = F.when(F.col(date_kind) == F.lit("date"),
+                      F.substring(F.col(date_col), 1, 10).try_cast("date")).otherwise(date)
     cleaned = df.select(
         clean_label("country").alias("country"),
-        parse_month(date_col).alias("date"),
+        date.alias("date"),
         F.col("product"), F.col("indicator"),
         clean_label("partner").alias("partner"),
         F.col(measure),

@@ -70,13 +70,17 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
     data block has fewer than 2 rows or 2 columns is skipped. Only stored cells
     become rows (an empty cell would give a null measure, which every consumer
     drops). Lineage columns (source, sheet, row, ``partner_ord``) order
-    duplicates for :func:`~tradeflow.operators.facts.keep_latest`:
+    duplicates for :func:`~tradeflow.operators.facts.keep_latest`;
+    ``date_kind`` is ``'date'`` when the month cell was a date-formatted
+    number (see :func:`~tradeflow.operators.conform.normalize_trade`).
     ``partner_ord`` is the first-seen position of the partner header in the
     workbook (tabs in order, columns left to right).
 
     Shuffles: sheet-level aggregates are small; the data cells are exchanged
     once by (sheet, row) for the row keys and joined to the header table.
     """
+    if "kind" not in cells.columns:
+        cells = cells.withColumn("kind", F.lit(None).cast("string"))
     c = cells.where(F.col("sheet").startswith(sheet_prefix) & F.col("text").isNotNull()
                     & (F.col("text") != F.lit("")))
     k = SHEET_KEYS
@@ -95,6 +99,7 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
     data = data.withColumns({
         "country": F.max(F.when(F.col("col") == F.col("__country_col"), F.col("text"))).over(by_row),
         "date": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("text"))).over(by_row),
+        "date_kind": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("kind"))).over(by_row),
     })
     values = data.where((F.col("col") != F.col("__country_col")) & (F.col("col") != F.col("__date_col")))
 
@@ -113,7 +118,7 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
     out = values.join(meta, k, "left")
     return out.select(
         "source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row",
-        "country", "date", *meta_rows.values(), "partner", "partner_ord",
+        "country", "date", "date_kind", *meta_rows.values(), "partner", "partner_ord",
         to_measure("text").alias(measure),
     )
 

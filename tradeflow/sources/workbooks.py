@@ -1,14 +1,15 @@
 """Spreadsheet (.xlsx) scan: file listing and workbook cells.
 
 The cell grid is read with the standard library (an .xlsx file is a zip of
-XML parts); styles, formulas and charts are ignored. Each workbook is parsed
-whole inside one task (``mapInPandas`` over ``binaryFile`` rows), emitting one
-row per non-empty cell. Date-formatted numeric cells come out as their serial
-number text; month columns are expected as text.
+XML parts); formulas and charts are ignored, styles only to tell dates from
+numbers. Each workbook is parsed whole inside one task (``mapInPandas`` over
+``binaryFile`` rows), emitting one row per non-empty cell. A date-formatted
+numeric cell comes out as ISO text with ``kind = 'date'``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELLS_SCHEMA = ("source_name string, source_path string, source_mtime timestamp, sheet_ord int, sheet string, "
-                "row int, col int, text string, error string")
+                "row int, col int, text string, kind string, error string")
 LISTING_COLUMNS = ["source_path", "source_name", "size_bytes", "mtime", "fingerprint"]
 
 _NS = {
@@ -29,6 +30,9 @@ _NS = {
     "rel": "http://schemas.openxmlformats.org/package/2006/relationships",
 }
 _REF = re.compile(r"([A-Z]+)(\d+)")
+# Built-in number formats that display dates.
+DATE_FORMAT_IDS = frozenset(range(14, 23)) | {45, 46, 47}
+_QUOTED = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
 # Workbooks per Arrow batch: each record holds a whole file.
 FILES_PER_BATCH = 16
 
@@ -83,10 +87,33 @@ def _text_of(node) -> str:
     return "".join(parts)
 
 
+def _date_styles(zf: zipfile.ZipFile, names: set[str]) -> set[int]:
+    """Indexes of cell styles whose number format shows a date."""
+    if "xl/styles.xml" not in names:
+        return set()
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")): f.get("formatCode", "")
+              for f in root.findall("m:numFmts/m:numFmt", _NS)}
+    dates = set()
+    for i, xf in enumerate(root.findall("m:cellXfs/m:xf", _NS)):
+        fmt = int(xf.get("numFmtId", "0"))
+        code = _QUOTED.sub("", custom.get(fmt, "")).lower()
+        if fmt in DATE_FORMAT_IDS or (fmt in custom and re.search(r"[dy]", code)):
+            dates.add(i)
+    return dates
+
+
+def _serial_to_iso(serial: str, date1904: bool) -> str:
+    base = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
+    value = base + dt.timedelta(days=float(serial))
+    return value.strftime("%Y-%m-%d") if value.time() == dt.time() else value.strftime("%Y-%m-%d %H:%M:%S")
+
+
 def workbook_cells(content: bytes) -> Iterator[tuple]:
-    """(sheet_ord, sheet, row, col, text, error) for each non-empty cell of a workbook."""
+    """(sheet_ord, sheet, row, col, text, kind, error) for each non-empty cell of a workbook."""
     zf = zipfile.ZipFile(io.BytesIO(content))
     names = set(zf.namelist())
+    date_styles = _date_styles(zf, names)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in names:
         root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
@@ -97,19 +124,22 @@ def workbook_cells(content: bytes) -> Iterator[tuple]:
             target = rel.get("Target", "")
             rels[rel.get("Id")] = target.lstrip("/") if target.startswith("/") else "xl/" + target
     wb = ET.fromstring(zf.read("xl/workbook.xml"))
+    pr = wb.find("m:workbookPr", _NS)
+    date1904 = pr is not None and pr.get("date1904") in ("1", "true")
     for ordinal, sheet in enumerate(wb.findall("m:sheets/m:sheet", _NS)):
         title = sheet.get("name")
         part = rels.get(sheet.get(f"{{{_NS['r']}}}id"))
         try:
             ws = ET.fromstring(zf.read(part))
         except Exception as exc:  # noqa: BLE001 - a broken tab is reported, the others are read
-            yield ordinal, title, None, None, None, f"{type(exc).__name__}: {exc}"
+            yield ordinal, title, None, None, None, None, f"{type(exc).__name__}: {exc}"
             continue
         for c in ws.iter(f"{{{_NS['m']}}}c"):
             m = _REF.match(c.get("r", ""))
             if not m:
                 continue
             kind = c.get("t", "n")
+            cell_kind = None
             if kind == "inlineStr":
                 is_node = c.find("m:is", _NS)
                 text = _text_of(is_node) if is_node is not None else None
@@ -120,22 +150,25 @@ def workbook_cells(content: bytes) -> Iterator[tuple]:
                     text = shared[int(text)]
                 elif text is not None and kind == "b":
                     text = "True" if text == "1" else "False"
+                elif text is not None and kind == "n" and int(c.get("s", "0")) in date_styles:
+                    text, cell_kind = _serial_to_iso(text, date1904), "date"
             if text is None or text == "":
                 continue
-            yield ordinal, title, int(m.group(2)) - 1, _col_index(m.group(1)), text, None
+            yield ordinal, title, int(m.group(2)) - 1, _col_index(m.group(1)), text, cell_kind, None
 
 
 def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = ["source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row", "col", "text", "error"]
+    cols = ["source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row", "col", "text", "kind",
+            "error"]
     for batch in batches:
         out = []
         for path, mtime, content in zip(batch["path"], batch["modificationTime"], batch["content"]):
             name = path.rsplit("/", 1)[-1]
             try:
-                for so, sh, r, c, t, e in workbook_cells(bytes(content)):
-                    out.append((name, path, mtime, so, sh, r, c, t, e))
+                for so, sh, r, c, t, k, e in workbook_cells(bytes(content)):
+                    out.append((name, path, mtime, so, sh, r, c, t, k, e))
             except Exception as exc:  # noqa: BLE001 - unreadable workbook -> one error row
-                out.append((name, path, mtime, None, None, None, None, None, f"{type(exc).__name__}: {exc}"))
+                out.append((name, path, mtime, None, None, None, None, None, None, f"{type(exc).__name__}: {exc}"))
         frame = pd.DataFrame(out, columns=cols)
         yield frame.astype({"sheet_ord": "Int32", "row": "Int32", "col": "Int32"})
 
