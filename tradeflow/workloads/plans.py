@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chunk_array
-from ..plans.requests import TOO_LARGE, pending_slices, refine_plan, request_plan
+from ..plans.requests import TOO_LARGE, pending_slices, refine_plan, request_manifest, request_plan
 from .tables import table
 
 # Fixed values of the workload config.
@@ -98,6 +98,37 @@ def pending_year_slices(spark: SparkSession, sf: str) -> DataFrame:
     return pending_slices(request_plan(star_config(spark, sf)), landed).select(*_OUT)
 
 
+def landed_cell_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Cell counts of the landed year slices: distinct (partner, month) cells of
+    a brand-year on each indicator's side (value: not flagged N; weight: status F)."""
+    lines = (table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_returnflag",
+                                                 "l_linestatus")
+             .join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+             .join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"),
+                   "l_suppkey"))
+    sides = F.explode(F.array(
+        F.struct(F.lit("value").alias("alias"), (F.col("l_returnflag") != F.lit("N")).alias("on")),
+        F.struct(F.lit("weight").alias("alias"), (F.col("l_linestatus") == F.lit("F")).alias("on"))))
+    cells = (lines.select("p_brand", F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"),
+                          "s_nationkey", sides.alias("s"))
+             .where(F.col("s.on"))
+             .groupBy(F.col("s.alias").alias("alias"), "p_brand", "y")
+             .agg(F.count_distinct("m", "s_nationkey").alias("cell_count")))
+    counts = cells.select(
+        F.concat_ws("/", F.lit(DATASET), "alias", "p_brand", F.concat(F.col("y").cast("string"), F.lit(".json")))
+        .alias("cache_path"),
+        F.concat((F.col("y") + 1).cast("string"), F.lit("-02-01T00:00:00+0000")).alias("response_updated"),
+        F.col("cell_count").cast("long").alias("cell_count"), F.col("cell_count").cast("long").alias("row_count"))
+    landed = slice_outcomes(spark, sf).where(F.col("status_code") == 200).select("cache_path")
+    return counts.join(landed, "cache_path", "left_semi")
+
+
+def request_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Request manifest of the year plan: landed slices with their cell counts."""
+    manifest = request_manifest(request_plan(star_config(spark, sf)), landed_cell_counts(spark, sf))
+    return manifest.drop("requested_at")
+
+
 def chunk_brands(spark: SparkSession, sf: str) -> DataFrame:
     """Brands of each part type in chunks of 4, chunk ids 01, 02 ..."""
     brands = table(spark, sf, "part").select("p_type", "p_brand").distinct().groupBy("p_type").agg(
@@ -180,6 +211,32 @@ SELECT indicator_alias, product_group, product_code, year, CAST(NULL AS BIGINT)
 FROM base JOIN yq USING (year)
 LEFT JOIN ylines yl ON yl.p_brand = base.product_code AND yl.y = base.year, allrep
 WHERE yl.n > {YEAR_LIMIT} OR yl.n IS NULL""",
+    "request_stats": _BASE_SQL + f""",
+cells AS (
+  SELECT a.alias, p.p_brand, CAST(year(l.l_shipdate) AS BIGINT) AS y,
+         count(DISTINCT (month(l.l_shipdate), s.s_nationkey)) AS cell_count
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN (VALUES ('value'), ('weight')) AS a(alias)
+    ON (a.alias = 'value' AND l.l_returnflag <> 'N') OR (a.alias = 'weight' AND l.l_linestatus = 'F')
+  GROUP BY ALL),
+landed AS (
+  SELECT b.indicator_alias AS l_alias, b.product_group AS l_group, b.product_code AS l_code, b.year AS l_year,
+         c.cell_count FROM base b
+  LEFT JOIN ylines yl ON yl.p_brand = b.product_code AND yl.y = b.year
+  LEFT JOIN cells c ON c.alias = b.indicator_alias AND c.p_brand = b.product_code AND c.y = b.year
+  WHERE coalesce(yl.n, 0) <= {YEAR_LIMIT} AND c.cell_count IS NOT NULL)
+SELECT b.indicator_alias, b.indicator_code, b.product_group, b.product_code, '{DATASET}' AS dataset_code,
+       CAST(b.year AS VARCHAR) AS year, '' AS month, 'all' AS reporter_chunk, 'year' AS granularity,
+       {_url('allrep.q', 'yq.tq')} AS request_url,
+       '{DATASET}/' || b.indicator_alias || '/' || b.product_code || '/' || CAST(b.year AS VARCHAR) || '.json'
+         AS cache_path,
+       CASE WHEN l.cell_count IS NOT NULL THEN '200' END AS status_code, l.cell_count IS NOT NULL AS success,
+       CASE WHEN l.cell_count IS NOT NULL THEN CAST(b.year + 1 AS VARCHAR) || '-02-01T00:00:00+0000' ELSE '' END
+         AS response_updated,
+       l.cell_count, l.cell_count AS row_count
+FROM base b JOIN yq USING (year) CROSS JOIN allrep
+LEFT JOIN landed l ON l.l_alias = b.indicator_alias AND l.l_group = b.product_group
+  AND l.l_code = b.product_code AND l.l_year = b.year""",
     "chunk_brands": """
 SELECT p_type, lpad(CAST(i // 4 + 1 AS VARCHAR), 2, '0') AS chunk_id, string_agg(p_brand, ',' ORDER BY p_brand) AS brands
 FROM (SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS i
@@ -191,5 +248,6 @@ QUERIES = {
     "request_slices": request_slices,
     "refined_slices": refined_slices,
     "pending_year_slices": pending_year_slices,
+    "request_stats": request_stats,
     "chunk_brands": chunk_brands,
 }
