@@ -17,6 +17,7 @@ from ..functions import month_start, scale
 from ..operators import (align_measures, align_pair, bounded_broadcast, combined_product_dim, date_floor,
                          enrich_partner, keep_latest, keep_values, lookup, lookup_default, ordered,
                          strict_inline, unmapped_values)
+from ..operators._broadcast import MAX_BROADCAST_ROWS
 from ..operators.lookup import assert_all_mapped
 from ..operators.ranking import with_global_rank
 from .tables import table
@@ -39,6 +40,9 @@ STAR_VEHICLE_PRODUCTS = (
 # fall back to "Unknown").
 UNMAPPED_REGION = "MIDDLE EAST"
 
+# Measured supplier row bound per (session, scale directory).
+_SUPPLIER_ROWS: dict[tuple[int, str], int] = {}
+
 MERGE_KEYS = ["type", "country", "date", "product", "partner", "hs_code", "category", "general_category"]
 PUBLISHED = ["date", "hs_code", "product", "category", "general_category", "country", "partner",
              "value", "weight", "type", "partner_continent", "partner_sub_region", "year"]
@@ -76,8 +80,12 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None,
                 .select("l_suppkey", "partner", F.col("s_nationkey").alias("partner_key")))
     # Without table statistics Spark over-estimates this join's output and
     # plans a shuffle of the line table; a measured bound (a count that stops
-    # at the limit) lets a small supplier side be broadcast instead.
-    partners = bounded_broadcast(partners, check=True)
+    # at the limit) lets a small supplier side be broadcast instead. The
+    # supplier table does not change within a session, so it is measured once.
+    key = (id(spark), sf.rstrip("/"))
+    if key not in _SUPPLIER_ROWS:
+        _SUPPLIER_ROWS[key] = table(spark, sf, "supplier").limit(MAX_BROADCAST_ROWS + 1).count()
+    partners = bounded_broadcast(partners, known_rows=_SUPPLIER_ROWS[key])
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
     lines = li.join(parts, "l_partkey")
     if conform is not None:
