@@ -39,3 +39,23 @@ def test_overwrite_read_fallback_and_export(spark):
     lines = open(files[0]).read().splitlines()
     assert [line.split(",")[:3] for line in lines[1:]] == [
         ["A", "2024-01-01", "9"], ["A", "2024-01-01", "10"], ["B", "2023-05-01", "10"], ["C", "2022-01-01", "1"]]
+
+
+def test_first_available_source(spark):
+    import os
+
+    import pytest
+
+    from tradeflow.sources.workbooks import first_available_source, list_sources
+    from xlsx import write_xlsx
+    empty, lock_only, good = (tempfile.mkdtemp(prefix=f"tf-src{i}-") for i in range(3))
+    with open(f"{lock_only}/~$a.xlsx", "wb") as fh:
+        fh.write(b"lock")
+    write_xlsx(f"{good}/a b.xlsx", [("Sheet 1", {(0, 0): "x"})])
+    missing = f"{empty}/nope"
+    assert first_available_source(spark, [missing, empty, lock_only, good]) == good
+    with pytest.raises(FileNotFoundError, match="Checked: .*nope.*tf-src0"):
+        first_available_source(spark, [missing, empty])
+    row = list_sources(spark, good).first()
+    assert row.source_name == "a b.xlsx" and row.size_bytes == os.path.getsize(f"{good}/a b.xlsx")
+    assert row.fingerprint.startswith(f"{row.size_bytes}-")
