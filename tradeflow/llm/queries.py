@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeflow.llm.exact_dedup import exact_dedup
+from tradeflow.llm.substring_dedup import substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +30,36 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing repeated windows of 35 words leaves of each document."""
+    done = substring_dedup(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+windows AS (
+  SELECT r, s, array_to_string(words[s:s + 34], ' ') AS sequence
+  FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM texts)),
+repeated AS (
+  SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY sequence) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM repeated),
+kept AS (
+  SELECT w.r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts) w
+  ANTI JOIN gone g USING (r, p) GROUP BY w.r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_exact_dedup": op7_exact_dedup}
+    return {"op7_exact_dedup": op7_exact_dedup, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op10_substring_dedup": OP10_SQL}
