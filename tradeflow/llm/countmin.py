@@ -104,3 +104,24 @@ class Repeated:
             at = at.astype(np.int64) + row * self.cells
             found &= (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
         return found
+
+
+def members_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` (a 64-bit number) may be among the one
+    column of ``keys``: all that are, and few others. Spares a join the rows
+    that it would drop; it does not replace the join."""
+    cells = cells_for(keys.count())
+
+    def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield np.repeat(batch.column(0).to_numpy().view(np.uint64), 2)
+
+    found = repeated_cells(keys, twice, cells).collect()  # of bounded size
+    sketch = df.sparkSession.sparkContext.broadcast([(r["block"], r["bits"]) for r in found])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Repeated(sketch.value, cells)
+        for batch in batches:
+            at = np.flatnonzero(known(batch.column(column).to_numpy().view(np.uint64)))
+            yield batch.take(pa.array(at, pa.int64()))
+
+    return df.mapInArrow(keep, df.schema)
