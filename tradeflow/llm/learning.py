@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Labelled rows that a model is fitted on: at most so many of each class, with
 #: texts of at most so many bytes. Bounds what the driver holds. Scores cover
 #: every row and the whole of every text.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 1 << 16
 
 

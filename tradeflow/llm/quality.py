@@ -21,7 +21,7 @@ from tradeflow.llm.learning import Adam, batches_of, calibrate, labelled_sample,
 PASSAGE = 64
 WORD_SLOTS, SHAPE_SLOTS, DIM = 1 << 13, 1 << 8, 12
 ENCODED, ATTENTION = 24, 12
-EPOCHS, RATE, BATCH = 25, 0.01, 128
+EPOCHS, RATE, BATCH = 15, 0.01, 128
 
 # Character classes: each ASCII punctuation mark, lower and upper case letters,
 # digits, space, line feed, other controls, lead and other bytes beyond ASCII.
@@ -70,7 +70,7 @@ class Bags:
         by_class = np.bincount(of_byte * CLASSES + kind, minlength=n * CLASSES).reshape(n, CLASSES)
         size = np.maximum(1, by_class.sum(1))
         per = np.maximum(1, self.words)
-        distinct = np.bincount(np.unique(np.stack([self.passage, self.slot]), axis=1)[0], minlength=n)
+        distinct = np.bincount(np.unique(self.passage * WORD_SLOTS + self.slot) // WORD_SLOTS, minlength=n)
         mean = lambda x: np.bincount(self.passage, x, n) / per
         again = np.zeros(len(hashes))
         again[1:] = (hashes[1:] == hashes[:-1]) & (self.passage[1:] == self.passage[:-1])
@@ -145,7 +145,7 @@ class Network:
         out["att"], out["gate"] = h.T @ d_a, h.T @ d_g
         d_h = (e[:, None] * d_z + d_a @ p["att"].T + d_g @ p["gate"].T) * (1 - h * h)
         out["enc"], out["enc_b"] = x.T @ d_h, d_h.sum(0)
-        d_x = d_h @ p["enc"].T / 1
+        d_x = d_h @ p["enc"].T
         share = (1 / np.maximum(1, bags.words))[:, None].astype(np.float32)
         d_word, d_shape = d_x[:, STATISTICS:STATISTICS + DIM] * share, d_x[:, STATISTICS + DIM:] * share
         out["word"] = sum_by(bags.slot, d_word[bags.passage], WORD_SLOTS)

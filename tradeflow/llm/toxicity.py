@@ -26,7 +26,7 @@ WIDTH, STRIDE = 24, 12
 WORD_SLOTS, CHAR_SLOTS = 1 << 15, 1 << 16
 CHAR_GRAMS = (3, 4, 5, 6)
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
-EPOCHS, RATE, BATCH = 8, 0.01, 512
+EPOCHS, RATE, BATCH = 6, 0.01, 512
 #: Labelled documents that must hold a word (or words with an n-gram) before it
 #: has an embedding of its own.
 SUPPORT = 8
@@ -78,10 +78,10 @@ class Piece:
         self.first = np.cumsum(windows) - windows
         self.word = np.concatenate([at + 1, [0]])
 
-    def ids(self, lo: int, hi: int) -> np.ndarray:
-        """Distinct-word indexes of windows lo to hi, WIDTH each."""
-        at = self.start[lo:hi, None] + np.arange(WIDTH)
-        return np.where(at < self.end[lo:hi, None], self.word[np.minimum(at, len(self.word) - 1)], 0)
+    def ids(self, windows: np.ndarray | slice) -> np.ndarray:
+        """Distinct-word indexes of some windows, WIDTH each."""
+        at = self.start[windows, None] + np.arange(WIDTH)
+        return np.where(at < self.end[windows, None], self.word[np.minimum(at, len(self.word) - 1)], 0)
 
 
 class Network:
@@ -146,7 +146,7 @@ class Network:
     def logits(self, piece: Piece) -> np.ndarray:
         gates = self.gates(self.inputs(piece.slot, piece.char, piece.char_word))
         n = len(piece.text)
-        return np.concatenate([self.read(gates, piece.ids(lo, min(n, lo + READ))) for lo in range(0, n, READ)])
+        return np.concatenate([self.read(gates, piece.ids(slice(lo, lo + READ))) for lo in range(0, n, READ)])
 
     def gradients(self, piece: Piece, ids: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Of the weighted cross-entropy over the windows ``ids``."""
@@ -208,7 +208,7 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
     # Embeddings begin with how much oftener a word, or words with an n-gram,
     # stand in documents of label 1, in standard deviations; what has little
     # support stays zero.
-    pair = np.unique(np.repeat(piece.text, WIDTH) * len(piece.slot) + piece.ids(0, len(piece.text)).ravel())
+    pair = np.unique(np.repeat(piece.text, WIDTH) * len(piece.slot) + piece.ids(slice(None)).ravel())
     hit = np.bincount(pair % len(piece.slot), y[pair // len(piece.slot)], len(piece.slot))
     seen = np.bincount(pair % len(piece.slot), minlength=len(piece.slot))
     share = hit[1:].sum() / max(1, seen[1:].sum())
@@ -230,8 +230,7 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
         chosen = np.concatenate([worst, other])
         for at in batches_of(len(chosen), BATCH, rng):
             own = chosen[at]
-            ids = np.stack([piece.ids(i, i + 1)[0] for i in own])
-            adam.step(net.gradients(piece, ids, y[piece.text[own]], balance[piece.text[own]]))
+            adam.step(net.gradients(piece, piece.ids(own), y[piece.text[own]], balance[piece.text[own]]))
     worst = np.maximum.reduceat(net.logits(piece), piece.first).astype(np.float64)
     net.scale, net.shift = calibrate(worst, y, weight)
     return net
