@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tradeflow.llm.exact_dedup import exact_dedup
 from tradeflow.llm import quality, toxicity
+from tradeflow.llm.decontamination import contamination
 from tradeflow.llm.learning import fold
 from tradeflow.llm.line_dedup import remove_boilerplate
+from tradeflow.llm.lm_scoring import lm_scores
 from tradeflow.llm.ngram_join import ngram_join
 from tradeflow.llm.packing import pack
 from tradeflow.llm.substring_dedup import substring_dedup
@@ -81,6 +83,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "start")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learned without the held-out fold."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -104,6 +112,34 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's stupid-backoff score by the rest of the corpus."""
+    scored = lm_scores(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
+OP8_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+positions AS (
+  SELECT r, word, lag(word) OVER (PARTITION BY r ORDER BY p) AS before
+  FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts)),
+counted AS (
+  SELECT r, count(*) OVER (PARTITION BY before, word) - 1 AS both,
+         count(*) OVER (PARTITION BY before) - 1 AS one,
+         count(*) OVER (PARTITION BY word) - 1 AS alone, count(*) OVER () - 1 AS total
+  FROM positions),
+scores AS (
+  SELECT r, count(*) AS n, sum(CASE WHEN both > 0 THEN ln(both / one)
+                                    ELSE ln(0.4) + ln(greatest(alone, 0.5)) - ln(total) END) AS score
+  FROM counted GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(score, 0), 4) AS log_score
+FROM texts LEFT JOIN scores USING (r)
+"""
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents by the Jaccard similarity of their 4-word shingles."""
     found = ngram_join(_table(spark, sf_dir, "documents"), n=4, percent=85)
@@ -161,11 +197,12 @@ FROM texts LEFT JOIN kept USING (r)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_warc, op2_line_dedup, op3_quality, op4_packing, op6_toxicity, op7_exact_dedup, op9_ngram_join,
-        op10_substring_dedup)}
+        op1_warc, op2_line_dedup, op3_quality, op4_packing, op5_decontamination, op6_toxicity,
+        op7_exact_dedup, op8_lm_scoring, op9_ngram_join, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     """The other queries have no SQL form; tests hold them against brute force."""
-    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL,
+    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_lm_scoring": OP8_SQL,
+            "op9_ngram_join": OP9_SQL,
             "op10_substring_dedup": OP10_SQL}

@@ -7,7 +7,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words a task remembers before it starts anew.
-MOST_WORDS = 1 << 20
+MOST_WORDS = 1 << 19
+#: Words encoded at once; an encoding takes about a kilobyte while it lives.
+AT_ONCE = 1 << 13
 
 
 class WordEncoder:
@@ -36,10 +38,11 @@ class WordEncoder:
             self._forget()
         new = [w for w in distinct if w not in self.known]
         if new:
-            encoded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            encoded = [np.array(e.ids, np.uint16) for lo in range(0, len(new), AT_ONCE)
+                       for e in self.tokenizer.encode_batch(new[lo:lo + AT_ONCE], add_special_tokens=False)]
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
             self.known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for e in encoded for i in e), np.uint16, lengths.sum())])
+            self.ids = np.concatenate([self.ids, *encoded])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
         at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         at = at[words.indices.to_numpy(zero_copy_only=False)] if len(distinct) else np.zeros(0, np.int64)
