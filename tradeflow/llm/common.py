@@ -27,7 +27,17 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing will read any more."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -106,10 +106,11 @@ class Repeated:
         return found
 
 
-def members_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+def split_by_members(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """The rows of ``df`` whose ``column`` (a 64-bit number) may be among the one
-    column of ``keys``: all that are, and few others. Spares a join the rows
-    that it would drop; it does not replace the join."""
+    column of ``keys``, all that are and few others, and the rows that cannot
+    be. Spares a join the rows that it would not match; it does not replace the
+    join. ``keys`` is read twice and should be a written table."""
     cells = cells_for(keys.count())
 
     def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -118,10 +119,12 @@ def members_of(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     found = repeated_cells(keys, twice, cells).collect()  # of bounded size
     sketch = df.sparkSession.sparkContext.broadcast([(r["block"], r["bits"]) for r in found])
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Repeated(sketch.value, cells)
-        for batch in batches:
-            at = np.flatnonzero(known(batch.column(column).to_numpy().view(np.uint64)))
-            yield batch.take(pa.array(at, pa.int64()))
+    def keep(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = Repeated(sketch.value, cells)
+            for batch in batches:
+                at = np.flatnonzero(known(batch.column(column).to_numpy().view(np.uint64)) == wanted)
+                yield batch.take(pa.array(at, pa.int64()))
+        return df.mapInArrow(run, df.schema)
 
-    return df.mapInArrow(keep, df.schema)
+    return keep(True), keep(False)

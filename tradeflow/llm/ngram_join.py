@@ -1,15 +1,16 @@
 """Jaccard join of documents on word n-grams, exact, with signature trees.
 
 Documents with equal n-gram sets form one class, so copies cost nothing more.
-Classes meet in buckets: any two sets that are similar enough share an n-gram
-among the first few of each in one global order (frequent n-grams last), so
-each class enters the buckets of those only. Inside a bucket a signature tree
-is traversed against itself: nodes hold the OR of the token bitmaps below and
-the range of their sizes, and a pair of nodes is left as soon as the largest
-overlap it could hold is too small. What remains is verified on the whole sets.
-
-Large groups of near copies are first joined to a few leaders found by
-min-hashes (verified too); pairs inside one component need no further link.
+Classes that look alike by their min-hashes share a home, where all their pairs
+are judged: a signature tree is traversed against itself, its nodes hold the OR
+of the token bitmaps below and the range of their sizes, a pair of nodes is
+left as soon as the largest overlap it could hold is too small, and what
+remains is verified on the whole sets. Large homes are split into blocks.
+
+No pair is lost to the choice of homes: any two sets that are similar enough
+share an n-gram among the first few of each in one global order (frequent
+n-grams last). Each class enters the buckets of those n-grams, and pairs of
+different homes that meet there go through a signature tree alike.
 """
 
 from __future__ import annotations
@@ -23,22 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import join_counted, scratch, text_or_empty
+from tradeflow.llm.common import join_counted, release, scratch, text_or_empty
 from tradeflow.llm.components import connected_components
-from tradeflow.llm.countmin import Repeated, cells_for, members_of, repeated_cells
+from tradeflow.llm.countmin import Repeated, cells_for, repeated_cells, split_by_members
 
-#: Bits of a signature, children of a tree node, largest bucket without a tree.
-BITS, FANOUT, SMALL = 512, 8, 8
+#: Bits of a signature in a bucket and the most in a home, children of a tree
+#: node, largest bucket without a tree.
+BITS, MOST_BITS, FANOUT, SMALL = 1024, 1 << 16, 8, 8
 #: At most this many n-grams count as frequent (each in more than that share of
 #: all rows); the bound of what is sent to every task.
 FREQUENT = 1 << 16
-#: Min-hash bands and hashes per band of the leaders; rounds of leaders.
-BANDS, BAND_ROWS = 6, 3
+#: Min-hash bands and hashes per band of the homes; leaders that the members of
+#: a home are compared with first; members of a block.
+BANDS, BAND_ROWS, LEADERS, BLOCK = 6, 3, 3, 2048
 CHUNK = 1 << 22
 
 
 class Joined(NamedTuple):
-    members: DataFrame  # doc_id, text_hash, n_shingles, class_id, component_id
+    members: DataFrame  # doc_id, text_hash, n_shingles, class_id, group_id, component_id
     links: DataFrame    # a, b (class ids), overlap, together
 
 
@@ -69,10 +72,10 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
     return size - -(-percent * size // 100) + 1
 
 
-def _signature(own: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(own >> np.uint64(55)).astype(np.int64) % BITS] = 1
-    return np.packbits(bits).tobytes()
+def _signature(own: np.ndarray, bits: int = BITS) -> np.ndarray:
+    out = np.zeros(bits, np.uint8)
+    out[(own >> np.uint64(32)).astype(np.int64) % bits] = 1
+    return np.packbits(out)
 
 
 def _pop(bits: np.ndarray) -> np.ndarray:
@@ -129,6 +132,44 @@ def traverse(members: Nodes, percent: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
+def judge_home(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, percent: int,
+               all_links: bool) -> list[tuple[int, int, int, int]]:
+    """Links (a, b, overlap, together) among the members of a home: within the
+    block if all have one, else between the two blocks. Without ``all_links``
+    enough of them to connect what is connected."""
+    size = np.array([len(s) for s in sets])
+    order = np.lexsort((ids, size))
+    ids, size, block, sets = ids[order], size[order], block[order], [sets[i] for i in order]
+    across = (block != block[0]).any()
+    component = np.arange(len(ids))
+    links = []
+
+    def judge(i: int, j: int) -> None:
+        if 100 * min(size[i], size[j]) < percent * max(size[i], size[j]):
+            return
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        union = int(size[i] + size[j]) - both
+        if 100 * both >= percent * union:
+            a, b = max(ids[i], ids[j]), min(ids[i], ids[j])
+            links.append((int(a), int(b), both, union))
+            if not all_links:
+                component[component == component[j]] = component[i]
+
+    if not all_links:
+        for leader in np.argsort(W.mix(ids.view(np.uint64).copy()))[:LEADERS]:
+            for i in range(len(ids)):
+                if component[i] != component[leader] and (not across or block[i] != block[leader]):
+                    judge(int(leader), i)
+    bits = min(MOST_BITS, max(256, 1 << int(4 * size.max()).bit_length()))
+    prints = np.stack([_signature(s, bits) for s in sets]).view(np.uint64)
+    members = Nodes(prints, size, size, size - _pop(prints), component.copy())
+    for i, j in traverse(members, percent):
+        for x, y in zip(i.tolist(), j.tolist()):
+            if component[x] != component[y] and (not across or block[x] != block[y]):
+                judge(x, y)
+    return links
+
+
 def _frequent(rows: DataFrame, n: int) -> np.ndarray:
     """Sorted n-grams that may be in more than 1/FREQUENT of all (document,
     n-gram) rows: each task reports those frequent in a chunk of its own, so
@@ -194,7 +235,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
 
     members has one row per input row: doc_id, text_hash (xxhash64 of the
     text), n_shingles, class_id (equal sets have equal ids; null for empty
-    sets, which link with nothing) and component_id, the smallest doc_id
+    sets, which link with nothing), group_id (the smallest class_id of the
+    component; null like class_id) and component_id, the smallest doc_id
     reachable by links (its own for a document without any; null only where
     every document of the component lacks an id). links has pairs of classes:
     all of them with ``all_links``, else enough to connect every component.
@@ -224,7 +266,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
                     late = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
                 first = np.concatenate([own[~late], own[late]])[:prefix_length(len(own), percent)]
                 out["keys"].append(first.view(np.int64))
-                out["bits"].append(_signature(own))
+                out["bits"].append(_signature(own).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(out["n_shingles"], pa.int64()),
                  pa.array(out["node"], pa.binary()), pa.array(out["bands"], pa.list_(pa.int64())),
@@ -245,7 +287,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     def texts_of(ids: DataFrame) -> DataFrame:
         shown = classes.join(ids, "id", "left_semi").select("id", F.col("shown.doc_id").alias("shown_id"),
                                                             F.col("shown.text_hash").alias("shown_hash"))
-        near = members_of(rows, shown.select("shown_hash"), "text_hash")
+        near, _ = split_by_members(rows, shown.select("shown_hash"), "text_hash")
         same = near["doc_id"].eqNullSafe(shown["shown_id"]) & (near["text_hash"] == shown["shown_hash"])
         # Repeated rows show the same text: one is enough.
         return scratch(near.join(shown, same).groupBy("id").agg(F.first("text").alias("text")), "shown-texts")
@@ -253,25 +295,54 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = scratch(pairs, "pairs")
         texts = texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        return scratch(verify(pairs, texts, n, percent), "links")
-
-    sizes = classes.select("id", "size")
-    links, components = None, classes.select("id", F.col("id").alias("component"))
-    if not all_links:
-        # Leaders: in each band group the class with the smallest hash, which
-        # is another one in each band.
-        entries = classes.select("id", "size", F.posexplode("bands").alias("band", "value"))
-        groups = scratch(entries.groupBy("band", "value").agg(
-            F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "size")).alias("leader"),
-            F.count("*").alias("n")).filter("n > 1"), "leaders")
-        near = join_counted(entries, groups, ["band", "value"], "n", classes.count() * BANDS)
-        pairs = (near.filter((F.col("id") != F.col("leader.id"))
-                             & (100 * F.least("size", "leader.size") >= percent * F.greatest("size", "leader.size")))
-                 .select(F.greatest("id", "leader.id").alias("a"), F.least("id", "leader.id").alias("b")).distinct())
-        links = checked(pairs)
-        components = scratch(connected_components(links), "leader-components")
-        components = classes.select("id").join(components, "id", "left").select(
-            "id", F.coalesce("component", "id").alias("component"))
+        links = scratch(verify(pairs, texts, n, percent), "links")
+        release(pairs, texts)
+        return links
+
+    # A class's home is the smallest of the first members of its band groups.
+    first = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))
+    entries = scratch(classes.select("id", F.posexplode("bands").alias("band", "value")), "band-entries")
+    groups = scratch(entries.groupBy("band", "value").agg(first.alias("first"), F.count("*").alias("n")), "band-groups")
+    homes = scratch(join_counted(entries, groups, ["band", "value"], "n", entries.count())
+                    .groupBy("id").agg(F.min("first")["id"].alias("home")), "homes")
+    release(entries, groups)
+    crowd = homes.groupBy("home").agg(F.count("*").alias("n")).filter("n > 1")
+    blocks = scratch(crowd.select("home", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"), "crowds")
+    placed = scratch(join_counted(homes, blocks, ["home"], "n", homes.count()).withColumn(
+        "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int")), "placed")
+    texts = texts_of(placed.select("id"))
+    # Every pair of a home's blocks is a piece of work of its own.
+    work = placed.join(texts, "id").select(
+        "home", "id", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "block", "text")
+
+    def judge_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by home and blocks; one piece of work is held at a time.
+        now, ids, sets, block = None, [], [], []
+        for batch in batches:
+            own = zip(*(batch.column(c).to_pylist() for c in ("home", "low", "high", "id", "block")))
+            for (home, low, high, id_, at), found in zip(own, shingle_sets(batch.column("text"), n)):
+                if (home, low, high) != now:
+                    if len(ids) > 1:
+                        yield link_rows(judge_home(np.array(ids), sets, np.array(block), percent, all_links))
+                    now, ids, sets, block = (home, low, high), [], [], []
+                ids.append(id_)
+                sets.append(found)
+                block.append(at)
+        if len(ids) > 1:
+            yield link_rows(judge_home(np.array(ids), sets, np.array(block), percent, all_links))
+
+    def link_rows(links: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+        columns = np.array(links, np.int64).reshape(-1, 4).T
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "overlap", "together"])
+
+    links = scratch(work.repartition("home", "low", "high").sortWithinPartitions("home", "low", "high")
+                    .mapInArrow(judge_homes, "a long, b long, overlap long, together long"), "home-links")
+    release(texts)
+    components = scratch(connected_components(links), "home-components")
+    components = homes.join(components, "id", "left").select(
+        "id", "home", F.coalesce("component", "id").alias("component") if not all_links
+        else F.col("id").alias("component"))
 
     cells = cells_for(classes.agg(F.sum(F.size("keys"))).first()[0] or 0)
 
@@ -290,8 +361,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             at = np.flatnonzero(repeated(W.mix(flat.view(np.uint64).copy())))
             own = pa.array(row[at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[at]), *(batch.column(c).take(own) for c in ("id", "component", "size", "bits"))],
-                names=["key", "id", "component", "size", "bits"])
+                [pa.array(flat[at]), batch.column("id").take(own), batch.column("home").take(own)],
+                names=["key", "id", "home"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by key; a bucket may go on in the next batch.
@@ -308,7 +379,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     def candidates(table: pa.Table) -> Iterator[pa.RecordBatch]:
         if not len(table):
             return
-        key, ids, component, size = (table.column(c).to_numpy() for c in ("key", "id", "component", "size"))
+        key, ids, home, component, size = (table.column(c).to_numpy() for c in ("key", "id", "home", "component", "size"))
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
         all_nodes = Nodes(bits, size, size, size - _pop(bits), component)
         cuts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
@@ -322,32 +393,60 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             start = start[start + step < bound]
             a, b = np.concatenate([a, start]), np.concatenate([b, start + step])
         keep = all_nodes.pairs(a, b, percent)
-        yield pair_rows(ids, a[keep], b[keep])
+        yield pair_rows(ids, home, a[keep], b[keep])
         for lo, hi in zip(cuts[mixed & ~small], ends[mixed & ~small]):
             order = lo + np.lexsort((size[lo:hi], component[lo:hi]))
             for i, j in traverse(Nodes(*(x[order] for x in all_nodes)), percent):
-                yield pair_rows(ids, order[i], order[j])
+                yield pair_rows(ids, home, order[i], order[j])
 
-    def pair_rows(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    def pair_rows(ids: np.ndarray, home: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        apart = home[i] != home[j]  # pairs of one home are judged
+        i, j = i[apart], j[apart]
         pairs = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])], 1), axis=0)
         return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    entered = (classes.select("id", "size", "keys", "bits").join(components, "id")
-               .mapInArrow(enter, "key long, id long, component long, size long, bits binary"))
-    pairs = (entered.repartition("key").sortWithinPartitions("key")
-             .mapInArrow(meet, "a long, b long").distinct())
-    more = checked(pairs)
-    links = more if links is None else links.unionByName(more)
+    entered = scratch(classes.select("id", "keys").join(homes, "id").mapInArrow(
+        enter, "key long, id long, home long"), "bucket-entries")
+    mixed = entered.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low < high")
+    members = (entered.select("key", "id").join(mixed.select("key"), "key")
+               .join(components.join(classes.select("id", "size", "bits"), "id"), "id"))
+    pairs = (members.select("key", "id", "home", "component", "size", "bits").repartition("key")
+             .sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
+    links = links.unionByName(checked(pairs))
+    release(entered)
 
     joined = scratch(connected_components(links), "components")
     named = classes.select("id", "node", "least_id", "copies").join(joined, "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     reach = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    groups = scratch(named.join(reach, "component").select("node", F.col("id").alias("class_id"), "component_id", "copies"),
+    groups = scratch(named.join(reach, "component").select(
+        "node", F.col("id").alias("class_id"), F.col("component").alias("group_id"), "component_id", "copies"),
                      "class-components")
     base = found.select("doc_id", "text_hash", "n_shingles", "node")
     members = join_counted(base.filter("n_shingles > 0"), groups, ["node"], "copies", found.count())
-    names = ["doc_id", "text_hash", "n_shingles", "class_id", "component_id"]
+    names = ["doc_id", "text_hash", "n_shingles", "class_id", "group_id", "component_id"]
     empty = base.filter("n_shingles = 0").select(
-        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("class_id"), F.col("doc_id").alias("component_id"))
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("class_id"),
+        F.lit(None).cast("long").alias("group_id"), F.col("doc_id").alias("component_id"))
     return Joined(members.select(*names).unionByName(empty), links)
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (rows
+    without an id only where the component has no other), of the smallest text
+    hash among rows of that id, and one of identical rows. Texts without words
+    link with nothing, so all of them stay."""
+    members = scratch(ngram_join(docs, n, percent).members, "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    chosen = (members.filter("group_id IS NOT NULL").groupBy("group_id").agg(F.min(rank).alias("best"))
+              .select(F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash")))
+    same = members["doc_id"].eqNullSafe(chosen["best_id"]) & (members["text_hash"] == chosen["best_hash"])
+    stay = scratch(members.join(chosen, same).groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
+                   .select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), F.col("n").alias("__n")),
+                   "stay")
+    rows = docs.withColumn("__text_hash", F.xxhash64(text_or_empty()))
+    key = rows["doc_id"].eqNullSafe(stay["__doc_id"]) & (rows["__text_hash"] == stay["__hash"])
+    kept = rows.join(stay, key)
+    wordless = docs.filter(~text_or_empty().rlike("[^ \\t\\n\\x0B\\f\\r]"))
+    once = kept.filter("__n = 1").unionByName(kept.filter("__n > 1").dropDuplicates(["__doc_id", "__hash"]))
+    return once.select(*docs.columns).unionByName(wordless)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tradeflow.llm.exact_dedup import exact_dedup
 from tradeflow.llm import quality, toxicity
 from tradeflow.llm.decontamination import contamination
@@ -198,7 +199,7 @@ FROM texts LEFT JOIN kept USING (r)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_line_dedup, op3_quality, op4_packing, op5_decontamination, op6_toxicity,
-        op7_exact_dedup, op8_lm_scoring, op9_ngram_join, op10_substring_dedup)}
+        op7_exact_dedup, op8_lm_scoring, op9_ngram_join, op10_substring_dedup)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
