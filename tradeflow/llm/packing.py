@@ -143,7 +143,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path)
         for batch in batches:
-            for lo, hi, *_ in W.pieces(batch.column("text"), 4 * W.PIECE_BYTES):
+            for lo, hi, *_ in W.pieces(batch.column("text"), 8 * W.PIECE_BYTES):
                 ids, n = encoder(batch.column("text")[lo:hi])
                 bounds = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays(

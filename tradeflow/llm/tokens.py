@@ -2,47 +2,90 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tradeflow.llm import words as W
+
 #: Distinct words a task remembers before it starts anew.
 MOST_WORDS = 1 << 19
-#: Words encoded at once; an encoding takes about a kilobyte while it lives.
-AT_ONCE = 1 << 13
+# Lower-case letters of ASCII and Latin-1, and the latter's two UTF-8 bytes as
+# byte-level vocabularies write them: a printable byte as the character of that
+# number, the others as the characters from U+0100 on, in their order.
+_PLAIN = "".join(chr(c) for c in [*range(97, 123), *range(0xDF, 0x100)] if c != 0xF7)
+_PRINTABLE = [*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BYTES = {ord(c): "".join(_ALPHABET[b] for b in c.encode()) for c in _PLAIN if ord(c) > 127}
+
+
+_MARK, _LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_MARK[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+_LETTER[[b for b in range(128) if chr(b).isalpha()]] = True
+_SIGN[[0x97, 0xB7]] = True
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer file whose tokens never span ASCII white
-    space and whose treatment of a word does not depend on its neighbours (the
-    word-level BPE vocabulary: white space is a separator that it drops). Then
-    a text's ids are its words' ids in a row, and each distinct word is encoded
-    once."""
+    """Ids of texts under a tokenizer file of the word-level BPE kind: white
+    space only separates, letters and marks are separate tokens, A-Z count as
+    a-z. Then a text's ids are its words' ids in a row, each distinct word is
+    encoded once, and words may be compared after lowering A-Z and after
+    setting off the marks that follow a letter."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self._forget()
 
+    def _encode(self, word: str) -> list[int]:
+        if word.strip(_PLAIN):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        # Normalising and splitting leave such a word as it is: only the merges
+        # are left, on its bytes in the vocabulary's alphabet.
+        return [t.id for t in self.merges.tokenize(word if word.isascii() else word.translate(_BYTES))]
+
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint16)
         self.ends = np.zeros(1, np.int64)
 
+    def _set_off(self, texts: pa.Array) -> pa.Array:
+        """The texts with A-Z lowered and a space between each letter and an
+        ASCII mark after it; as they are where special tokens may occur."""
+        data, offsets = W.utf8(texts)
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        if len(data) > 1 and b"<|" not in data.tobytes():
+            mark = _MARK[data]
+            letter = _LETTER[data]
+            # The second byte of U+00C0 to U+024F but for the two signs there.
+            letter[1:] |= (data[:-1] >= 0xC3) & (data[:-1] <= 0xC9) & ~((data[:-1] == 0xC3) & _SIGN[data[1:]])
+            at = np.flatnonzero(mark[1:] & letter[:-1]) + 1
+            # A letter before a non-ASCII byte may carry a combining mark, which
+            # composes with some letters in one case only.
+            plain = np.append(data[1:], 0) < 128
+            data = np.where(plain, W.lower_ascii(data), data)
+            data = np.insert(data, at, 32)  # at a text's start it changes nothing
+            offsets = offsets + np.searchsorted(at, offsets)
+        return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); null has none."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        split = pc.ascii_split_whitespace(self._set_off(texts))
         words = split.flatten().dictionary_encode()
         distinct = words.dictionary.to_pylist()
         if len(self.known) > MOST_WORDS:
             self._forget()
         new = [w for w in distinct if w not in self.known]
         if new:
-            encoded = [np.array(e.ids, np.uint16) for lo in range(0, len(new), AT_ONCE)
-                       for e in self.tokenizer.encode_batch(new[lo:lo + AT_ONCE], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            ids = [self._encode(w) for w in new]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            encoded = np.fromiter(chain.from_iterable(ids), np.uint16, lengths.sum())
             self.known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
-            self.ids = np.concatenate([self.ids, *encoded])
+            self.ids = np.concatenate([self.ids, encoded])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
         at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         at = at[words.indices.to_numpy(zero_copy_only=False)] if len(distinct) else np.zeros(0, np.int64)
