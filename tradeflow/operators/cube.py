@@ -22,44 +22,64 @@ def _alias(dim: Column, aliases: Mapping[str, str]) -> Column:
     return out
 
 
-def _codes_by_position(dimension: Column, dim: Column) -> Column:
-    """Category codes ordered by their position (positions are 0..n-1)."""
-    entries = F.map_entries(dimension[dim]["category"]["index"])
-    pairs = F.transform(entries, lambda e: F.struct(e["value"].alias("pos"), e["key"].alias("code")))
-    return F.transform(F.array_sort(pairs), lambda p: p["code"])
-
-
-# Dimension slots decoded per cell with compiled (non-lambda) expressions. A
-# document with more dimensions fails instead of being decoded partially.
-MAX_DIMS = 16
+def _by_position(index: Column, size: Column, value) -> Column:
+    """An array with ``value(code)`` at each position 0..size-1; null where no
+    category has the position."""
+    pairs = F.array_sort(F.transform(F.map_entries(index), lambda e: F.struct(
+        e["value"].alias("pos"), e["key"].alias("code"))))
+    dense = (F.size(pairs) == size) & (F.element_at(pairs, -1)["pos"] == size - 1) & (pairs[0]["pos"] == 0)
+    # With gaps, positions are looked up one by one; that is rare and per document.
+    at = F.map_from_entries(pairs)
+    return (F.when(size == 0, F.array().cast("array<string>"))
+            .when(dense, F.transform(pairs, lambda p: value(p["code"])))
+            .otherwise(F.transform(F.sequence(F.lit(0).cast("long"), size - 1),
+                                   lambda p: value(F.try_element_at(at, p)))))
 
 
 def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES,
-                max_dims: int = MAX_DIMS) -> DataFrame:
+                dims: Sequence[str] | None = None) -> DataFrame:
     """One row per stored cell: flat index -> coordinates -> codes and labels.
 
     Per document (before the cells are exploded) each dimension's categories
     are laid out by position once, so a cell resolves a code by array index.
     A label missing for a code falls back to the code; a missing status is ``''``.
-    Per cell only fixed slots of plain arithmetic and array indexing run, so the
-    projection stays inside whole-stage codegen (lambda functions would be
-    interpreted per cell).
+
+    With ``dims`` (names after aliasing) only these are resolved, as plain
+    columns ``<dim>_code`` and ``<dim>_label``, null where a document lacks the
+    dimension; filters on codes then run before labels are looked up. Without,
+    all dimensions of every document go to the maps ``codes`` and ``labels``;
+    how many there are is read from the documents first.
     Output: dataset_code, dataset_label, source_updated, source_path,
-    flat_index, value, status, codes map<dim, code>, labels map<dim, label>.
+    flat_index, value, status, and the dimensions.
     """
     dim = F.col("dimension")
+
+    def codes_of(d: Column, size: Column) -> Column:
+        return _by_position(dim[d]["category"]["index"], size, lambda c: c)
+
+    def labels_of(d: Column, size: Column) -> Column:
+        return _by_position(dim[d]["category"]["index"], size,
+                            lambda c: F.coalesce(F.try_element_at(dim[d]["category"]["label"], c), c))
+
+    names = F.transform("id", lambda d: _alias(d, aliases))
+    every = F.arrays_zip(F.col("id").alias("d"), F.col("size").alias("n"))
+    if dims is None:
+        layout = [names.alias("__names"), strides("size").alias("__strides"), F.col("size").alias("__sizes"),
+                  F.transform(every, lambda x: codes_of(x["d"], x["n"])).alias("__codes"),
+                  F.transform(every, lambda x: labels_of(x["d"], x["n"])).alias("__labels")]
+    else:
+        layout = []
+        for k, name in enumerate(dims):
+            # get() by a position of -1, where the dimension is absent, is null.
+            i = F.array_position(names, F.lit(name)).cast("int") - 1
+            d, size = F.get("id", i), F.get("size", i)
+            layout += [F.get(strides("size"), i).alias(f"__stride{k}"), size.alias(f"__size{k}"),
+                       codes_of(d, size).alias(f"__codes{k}"), labels_of(d, size).alias(f"__labels{k}")]
     docs = cubes.select(
         F.coalesce(F.col("extension.datasetId"), F.lit("")).alias("dataset_code"),
         F.coalesce(F.col("label"), F.lit("")).alias("dataset_label"),
         F.coalesce(F.col("updated"), F.lit("")).alias("source_updated"),
-        F.col("source_path"),
-        F.col("size"),
-        strides("size").alias("__strides"),
-        F.transform("id", lambda d: _alias(d, aliases)).alias("__names"),
-        F.transform("id", lambda d: _codes_by_position(dim, d)).alias("__codes"),
-        F.transform("id", lambda d: F.transform(
-            _codes_by_position(dim, d),
-            lambda c: F.coalesce(F.try_element_at(dim[d]["category"]["label"], c), c))).alias("__labels"),
+        F.col("source_path"), *layout,
         # Value and status maps zipped once per document (hashed key match), so
         # each cell carries its own status and no map is scanned per cell.
         F.map_zip_with(
@@ -68,32 +88,35 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
             lambda _k, a, b: F.struct(a.alias("a"), b.alias("s")),
         ).alias("__cells"),
     )
-    too_many = F.size("size") > F.lit(max_dims)
-    docs = docs.withColumn("size", F.when(too_many, F.raise_error(
-        F.lit(f"cube has more than {max_dims} dimensions"))).otherwise(F.col("size")))
-    cells = docs.select("*", F.explode("__cells").alias("__key", "__cell")).drop("__cells")
-    cells = cells.where(F.col("__cell.a").isNotNull()).withColumns({
-        "__k": F.col("__key").cast("long"), "__n": F.size("__names")})
-    key = F.col("__k")
-    codes, labels = [], []
-    for i in range(1, max_dims + 1):
-        # Slots past the document's dimension count are skipped by the CASE,
-        # so the plain (ANSI-checked) element_at only sees valid indexes.
-        live = F.lit(i) <= F.col("__n")
-        pos = (F.pmod(F.call_function("div", key, F.element_at("__strides", F.lit(i))),
-                      F.element_at("size", F.lit(i))) + 1).cast("int")
-        codes.append(F.when(live, F.element_at(F.element_at("__codes", F.lit(i)), pos)))
-        labels.append(F.when(live, F.element_at(F.element_at("__labels", F.lit(i)), pos)))
+    # explode_outer: from an explode the optimiser would infer a filter on
+    # __cells below this projection and evaluate the whole document twice.
+    cells = docs.select("*", F.explode_outer("__cells").alias("__key", "__cell")).drop("__cells")
+    cells = cells.where(F.col("__cell.a").isNotNull()).withColumn("flat_index", F.col("__key").cast("long"))
+
+    def position(stride: Column, size: Column) -> Column:
+        return F.pmod(F.call_function("div", F.col("flat_index"), stride), size).cast("int")
+
+    base = ["dataset_code", "dataset_label", "source_updated", "source_path", "flat_index",
+            F.col("__cell.a.v").alias("value"), F.coalesce(F.col("__cell.s"), F.lit("")).alias("status")]
+    if dims is not None:
+        columns = []
+        for k, name in enumerate(dims):
+            at = position(F.col(f"__stride{k}"), F.col(f"__size{k}"))
+            columns += [F.get(f"__codes{k}", at).alias(f"{name}_code"), F.get(f"__labels{k}", at).alias(f"{name}_label")]
+        return cells.select(*base, *columns)
+    most = cubes.agg(F.max(F.size("id"))).first()[0] or 0
     n = F.size("__names")
+    codes, labels = [], []
+    for i in map(F.lit, range(most)):  # null past a document's own dimensions
+        at = position(F.get("__strides", i), F.get("__sizes", i))
+        codes.append(F.get(F.get("__codes", i), at))
+        labels.append(F.get(F.get("__labels", i), at))
     decoded = cells.select(
-        "dataset_code", "dataset_label", "source_updated", "source_path",
-        F.col("__k").alias("flat_index"),
-        F.col("__cell.a.v").alias("value"),
-        F.coalesce(F.col("__cell.s"), F.lit("")).alias("status"),
+        *base,
         F.map_from_arrays(F.col("__names"), F.slice(F.array(*codes), 1, n)).alias("codes"),
         F.map_from_arrays(F.col("__names"), F.slice(F.array(*labels), 1, n)).alias("labels"),
-        # Nondeterministic column: later filters on codes (indicator, product)
-        # stay above this projection instead of re-decoding inside the filter.
+        # Nondeterministic column: later filters on codes stay above this
+        # projection instead of decoding again inside the filter.
         F.spark_partition_id().alias("__part"),
     )
     return decoded.where(F.col("__part") >= 0).drop("__part")
@@ -123,24 +146,26 @@ def latest_period(cubes: DataFrame) -> DataFrame:
         F.array_max(F.map_values(labels)).alias("latest_period"),
         F.coalesce(F.col("updated"), F.lit("")).alias("updated"),
         F.col("source_path"),
-        F.when(time.isNull(), F.lit("time dimension not found"))
-         .when(F.coalesce(F.cardinality(labels), F.lit(0)) == 0, F.lit("time dimension contains no labels"))
+        F.when(time.isNull(), F.lit("it has no dimension of time"))
+         .when(F.coalesce(F.cardinality(labels), F.lit(0)) == 0, F.lit("its time has no labelled period"))
          .alias("error"),
     )
 
 
 def check_latest_periods(periods: DataFrame) -> DataFrame:
     """Fail when a document had no usable time dimension."""
-    bad = periods.where(F.col("error").isNotNull()).select("source_path", "error").limit(20).collect()
+    bad = [f"{r.source_path} ({r.error})" for r in
+           periods.where(F.col("error").isNotNull()).orderBy("source_path").toLocalIterator()]
     if bad:
-        listed = "; ".join(f"{r.source_path}: {r.error}" for r in bad)
-        raise ValueError(f"Latest period not found: {listed}")
+        raise ValueError(f"{len(bad)} documents name no latest period: {', '.join(bad)}")
     return periods.drop("error")
 
 
-def cube_cell_counts(cubes: DataFrame) -> DataFrame:
-    """Per document: stored cells, decodable rows and the update stamp."""
+def cube_cell_counts(cubes: DataFrame, keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Per document: stored cells, decodable rows and the update stamp, and the
+    columns ``keep``."""
     return cubes.select(
+        *keep,
         "source_path",
         F.coalesce(F.col("updated"), F.lit("")).alias("response_updated"),
         F.coalesce(F.cardinality("value"), F.lit(0)).cast("long").alias("cell_count"),
@@ -149,16 +174,20 @@ def cube_cell_counts(cubes: DataFrame) -> DataFrame:
     )
 
 
+CONFORM_DIMS = ("indicator", "product", "reporter", "partner", "time")
+
+
 def conform_cube(cube_long: DataFrame, indicator_code: str, measure: str, product_codes: DataFrame,
                  hs_dims: Sequence[DataFrame] = (), exclude_codes: Sequence[str] = ()) -> DataFrame:
     """Cube cells of one indicator and product set -> stage rows.
 
+    ``cube_long`` has the columns of ``decode_cube(..., dims=CONFORM_DIMS)``, or
+    the maps of a full decode.
     ``product_codes`` is a one-column dimension of wanted codes; ``hs_dims``
     are dictionaries keyed by ``hs_code`` (e.g. category, general category)
     attached with a plain lookup (an unmapped code stays null).
     """
-    cells = cube_columns(cube_long, ["indicator", "product", "reporter", "partner", "time"],
-                         keep=("value",))
+    cells = cube_long if "indicator_code" in cube_long.columns else cube_columns(cube_long, CONFORM_DIMS, keep=("value",))
     cells = keep_values(cells.where(F.col("indicator_code") == F.lit(indicator_code)), "product_code",
                         product_codes)
     if exclude_codes:

@@ -51,6 +51,11 @@ def _with_url(df: DataFrame) -> DataFrame:
     return df.withColumn("request_url", url)
 
 
+def chunk_id(position: Column) -> Column:
+    """01, 02, ... 99, 100, ...: padded to two digits, never cut."""
+    return F.format_string("%02d", position.cast("int") + 1)
+
+
 def _path(*parts: Column) -> Column:
     return F.concat_ws("/", *parts)
 
@@ -104,9 +109,9 @@ def refine_plan(slices: DataFrame, outcomes: DataFrame) -> DataFrame:
         m, F.lit("month"), F.lit("all"), F.col("all_reporters"), F.array(month_token(F.col("year"), m)),
         _path(*prefix(), F.concat(month_token(F.col("year"), m), F.lit(".json")))))
     chunks = F.transform(chunk_array("all_reporters", F.col("reporter_chunk_size")), lambda c, i: child(
-        F.col("month"), F.lit("month_reporter_chunk"), F.lpad((i + 1).cast("string"), 2, "0"), c, F.col("times"),
+        F.col("month"), F.lit("month_reporter_chunk"), chunk_id(i), c, F.col("times"),
         _path(*prefix(), F.concat(month_token(F.col("year"), F.col("month")), F.lit("_reporters_"),
-                                  F.lpad((i + 1).cast("string"), 2, "0"), F.lit(".json")))))
+                                  chunk_id(i), F.lit(".json")))))
     children = (F.when(rejected & (F.col("granularity") == F.lit("year")), months)
                  .when(rejected & (F.col("granularity") == F.lit("month")), chunks)
                  .otherwise(keep))

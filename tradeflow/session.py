@@ -41,8 +41,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset, as in local tests, a private temporary folder is used instead.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Where it is unset
+    a local session, as in tests, uses a private temporary folder; on a cluster
+    executors could not read that, so the job fails instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,17 +51,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tradeflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tradeflow/{name}"
-
-
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,
                   app: str = "tradeflow") -> SparkSession:
     """A local session for tests and the bench (UI off, no servers)."""

@@ -100,9 +100,9 @@ def stage_rebuild(spark: SparkSession, sf: str) -> DataFrame:
         "source_path", F.lit("lines_v1.xlsx").alias("source_name"), F.lit("1").alias("fingerprint"),
         "years", F.lit(True).alias("active"), F.lit("v1").alias("source_id"))
     diff = diff_sources(listing, manifest)
-    refreshed = cache.join(diff.where(F.col("refresh")).select("source_path"), "source_path", "left_semi")
-    years = affected_years(diff, profile_sources(refreshed, "source_path", "date"))
-    rebuilt = keep_latest(cache.join(years, "year", "left_semi"), ["year", "l_orderkey", "l_linenumber"],
+    # Calendar years: a bounded list that prunes the scan, as in the stage job.
+    years = [r.year for r in affected_years(diff, profile_sources(cache, "source_path", "date")).collect()]
+    rebuilt = keep_latest(cache.where(F.col("year").isin(years)), ["year", "l_orderkey", "l_linenumber"],
                           ["source_mtime", "source_name", "l_shipdate", "l_suppkey", "l_partkey"])
     return rebuilt.select(F.col("year").cast("int"), "l_orderkey", "l_linenumber",
                           F.col("value").cast("double").alias("value"), "source_name")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chunk_array
-from ..plans.requests import TOO_LARGE, pending_slices, refine_plan, request_manifest, request_plan
+from ..plans.requests import TOO_LARGE, chunk_id, pending_slices, refine_plan, request_manifest, request_plan
 from .tables import table
 
 # Fixed values of the workload config.
@@ -134,10 +134,28 @@ def chunk_brands(spark: SparkSession, sf: str) -> DataFrame:
     brands = table(spark, sf, "part").select("p_type", "p_brand").distinct().groupBy("p_type").agg(
         F.array_sort(F.collect_list("p_brand")).alias("brands"))
     return brands.select("p_type", F.posexplode(chunk_array("brands", F.lit(4))).alias("i", "chunk")).select(
-        "p_type", F.lpad((F.col("i") + 1).cast("string"), 2, "0").alias("chunk_id"),
+        "p_type", chunk_id(F.col("i")).alias("chunk_id"),
         F.array_join("chunk", ",").alias("brands"))
 
 
+def many_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """A plan with a chunk for each supplier: more than 99 of them. Products are
+    the part types, the only month is January and every slice is too large."""
+    suppliers = table(spark, sf, "supplier").agg(
+        F.array_sort(F.collect_list(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")))).alias("s"))
+    types = table(spark, sf, "part").select("p_type").distinct().agg(
+        F.map_from_entries(F.collect_list(F.struct("p_type", F.array("p_type")))).alias("t"))
+    config = star_config(spark, sf).crossJoin(F.broadcast(suppliers)).crossJoin(F.broadcast(types)).withColumns({
+        "reporters": F.col("s"), "products": F.col("t"), "reporter_chunk_size": F.lit(1).cast("long"),
+        "months": F.array(F.lit(1).cast("long")),
+        "indicators": F.create_map(F.lit("value"), F.lit("VALUE_IN_EUROS"))}).drop("s", "t")
+    plan = request_plan(config)
+    for _ in range(2):
+        plan = refine_plan(plan, plan.select("cache_path", F.lit(TOO_LARGE).alias("status_code")))
+    return plan.select("product_code", "year", "month", "reporter_chunk", "granularity", "cache_path",
+                       F.array_join("reporters", ",").alias("reporters"))
+
+
 _BASE_SQL = f"""
 WITH prod AS (SELECT DISTINCT p_type AS product_group, p_brand AS product_code FROM part),
 yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS year FROM orders),
@@ -196,10 +214,10 @@ SELECT indicator_alias, product_group, product_code, year, month, 'all', 'month'
        allrep.n
 FROM mslice, allrep WHERE NOT rejected
 UNION ALL
-SELECT indicator_alias, product_group, product_code, year, month, lpad(CAST(c + 1 AS VARCHAR), 2, '0'),
+SELECT indicator_alias, product_group, product_code, year, month, printf('%02d', c + 1),
        'month_reporter_chunk',
        '{DATASET}/' || indicator_alias || '/' || product_code || '/' || CAST(year AS VARCHAR) || '-'
-         || lpad(CAST(month AS VARCHAR), 2, '0') || '_reporters_' || lpad(CAST(c + 1 AS VARCHAR), 2, '0') || '.json',
+         || lpad(CAST(month AS VARCHAR), 2, '0') || '_reporters_' || printf('%02d', c + 1) || '.json',
        {_url('chunks.q', "'time=' || CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0')")},
        chunks.n
 FROM mslice CROSS JOIN chunks WHERE rejected""",
@@ -237,8 +255,18 @@ SELECT b.indicator_alias, b.indicator_code, b.product_group, b.product_code, '{D
 FROM base b JOIN yq USING (year) CROSS JOIN allrep
 LEFT JOIN landed l ON l.l_alias = b.indicator_alias AND l.l_group = b.product_group
   AND l.l_code = b.product_code AND l.l_year = b.year""",
+    "many_chunks": f"""
+WITH types AS (SELECT DISTINCT p_type FROM part),
+yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS year FROM orders),
+sup AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
+               printf('%02d', row_number() OVER (ORDER BY 'S' || CAST(s_suppkey AS VARCHAR))) AS id FROM supplier)
+SELECT p_type AS product_code, year, CAST(1 AS BIGINT) AS month, id AS reporter_chunk,
+       'month_reporter_chunk' AS granularity,
+       '{DATASET}/value/' || p_type || '/' || CAST(year AS VARCHAR) || '-01_reporters_' || id || '.json' AS cache_path,
+       code AS reporters
+FROM types, yrs, sup""",
     "chunk_brands": """
-SELECT p_type, lpad(CAST(i // 4 + 1 AS VARCHAR), 2, '0') AS chunk_id, string_agg(p_brand, ',' ORDER BY p_brand) AS brands
+SELECT p_type, printf('%02d', i // 4 + 1) AS chunk_id, string_agg(p_brand, ',' ORDER BY p_brand) AS brands
 FROM (SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS i
       FROM (SELECT DISTINCT p_type, p_brand FROM part))
 GROUP BY p_type, i // 4""",
@@ -249,5 +277,6 @@ QUERIES = {
     "refined_slices": refined_slices,
     "pending_year_slices": pending_year_slices,
     "request_stats": request_stats,
+    "many_chunks": many_chunks,
     "chunk_brands": chunk_brands,
 }
