@@ -9,7 +9,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tradeflow.jobs.stages import StageLayout, build_merged, build_stage, stage_spec
+from tradeflow.jobs.stages import StageLayout, build_all, build_merged, build_stage, build_stages, stage_spec
+from tradeflow import dims
 from xlsx import trade_sheet, write_xlsx
 
 TYRE_A = "New pneumatic tyres, of rubber, of a kind used for motor cars, incl. station wagons and racing cars"
@@ -91,6 +92,72 @@ def test_unmapped_product_fails_with_full_list(spark, sources):
         _run(spark, root, sources, full=False)
 
 
+def test_a_damaged_workbook_stops_the_build_and_keeps_the_stage(spark, sources):
+    now = time.time() - 1000
+    _book(f"{sources}/a.xlsx", [("Spain", "2024-01", [1, 2, 3])], now)
+    _book(f"{sources}/b [v2].xlsx", [("Malta", "2023-01", [4, 5, 6])], now + 1)
+    _book(f"{sources}/_c.xlsx", [("Italy", "2022-01", [7, 8, 9])], now + 2)
+    root = tempfile.mkdtemp(prefix="tf-dmg-")
+    years, layout = _run(spark, root, sources, full=False)
+    assert years == [2022, 2023, 2024]
+    before = _stage_rows(spark, layout.stage)
+    with open(f"{sources}/a.xlsx", "wb") as fh:
+        fh.write(b"no workbook")
+    with pytest.raises(ValueError, match="1 workbooks or tabs cannot be read: .*a.xlsx"):
+        _run(spark, root, sources, full=False)
+    assert _stage_rows(spark, layout.stage) == before
+
+
+def test_a_source_without_kept_rows_is_read_once(spark, sources, monkeypatch):
+    import tradeflow.jobs.stages as jobs
+    _book(f"{sources}/a.xlsx", [("Spain", "2024-01", [1, 2, 3])], time.time() - 1000)
+    _book(f"{sources}/none.xlsx", [("Spain", "2024-01", [":", ":", ":"])], time.time() - 1000)
+    scans = []
+    scan = jobs.scan_workbooks
+    monkeypatch.setattr(jobs, "scan_workbooks", lambda s, files: scans.append(files.count()) or scan(s, files))
+    root = tempfile.mkdtemp(prefix="tf-none-")
+    _run(spark, root, sources, full=False)
+    _run(spark, root, sources, full=False)
+    assert scans == [2]
+    manifest = spark.read.parquet(f"{root}/manifest").collect()
+    assert {r.source_name: r.row_count for r in manifest}["none.xlsx"] == 0
+
+
+def test_build_all_and_vehicle_stage(spark, sources):
+    vehicle = dims.VEHICLE_PRODUCTS[0][0]
+    now, layouts = time.time() - 1000, {}
+    root = tempfile.mkdtemp(prefix="tf-all-")
+    for module, product in (("tyre", TYRE_A), ("vehicle", vehicle)):
+        for measure, code in (("value", "VALUE_IN_EUROS"), ("weight", "QUANTITY_IN_100KG")):
+            d = f"{sources}/{module}_{measure}"
+            os.makedirs(d)
+            write_xlsx(f"{d}/s.xlsx", [("Sheet 1", trade_sheet(product, code, ["China"], [("Malta", "2019-05", [6])]))])
+            os.utime(f"{d}/s.xlsx", (now, now))
+            layouts[module, measure] = StageLayout((d,), f"{root}/{module}_{measure}/c", f"{root}/{module}_{measure}/s")
+    partners = spark.createDataFrame([("China", "Asia", "Eastern Asia")],
+                                     "partner string, partner_continent string, partner_sub_region string")
+    assert build_all(spark, layouts, f"{root}/m", partners, f"{root}/out", combined=f"{root}/combined") == [2019]
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert {(r.type, r.value, r.weight) for r in rows} == {("Tyre", 6.0, 600.0), ("Vehicle", 6.0, 600.0)}
+    assert [r.date for r in spark.read.parquet(f"{root}/combined").collect()] == ["2019-05-01"] * 2
+    assert build_stages(spark, "vehicle", "all", layouts, f"{root}/m") == []
+    with pytest.raises(ValueError, match="build_stages"):
+        stage_spec("tyre", "all")
+
+
+def test_merge_reads_fallbacks_and_missing_stages(spark):
+    legacy = spark.createDataFrame([("Malta", "2018-02-01", TYRE_A, "i", "China", 3.0, 2, "401110", "PCR", "PCR")],
+                                   "country string, date string, product string, indicator string, partner string, "
+                                   "value double, month int, hs_code string, category string, general_category string")
+    root = tempfile.mkdtemp(prefix="tf-fall-")
+    partners = spark.createDataFrame([], "partner string, partner_continent string, partner_sub_region string")
+    fallbacks = {("tyre", "value"): legacy, ("tyre", "weight"): legacy.withColumnRenamed("value", "weight")}
+    stages = {k: f"{root}/{k[0]}_{k[1]}" for k in fallbacks}
+    assert build_merged(spark, stages, partners, f"{root}/out", fallbacks=fallbacks) == [2018]
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert [(r.value, r.weight, r.partner_continent) for r in rows] == [(3.0, 300.0, "Unknown")]
+
+
 def test_merge_aligns_stages(spark, sources):
     now = time.time() - 1000
     root = tempfile.mkdtemp(prefix="tf-merge-")

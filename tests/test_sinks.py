@@ -59,3 +59,44 @@ def test_first_available_source(spark):
     row = list_sources(spark, good).first()
     assert row.source_name == "a b.xlsx" and row.size_bytes == os.path.getsize(f"{good}/a b.xlsx")
     assert row.fingerprint.startswith(f"{row.size_bytes}-")
+
+
+def test_a_large_year_is_written_by_several_tasks(spark):
+    root = tempfile.mkdtemp(prefix="tf-split-")
+    df = spark.range(200_000).selectExpr("cast(id % 1000 as string) as hs_code", "cast(id as string) as country",
+                                         "2020 + cast(id % 10 = 0 as int) as year")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        overwrite_years(spark, df, f"{root}/ranged", sort_within=["country"])
+        overwrite_years(spark, df, f"{root}/split")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for table in ("ranged", "split"):
+        assert len(glob.glob(f"{root}/{table}/year=2020/part-*")) > 1
+        assert spark.read.parquet(f"{root}/{table}").count() == 200_000
+
+
+def test_manifest_versions_without_success_mark_are_not_read(spark):
+    import os
+
+    from tradeflow.operators.increment import MANIFEST_SCHEMA
+    from tradeflow.sinks.tables import write_versioned
+    from tradeflow.sources.stage import read_manifest
+    root = tempfile.mkdtemp(prefix="tf-man-") + "/m"
+    assert read_manifest(spark, root).count() == 0
+    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
+    row = spark.createDataFrame([tuple(["tyre"] + [None] * (len(MANIFEST_SCHEMA.fields) - 1))], MANIFEST_SCHEMA)
+    write_versioned(row, root, "1")
+    os.remove(write_versioned(empty, root, "2") + "/_SUCCESS")
+    assert read_manifest(spark, root).count() == 1
+
+
+def test_duplicate_dimension_keys_fail(spark):
+    import pytest
+
+    from tradeflow.operators import lookup
+    facts = spark.createDataFrame([("China", 1)], "partner string, v int")
+    dim = spark.createDataFrame([("China", "Asia"), ("China", "Elsewhere")], "partner string, place string")
+    with pytest.raises(Exception, match="two rows for China"):
+        lookup(facts, dim, "partner").collect()
+    assert lookup(facts, dim.limit(1), "partner").first().place == "Asia"

@@ -148,13 +148,12 @@ def small_table(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A dimension from Python rows, marked for broadcast.
 
     A DataFrame built from a Python list carries no size statistics, so Spark
-    would shuffle-join it; its row count is known here, which is the bound
-    that makes the broadcast safe.
+    would shuffle-join it; its row count is known here. Up to MAX_INLINE_ROWS
+    rows that makes the broadcast safe; a larger one joins by a shuffle.
     """
     rows = list(rows)
-    if len(rows) > MAX_INLINE_ROWS:
-        raise ValueError(f"{len(rows)} rows is too many for an inline dimension")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_INLINE_ROWS else table
 
 
 def values_df(spark: SparkSession, column: str, values) -> DataFrame:

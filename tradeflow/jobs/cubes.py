@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
-from ..operators import require_rows
+from ..operators import lookup, require_rows
 from ..operators.cube import check_latest_periods, conform_cube, cube_cell_counts, decode_cube, latest_period
 from ..operators.ordering import order_columns
 from ..plans.requests import MANIFEST_ORDER, request_manifest
 from ..sinks.tables import write_partitions
-from ..sources.cubes import scan_cubes
+from ..sources.cubes import require_whole_cubes, scan_cubes
 
 # Order of the long table (the time code stands for the period).
 CUBE_ORDER = ["indicator_code", "product_code", "time_code", "reporter_code", "partner_code"]
@@ -48,11 +48,13 @@ def stage_inputs(spark: SparkSession, long: DataFrame) -> dict[tuple[str, str],
 
 def ingest_cubes(spark: SparkSession, landing: str, out: str, plan: DataFrame | None = None) -> dict[str, str]:
     """Decode every landed response, write the long table, the four stage
-    tables (year-partitioned, so the merge reads them like spreadsheet stages)
-    and, given the request plan, the request manifest."""
-    cubes = scan_cubes(spark, landing)
+    tables (year-partitioned, so the merge reads them like spreadsheet stages;
+    each replaces the one before, years without rows included) and, given the
+    request plan, the request manifest. A response that cannot be decoded whole
+    stops the job before anything is written."""
+    cubes = require_whole_cubes(scan_cubes(spark, landing).checkpoint())  # parsed once
     long = cube_long_table(cubes)
-    require_rows(long, "No successful cube request data available to materialize")
+    require_rows(long, "no response holds a cell; nothing was written")
     paths = {"long": f"{out}/long"}
     long.orderBy(*order_columns(CUBE_ORDER, numeric=["product_code"])).write.mode("overwrite") \
         .parquet(paths["long"])
@@ -60,7 +62,8 @@ def ingest_cubes(spark: SparkSession, landing: str, out: str, plan: DataFrame |
     for (module, measure), frame in stage_inputs(spark, stored).items():
         key = f"{module}_{measure}"
         paths[key] = f"{out}/{key}"
-        write_partitions(frame, paths[key], ["year"], sort_within=STAGE_ORDER, numeric=["hs_code"])
+        write_partitions(frame, paths[key], ["year"], sort_within=STAGE_ORDER, numeric=["hs_code"],
+                         replace_all=True)
     if plan is not None:
         counts = cube_cell_counts(cubes).withColumn(
             "cache_path", F.regexp_extract("source_path", r"([^/]+/[^/]+/[^/]+/[^/]+)$", 1))
@@ -70,9 +73,16 @@ def ingest_cubes(spark: SparkSession, landing: str, out: str, plan: DataFrame |
     return paths
 
 
-def latest_periods(spark: SparkSession, landing: str, out: str | None = None) -> DataFrame:
-    """Latest period per probed dataset response; fails on a response without time labels."""
+def latest_periods(spark: SparkSession, landing: str, out: str | None = None,
+                   probes: DataFrame | None = None) -> DataFrame:
+    """Latest period per probed dataset response; fails on a response without time labels.
+
+    ``probes`` (see :func:`~tradeflow.plans.requests.probe_plan`) adds
+    ``api_type`` and ``source_url`` by dataset code, null for other datasets.
+    """
     periods = check_latest_periods(latest_period(scan_cubes(spark, landing)))
+    if probes is not None:
+        periods = lookup(periods, probes, "dataset_code", ["api_type", "source_url"])
     if out:
         periods.write.mode("overwrite").parquet(out)
     return periods

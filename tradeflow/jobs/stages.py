@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import iso_date, scale
 from ..operators import (align_pair, bounded_broadcast, conform_tyre, conform_vehicle, date_floor, enrich_partner,
-                         keep_latest, keep_values, normalize_measure, normalize_trade, tag, union_branches)
-from ..operators.increment import affected_years, diff_sources, next_manifest, profile_sources
+                         keep_latest, keep_values, measures_of, normalize_trade, ordered, tag, union_branches)
+from ..operators.increment import MANIFEST_ORDER, affected_years, diff_sources, next_manifest, profile_sources
 from ..operators.lookup import assert_all_mapped
 from ..operators.matrix import matrix_to_long
 from ..sinks.tables import delete_partitions, export_sorted, overwrite_years, write_partitions, write_versioned
-from ..sources.stage import path_exists, read_manifest, read_stage
-from ..sources.workbooks import first_available_source, list_sources, scan_workbooks
+from ..sources.stage import distinct_years, path_exists, read_manifest, read_stage, read_years
+from ..sources.workbooks import first_available_source, list_sources, require_readable, scan_workbooks
 
 LINEAGE = ["source_path", "source_name", "source_mtime", "partner_ord", "sheet_ord", "row"]
 # Later file, then later name, then later column / tab / row wins.
@@ -66,7 +66,9 @@ class StageSpec:
 
 
 def stage_spec(module: str, measure: str) -> StageSpec:
-    measure = normalize_measure(measure)
+    measure, *more = measures_of(measure)
+    if more:
+        raise ValueError("a stage has one measure; build_stages takes several")
     if module == "tyre":
         return StageSpec("tyre", measure, TYRE_KEYS, _tyre)
     if module == "vehicle":
@@ -106,6 +108,8 @@ def build_stage(spark: SparkSession, spec: StageSpec, layout: StageLayout, manif
         cached = this.join(ids, "source_id", "left_semi").select("source_path")
     else:
         cached = this.select("source_path").limit(0)
+    # A source of which no row was kept has no cache to miss.
+    cached = cached.unionByName(this.where("row_count = 0").select("source_path")).distinct()
     diff = diff_sources(listing, this, cached=cached, full_refresh=full_refresh).withColumn(
         "source_id", source_id()).checkpoint()
 
@@ -113,8 +117,10 @@ def build_stage(spark: SparkSession, spec: StageSpec, layout: StageLayout, manif
     refresh_rows = refresh.select("source_path", "source_id").collect()  # one row per changed file
     profile = None
     if refresh_rows:
+        # Parsed once: everything below reads the written cells.
+        cells = require_readable(scan_workbooks(spark, listing.join(
+            refresh.select("source_path"), "source_path", "left_semi")).checkpoint())
         delete_partitions(spark, layout.cache, "source_id", [r.source_id for r in refresh_rows])
-        cells = scan_workbooks(spark, [r.source_path for r in refresh_rows])
         long = matrix_to_long(cells, spec.measure)
         normalized = normalize_trade(long.select("country", "date", "date_kind", "product", "indicator",
                                                  "partner", spec.measure, *LINEAGE),
@@ -150,10 +156,20 @@ def build_stage(spark: SparkSession, spec: StageSpec, layout: StageLayout, manif
         deduped = keep_latest(cache, list(spec.keys), LATEST_ORDER).select(*spec.columns)
         overwrite_years(spark, deduped, layout.stage, sorted(set(years_list) - with_rows),
                         sort_within=STAGE_ORDER, numeric=["hs_code"])
-    write_versioned(new_manifest, manifest_root, time.strftime("%Y%m%dT%H%M%S") + f"-{time.time_ns() % 10**9:09d}")
+    write_versioned(ordered(new_manifest, MANIFEST_ORDER), manifest_root,
+                    time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"-{time.time_ns() % 10**9:09d}")
     return years_list
 
 
+def build_stages(spark: SparkSession, module: str, measure: str, layouts: dict[tuple[str, str], StageLayout],
+                 manifest_root: str, full_refresh: bool = False) -> list[int]:
+    """Refresh one module's stages: one measure, or ``all``; the affected years."""
+    years: set[int] = set()
+    for m in measures_of(measure):
+        years |= set(build_stage(spark, stage_spec(module, m), layouts[module, m], manifest_root, full_refresh))
+    return sorted(years)
+
+
 def merged_rows(tyre_value: DataFrame, tyre_weight: DataFrame, vehicle_value: DataFrame,
                 vehicle_weight: DataFrame, partner_dim: DataFrame, floor: str = dims.PUBLISH_FLOOR) -> DataFrame:
     """Aligned value and weight per key for both branches, enriched and floored."""
@@ -171,24 +187,30 @@ def merged_rows(tyre_value: DataFrame, tyre_weight: DataFrame, vehicle_value: Da
 
 
 def build_merged(spark: SparkSession, stages: dict[tuple[str, str], str], partner_dim: DataFrame, out: str,
-                 years: Iterable[int] | None = None, combined: str | None = None) -> list[int]:
-    """Re-merge the given years (all stage years when None) into the published table."""
-    def stage(key, path):
-        return spark.read.schema(stage_spec(*key).schema).parquet(path)
+                 years: Iterable[int] | None = None, combined: str | None = None,
+                 fallbacks: dict[tuple[str, str], DataFrame] | None = None) -> list[int]:
+    """Re-merge the given years (when None all years of the stages and the
+    fallbacks) into the published table.
 
+    ``fallbacks`` has a combined or legacy table per stage for years that the
+    stage has no partition of. A stage without a table counts as empty.
+    """
+    fallbacks = fallbacks or {}
     if years is None:
-        found = set()
-        for key, path in stages.items():
-            if path_exists(spark, path):
-                found |= {int(r.year) for r in stage(key, path).select("year").distinct().collect()}
-        years = found
-    years = sorted(int(y) for y in years)
+        there = [spark.read.schema(stage_spec(*k).schema).parquet(p).select("date") for k, p in stages.items()
+                 if path_exists(spark, p)]
+        years = distinct_years(*there, *[f.select("date") for f in fallbacks.values()])
+    years = sorted({int(y) for y in years})
     if not years:
         return []
-    read = {k: stage(k, p).where(F.col("year").isin(years)) for k, p in stages.items()}
-    rows = merged_rows(read[("tyre", "value")], read[("tyre", "weight")], read[("vehicle", "value")],
-                       read[("vehicle", "weight")], partner_dim).checkpoint()
-    present = {int(r.year) for r in rows.select("year").distinct().collect()}
+    keys = [(module, m) for module in ("tyre", "vehicle") for m in measures_of("all")]
+    read = {}
+    for key in keys:
+        schema = stage_spec(*key).schema
+        read[key] = (read_years(spark, stages[key], schema, years, fallbacks.get(key)) if key in stages
+                     else spark.createDataFrame([], schema))
+    rows = merged_rows(*[read[k] for k in keys], partner_dim).checkpoint()
+    present = set(distinct_years(rows))
     overwrite_years(spark, rows, out, sorted(set(years) - present), sort_within=PUBLISH_ORDER, numeric=["hs_code"])
     if combined:
         export_sorted(read_stage(spark, out).withColumn("date", iso_date("date")), combined, PUBLISH_ORDER,

@@ -7,13 +7,13 @@ from .facts import (align_measures, align_pair, enrich_partner, keep_latest, sta
 from .filters import date_floor, drop_missing, exclude_values, keep_values
 from .lookup import assert_all_mapped, assert_mapped, compose_dims, lookup, lookup_default, lookup_strict, unmapped_values
 from .ordering import order_columns, ordered, ordered_within
-from .quality import normalize_measure, pad_columns, require_rows
+from .quality import measures_of, pad_columns, require_rows
 
 __all__ = [
     "MAX_BROADCAST_ROWS", "align_measures", "align_pair", "assert_all_mapped", "assert_mapped", "bounded_broadcast",
     "combined_product_dim", "compose_dims", "conform_tyre", "conform_vehicle", "date_floor", "drop_missing",
     "enrich_partner", "exclude_values", "keep_latest", "keep_values", "lookup", "lookup_default",
-    "lookup_strict", "normalize_measure", "normalize_trade", "order_columns", "ordered", "ordered_within",
+    "lookup_strict", "measures_of", "normalize_trade", "order_columns", "ordered", "ordered_within",
     "pad_columns", "require_rows", "stack_measures", "strict_inline", "sum_measure", "tag", "union_branches",
     "unmapped_values",
 ]

@@ -27,6 +27,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
+MANIFEST_ORDER = ["module", "measure", "source_name", "source_path"]
 STATES = ("new", "changed", "unchanged", "removed", "restored", "gone")
 
 
@@ -128,7 +129,8 @@ def next_manifest(manifest: DataFrame, diff: DataFrame, profile: DataFrame, modu
         F.when(fresh, F.col("__y")).otherwise(F.col("years")).alias("years"),
         F.when(fresh, F.col("__min")).otherwise(F.col("min_date")).alias("min_date"),
         F.when(fresh, F.col("__max")).otherwise(F.col("max_date")).alias("max_date"),
-        F.when(fresh, F.col("__n")).otherwise(F.col("row_count")).alias("row_count"),
+        # A source that was read and kept no row has count 0: it is not read again.
+        F.when(fresh, F.coalesce("__n", F.lit(0))).otherwise(F.col("row_count")).alias("row_count"),
         F.lit(True).alias("active"), now.alias("updated_at"))
     removed = (old.join(diff.where(F.col("state").isin("removed", "gone")).select("source_path"), "source_path",
                         "left_semi")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ._broadcast import bounded_broadcast
 
+# Unmapped values that an error message itself lists; all of them are in the
+# table that it names.
 MAX_LISTED = 1000
 
 
@@ -24,14 +28,16 @@ def lookup(df: DataFrame, dim: DataFrame, on, add: Sequence[str] | None = None,
            how: str = "left", known_rows: int | None = None) -> DataFrame:
     """Attach ``add`` columns of ``dim`` to ``df`` by key (``df_col -> dim_col``).
 
-    The dimension must be unique on its key (a dictionary). Unmatched rows get
-    nulls; null keys never match. Existing columns named like an added column are
+    A dimension is a dictionary: a key that it holds twice fails the job.
+    Unmatched rows get nulls; null keys never match. Existing columns named like an added column are
     replaced, as assigning a mapped column does.
     """
     keys = _key_map(on)
     dim_keys = set(keys.values())
     add = list(add) if add is not None else [c for c in dim.columns if c not in dim_keys]
     right = dim.select(*[F.col(d).alias(s) for s, d in keys.items()], *add)
+    if known_rows is None:
+        right = unique_by(right, list(keys))
     left = df.drop(*[c for c in add if c in df.columns and c not in keys])
     return left.join(bounded_broadcast(right, known_rows), list(keys), how)
 
@@ -51,37 +57,44 @@ def unmapped_values(df: DataFrame, source: str, target: str) -> DataFrame:
             .orderBy(source))
 
 
-def assert_mapped(df: DataFrame, source: str, target: str, context: str) -> None:
-    """Fail listing every unmapped value (``context: source -> target: a, b``).
+def unique_by(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim``, failing in the plan where two rows share a non-null key."""
+    others = [c for c in dim.columns if c not in keys]
+    grouped = dim.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others])
+    # The check sits in the key itself, which no later plan can leave out.
+    checked = F.when(F.col("__n") == 1, F.col(keys[0])).otherwise(F.raise_error(
+        F.concat(F.lit("the dimension has two rows for "), F.col(keys[0]).cast("string"))))
+    return grouped.withColumn(keys[0], checked).select(*dim.columns)
 
-    Runs one aggregate job; at most ``MAX_LISTED`` values reach the driver and
-    the message then gives the total count.
-    """
-    audit = unmapped_values(df, source, target)
-    found = [r[0] for r in audit.limit(MAX_LISTED + 1).collect()]
-    if not found:
-        return
-    listed = ", ".join(found[:MAX_LISTED])
-    if len(found) > MAX_LISTED:
-        listed += f", ... ({audit.count()} values)"
-    raise ValueError(f"Unmapped values in {context}: {source} -> {target}: {listed}")
+
+def assert_mapped(df: DataFrame, source: str, target: str, context: str) -> None:
+    """Fail listing every unmapped value (``context: source -> target: a, b``)."""
+    assert_all_mapped(df, [(source, target)], context)
 
 
 def assert_all_mapped(df: DataFrame, checks: Sequence[tuple[str, str]], context: str) -> None:
-    """:func:`assert_mapped` for several ``(source, target)`` pairs in one job."""
-    audits = [
-        df.where(F.col(t).isNull() & F.col(s).isNotNull())
-          .select(F.lit(s).alias("source"), F.lit(t).alias("target"), F.col(s).cast("string").alias("v"))
-        for s, t in checks
-    ]
-    audit = audits[0]
-    for other in audits[1:]:
-        audit = audit.unionByName(other)
-    found = audit.distinct().orderBy("source", "target", "v").limit(MAX_LISTED + 1).collect()
+    """Fail where a non-null source has no target, for all ``(source, target)``
+    pairs in one pass over ``df``. The full list is written to the checkpoint
+    folder; the error lists it up to MAX_LISTED values a pair and names the
+    table."""
+    failed = F.array(*[F.when(F.col(t).isNull() & F.col(s).isNotNull(), F.struct(
+        F.lit(s).alias("source"), F.lit(t).alias("target"), F.col(s).cast("string").alias("value"))) for s, t in checks])
+    audit = df.select(F.explode(F.array_compact(failed)).alias("a")).select("a.*").distinct()
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/unmapped-{uuid.uuid4().hex}"
+    audit.write.parquet(path)
+    found = df.sparkSession.read.schema(audit.schema).parquet(path)
+    counts = {(r.source, r.target): r.n for r in found.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return
+    said = []
     for s, t in checks:
-        values = [r.v for r in found if r.source == s and r.target == t]
-        if values:
-            raise ValueError(f"Unmapped values in {context}: {s} -> {t}: {', '.join(values)}")
+        if (s, t) in counts:
+            own = found.where((F.col("source") == s) & (F.col("target") == t)).orderBy("value").limit(MAX_LISTED)
+            said.append(f"{s} -> {t}: {', '.join(r.value for r in own.collect())}"
+                        + (f", ... ({counts[s, t]} values)" if counts[s, t] > MAX_LISTED else ""))
+    more = f" (all in {path})" if max(counts.values()) > MAX_LISTED else ""
+    raise ValueError(f"Unmapped values in {context}{more}: {'; '.join(said)}")
 
 
 def lookup_strict(df: DataFrame, dim: DataFrame, on, add: Sequence[str], context: str, *,
@@ -97,8 +110,3 @@ def lookup_strict(df: DataFrame, dim: DataFrame, on, add: Sequence[str], context
 def compose_dims(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Chain two dictionaries (``a -> b`` with ``b -> c`` gives ``a -> b, c``)."""
     return left.join(bounded_broadcast(right), on, how)
-
-
-def invert_dim(dim: DataFrame, key: str, value: str) -> DataFrame:
-    """``key -> value`` as ``value -> key`` (values must be unique)."""
-    return dim.select(F.col(value), F.col(key))

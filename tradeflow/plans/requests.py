@@ -9,6 +9,8 @@ make slices pending or done. No network I/O happens here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,9 +139,22 @@ def request_manifest(plan: DataFrame, cell_counts: DataFrame) -> DataFrame:
 
     ``cell_counts``: ``cache_path, response_updated, cell_count, row_count``
     (see :func:`~tradeflow.operators.cube.cube_cell_counts`). Slices without a
-    document keep null counts and ``success`` false.
+    document keep null counts and ``success`` false. Landed documents that the
+    plan does not name (earlier refinements) are listed too, with what their
+    path says.
     """
     m = plan.join(cell_counts, "cache_path", "left")
+    parts = F.split("cache_path", "/")
+    name = F.regexp_replace(F.get(parts, F.lit(3)), r"\.json$", "")
+    chunk = F.regexp_extract(name, r"_reporters_(.+)$", 1)
+    unplanned = cell_counts.join(plan.select("cache_path"), "cache_path", "left_anti").select(
+        "*", F.get(parts, F.lit(0)).alias("dataset_code"), F.get(parts, F.lit(1)).alias("indicator_alias"),
+        F.get(parts, F.lit(2)).alias("product_code"),
+        F.regexp_extract(name, r"^(\d{4})", 1).try_cast("long").alias("year"),
+        F.regexp_extract(name, r"^\d{4}-(\d{2})", 1).try_cast("long").alias("month"),
+        F.when(chunk != "", chunk).otherwise("all").alias("reporter_chunk"),
+        F.when(chunk != "", "month_reporter_chunk").when(name.contains("-"), "month").otherwise("year").alias("granularity"))
+    m = m.unionByName(unplanned, allowMissingColumns=True)
     landed = F.col("cell_count").isNotNull()
     return m.select(
         "dataset_code", "indicator_alias", "indicator_code", "product_group", "product_code",
@@ -154,4 +169,15 @@ def request_manifest(plan: DataFrame, cell_counts: DataFrame) -> DataFrame:
     )
 
 
+def probe_plan(spark: SparkSession, product_url: str, statistics_url: str, statistics_datasets: Sequence[str]) -> DataFrame:
+    """Requests that ask each dataset for its latest period: rows (dataset_code,
+    api_type, source_url). ``product_url`` is the whole request of the product
+    dataset (type ``comext``); each of the others is ``statistics_url/<code>``
+    (type ``statistics``)."""
+    product = product_url.partition("?")[0].rstrip("/").rpartition("/")[2]
+    rows = [(product, "comext", product_url)] + [
+        (code, "statistics", f"{statistics_url.rstrip('/')}/{code}?format=JSON") for code in statistics_datasets]
+    return spark.createDataFrame(rows, "dataset_code string, api_type string, source_url string")
+
+
 MANIFEST_ORDER = ["indicator_alias", "product_group", "product_code", "year", "month", "reporter_chunk"]

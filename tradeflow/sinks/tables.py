@@ -11,16 +11,22 @@ from ..operators.ordering import order_columns
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_within: Sequence[str] = (),
-                     numeric: Sequence[str] = ()) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite).
-
-    Rows are clustered by the partition columns first so each task writes few
-    files; ``sort_within`` orders rows inside each file.
+                     numeric: Sequence[str] = (), replace_all: bool = False) -> None:
+    """Replace the partitions present in ``df`` (dynamic overwrite), or the whole
+    table with ``replace_all``.
+
+    Rows are clustered by the partition columns so each task writes few files,
+    yet a large partition is written by several tasks: with ``sort_within`` as
+    ranges of (partition, sort keys), so the files of a partition are in order
+    one after the other; without, by a rebalance that splits what is large.
     """
-    out = df.repartition(*[F.col(c) for c in partition_by])
+    columns = [F.col(c) for c in partition_by]
     if sort_within:
-        out = out.sortWithinPartitions(*[F.col(c) for c in partition_by], *order_columns(sort_within, numeric))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        order = [*columns, *order_columns(sort_within, numeric)]
+        out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:
+        out = df.hint("rebalance", *partition_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*partition_by).parquet(path))
 
 
@@ -67,7 +73,8 @@ def export_sorted(df: DataFrame, path: str, keys: Sequence[str], numeric: Sequen
 
 
 def write_versioned(df: DataFrame, root: str, version: str) -> str:
-    """Write a new version folder; readers take the newest complete one.
+    """Write a new version folder; readers take the newest complete one (the
+    writer's ``_SUCCESS`` mark is the last file of a version).
 
     The table being read is never overwritten in place.
     """

@@ -31,16 +31,15 @@ CUBE_SCHEMA = T.StructType([
 def scan_cubes(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True) -> DataFrame:
     """Read response documents: one row per file plus ``source_path``.
 
-    The multi-line JSON reader parses each file whole in one task, so files
-    must stay small (the request plan splits slices until they do). A file that
-    is not JSON or not of the schema's shape has its text in ``malformed``; see
-    :func:`cube_errors`.
+    Each file is parsed whole in one task, so files must stay small (the
+    request plan splits slices until they do). A file that is not JSON or not
+    of the schema's shape has its text in ``malformed``; see :func:`cube_errors`.
     """
-    reader = (spark.read.schema(CUBE_SCHEMA).option("multiLine", "true").option("pathGlobFilter", glob)
-              .option("columnNameOfCorruptRecord", "malformed"))
+    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.json(path).withColumn("source_path", F.col("_metadata.file_path"))
+    return parse_cubes(reader.text(path).select(F.col("value").alias("json"),
+                                                F.col("_metadata.file_path").alias("source_path")))
 
 
 def parse_cubes(texts: DataFrame, text_col: str = "json", path_col: str = "source_path") -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.increment import MANIFEST_SCHEMA
 
@@ -41,12 +40,49 @@ def read_year_or_fallback(spark: SparkSession, path: str, year: int, fallback: D
     return fallback.where((d >= F.lit(lo).cast("date")) & (d < F.lit(hi).cast("date")))
 
 
-def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Newest manifest version; an absent manifest is an empty table."""
+def newest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest version folder that was written to its end."""
     if not path_exists(spark, root):
+        return None
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = sorted((f.getPath().getName() for f in listed if f.getPath().getName().startswith("version=")), reverse=True)
+    return next((f"{root.rstrip('/')}/{n}" for n in names if path_exists(spark, f"{root.rstrip('/')}/{n}/_SUCCESS")), None)
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Newest complete manifest version; an absent manifest is an empty table.
+    Older versions are not listed or read."""
+    newest = newest_version(spark, root)
+    if newest is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    schema = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("version", T.StringType())])
-    versions = spark.read.schema(schema).parquet(root)
-    latest = versions.agg(F.max("version").alias("version"))
-    cols = [f.name for f in MANIFEST_SCHEMA.fields if f.name != "version"]
-    return versions.join(latest, "version", "left_semi").select(*cols)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(newest)
+
+
+def read_years(spark: SparkSession, path: str, schema: str, years: Iterable[int],
+               fallback: DataFrame | None = None, date_col: str = "date") -> DataFrame:
+    """The given years of a stage: its partitions, and for years without one the
+    ``fallback`` (a combined or legacy table) if there is any. A stage that has
+    no table yet has no rows."""
+    years = sorted({int(y) for y in years})
+    held = [y for y in years if path_exists(spark, f"{path.rstrip('/')}/year={y}")]
+    if held:
+        out = spark.read.schema(schema).parquet(path).where(F.col("year").isin(held))
+    else:
+        out = spark.createDataFrame([], schema)
+    for year in [] if fallback is None else [y for y in years if y not in held]:
+        rows = read_year_or_fallback(spark, path, year, fallback, date_col).withColumn("year", F.lit(year))
+        out = out.unionByName(rows.select(*[F.col(c).cast(t) for c, t in out.dtypes]))
+    return out
+
+
+def distinct_years(*tables: DataFrame, date_col: str = "date") -> list[int]:
+    """Sorted calendar years of the tables' dates, in one job over the union."""
+    years = None
+    for t in tables:
+        own = t.select(F.year(date_col).alias("year"))
+        years = own if years is None else years.unionByName(own)
+    if years is None:
+        return []
+    return sorted(r.year for r in years.where("year IS NOT NULL").distinct().collect())

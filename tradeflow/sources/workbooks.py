@@ -3,8 +3,8 @@
 The cell grid is read with the standard library (an .xlsx file is a zip of
 XML parts); formulas and charts are ignored, styles only to tell dates from
 numbers. Each workbook is parsed whole inside one task (``mapInPandas`` over
-``binaryFile`` rows), emitting one row per non-empty cell. A date-formatted
-numeric cell comes out as ISO text with ``kind = 'date'``.
+the listing), emitting one row per non-empty cell. A date-formatted numeric
+cell comes out as ISO text with ``kind = 'date'``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import folder_files, read_bytes
+
 CELLS_SCHEMA = ("source_name string, source_path string, source_mtime timestamp, sheet_ord int, sheet string, "
                 "row int, col int, text string, kind string, error string")
 LISTING_COLUMNS = ["source_path", "source_name", "size_bytes", "mtime", "fingerprint"]
@@ -33,36 +35,32 @@ _REF = re.compile(r"([A-Z]+)(\d+)")
 # Built-in number formats that display dates.
 DATE_FORMAT_IDS = frozenset(range(14, 23)) | {45, 46, 47}
 _QUOTED = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
-# Workbooks per Arrow batch: each record holds a whole file.
-FILES_PER_BATCH = 16
+# Texts that stand for a missing value, like an empty cell.
+MISSING_TEXTS = frozenset({
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null"})
+# Cells per pandas frame that a task hands on.
+CELLS_PER_FRAME = 50_000
 
 
 def list_sources(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """Source files under ``path`` with size, mtime and a size+mtime fingerprint.
-
-    Lock files (``~$...``) are skipped. Spark's file listing also hides names
-    starting with ``_`` or ``.``.
-    """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-             .select("path", "length", "modificationTime"))
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return files.where(~name.startswith("~$")).select(
-        F.col("path").alias("source_path"),
-        name.alias("source_name"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("mtime"),
-        F.concat_ws("-", F.col("length").cast("string"),
-                    F.unix_micros("modificationTime").cast("string")).alias("fingerprint"),
-    )
+    """Source files right under ``path`` with size, mtime and a size+mtime
+    fingerprint. Lock files (``~$...``) are skipped. One driver row per file:
+    names and sizes, as any file listing holds them."""
+    rows = [(uri, name, size, mtime, f"{size}-{int(mtime.timestamp() * 1_000_000)}")
+            for uri, name, size, mtime in folder_files(path, glob) if not name.startswith("~$")]
+    return spark.createDataFrame(rows, "source_path string, source_name string, size_bytes long, mtime timestamp, "
+                                       "fingerprint string")
 
 
 def first_available_source(spark: SparkSession, candidates: Sequence[str], glob: str = "*.xlsx") -> str:
-    """First candidate folder holding at least one source file."""
+    """First candidate folder holding at least one source file. A folder that
+    exists but cannot be read is an error, not a missing candidate."""
     for candidate in candidates:
         try:
-            if not list_sources(spark, candidate, glob).isEmpty():
+            if any(not name.startswith("~$") for _, name, *_ in folder_files(candidate, glob)):
                 return candidate
-        except Exception:  # noqa: BLE001 - a missing folder is just not a candidate
+        except FileNotFoundError:
             continue
     raise FileNotFoundError(f"No source directory found. Checked: {', '.join(candidates)}")
 
@@ -152,7 +150,7 @@ def workbook_cells(content: bytes) -> Iterator[tuple]:
                     text = "True" if text == "1" else "False"
                 elif text is not None and kind == "n" and int(c.get("s", "0")) in date_styles:
                     text, cell_kind = _serial_to_iso(text, date1904), "date"
-            if text is None or text == "":
+            if text is None or text == "" or text in MISSING_TEXTS:
                 continue
             yield ordinal, title, int(m.group(2)) - 1, _col_index(m.group(1)), text, cell_kind, None
 
@@ -160,32 +158,46 @@ def workbook_cells(content: bytes) -> Iterator[tuple]:
 def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row", "col", "text", "kind",
             "error"]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=cols).astype({"sheet_ord": "Int32", "row": "Int32", "col": "Int32"})
+
     for batch in batches:
-        out = []
-        for path, mtime, content in zip(batch["path"], batch["modificationTime"], batch["content"]):
-            name = path.rsplit("/", 1)[-1]
+        for path, name, mtime in zip(batch["source_path"], batch["source_name"], batch["mtime"]):
+            out = []
             try:
-                for so, sh, r, c, t, k, e in workbook_cells(bytes(content)):
-                    out.append((name, path, mtime, so, sh, r, c, t, k, e))
+                for cell in workbook_cells(read_bytes(path)):
+                    out.append((name, path, mtime, *cell))
+                    if len(out) == CELLS_PER_FRAME:
+                        yield frame(out)
+                        out = []
             except Exception as exc:  # noqa: BLE001 - unreadable workbook -> one error row
                 out.append((name, path, mtime, None, None, None, None, None, None, f"{type(exc).__name__}: {exc}"))
-        frame = pd.DataFrame(out, columns=cols)
-        yield frame.astype({"sheet_ord": "Int32", "row": "Int32", "col": "Int32"})
+            yield frame(out)
 
 
-def scan_workbooks(spark: SparkSession, paths, glob: str = "*.xlsx") -> DataFrame:
-    """Cells of every workbook under ``paths`` (a folder or a list of files).
+def scan_workbooks(spark: SparkSession, sources: str | DataFrame, glob: str = "*.xlsx") -> DataFrame:
+    """Cells of every workbook of a folder, or of a listing (``list_sources``).
 
     Lock files are skipped. A workbook or tab that cannot be read yields a row
-    with ``error`` set (see :func:`workbook_errors`).
+    with ``error`` set (see :func:`workbook_errors`). Every use of the result
+    parses the workbooks again: write or checkpoint it first.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FILES_PER_BATCH))
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    files = reader.load(paths if isinstance(paths, str) else list(paths))
-    files = files.where(~F.regexp_extract("path", r"([^/]+)$", 1).startswith("~$"))
-    return files.select("path", "modificationTime", "content").mapInPandas(_scan_batches, CELLS_SCHEMA)
+    files = list_sources(spark, sources, glob) if isinstance(sources, str) else sources
+    files = files.select("source_path", "source_name", "mtime")
+    # A task per file, up to the session's shuffle partitions.
+    return files.repartition("source_path").mapInPandas(_scan_batches, CELLS_SCHEMA)
 
 
 def workbook_errors(cells: DataFrame) -> DataFrame:
     """Unreadable workbooks and tabs."""
     return cells.where(F.col("error").isNotNull()).select("source_path", "sheet", "error")
+
+
+def require_readable(cells: DataFrame) -> DataFrame:
+    """``cells``, or an error that names every workbook and tab that cannot be read."""
+    bad = [f"{r.source_path}{f' [{r.sheet}]' if r.sheet else ''}: {r.error}"
+           for r in workbook_errors(cells).orderBy("source_path", "sheet").toLocalIterator()]
+    if bad:
+        raise ValueError(f"{len(bad)} workbooks or tabs cannot be read: {'; '.join(bad)}")
+    return cells
