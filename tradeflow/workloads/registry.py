@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, cubes, increment, matrix, plans, star
+from . import columns, cubes, increment, matrix, plans, stages, star
 
-_MODULES = [star, columns, cubes, matrix, plans, increment]
+_MODULES = [star, columns, cubes, matrix, plans, increment, stages]
 
 
 def queries() -> dict:

@@ -40,9 +40,6 @@ STAR_VEHICLE_PRODUCTS = (
 # fall back to "Unknown").
 UNMAPPED_REGION = "MIDDLE EAST"
 
-# Measured supplier row bound per (session, scale directory).
-_SUPPLIER_ROWS: dict[tuple[int, str], int] = {}
-
 MERGE_KEYS = ["type", "country", "date", "product", "partner", "hs_code", "category", "general_category"]
 PUBLISHED = ["date", "hs_code", "product", "category", "general_category", "country", "partner",
              "value", "weight", "type", "partner_continent", "partner_sub_region", "year"]
@@ -80,12 +77,9 @@ def star_facts(spark: SparkSession, sf: str, floor: str | None = None,
                 .select("l_suppkey", "partner", F.col("s_nationkey").alias("partner_key")))
     # Without table statistics Spark over-estimates this join's output and
     # plans a shuffle of the line table; a measured bound (a count that stops
-    # at the limit) lets a small supplier side be broadcast instead. The
-    # supplier table does not change within a session, so it is measured once.
-    key = (id(spark), sf.rstrip("/"))
-    if key not in _SUPPLIER_ROWS:
-        _SUPPLIER_ROWS[key] = table(spark, sf, "supplier").limit(MAX_BROADCAST_ROWS + 1).count()
-    partners = bounded_broadcast(partners, known_rows=_SUPPLIER_ROWS[key])
+    # at the limit) lets a small supplier side be broadcast instead.
+    partners = bounded_broadcast(
+        partners, known_rows=table(spark, sf, "supplier").limit(MAX_BROADCAST_ROWS + 1).count())
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
     lines = li.join(parts, "l_partkey")
     if conform is not None:
@@ -138,7 +132,7 @@ def merged_facts(spark: SparkSession, sf: str) -> DataFrame:
     ).where(has_value | has_weight)
     aligned = align_measures(flagged, MERGE_KEYS, ["value", "weight"])
     out = aligned.withColumn("weight", scale("weight", dims.WEIGHT_FACTOR))
-    out = enrich_partner(out, star_partner_dim(spark, sf), known_rows=25)
+    out = enrich_partner(out, star_partner_dim(spark, sf))
     out = date_floor(out, "date", FLOOR)
     return out.select(
         *[F.col(c) for c in PUBLISHED if c not in ("value", "weight", "year")],
@@ -220,7 +214,7 @@ def partner_lookup_default(spark: SparkSession, sf: str) -> DataFrame:
                                                F.col("n_name").alias("partner"))
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey").join(
         bounded_broadcast(nation), "s_nationkey")
-    out = enrich_partner(suppliers, star_partner_dim(spark, sf), known_rows=25)
+    out = enrich_partner(suppliers, star_partner_dim(spark, sf))
     return out.select("s_suppkey", "partner", "partner_continent", "partner_sub_region")
 
 
@@ -240,7 +234,7 @@ def partner_region_default(spark: SparkSession, sf: str) -> DataFrame:
     """Aligned totals per partner continent; unknown partners grouped under the default."""
     facts = star_facts(spark, sf).select("partner", F.col("l_extendedprice").cast(EXACT).alias("value"))
     out = lookup_default(facts, star_partner_dim(spark, sf), "partner",
-                         {"partner_continent": "Unknown"}, known_rows=25)
+                         {"partner_continent": "Unknown"})
     return (out.groupBy("partner_continent")
                .agg(F.sum("value").cast("double").alias("value"), F.count(F.lit(1)).alias("lines")))
 
