@@ -29,3 +29,32 @@ def test_keep_latest_limits_before_the_shuffle(spark):
 def test_floor_reaches_the_parquet_scan(spark):
     plan = _plan(star.star_facts(spark, SF, star.FLOOR))
     assert "GreaterThanOrEqual(l_shipdate,1997-01-01" in plan
+
+
+def test_stage_rebuild_joins_no_line_by_nested_loops(spark):
+    from tradeflow.workloads.increment import stage_rebuild
+    plan = _plan(stage_rebuild(spark, SF))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # by the business key
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    from tradeflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

@@ -9,17 +9,28 @@ landing folder.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DONE: dict[tuple[int, str, str], DataFrame] = {}
+# Seconds that the builds took since the last forget(), by name.
+BUILT: dict[str, float] = {}
+
+
+def forget() -> None:
+    """Let the next query build its inputs anew (the bench times that too)."""
+    _DONE.clear()
+    BUILT.clear()
 
 
 def materialized(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (id(spark), sf.rstrip("/"), name)
     df = _DONE.get(key)
     if df is None or df.sparkSession is not spark:
+        began = time.perf_counter()
         df = build().checkpoint()
+        BUILT[name] = BUILT.get(name, 0.0) + time.perf_counter() - began
         _DONE[key] = df
     return df
