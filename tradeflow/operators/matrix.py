@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import to_measure
@@ -48,18 +48,19 @@ def dedupe_headers(headers: DataFrame, keys: Sequence[str], text: str = "text",
         F.concat(F.col(text), F.lit("."), rn.cast("string")))).drop("__bucket", "__rn", "__off")
 
 
+def _meta_fields(meta_rows: Mapping[int, str]) -> list[Column]:
+    """Aggregates: each metadata field from column 2 of its row, else column 0."""
+    def cell(row: int, col: int) -> Column:
+        return F.max(F.when((F.col("row") == row) & (F.col("col") == col), F.col("text")))
+
+    return [F.coalesce(cell(r, 2), cell(r, 0)).alias(name) for r, name in meta_rows.items()]
+
+
 def sheet_metadata(cells: DataFrame, meta_rows: Mapping[int, str] = META_ROWS,
                    keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
     """Per tab: each metadata field from column 2 of its row, else column 0."""
     meta = cells.where(F.col("row").isin(list(meta_rows)) & F.col("col").isin(0, 2))
-    fields = [
-        F.coalesce(
-            F.max(F.when((F.col("row") == r) & (F.col("col") == 2), F.col("text"))),
-            F.max(F.when((F.col("row") == r) & (F.col("col") == 0), F.col("text"))),
-        ).alias(name)
-        for r, name in meta_rows.items()
-    ]
-    return meta.groupBy(*keys).agg(*fields)
+    return meta.groupBy(*keys).agg(*_meta_fields(meta_rows))
 
 
 def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = HEADER_ROW,
@@ -76,8 +77,9 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
     ``partner_ord`` is the first-seen position of the partner header in the
     workbook (tabs in order, columns left to right).
 
-    Shuffles: sheet-level aggregates are small; the data cells are exchanged
-    once by (sheet, row) for the row keys and joined to the header table.
+    Everything about a tab (extent, metadata, the columns of country and month)
+    comes from one aggregate and one join; so does the header of a column.
+    ``cells`` is read several times and should be a written table.
     """
     if "kind" not in cells.columns:
         cells = cells.withColumn("kind", F.lit(None).cast("string"))
@@ -85,22 +87,22 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
                     & (F.col("text") != F.lit("")))
     k = SHEET_KEYS
 
-    shape = c.groupBy(*k).agg(F.max("row").alias("__max_row"), F.max("col").alias("__max_col"))
-    complete = shape.where((F.col("__max_row") - F.lit(header_row) >= 2) & (F.col("__max_col") + 1 >= 2)).select(*k)
-
-    data = c.where(F.col("row") > F.lit(header_row + 1)).join(complete, k, "left_semi")
-    used_cols = data.select(*k, "col").distinct()
-    first_two = (used_cols.withColumn("__rank", F.dense_rank().over(Window.partitionBy(*k).orderBy("col")))
-                 .groupBy(*k).agg(F.max(F.when(F.col("__rank") == 1, F.col("col"))).alias("__country_col"),
-                                  F.max(F.when(F.col("__rank") == 2, F.col("col"))).alias("__date_col")))
-
-    data = data.join(first_two, k)
+    is_data = F.col("row") > F.lit(header_row + 1)
+    # A tab's distinct columns: as many as a sheet is wide, whatever its rows.
+    used = F.array_sort(F.collect_set(F.when(is_data, F.col("col"))))
+    tabs = c.groupBy(*k).agg(F.max("row").alias("__max_row"), F.max("col").alias("__max_col"),
+                             used.alias("__used"), *_meta_fields(meta_rows))
+    complete = (F.col("__max_row") - F.lit(header_row) >= 2) & (F.col("__max_col") + 1 >= 2)
+    tabs = tabs.where(complete).select(*k, F.get("__used", F.lit(0)).alias("__country_col"),
+                                       F.get("__used", F.lit(1)).alias("__date_col"), *meta_rows.values())
+    data = c.where(is_data).join(tabs, k)
     by_row = Window.partitionBy(*k, "row")
     data = data.withColumns({
         "country": F.max(F.when(F.col("col") == F.col("__country_col"), F.col("text"))).over(by_row),
         "date": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("text"))).over(by_row),
         "date_kind": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("kind"))).over(by_row),
     })
+    # A tab with one used column has no month column and no values.
     values = data.where((F.col("col") != F.col("__country_col")) & (F.col("col") != F.col("__date_col")))
 
     headers = dedupe_headers(c.where(F.col("row") == F.lit(header_row)).select(*k, "source_name", "col", "text"),
@@ -114,9 +116,7 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
         "partner_ord", F.dense_rank().over(Window.partitionBy("source_path").orderBy("__first")) - 1)
     values = values.join(first_seen.select("source_path", "partner", "partner_ord"), ["source_path", "partner"])
 
-    meta = sheet_metadata(c, meta_rows, k)
-    out = values.join(meta, k, "left")
-    return out.select(
+    return values.select(
         "source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row",
         "country", "date", "date_kind", *meta_rows.values(), "partner", "partner_ord",
         to_measure("text").alias(measure),

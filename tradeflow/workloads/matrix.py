@@ -91,6 +91,19 @@ def matrix_sheets(spark: SparkSession, sf: str) -> DataFrame:
                        "indicator", "partner", "partner_ord", "value")
 
 
+def incomplete_tabs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same tabs, some damaged: those of years divisible by three keep only
+    the header block, of the others tabs of status O lose the cells of column 0
+    (so the month and the first priority move up) and the header of column 3."""
+    cells = materialized(spark, sf, "order_cells", lambda: order_cells(spark, sf))
+    year = F.regexp_extract("source_name", r"(\d{4})", 1).cast("int")
+    data, status_o = F.col("row") >= DATA_ROW, F.col("sheet") == "Sheet O"
+    gone = ((year % 3 == 0) & data) | (status_o & data & (F.col("col") == 0)) | (
+        status_o & (F.col("row") == HEADER_ROW) & (F.col("col") == 3))
+    long = matrix_to_long(cells.where(~gone))
+    return long.select("source_name", "sheet", "row", "country", "date", "product", "partner", "value")
+
+
 def dup_headers(spark: SparkSession, sf: str) -> DataFrame:
     """Brand headers per part-size tab; repeated brands get .1, .2 ..."""
     part = table(spark, sf, "part")
@@ -138,6 +151,32 @@ SELECT 'orders_' || CAST(year AS VARCHAR) || '.xlsx' AS source_name, 'Sheet ' ||
        'VALUE_IN_EUROS' AS indicator, agg.partner, ords.partner_ord,
        CASE WHEN n > 1 THEN CAST(total AS DOUBLE) END AS value
 FROM agg JOIN ords USING (year, partner) WHERE agg.o_orderstatus <> 'P'""",
+    "incomplete_tabs": """
+WITH agg AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, o.o_orderstatus AS st, n.n_nationkey, n.n_name,
+         CAST(month(o.o_orderdate) AS INTEGER) AS month, pc.col, pc.partner,
+         SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN (VALUES ('1-URGENT', 2, 'URGENT'), ('2-HIGH', 3, 'HIGH'), ('3-MEDIUM', 4, 'MEDIUM'),
+               ('4-NOT SPECIFIED', 5, 'LOW'), ('5-LOW', 6, 'LOW.1')) AS pc(o_orderpriority, col, partner)
+    USING (o_orderpriority)
+  WHERE year(o.o_orderdate) % 3 <> 0 AND o.o_orderstatus <> 'P'
+  GROUP BY ALL),
+first_col AS (SELECT year, min(col) AS c FROM agg WHERE st = 'O' GROUP BY year),
+moved AS (SELECT year, n_nationkey, month,
+                 max(CASE WHEN n > 1 THEN CAST(total AS VARCHAR) ELSE ':' END) AS text
+          FROM agg JOIN first_col USING (year) WHERE st = 'O' AND col = c GROUP BY ALL)
+SELECT 'orders_' || CAST(year AS VARCHAR) || '.xlsx' AS source_name, 'Sheet ' || st AS sheet,
+       11 + n_nationkey * 12 + month - 1 AS row,
+       CASE WHEN st = 'O' THEN CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0')
+            WHEN n_nationkey % 4 = 0 THEN n_name || ' (incl. X -> 1998)' ELSE n_name END AS country,
+       CASE WHEN st = 'O' THEN moved.text
+            ELSE CAST(year AS VARCHAR) || '-' || lpad(CAST(month AS VARCHAR), 2, '0') END AS date,
+       'Orders ' || st AS product,
+       CASE WHEN st = 'O' AND col = 3 THEN 'Unnamed: 3' ELSE partner END AS partner,
+       CASE WHEN n > 1 THEN CAST(total AS DOUBLE) END AS value
+FROM agg LEFT JOIN first_col USING (year) LEFT JOIN moved USING (year, n_nationkey, month)
+WHERE st <> 'O' OR col <> c""",
     "dup_headers": """
 SELECT 'Sheet ' || CAST(p_size AS VARCHAR) AS sheet, p_partkey AS col,
        CASE WHEN rn = 0 THEN p_brand ELSE p_brand || '.' || CAST(rn AS VARCHAR) END AS header
@@ -151,6 +190,7 @@ FROM orders GROUP BY ALL""",
 
 QUERIES = {
     "matrix_sheets": matrix_sheets,
+    "incomplete_tabs": incomplete_tabs,
     "dup_headers": dup_headers,
     "unpivot_priorities": unpivot_priorities,
 }
