@@ -28,7 +28,7 @@ BACKOFF = 0.4
 HOT = 1024
 CHUNK = 1 << 22
 #: Bytes of text per bucket; sets how many buckets there are.
-BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 16
+BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 16
 #: Texts of one packed row.
 PACK_BYTES = 4 << 20
 START = np.uint64(0x5354415254)  # context of a text's first word
@@ -104,7 +104,7 @@ def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
         out: list[list] = [[], [], []]
         for kind in range(3):
             keys, n = np.unique(np.concatenate([h[kind] for h in held]), return_counts=True)
-            often = n >= max(2, n.sum() / (2 * HOT))
+            often = n >= n.sum() / (2 * HOT)
             out[0].append(np.full(often.sum() + 1, kind))
             out[1].append(np.append(keys[often].view(np.int64), -1))  # -1: all of the chunk
             out[2].append(np.append(n[often], n.sum()))
@@ -233,11 +233,11 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
             n = len(row["word"]) // 6
             counts.append(np.full(n, row["value"] is None))
             if row["keys"] is None:
-                doc.append(np.full(n, -1))
+                doc.append(np.full(n, -1, np.int32))
             else:
                 own = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
                 keys.append(own)
-                doc.append(np.frombuffer(row["doc"], np.uint16).astype(np.int64) + base)
+                doc.append(np.frombuffer(row["doc"], np.uint16).astype(np.int32) + np.int32(base))
                 base += len(own)
         return np.concatenate(keys), np.concatenate(doc), np.concatenate(counts)
 
@@ -245,13 +245,17 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
         context = np.concatenate([np.repeat(_from_six(r["context"]), np.frombuffer(r["context_n"], np.uint32)) for r in held])
         word = np.concatenate([_from_six(r["word"]) for r in held])
         keys, doc, counted = documents(held)
+        held.clear()  # a bucket's arrays are most of what a task holds
         both = _count(_pair(context, word), counted)
-        one = _lookup(*hot_contexts, context)
-        one = np.where(one > 0, one, _count(context, counted))
+        one = _lookup(*hot_contexts, context).astype(np.int64)
+        cold = one == 0
+        one[cold] = _count(context[cold], counted[cold])
+        del context, cold
         scored = doc >= 0
         hit = scored & (both > leave_out)
         value = np.zeros(len(word))
         value[hit] = np.log((both[hit] - leave_out) / (one[hit] - leave_out))
+        del both, one
         miss = scored & ~hit
         known = _lookup(*hot_words, word)
         at = miss & (known > 0)
@@ -282,8 +286,13 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
                 yield _row(-1, SUMS, keys=keys, value=np.bincount(np.frombuffer(row["doc"], np.uint32), value, len(keys)))
 
     def _count(keys: np.ndarray, counted: np.ndarray) -> np.ndarray:
-        _, at = np.unique(keys, return_inverse=True)
-        return np.bincount(at, counted)[at].astype(np.int64)
+        """How many counted positions each position's key has."""
+        order = np.argsort(keys)
+        begin = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+        out = np.empty(len(keys), np.int64)
+        if len(keys):
+            out[order] = np.repeat(np.add.reduceat(counted[order].astype(np.int64), begin), np.diff(begin, append=len(keys)))
+        return out
 
     def _by(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(bucket, kind="stable")
