@@ -106,7 +106,7 @@ def test_awkward_rows(spark):
 
 
 def test_sample_is_bounded_and_ignores_other_folds(spark):
-    docs = spark.createDataFrame([(k, f"text {k}" * (1 if k else 9999)) for k in range(200)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k, f"text {k}" * (1 if k else 20_000)) for k in range(200)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 4 == 0) for k in range(200)], "doc_id long, toxic boolean")
     texts, y, weight = labelled_sample(docs, labels.filter(fold("doc_id", 4) != 2), "toxic", rows=20)
     assert (y == 1).sum() <= 20 and (y == 0).sum() == 20 and weight[y == 0][0] > weight[y == 1][0]

@@ -39,13 +39,14 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MI
     """Keys (h1, h2) and number of occurrences n of the lines that occur in at
     least ``min_sites`` distinct sites (column source; null is no site)."""
     lines = _lines(docs, min_chars, "source")
+    total = lines.count()
     spread = scratch(lines.groupBy("h1", "h2").agg(
         F.hll_sketch_agg("source", F.lit(LG_REGISTERS)).alias("sites"), F.count("*").alias("n"))
         .withColumn("sites", F.hll_sketch_estimate("sites"))
         # Fewer occurrences than sites asked for, or far below the threshold.
         .filter((F.col("n") >= min_sites) & (F.col("sites") >= min_sites - _margin(min_sites))), "line-spread")
     near = spread.filter(F.col("sites") <= min_sites + _margin(min_sites))
-    exact = (join_counted(lines, scratch(near, "near-lines"), ["h1", "h2"], "n", docs.count())
+    exact = (join_counted(lines, scratch(near, "near-lines"), ["h1", "h2"], "n", total)
              .groupBy("h1", "h2").agg(F.count_distinct("source").alias("exact")))
     return spread.join(exact, ["h1", "h2"], "left").filter(
         F.coalesce("exact", "sites") >= min_sites).select("h1", "h2", "n")
@@ -72,7 +73,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: i
     lines = _lines(rows.select("doc_id", "text", F.col("__text_hash").alias("text_hash")), min_chars,
                    "doc_id", "text_hash")
     # Repeated rows give each position several times; a set is enough.
-    marks = (join_counted(lines, found, ["h1", "h2"], "n", docs.count())
+    marks = (join_counted(lines, found, ["h1", "h2"], "n", lines.count())
              .groupBy(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"))
              .agg(F.collect_set(F.struct("position", "chars")).alias("__marks")))
     same = rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__text_hash"] == marks["__hash"])
