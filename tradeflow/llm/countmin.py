@@ -13,12 +13,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 BLOCK = 1 << 16
-#: Bounds of the cells of one sketch row. The merged sketch, two bits a cell, is
-#: sent to every executor: 64 MB at most.
-LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 28
+#: Bounds of the cells of one sketch row. The merged sketch, one bit a cell, is
+#: sent to every executor: 32 MB at most.
+LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 27
 #: Keys a task holds before it writes them out as one sketch.
 FLUSH = 1 << 22
 
@@ -88,6 +89,11 @@ def repeated_cells(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[n
             .mapInArrow(merge, "block long, bits binary"))
 
 
+def share(sketch: DataFrame) -> Broadcast:
+    """The merged sketch (of bounded size) on every executor, for ``Repeated``."""
+    return sketch.sparkSession.sparkContext.broadcast([(r["block"], r["bits"]) for r in sketch.collect()])
+
+
 class Repeated:
     """Looks keys up in a collected sketch; unpickled once per task."""
 
@@ -116,8 +122,7 @@ def split_by_members(df: DataFrame, keys: DataFrame, column: str) -> tuple[DataF
     def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.repeat(batch.column(0).to_numpy().view(np.uint64), 2)
 
-    found = repeated_cells(keys, twice, cells).collect()  # of bounded size
-    sketch = df.sparkSession.sparkContext.broadcast([(r["block"], r["bits"]) for r in found])
+    sketch = share(repeated_cells(keys, twice, cells))
 
     def keep(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
