@@ -6,10 +6,11 @@ positions that ask for them. Positions whose bigram was not seen back off: they
 are dealt anew by their word, where they meet the unigram counts. Scores come
 back as one sum per document and bucket.
 
-Words and bigrams that make up 1/HOT or more of the corpus, at most HOT of
-each, are counted beforehand and sent to every task: positions of a hot bigram
-are scored where they lie, those of a hot context are dealt by the bigram, and
-a hot word needs no second deal. So no bucket is large because of one key.
+Contexts and bigrams that make up 1/HOT or more of the corpus, at most HOT of
+each, and words that make up 1/HOT_WORDS, are counted beforehand and sent to
+every task (a megabyte): positions of a hot bigram are scored where they lie,
+those of a hot context are dealt by the bigram, and a hot word needs no second
+deal. So no bucket is large because of one key.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tradeflow.llm import words as W
 from tradeflow.llm.common import scratch, text_or_empty
 
 BACKOFF = 0.4
-HOT = 1024
+HOT, HOT_WORDS = 1024, 1 << 16
 CHUNK = 1 << 22
 #: Bytes of text per bucket; sets how many buckets there are.
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 16
@@ -84,6 +85,7 @@ def _lookup(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndar
 def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
     """(positions in the corpus, [(keys, exact counts)] of the hot words,
     contexts and bigrams)."""
+    most = [HOT_WORDS, HOT, HOT]
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             for _, _, data, offsets in W.pieces(batch.column("text")):
@@ -104,7 +106,7 @@ def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
         out: list[list] = [[], [], []]
         for kind in range(3):
             keys, n = np.unique(np.concatenate([h[kind] for h in held]), return_counts=True)
-            often = n >= n.sum() / (2 * HOT)
+            often = n >= n.sum() / (2 * most[kind])
             out[0].append(np.full(often.sum() + 1, kind))
             out[1].append(np.append(keys[often].view(np.int64), -1))  # -1: all of the chunk
             out[2].append(np.append(n[often], n.sum()))
@@ -112,12 +114,14 @@ def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
         return pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.int32()), "key": pa.array(keys, pa.int64()),
                                            "n": pa.array(n, pa.int64())})
 
-    # What a key lacks in the chunks that do not report it is less than
-    # 1/(2 HOT) of the corpus, so every hot key keeps more than that.
+    # What a key lacks in the chunks that do not report it is less than half of
+    # what makes it hot, so every hot key keeps the other half.
     found = scratch(corpus.select("text").mapInArrow(report, "kind int, key long, n long")
                     .groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-candidates")
     total = found.filter("kind = 0 AND key = -1").agg(F.sum("n")).first()[0] or 0
-    rows = found.filter((F.col("key") != -1) & (F.col("n") >= max(1, total / (2 * HOT)))).collect()  # at most 2 HOT a kind
+    limit = F.get(F.array(*map(F.lit, most)), F.col("kind"))
+    # Of each kind at most twice its number of hot keys.
+    rows = found.filter((F.col("key") != -1) & (F.col("n") * 2 * limit >= total)).collect()
     wanted = [np.sort(np.array([r["key"] for r in rows if r["kind"] == k], np.int64).view(np.uint64)) for k in range(3)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +135,7 @@ def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
             "key": pa.array(np.concatenate(wanted).view(np.int64)), "n": pa.array(np.concatenate([s[:-1] for s in sums]))})
 
     exact = (corpus.select("text").mapInArrow(count, "kind int, key long, n long")
-             .groupBy("kind", "key").agg(F.sum("n").alias("n")).filter(F.col("n") * HOT >= total).collect())
+             .groupBy("kind", "key").agg(F.sum("n").alias("n")).filter(F.col("n") * limit >= total).collect())
     hot = []
     for kind in range(3):
         own = sorted((np.int64(r["key"]).view(np.uint64), r["n"]) for r in exact if r["kind"] == kind)
