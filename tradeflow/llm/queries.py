@@ -128,12 +128,12 @@ positions AS (
   SELECT r, word, lag(word) OVER (PARTITION BY r ORDER BY p) AS before
   FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts)),
 counted AS (
-  SELECT r, count(*) OVER (PARTITION BY before, word) - 1 AS both,
+  SELECT r, count(*) OVER (PARTITION BY before, word) - 1 AS seen,
          count(*) OVER (PARTITION BY before) - 1 AS one,
          count(*) OVER (PARTITION BY word) - 1 AS alone, count(*) OVER () - 1 AS total
   FROM positions),
 scores AS (
-  SELECT r, count(*) AS n, sum(CASE WHEN both > 0 THEN ln(both / one)
+  SELECT r, count(*) AS n, sum(CASE WHEN seen > 0 THEN ln(seen / one)
                                     ELSE ln(0.4) + ln(greatest(alone, 0.5)) - ln(total) END) AS score
   FROM counted GROUP BY r)
 SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(score, 0), 4) AS log_score
@@ -157,11 +157,11 @@ shingles AS (
   FROM (SELECT r, words, unnest(range(1, greatest(1, len(words) - 3) + 1)) AS s FROM texts WHERE len(words) > 0)),
 sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
 pairs AS (
-  SELECT a.r AS x, b.r AS y, count(*) AS both FROM shingles a JOIN shingles b USING (shingle)
+  SELECT a.r AS x, b.r AS y, count(*) AS shared FROM shingles a JOIN shingles b USING (shingle)
   WHERE a.r <> b.r GROUP BY ALL),
 links AS (
   SELECT x, y FROM pairs JOIN sizes a ON a.r = x JOIN sizes b ON b.r = y
-  WHERE 100 * both >= 85 * (a.n + b.n - both)),
+  WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
 reach(r, s) AS (SELECT x, y FROM links UNION SELECT reach.r, y FROM reach JOIN links ON s = x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles,
        least(doc_id, (SELECT min(t.doc_id) FROM reach JOIN texts t ON t.r = s WHERE reach.r = texts.r)) AS component_id
