@@ -78,10 +78,26 @@ def test_tree_loses_no_pair(sets, percent):
     prints = np.stack([N._signature(hashed[i], 256) for i in order]).view(np.uint64)
     nodes = N.Nodes(prints, size[order], size[order], size[order] - N._pop(prints), np.arange(len(sets)))
     found = {frozenset((order[x], order[y])) for i, j in N.traverse(nodes, percent) for x, y in zip(i, j)}
+    counts = np.stack([N._histogram(h) for h in hashed])
+    every = np.array([(i, j) for i in range(len(sets)) for j in range(i)]).reshape(-1, 2).T
+    near = {(int(every[0][k]), int(every[1][k])) for k in N.near_histograms(counts, size, *every, percent)}
     for i in range(len(sets)):
         for j in range(i):
             if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
-                assert frozenset((i, j)) in found
+                assert frozenset((i, j)) in found and (i, j) in near
+
+
+def test_histogram_bound_holds_for_long_sets():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 60_000, dtype=np.uint64) * np.uint64(2))
+    sets = [np.sort(rng.choice(base, n, replace=False)) for n in (50_000, 52_000, 58_000, 9_000)] + [base]
+    counts, size = np.stack([N._histogram(s) for s in sets]), np.array([len(s) for s in sets])
+    for i in range(5):
+        for j in range(i):
+            for percent in (50, 80, 90):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                linked = 100 * both >= percent * (size[i] + size[j] - both)
+                assert len(N.near_histograms(counts, size, np.array([i]), np.array([j]), percent)) >= linked
 
 
 def test_components(spark):

@@ -9,8 +9,10 @@ remains is verified on the whole sets. Large homes are split into blocks.
 
 No pair is lost to the choice of homes: any two sets that are similar enough
 share an n-gram among the first few of each in one global order (frequent
-n-grams last). Each class enters the buckets of those n-grams, and pairs of
-different homes that meet there go through a signature tree alike.
+n-grams last). Each class enters the buckets of those n-grams; pairs of
+different homes that meet there go through a signature tree alike, and what a
+bucket's tree leaves is joined to families, which are judged like homes. So a
+text travels once to its home and once to its family, not once a pair.
 """
 
 from __future__ import annotations
@@ -26,18 +28,22 @@ from pyspark.sql import functions as F
 from tradeflow.llm import words as W
 from tradeflow.llm.common import join_counted, release, scratch, text_or_empty
 from tradeflow.llm.components import connected_components
-from tradeflow.llm.countmin import Repeated, cells_for, repeated_cells, split_by_members
+from tradeflow.llm.countmin import Repeated, cells_for, repeated_cells, share, split_by_members
 
 #: Bits of a signature in a bucket and the most in a home, children of a tree
 #: node, largest bucket without a tree.
 BITS, MOST_BITS, FANOUT, SMALL = 1024, 1 << 16, 8, 8
+#: Ranges of the hashes whose elements are counted beside a bucket's signature.
+RANGES = 128
 #: At most this many n-grams count as frequent (each in more than that share of
 #: all rows); the bound of what is sent to every task.
 FREQUENT = 1 << 16
 #: Min-hash bands and hashes per band of the homes; leaders that the members of
-#: a home are compared with first; members of a block.
-BANDS, BAND_ROWS, LEADERS, BLOCK = 6, 3, 3, 2048
+#: a home are compared with first; members and n-grams of a block.
+BANDS, BAND_ROWS, LEADERS, BLOCK, BLOCK_SHINGLES = 6, 3, 3, 2048, 1 << 21
 CHUNK = 1 << 22
+#: 64-bit words of signatures compared at once, and node pairs opened at once.
+PAIR_WORDS, OPEN_PAIRS = 1 << 20, 1 << 12
 
 
 class Joined(NamedTuple):
@@ -78,6 +84,26 @@ def _signature(own: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(out)
 
 
+def _histogram(own: np.ndarray) -> np.ndarray:
+    """How many elements lie in each of RANGES ranges of the hashes, up to 255."""
+    return np.minimum(np.bincount((own >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES),
+                      255).astype(np.uint8)
+
+
+def near_histograms(counts: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Indexes of the pairs whose ranges could overlap enough. In a range two
+    sets share at most the smaller count; what is over 255 is added as a whole.
+    Tells long sets apart, whose bitmaps are full."""
+    over = size - counts.sum(axis=1, dtype=np.int64)
+    keep = []
+    step = max(1, 8 * PAIR_WORDS // RANGES)
+    for lo in range(0, len(i), step):
+        a, b = i[lo:lo + step], j[lo:lo + step]
+        overlap = np.minimum(counts[a], counts[b]).sum(axis=1, dtype=np.int64) + np.minimum(over[a], over[b])
+        keep.append(lo + np.flatnonzero(overlap >= needed_overlap(size[a] + size[b], percent)))
+    return np.concatenate([np.zeros(0, np.int64), *keep])
+
+
 def _pop(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
 
@@ -95,9 +121,14 @@ class Nodes(NamedTuple):
         near = self.most[i] * 100 >= percent * self.least[j]
         near &= self.most[j] * 100 >= percent * self.least[i]
         near &= (self.component[i] != self.component[j]) | (self.component[i] < 0)
-        at = np.flatnonzero(near)
-        overlap = _pop(self.bits[i[at]] & self.bits[j[at]]) + np.minimum(self.slack[i[at]], self.slack[j[at]])
-        return at[overlap >= needed_overlap(self.least[i[at]] + self.least[j[at]], percent)]
+        at, keep = np.flatnonzero(near), []
+        step = max(1, PAIR_WORDS // self.bits.shape[1])
+        for lo in range(0, len(at), step):
+            part = at[lo:lo + step]
+            a, b = i[part], j[part]
+            overlap = _pop(self.bits[a] & self.bits[b]) + np.minimum(self.slack[a], self.slack[b])
+            keep.append(part[overlap >= needed_overlap(self.least[a] + self.least[b], percent)])
+        return np.concatenate([at[:0], *keep])
 
     def parents(self) -> Nodes:
         cuts = np.arange(0, len(self.least), FANOUT)
@@ -120,9 +151,9 @@ def traverse(members: Nodes, percent: int) -> Iterator[tuple[np.ndarray, np.ndar
         if depth == 0:
             yield i, j
             return
-        for lo in range(0, len(i), 1 << 14):  # bounds what is expanded at once
-            a = i[lo:lo + (1 << 14), None] * FANOUT + np.repeat(np.arange(FANOUT), FANOUT)
-            b = j[lo:lo + (1 << 14), None] * FANOUT + np.tile(np.arange(FANOUT), FANOUT)
+        for lo in range(0, len(i), OPEN_PAIRS):
+            a = i[lo:lo + OPEN_PAIRS, None] * FANOUT + np.repeat(np.arange(FANOUT), FANOUT)
+            b = j[lo:lo + OPEN_PAIRS, None] * FANOUT + np.tile(np.arange(FANOUT), FANOUT)
             a, b = a.ravel(), b.ravel()
             size = len(levels[depth - 1].least)
             ok = (a < size) & (b < size) & (a <= b if depth > 1 else a < b)
@@ -132,19 +163,22 @@ def traverse(members: Nodes, percent: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield from down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
 
 
-def judge_home(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, percent: int,
-               all_links: bool) -> list[tuple[int, int, int, int]]:
+def judge_home(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, judged: np.ndarray, component: np.ndarray,
+               percent: int, all_links: bool) -> list[tuple[int, int, int, int]]:
     """Links (a, b, overlap, together) among the members of a home: within the
-    block if all have one, else between the two blocks. Without ``all_links``
-    enough of them to connect what is connected."""
+    block if all have one, else between the two blocks. Pairs with the same
+    ``judged`` are left out. Without ``all_links`` enough links to connect what
+    is connected, given what ``component`` connects already."""
     size = np.array([len(s) for s in sets])
     order = np.lexsort((ids, size))
-    ids, size, block, sets = ids[order], size[order], block[order], [sets[i] for i in order]
+    ids, size, block, judged, sets = ids[order], size[order], block[order], judged[order], [sets[i] for i in order]
     across = (block != block[0]).any()
-    component = np.arange(len(ids))
+    component = np.arange(len(ids)) if all_links else np.unique(component[order], return_inverse=True)[1]
     links = []
 
     def judge(i: int, j: int) -> None:
+        if judged[i] == judged[j] or across and block[i] == block[j]:
+            return
         if 100 * min(size[i], size[j]) < percent * max(size[i], size[j]):
             return
         both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -158,14 +192,14 @@ def judge_home(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perce
     if not all_links:
         for leader in np.argsort(W.mix(ids.view(np.uint64).copy()))[:LEADERS]:
             for i in range(len(ids)):
-                if component[i] != component[leader] and (not across or block[i] != block[leader]):
+                if component[i] != component[leader]:
                     judge(int(leader), i)
     bits = min(MOST_BITS, max(256, 1 << int(4 * size.max()).bit_length()))
     prints = np.stack([_signature(s, bits) for s in sets]).view(np.uint64)
     members = Nodes(prints, size, size, size - _pop(prints), component.copy())
     for i, j in traverse(members, percent):
         for x, y in zip(i.tolist(), j.tolist()):
-            if component[x] != component[y] and (not across or block[x] != block[y]):
+            if component[x] != component[y]:
                 judge(x, y)
     return links
 
@@ -201,32 +235,22 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
                             np.int64).view(np.uint64))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The links among ``pairs`` (a, b): rows (a, b, overlap, together), judged
-    on the whole sets of the texts (id, text)."""
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, right = None, None
-        for batch in batches:
-            keep, overlap, together = [], [], []
-            other = batch.column("b").to_numpy()
-            for i, left in enumerate(shingle_sets(batch.column("text_a"), n)):
-                if other[i] != last:  # rows come sorted by b
-                    last, right = other[i], next(shingle_sets(batch.column("text_b")[i:i + 1], n))
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                union = len(left) + len(right) - both
-                if 100 * both >= percent * union:
-                    keep.append(i)
-                    overlap.append(both)
-                    together.append(union)
-            keep = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").take(keep), batch.column("b").take(keep),
-                 pa.array(overlap, pa.int64()), pa.array(together, pa.int64())],
-                names=["a", "b", "overlap", "together"])
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Enough of the pairs to connect what they connect."""
+    parent: dict[int, int] = {}
 
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    return with_b.select("a", "b", "text_a", "text_b").mapInArrow(judge, "a long, b long, overlap long, together long")
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        u, v = root(x), root(y)
+        if u != v:
+            parent[u] = v
+            out.append((x, y))
+    return out
 
 
 def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool = False) -> Joined:
@@ -244,7 +268,9 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     empty table gives empty results. Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
+    # (key, text_hash) stands for a row's id and text.
+    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumns(
+        {"text_hash": F.xxhash64("text"), "key": F.xxhash64("doc_id", "text")})
     often = spark.sparkContext.broadcast(_frequent(rows, n))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,39 +292,77 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
                     late = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
                 first = np.concatenate([own[~late], own[late]])[:prefix_length(len(own), percent)]
                 out["keys"].append(first.view(np.int64))
-                out["bits"].append(_signature(own).tobytes())
+                out["bits"].append(_signature(own).tobytes() + _histogram(own).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(out["n_shingles"], pa.int64()),
+                [batch.column("doc_id"), batch.column("key"), batch.column("text_hash"), pa.array(out["n_shingles"], pa.int64()),
                  pa.array(out["node"], pa.binary()), pa.array(out["bands"], pa.list_(pa.int64())),
                  pa.array(out["keys"], pa.list_(pa.int64())), pa.array(out["bits"], pa.binary())],
-                names=["doc_id", "text_hash", "n_shingles", "node", "bands", "keys", "bits"])
+                names=["doc_id", "key", "text_hash", "n_shingles", "node", "bands", "keys", "bits"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = scratch(rows.mapInArrow(features, f"doc_id {kind}, text_hash long, n_shingles long, node binary, "
-                                              "bands array<long>, keys array<long>, bits binary"), "shingles")
+    featured = scratch(rows.mapInArrow(features, f"doc_id {kind}, key long, text_hash long, n_shingles long, "
+                                                 "node binary, bands array<long>, keys array<long>, bits binary"), "shingles")
     # Equal sets have equal features; any row of a class may stand for it.
     classes = scratch(
-        found.filter("n_shingles > 0").groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("shown"), F.min("doc_id").alias("least_id"),
+        featured.filter("n_shingles > 0").groupBy("node").agg(
+            F.min(F.struct("key", "text_hash")).alias("shown"), F.min("doc_id").alias("least_id"),
             F.count("*").alias("copies"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"),
             F.first("keys").alias("keys"), F.first("bits").alias("bits"))
         .withColumn("id", F.monotonically_increasing_id()), "shingle-classes")
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        shown = classes.join(ids, "id", "left_semi").select("id", F.col("shown.doc_id").alias("shown_id"),
-                                                            F.col("shown.text_hash").alias("shown_hash"))
-        near, _ = split_by_members(rows, shown.select("shown_hash"), "text_hash")
-        same = near["doc_id"].eqNullSafe(shown["shown_id"]) & (near["text_hash"] == shown["shown_hash"])
-        # Repeated rows show the same text: one is enough.
-        return scratch(near.join(shown, same).groupBy("id").agg(F.first("text").alias("text")), "shown-texts")
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        pairs = scratch(pairs, "pairs")
-        texts = texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        links = scratch(verify(pairs, texts, n, percent), "links")
-        release(pairs, texts)
+    found = scratch(featured.select("doc_id", "text_hash", "n_shingles", "node"), "shingle-counts")
+    release(featured)
+    shown = classes.select("id", F.col("shown.key").alias("key"), F.col("shown.text_hash").alias("text_hash"))
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """``wanted`` (id and more columns) with a text of each class."""
+        wanted = scratch(shown.join(wanted, "id"), "wanted")
+        near, _ = split_by_members(rows.select("key", "text_hash", "text"), wanted.select("text_hash"), "text_hash")
+        # Repeated rows show the same text: one is enough. The grouping takes
+        # the join's partitions as they are.
+        return near.join(wanted, ["key", "text_hash"]).groupBy("key", "text_hash").agg(
+            *[F.first(c).alias(c) for c in wanted.columns if c not in ("key", "text_hash")], F.first("text").alias("text"))
+
+    def links_within(placed: DataFrame) -> DataFrame:
+        """The links among classes of the same home: ``placed`` has id, home,
+        judged and component (see ``judge_home``)."""
+        placed = scratch(placed.join(classes.select("id", "size"), "id"), "placed")
+        crowds = scratch(placed.groupBy("home").agg(F.count("*").alias("n"), F.sum("size").alias("size")).filter("n > 1").select(
+            "home", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"), "n"), "crowds")
+        crowded = join_counted(placed, crowds, ["home"], "n", placed.count()).withColumn(
+            "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int"))
+        # Every pair of a home's blocks is a piece of work of its own.
+        work = texts_of(crowded.select("id", "home", "judged", "component", "block", "blocks")).select(
+            "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+            "home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "id", "block", "judged", "component", "text")
+        links = scratch(work.repartition("home", "low", "high").sortWithinPartitions("home", "low", "high")
+                        .mapInArrow(judge_homes, "a long, b long, overlap long, together long"), "home-links")
+        release(placed, crowds)
         return links
 
+    def judge_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by home and blocks; one piece of work is held at a time.
+        now, rows, sets = None, [], []
+
+        def links() -> pa.RecordBatch:
+            ids, block, judged, component = np.array(rows).T
+            found = judge_home(ids, sets, block, judged, component, percent, all_links)
+            columns = np.array(found, np.int64).reshape(-1, 4).T
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "overlap", "together"])
+
+        for batch in batches:
+            own = zip(*(batch.column(c).to_pylist() for c in ("home", "low", "high", "id", "block", "judged", "component")))
+            for row, found in zip(own, shingle_sets(batch.column("text"), n)):
+                if row[:3] != now:
+                    if len(rows) > 1:
+                        yield links()
+                    now, rows, sets = row[:3], [], []
+                rows.append(row[3:])
+                sets.append(found)
+        if len(rows) > 1:
+            yield links()
+
     # A class's home is the smallest of the first members of its band groups.
     first = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))
     entries = scratch(classes.select("id", F.posexplode("bands").alias("band", "value")), "band-entries")
@@ -306,39 +370,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     homes = scratch(join_counted(entries, groups, ["band", "value"], "n", entries.count())
                     .groupBy("id").agg(F.min("first")["id"].alias("home")), "homes")
     release(entries, groups)
-    crowd = homes.groupBy("home").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = scratch(crowd.select("home", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"), "crowds")
-    placed = scratch(join_counted(homes, blocks, ["home"], "n", homes.count()).withColumn(
-        "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int")), "placed")
-    texts = texts_of(placed.select("id"))
-    # Every pair of a home's blocks is a piece of work of its own.
-    work = placed.join(texts, "id").select(
-        "home", "id", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "block", "text")
-
-    def judge_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by home and blocks; one piece of work is held at a time.
-        now, ids, sets, block = None, [], [], []
-        for batch in batches:
-            own = zip(*(batch.column(c).to_pylist() for c in ("home", "low", "high", "id", "block")))
-            for (home, low, high, id_, at), found in zip(own, shingle_sets(batch.column("text"), n)):
-                if (home, low, high) != now:
-                    if len(ids) > 1:
-                        yield link_rows(judge_home(np.array(ids), sets, np.array(block), percent, all_links))
-                    now, ids, sets, block = (home, low, high), [], [], []
-                ids.append(id_)
-                sets.append(found)
-                block.append(at)
-        if len(ids) > 1:
-            yield link_rows(judge_home(np.array(ids), sets, np.array(block), percent, all_links))
-
-    def link_rows(links: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-        columns = np.array(links, np.int64).reshape(-1, 4).T
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "overlap", "together"])
-
-    links = scratch(work.repartition("home", "low", "high").sortWithinPartitions("home", "low", "high")
-                    .mapInArrow(judge_homes, "a long, b long, overlap long, together long"), "home-links")
-    release(texts)
+    links = links_within(homes.select("id", "home", F.col("id").alias("judged"), F.col("id").alias("component")))
     components = scratch(connected_components(links), "home-components")
     components = homes.join(components, "id", "left").select(
         "id", "home", F.coalesce("component", "id").alias("component") if not all_links
@@ -349,8 +381,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield W.mix(batch.column("keys").flatten().to_numpy().view(np.uint64).copy())
 
-    met = repeated_cells(classes.select("keys"), keys_of, cells).collect()  # of bounded size, see countmin
-    sketch = spark.sparkContext.broadcast([(r["block"], r["bits"]) for r in met])
+    sketch = share(repeated_cells(classes.select("keys"), keys_of, cells))
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated = Repeated(sketch.value, cells)
@@ -359,10 +390,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             row = np.repeat(np.arange(len(keys)), np.diff(keys.offsets.to_numpy()))
             flat = keys.flatten().to_numpy()
             at = np.flatnonzero(repeated(W.mix(flat.view(np.uint64).copy())))
-            own = pa.array(row[at])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[at]), batch.column("id").take(own), batch.column("home").take(own)],
-                names=["key", "id", "home"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), batch.column("id").take(pa.array(row[at]))], names=["key", "id"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by key; a bucket may go on in the next batch.
@@ -380,8 +408,17 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
         if not len(table):
             return
         key, ids, home, component, size = (table.column(c).to_numpy() for c in ("key", "id", "home", "component", "size"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        both = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, BITS // 8 + RANGES)
+        bits, counts = np.ascontiguousarray(both[:, :BITS // 8]).view(np.uint64), both[:, BITS // 8:]
         all_nodes = Nodes(bits, size, size, size - _pop(bits), component)
+
+        def pair_rows(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+            apart = home[i] != home[j]  # pairs of one home are judged
+            i, j = i[apart], j[apart]
+            near = near_histograms(counts, size, i, j, percent)
+            pairs = np.array(_spanning(ids[i[near]], ids[j[near]]), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
         cuts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
         ends = np.append(cuts[1:], len(key))
         mixed = np.minimum.reduceat(component, cuts) < np.maximum.reduceat(component, cuts)
@@ -393,27 +430,23 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             start = start[start + step < bound]
             a, b = np.concatenate([a, start]), np.concatenate([b, start + step])
         keep = all_nodes.pairs(a, b, percent)
-        yield pair_rows(ids, home, a[keep], b[keep])
+        yield pair_rows(a[keep], b[keep])
         for lo, hi in zip(cuts[mixed & ~small], ends[mixed & ~small]):
             order = lo + np.lexsort((size[lo:hi], component[lo:hi]))
             for i, j in traverse(Nodes(*(x[order] for x in all_nodes)), percent):
-                yield pair_rows(ids, home, order[i], order[j])
-
-    def pair_rows(ids: np.ndarray, home: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        apart = home[i] != home[j]  # pairs of one home are judged
-        i, j = i[apart], j[apart]
-        pairs = np.unique(np.stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])], 1), axis=0)
-        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+                yield pair_rows(order[i], order[j])
 
-    entered = scratch(classes.select("id", "keys").join(homes, "id").mapInArrow(
-        enter, "key long, id long, home long"), "bucket-entries")
+    entered = scratch(classes.select("id", "keys").mapInArrow(enter, "key long, id long").join(homes, "id"), "bucket-entries")
     mixed = entered.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low < high")
     members = (entered.select("key", "id").join(mixed.select("key"), "key")
                .join(components.join(classes.select("id", "size", "bits"), "id"), "id"))
     pairs = (members.select("key", "id", "home", "component", "size", "bits").repartition("key")
              .sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
-    links = links.unionByName(checked(pairs))
+    pairs = scratch(pairs, "pairs")
     release(entered)
+    families = connected_components(pairs).select("id", F.col("component").alias("family"))
+    links = links.unionByName(links_within(components.join(families, "id").select(
+        "id", F.col("family").alias("home"), F.col("home").alias("judged"), "component")))
 
     joined = scratch(connected_components(links), "components")
     named = classes.select("id", "node", "least_id", "copies").join(joined, "id", "left")
