@@ -31,8 +31,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that occur on many sites."""
-    return remove_boilerplate(docs).select(*docs.columns)
+    """Documents without lines that occur on many sites; near copies stay whole."""
+    return remove_boilerplate(docs, prove_copies=True).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,3 +110,16 @@ def test_line_dedup_counts_near_lines_exactly(spark):
     found = remove_boilerplate(frame(spark, own), min_sites=10).filter("n_removed = 1").select("doc_id").collect()
     assert sorted(r[0] for r in found) == sorted(100 * n + s for n in range(10, 16) for s in range(n))
     assert remove_boilerplate(frame(spark).limit(0)).collect() == []
+
+
+def test_pages_of_mostly_boilerplate_lose_it_but_copies_stay(spark):
+    from corpus_pipeline import line_dedup
+    line = "this very long line of boilerplate stands on each of the sites of this corpus"
+    story = "\n".join(f"line {k} of a story that was copied to many sites word for word {k * k}" for k in range(9))
+    page = [" ".join(f"own{k}{j}" for j in range(9)) for k in range(12)]
+    own = [(k, f"{page[k]}\n{line}", "en", f"s{k}") for k in range(12)]
+    own += [(100 + k, story + (f" {k}" if k % 2 else ""), "en", f"s{k}") for k in range(12)]
+    own += [(200, line, "en", "s1"), (201, story.split("\n")[0] + "\nno copy", "en", "s3")]
+    found = {r.doc_id: r.text for r in line_dedup(spark, frame(spark, own), "").collect()}
+    assert all(found[k] == page[k] for k in range(12)) and found[200] == ""
+    assert all(found[i] == t for i, t, *_ in own if 100 <= i < 200) and found[201] == "no copy"

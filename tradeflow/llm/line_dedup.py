@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.common import join_counted, scratch, text_or_empty
+from tradeflow.llm.ngram_join import ngram_join
 
 #: Distinct sites from which a line is boilerplate, and the characters (without
 #: outer spaces) that a line must have to be judged at all.
 MIN_SITES, MIN_CHARS = 10, 20
 #: A document that would lose more than this share of its characters keeps all
-#: lines: it is a copy, which is for document-level stages to judge.
+#: lines if it is a copy, which is for document-level stages to judge; whether
+#: it is one is tested with ``prove_copies`` only.
 MAX_SHARE = 0.5
 #: log2 of a sketch's registers; standard errors that count as near.
 LG_REGISTERS, NEAR = 10, 6
@@ -56,8 +58,22 @@ def _margin(min_sites: int) -> float:
     return 1 + NEAR * 1.04 / 2 ** (LG_REGISTERS / 2) * min_sites
 
 
+def _copies(over: DataFrame, min_sites: int) -> DataFrame:
+    """Text hashes and number of rows __n of the near copies (as of the stage that
+    keeps one of them) that stand on ``min_sites`` distinct sites; ``over`` has
+    __hash, text and source."""
+    texts = over.groupBy("__hash").agg(F.first("text").alias("text"), F.count("*").alias("__n"))
+    texts = scratch(texts.withColumnRenamed("__hash", "doc_id"), "dominated-texts")
+    members = scratch(ngram_join(texts).members.filter("group_id IS NOT NULL").select(
+        F.col("doc_id").alias("__hash"), "group_id"), "dominated-groups")
+    sites = (over.select("__hash", "source").distinct().join(members, "__hash")
+             .groupBy("group_id").agg(F.count_distinct("source").alias("sites")).filter(F.col("sites") >= min_sites))
+    return (members.join(sites.select("group_id"), "group_id")
+            .join(texts.select(F.col("doc_id").alias("__hash"), "__n"), "__hash").select("__hash", "__n"))
+
+
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
-                       max_share: float = MAX_SHARE) -> DataFrame:
+                       max_share: float = MAX_SHARE, prove_copies: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines cut from text, and the columns n_lines and
     n_removed (replacing columns of these names; n_chars, if there, is the new
     text's length).
@@ -66,7 +82,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: i
     spaces; shorter ones than ``min_chars`` always stay. A null text stays null
     and an empty one empty; each has one line that is never removed. Repeated
     rows lose the same lines. A document that would lose more than
-    ``max_share`` of its characters is left whole.
+    ``max_share`` of its characters is left whole; with ``prove_copies`` only if
+    it is one of near copies that stand on ``min_sites`` sites themselves, any
+    other one loses its lines.
     """
     rows = docs.drop("n_lines", "n_removed").withColumn("__text_hash", F.xxhash64(text_or_empty()))
     found = scratch(boilerplate(docs, min_sites, min_chars), "boilerplate")
@@ -78,7 +96,16 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: i
              .agg(F.collect_set(F.struct("position", "chars")).alias("__marks")))
     same = rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__text_hash"] == marks["__hash"])
     lost = F.aggregate("__marks", F.lit(0), lambda s, m: s + m["chars"])
-    cut = F.col("__marks").isNotNull() & (lost <= max_share * F.char_length("text"))
+    little = lost <= max_share * F.char_length("text")
+    cut = F.col("__marks").isNotNull() & little
+    if prove_copies:
+        marks = scratch(marks, "line-marks")
+        same = rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__text_hash"] == marks["__hash"])
+        over = scratch(rows.join(marks, same).filter(~little).select("__hash", "text", "source"), "dominated")
+        copies = scratch(_copies(over, min_sites), "copies")
+        marks = join_counted(marks, copies, ["__hash"], "__n", over.count(), "left")
+        same = rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__text_hash"] == marks["__hash"])
+        cut = F.col("__marks").isNotNull() & (little | F.col("__n").isNull())
     every = F.split("text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__marks")["position"])
     kept = F.concat_ws("\n", F.transform(stay, lambda i: F.get(every, i)))
