@@ -79,3 +79,30 @@ def test_bm25_order_is_that_of_the_formula():
         found = index.neighbours(seed)
         assert set(found.tolist()) == set(np.flatnonzero(score > 0).tolist())
         assert np.all(np.diff(score[found]) <= 1e-4)
+
+
+def test_related_documents_share_a_shard_and_its_size_is_bounded(spark):
+    rng = random.Random(4)
+    subjects = ["river boat harbor sailor", "piano violin concert opera", "doctor hospital nurse patient", "carbon oxygen atom molecule"]
+    own = [(k, " ".join(rng.choice(subjects[k % 4].split()) for _ in range(30)) + f" the number {k}", "en", "s") for k in range(80)]
+    found = P.pack(frame(spark, own), PATH, sequence=256, shard_bytes=4_000).collect()
+    shards, sizes = defaultdict(Counter), {i: len(t) + 1 for i, t, *_ in own}
+    for r in found:
+        shards[r.sequence_id >> 32][r.doc_id] += 1
+    assert len(shards) > 2 and max(sum(sizes[d] for d in s) for s in shards.values()) < 8_000
+    same = sum(max(Counter(d % 4 for d in s).values()) for s in shards.values())
+    assert same > 0.7 * sum(len(s) for s in shards.values())
+
+
+def test_weights_are_those_of_the_corpus():
+    texts = [np.array([1, 2, 3]), np.array([1, 4]), np.array([2, 5])]
+    df = np.ones(1 << 16, np.int64)
+    df[1], df[2] = 900, 2
+    index = P.Index(texts, P.Corpus(1000, 3.0, df))
+    assert index.neighbours(0).tolist() == [0, 2, 1]
+
+
+def test_all_terms_of_a_seed_are_asked():
+    seed = np.arange(40).repeat(2)
+    texts = [seed] + [np.array([k] * 5) for k in range(40)]
+    assert len(P.Index(texts).neighbours(0)) == 41

@@ -1,7 +1,10 @@
 """Packing documents into sequences by lexical retrieval.
 
-Documents are dealt to shards by a hash. In a shard, a BM25 inverted index over
-the token ids answers for each seed document which unused documents are
+Term counts and lengths are taken over the whole corpus. Documents are dealt to
+shards by a min-hash of their heaviest terms that are common enough to fill half
+a shard, so that texts of one subject share a shard; only larger groups are
+spread over several. In a shard, a BM25
+inverted index over all token ids answers for each seed document which unused documents are
 nearest; they fill the seed's sequence greedily, the last one cut to fit, and
 what was cut off stays in the index. Only the shard's remainder could leave a
 gap; it is cut into power-of-two sequences, which need no padding.
@@ -11,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,21 +22,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import text_or_empty
+from tradeflow.llm.common import release, scratch, text_or_empty
 from tradeflow.llm.tokens import WordEncoder
 
 SEQUENCE = 4096
 END_ID = 2
 #: Bytes of text per shard (some two million ids); sets how many shards there are.
 SHARD_BYTES = 8 << 20
-#: Terms of a seed's query, and the parameters of BM25.
-QUERY_TERMS, K1, B = 12, 1.2, 0.75
+#: Terms of a seed's query (all), and the parameters of BM25.
+QUERY_TERMS, K1, B = None, 1.2, 0.75
+#: Heavy terms that tell a document's subject.
+TOP = 4
+#: Cells of a first term's documents by their second one. Larger ones than this
+#: share of a shard are spread evenly over the shards that they touch.
+CELLS, CELL_SHARE = 16, 4
+
+
+class Corpus(NamedTuple):
+    """Documents, mean length, and documents by term."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def idf(self) -> np.ndarray:
+        return np.log(1 + (self.n - self.df + 0.5) / (self.df + 0.5))
+
+    def subject(self, ids: np.ndarray, idf: np.ndarray, least: float) -> tuple[int, int]:
+        """Of a document's TOP heaviest terms, those in at least ``least``
+        documents before others, the two with the smallest hashes: documents
+        that share most of these terms mostly agree."""
+        term, tf = np.unique(ids, return_counts=True)
+        weight = idf[term] * tf / (tf + K1 * (1 - B + B * len(ids) / max(1.0, self.mean)))
+        weight -= 1e6 * (self.df[term] < least)
+        top = term[np.argsort(-weight, kind="stable")[:TOP]] if len(term) > TOP else term
+        top = top[np.argsort(W.mix(top.astype(np.uint64)))]
+        return int(top[0]), int(top[min(1, len(top) - 1)])
 
 
 class Index:
-    """BM25 inverted index of one shard's pieces."""
+    """BM25 inverted index of one shard's pieces, weighed by the counts of the
+    whole corpus (of the pieces themselves without one)."""
 
-    def __init__(self, ids: list[np.ndarray]):
+    def __init__(self, ids: list[np.ndarray], corpus: Corpus | None = None):
         n = len(ids)
         lengths = np.fromiter(map(len, ids), np.int64, n)
         pair = np.concatenate([np.zeros(0, np.int64), *(a.astype(np.int64) * n + d for d, a in enumerate(ids))])
@@ -40,9 +72,10 @@ class Index:
         term, self.doc = pair // n, pair % n
         self.begin = np.searchsorted(term, np.arange(1 << 16))
         self.end = np.searchsorted(term, np.arange(1 << 16), "right")
-        df = self.end - self.begin
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths[self.doc] / max(1.0, lengths.mean()))
+        if corpus is None:
+            corpus = Corpus(n, lengths.mean() if n else 0.0, self.end - self.begin)
+        idf = corpus.idf()
+        norm = K1 * (1 - B + B * lengths[self.doc] / max(1.0, corpus.mean))
         self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
         # Each document's terms, heaviest first: its query.
         order = np.lexsort((term, -self.weight, self.doc))
@@ -52,16 +85,17 @@ class Index:
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Documents that share query terms with the seed, best first."""
-        query = self.term[self.own[seed]:min(self.own[seed + 1], self.own[seed] + QUERY_TERMS)]
+        query = self.term[self.own[seed]:self.own[seed + 1]][:QUERY_TERMS]
         if not len(query):
             return query
-        at = np.concatenate([np.arange(self.begin[t], self.end[t]) for t in query])
-        score = np.bincount(self.doc[at], self.weight[at], self.n)
+        doc = np.concatenate([self.doc[self.begin[t]:self.end[t]] for t in query])
+        weight = np.concatenate([self.weight[self.begin[t]:self.end[t]] for t in query])
+        score = np.bincount(doc, weight, self.n)
         found = np.flatnonzero(score)
         return found[np.lexsort((found, -score[found]))]
 
 
-def fill(ids: list[np.ndarray], sequence: int = SEQUENCE) -> Iterator[list[tuple[int, int, int]]]:
+def fill(ids: list[np.ndarray], sequence: int = SEQUENCE, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of one shard: lists of pieces (document, start, length)."""
     start = np.zeros(len(ids), np.int64)
     length = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -70,7 +104,7 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE) -> Iterator[list[tuple
             yield [(int(d), int(start[d]), sequence)]
             start[d] += sequence
     rest = length - start
-    index = Index([a[s:] for a, s in zip(ids, start)])
+    index = Index([a[s:] for a, s in zip(ids, start)], corpus)
     unused, after = rest > 0, 0
     while True:
         while after < len(ids) and not unused[after]:
@@ -94,7 +128,7 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE) -> Iterator[list[tuple
                 room = place(d)
                 if not room:
                     break
-        # Without a neighbour left, whatever comes next in the shard.
+        # Without any that shares a term, whatever comes next in the shard.
         d = after
         while room and d < len(ids):
             if unused[d]:
@@ -104,6 +138,10 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE) -> Iterator[list[tuple
         yield pieces
 
 
+def _ids(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint16) for x in table.column("ids").to_pylist()]
+
+
 def powers(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
     """A short sequence as sequences whose lengths are powers of two."""
     left = sum(n for *_, n in pieces)
@@ -136,8 +174,6 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
     if sequence & (sequence - 1):
         raise ValueError("sequence must be a power of two")
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,10 +182,57 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
             for lo, hi, *_ in W.pieces(batch.column("text"), 8 * W.PIECE_BYTES):
                 ids, n = encoder(batch.column("text")[lo:hi])
                 bounds = np.concatenate([[0], np.cumsum(n)])
+                end = np.array([end_id], np.uint16).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("shard")[lo:hi], batch.column("doc_id")[lo:hi],
-                     pa.array([ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())],
-                    names=["shard", "doc_id", "ids"])
+                    [batch.column("doc_id")[lo:hi], batch.column("size")[lo:hi], batch.column("spread")[lo:hi],
+                     pa.array([ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:])], pa.binary())],
+                    names=["doc_id", "size", "spread", "ids"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # After the terms' entries: documents, ids and bytes of text.
+        sums = np.zeros((1 << 16) + 3, np.int64)
+        for batch in batches:
+            for own in _ids(batch):
+                sums[np.unique(own)] += 1
+                sums[1 << 16] += 1
+                sums[(1 << 16) + 1] += len(own)
+            sums[(1 << 16) + 2] += batch.column("size").to_numpy().sum()
+        term = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(term, pa.int64()), "n": pa.array(sums[term])})
+
+    encoded = scratch(rows.select("doc_id", "text", (F.octet_length("text") + 1).cast("long").alias("size"),
+                                  F.xxhash64("doc_id", "text", F.lit(3)).alias("spread"))
+                      .mapInArrow(encode, f"doc_id {kind}, size long, spread long, ids binary"), "packing-ids")
+    sums = np.zeros((1 << 16) + 3, np.int64)
+    for r in encoded.select("ids", "size").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        sums[r["term"]] = r["n"]
+    n, tokens, size = (int(x) for x in sums[1 << 16:])
+    least = n / max(1, -(-size // shard_bytes)) / 2
+    corpus = docs.sparkSession.sparkContext.broadcast(Corpus(n, tokens / max(1, n), sums[:1 << 16]))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, idf = corpus.value, corpus.value.idf()
+        for batch in batches:
+            terms = np.array([whole.subject(own, idf, least) for own in _ids(batch)], np.int64).reshape(-1, 2)
+            cell = terms[:, 0] * CELLS + (W.mix(terms[:, 1].astype(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], names=["cell", *batch.schema.names])
+
+    placed = scratch(encoded.mapInArrow(place, f"cell long, doc_id {kind}, size long, spread long, ids binary"), "packing-cells")
+    release(encoded)
+    # At most 65,536 terms times CELLS rows.
+    cells = placed.groupBy("cell").agg(F.sum("size").alias("size")).orderBy("cell").toArrow()
+    cell, size = (cells.column(c).to_numpy() for c in ("cell", "size"))
+    dealer = docs.sparkSession.sparkContext.broadcast((cell, size, np.cumsum(size) - size))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, size, begin = dealer.value
+        for batch in batches:
+            at = np.searchsorted(cell, batch.column("cell").to_numpy())
+            part = (batch.column("spread").to_numpy().view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+            inside = np.where(size[at] > shard_bytes / CELL_SHARE, part * size[at], 0.0)
+            shard = ((begin[at] + inside) // shard_bytes).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), batch.column("doc_id"), batch.column("ids")],
+                                             names=["shard", "doc_id", "ids"])
 
     def pack_shard(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
@@ -157,10 +240,10 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         # The same order whenever the shard is computed again.
         table = table.take(order(table))
         doc_ids = table.column("doc_id")
-        ids = [np.append(np.frombuffer(x, np.uint16), np.uint16(end_id)) for x in table.column("ids").to_pylist()]
+        ids = _ids(table)
         out: dict[str, list] = {k: [] for k in ("d", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
         number = 0
-        for pieces in fill(ids, sequence):
+        for pieces in fill(ids, sequence, corpus.value):
             whole = sum(n for *_, n in pieces)
             for own in [pieces] if whole == sequence else powers(pieces):
                 offset = 0
@@ -182,7 +265,6 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         return pa.array(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0,
                                                                zlib.crc32(bodies[i]))), pa.int64())
 
-    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("long").alias("shard"), "doc_id", "text")
-    return (dealt.mapInArrow(encode, f"shard long, doc_id {kind}, ids binary").groupBy("shard")
+    return (placed.mapInArrow(deal, f"shard long, doc_id {kind}, ids binary").groupBy("shard")
             .applyInArrow(pack_shard, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                       "sequence_id long, offset long" + (", ids array<int>" if with_ids else "")))
