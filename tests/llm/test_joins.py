@@ -202,3 +202,8 @@ def test_lm_scores_by_another_corpus(spark, monkeypatch):
     same_scores(lm_scores(frame(spark, own[20:]), corpus).collect(), brute_scores(own[20:], own[:20], 0))
     assert {r.log_score for r in lm_scores(frame(spark, own[:3]), corpus.limit(0)).collect()} == {0.0}
     assert lm_scores(frame(spark).limit(0)).collect() == []
+
+
+def test_bigrams_of_a_tiny_corpus_back_off(spark):
+    own = [(1, "a b c a b", "en", "s"), (2, "d e", "en", "s"), (3, "a b f", "en", "s")]
+    same_scores(lm_scores(frame(spark, own)).collect(), brute_scores(own, own, 1))

@@ -194,9 +194,10 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
                 value[done] = np.log((both[done] - leave_out) / (one[done] - leave_out))
                 yield _row(-1, SUMS, keys=keys, context_n=n, value=np.bincount(doc, value, len(keys)))
             else:
-                done = np.zeros(len(word), bool)
-            # Hot bigrams are counted, so they need not be dealt.
-            done |= _lookup(*hot_pairs, pair) > 0
+                # Hot bigrams are counted, so they need not be dealt.
+                done = _lookup(*hot_pairs, pair) > 0
+            # A hot bigram that only its own position has (of a corpus of at
+            # most HOT words) is dealt like others, to back off.
             word, context, doc, pair = (x[~done] for x in (word, context, doc, pair))
             hot = _lookup(*hot_contexts, context) > 0
             bucket = (np.where(hot, pair, W.mix(context.copy())) % np.uint64(buckets)).astype(np.int64)
