@@ -207,3 +207,14 @@ def test_lm_scores_by_another_corpus(spark, monkeypatch):
 def test_bigrams_of_a_tiny_corpus_back_off(spark):
     own = [(1, "a b c a b", "en", "s"), (2, "d e", "en", "s"), (3, "a b f", "en", "s")]
     same_scores(lm_scores(frame(spark, own)).collect(), brute_scores(own, own, 1))
+
+
+def test_short_items_are_found_inside_documents(spark):
+    items = [(1, "three short words"), (2, "one"), (3, "Four words, not five"), (4, "five words are one shingle")]
+    own = [(1, "before three short words after it all", "en", "s"), (2, "three short and words", "en", "s"),
+           (3, "say FOUR words not; five or one", "en", "s"), (4, "one", "en", "s"), (5, "a five words are one shingle b", "en", "s")]
+    plain = {i: "".join(c if c.isalnum() else " " for c in t.lower()).split() for i, t in [*items, *((10 + i, t) for i, t, *_ in own)]}
+    want = {(i, k, at) for i, *_ in own for k, _ in items
+            if (at := next((p for p in range(len(plain[10 + i])) if plain[10 + i][p:p + len(plain[k])] == plain[k]), None)) is not None}
+    found = D.contamination(frame(spark, own), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.start) for r in found} == want and len(want) == 6

@@ -39,21 +39,27 @@ _FLIPS = np.array([sum(1 << b for b in c) for n in range(RADIUS // BLOCKS + 1) f
 
 
 def _shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingle hashes of all texts in a row, each text's first one); a text of
-    fewer words than n has one shingle of all of them, if any."""
+    """(shingle hashes by first word and, in column k - 1, k words long; each
+    text's first word). A text of fewer than k words has one shingle of all of
+    them, if any, at its first word; other words with fewer after them none."""
     words = W.split_words(_SEEN[data], offsets)
     hashes = W.hash_words(_SEEN[data], words)
-    grams = W.ngrams(hashes, n)[W.inside_texts(words.first, n)] if len(hashes) >= n else np.zeros(0, np.uint64)
+    out = np.zeros((n, len(hashes)), np.uint64)
+    for k in range(1, n + 1):
+        grams = W.ngrams(hashes, k)
+        out[k - 1, :len(grams)] = grams
     counts = np.diff(words.first)
-    sizes = np.maximum(counts - n + 1, (counts > 0).astype(np.int64))
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.zeros(first[-1], np.uint64)
-    short = np.flatnonzero((counts > 0) & (counts < n))
-    out[first[short]] = [W.ngrams(hashes[a:b], b - a)[0] for a, b in zip(words.first[short], words.first[short + 1])]
-    from_short = np.zeros(first[-1], bool)
-    from_short[first[short]] = True
-    out[~from_short] = grams
-    return out, first
+    for t in np.flatnonzero((counts > 0) & (counts < n)):
+        out[counts[t]:, words.first[t]] = out[counts[t] - 1, words.first[t]]
+    return out.T, words.first
+
+
+def _of_length(grams: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles of k words of all texts in a row, each text's first one)."""
+    counts = np.diff(first)
+    sizes = np.maximum(counts - k + 1, (counts > 0).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    return grams[np.arange(begin[-1]) + np.repeat(first[:-1] - begin[:-1], sizes), k - 1], begin
 
 
 def _simhash(sums: np.ndarray, size: int) -> np.ndarray:
@@ -65,6 +71,11 @@ def _bits(grams: np.ndarray) -> np.ndarray:
     return np.unpackbits(grams.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
 
 
+def _sorted_by(keys: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(keys, kind="stable")
+    return keys[order], *(x[order] for x in others)
+
+
 class Index:
     """The benchmark items, grouped by window size, with their block tables."""
 
@@ -72,14 +83,16 @@ class Index:
         self.ids, self.n = ids, n
         data, offsets = W.utf8(pa.array(texts, pa.string()))
         grams, first = _shingles(data, offsets, n)
-        self.grams = [grams[a:b] for a, b in zip(first, first[1:])]
+        # Items of fewer words than n are compared by shingles of their length.
+        self.length = np.clip(np.diff(first), 1, n)
+        self.grams = [grams[a:max(a, b - k + 1), k - 1] for a, b, k in zip(first, first[1:], self.length)]
         known, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, self.grams)]), return_counts=True)
         # Rare shingles weigh more; those of no item weigh like those of one.
         self.known, self.weight = known, 1 + np.log(max(1, len(ids)) / df)
         self.most = 1 + np.log(max(1, len(ids)))
         groups: dict[int, list[int]] = {}
         for i, own in enumerate(self.grams):
-            if len(own):
+            if len(own) and self.length[i] == n:
                 groups.setdefault(round(np.log(len(own)) / np.log(GROWTH)), []).append(i)
         self.groups = []
         for step, items in sorted(groups.items()):
@@ -95,6 +108,11 @@ class Index:
                 tables.append((np.searchsorted(near[order], np.arange((1 << 16) + 1)).astype(np.int32),
                                item[order].astype(np.int32)))
             self.groups.append((size, np.array(items), prints, tables))
+        self.exact = []
+        for k in range(1, n):
+            own = [i for i, g in enumerate(self.grams) if len(g) and self.length[i] == k]
+            if own:
+                self.exact.append((k, *_sorted_by(np.array([self.grams[i][0] for i in own], np.uint64), np.array(own))))
 
     def weights(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -118,8 +136,10 @@ class Index:
         return pair // len(items), items[pair % len(items)]
 
     def similarity(self, grams: np.ndarray, item: int, start: int, stop: int) -> tuple[float, int]:
-        """The largest similarity of the item to the item-sized runs of
-        ``grams`` that begin from start to stop, and the first such begin."""
+        """The largest similarity of the item to the item-sized runs of a text
+        (its rows of ``_shingles``) that begin from start to stop, and the first
+        such begin."""
+        grams, _ = _of_length(grams, np.array([0, len(grams)]), self.length[item])
         own = np.unique(self.grams[item])
         size = len(self.grams[item])
         start, stop = max(0, start), min(stop, max(0, len(grams) - size))
@@ -143,12 +163,22 @@ def matches(grams: np.ndarray, first: np.ndarray, index: Index, least: float) ->
     and item with at least that similarity."""
     if not len(grams):
         return
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+    # Items of one shingle shorter than n: equal or not.
+    for k, keys, items in index.exact:
+        flat, begin = _of_length(grams, first, k)
+        lo, hi = np.searchsorted(keys, flat), np.searchsorted(keys, flat, "right")
+        for at in np.flatnonzero(lo < hi):
+            t = int(np.searchsorted(begin, at, "right")) - 1
+            for item in items[lo[at]:hi[at]]:
+                best.setdefault((t, int(item)), (1.0, int(at - begin[t])))
+    rows, first_row = grams, first
+    grams, first = _of_length(rows, first_row, index.n)
     largest = max((g[0] for g in index.groups), default=0)
     kind = np.uint8 if largest < 256 else np.int32  # differences modulo 256 are exact
     total = np.zeros((len(grams) + 1, 64), kind)
     np.cumsum(_bits(grams), axis=0, dtype=kind, out=total[1:])
     counts = np.diff(first)
-    best: dict[tuple[int, int], tuple[float, int]] = {}
     tried = set()
     for group, (size, *_) in enumerate(index.groups):
         step = max(1, size // STEP)
@@ -169,7 +199,7 @@ def matches(grams: np.ndarray, first: np.ndarray, index: Index, least: float) ->
                 if key in tried:
                     continue
                 tried.add(key)
-                own = grams[first[t]:first[t + 1]]
+                own = rows[first_row[t]:first_row[t + 1]]
                 value, at = index.similarity(own, item, begin - step, begin + step + max(0, size - len(index.grams[item])))
                 if value >= least and value > best.get((t, int(item)), (0.0, 0))[0]:
                     best[t, int(item)] = value, at
