@@ -218,3 +218,13 @@ def test_short_items_are_found_inside_documents(spark):
             if (at := next((p for p in range(len(plain[10 + i])) if plain[10 + i][p:p + len(plain[k])] == plain[k]), None)) is not None}
     found = D.contamination(frame(spark, own), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id, r.start) for r in found} == want and len(want) == 6
+
+
+def test_similarities_do_not_depend_on_passes(spark, monkeypatch):
+    items = spark.createDataFrame([*ITEMS, (6, ITEMS[0][1] + " and more"), (7, "word1 " * 70 + "end")], "item_id long, text string")
+    own = [*leaked(), (601, "before " + "word1 " * 70 + "end after", "en", "s")]
+    want = by_id(D.contamination(frame(spark, own), items).collect())
+    monkeypatch.setattr(D, "ITEMS", 2)
+    monkeypatch.setattr(D, "ITEM_CHARS", 300)  # the last item is longer
+    assert by_id(D.contamination(frame(spark, own), items).collect()) == want
+    assert (601, 7) in {(r[0], r[2]) for r in want}

@@ -28,9 +28,9 @@ SIMILARITY = 0.8
 RADIUS, BLOCKS = 15, 4
 #: Window sizes grow by this factor; windows of a size lie a STEP-th of it apart.
 GROWTH, STEP = 1.25, 6
-#: Items of one index, and characters of an item: together they bound what is
-#: sent to every task. More items are taken in several passes.
-ITEMS, ITEM_CHARS = 10_000, 100_000
+#: Items and characters of one index: they bound what is sent to every task, more
+#: are taken in several passes. An item longer than ITEM_CHARS has its own pass.
+ITEMS, ITEM_CHARS, PASS_CHARS = 10_000, 100_000, 16 << 20
 
 # Letters are compared in lower case; ASCII punctuation separates words.
 _SEEN = W.lower_ascii(np.arange(256, dtype=np.uint8))
@@ -62,6 +62,14 @@ def _of_length(grams: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray
     return grams[np.arange(begin[-1]) + np.repeat(first[:-1] - begin[:-1], sizes), k - 1], begin
 
 
+def _item_shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(shingles of each item, their numbers of words): an item of fewer words
+    than n is compared by shingles of its length."""
+    grams, first = _shingles(data, offsets, n)
+    length = np.clip(np.diff(first), 1, n)
+    return [grams[a:max(a, b - k + 1), k - 1] for a, b, k in zip(first, first[1:], length)], length
+
+
 def _simhash(sums: np.ndarray, size: int) -> np.ndarray:
     """Fingerprints from the counts of set bits among ``size`` shingles."""
     return np.packbits(sums > size / 2, axis=1).view(">u8").ravel().astype(np.uint64)
@@ -77,19 +85,25 @@ def _sorted_by(keys: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 class Index:
-    """The benchmark items, grouped by window size, with their block tables."""
+    """Benchmark items, grouped by window size, with their block tables.
 
-    def __init__(self, ids: list, texts: list[str], n: int):
+    They are weighed as part of a benchmark of ``total`` items, of whose
+    shingles ``common`` has those of two items or more, sorted, and their
+    numbers of items; without it these items are the whole benchmark.
+    """
+
+    def __init__(self, ids: list, texts: list[str], n: int, total: int = 0,
+                 common: tuple[np.ndarray, np.ndarray] | None = None):
         self.ids, self.n = ids, n
         data, offsets = W.utf8(pa.array(texts, pa.string()))
-        grams, first = _shingles(data, offsets, n)
-        # Items of fewer words than n are compared by shingles of their length.
-        self.length = np.clip(np.diff(first), 1, n)
-        self.grams = [grams[a:max(a, b - k + 1), k - 1] for a, b, k in zip(first, first[1:], self.length)]
-        known, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, self.grams)]), return_counts=True)
+        self.grams, self.length = _item_shingles(data, offsets, n)
+        if common is None:
+            total = len(ids)
+            common = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, self.grams)]), return_counts=True)
+        known, df = common
         # Rare shingles weigh more; those of no item weigh like those of one.
-        self.known, self.weight = known, 1 + np.log(max(1, len(ids)) / df)
-        self.most = 1 + np.log(max(1, len(ids)))
+        self.known, self.weight = known, 1 + np.log(max(1, total) / df)
+        self.most = 1 + np.log(max(1, total))
         groups: dict[int, list[int]] = {}
         for i, own in enumerate(self.grams):
             if len(own) and self.length[i] == n:
@@ -148,14 +162,24 @@ class Index:
         best, at = 0.0, start
         if not inside.any():
             return best, at
-        whole = self.weights(own).sum()
-        for o in range(stop - start + 1):
-            run = np.unique(region[o:o + size])
-            both = self.weights(run[np.isin(run, own, assume_unique=True)]).sum()
-            value = both / (whole + self.weights(run).sum() - both)
-            if value > best:
-                best, at = float(value), start + o
-        return best, at
+        # Each shingle counts in the runs that hold it but not the same one before.
+        order = np.argsort(region, kind="stable")
+        again = region[order][1:] == region[order][:-1]
+        lo = np.zeros(len(region), np.int64)
+        lo[order[1:][again]] = order[:-1][again] + 1
+        place, runs = np.arange(len(region)), stop - start + 1
+        lo, hi = np.maximum(lo, place - size + 1), np.minimum(place, runs - 1) + 1
+
+        def sums(weight: np.ndarray) -> np.ndarray:
+            weight = np.where(lo < hi, weight, 0)
+            return np.cumsum(np.bincount(np.minimum(lo, runs), weight, runs + 1) - np.bincount(hi, weight, runs + 1))[:runs]
+
+        weight = self.weights(region)
+        both = sums(np.where(inside, weight, 0))
+        # Sums of floats differ in their last digits by where they begin.
+        value = np.round(both / (self.weights(own).sum() + sums(weight) - both), 12)
+        at = int(np.argmax(value))
+        return float(value[at]), start + at
 
 
 def matches(grams: np.ndarray, first: np.ndarray, index: Index, least: float) -> Iterator[tuple[int, int, float, int]]:
@@ -217,25 +241,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Items without
     words match nothing, null and empty texts have no match, an empty table on
     either side gives none. Repeated rows and items each have rows of their
-    own. Other columns are not read. Documents are not shuffled; items of more
-    than ITEM_CHARS characters fail the job.
+    own. Other columns are not read. Documents are not shuffled. Similarities
+    do not depend on how items are dealt to passes.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", text_or_empty().alias("text")).filter("text != ''")
-    longest = items.agg(F.max(F.char_length("text"))).first()[0] or 0
-    if longest > ITEM_CHARS:
-        raise ValueError(f"a benchmark item has {longest} characters; split it into items of at most {ITEM_CHARS}")
     rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
     kinds = [docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
     schema = (f"doc_id {kinds[0].simpleString()}, text_hash long, item_id {kinds[1].simpleString()}, "
               "similarity double, start long")
     item_type = to_arrow_type(kinds[1])
-    passes = max(1, -(-items.count() // ITEMS))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    found = spark.createDataFrame([], schema)
-    for k in range(passes):
-        own = items.filter(part == k).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(Index([r["item_id"] for r in own], [r["text"] for r in own], shingle))
+    key, chars = F.xxhash64("item_id", "text"), F.char_length("text")
+    short, long = items.filter(chars <= ITEM_CHARS), items.filter(chars > ITEM_CHARS)
+    count, size = short.agg(F.count("*"), F.coalesce(F.sum(chars), F.lit(0))).first()
+    passes = max(1, -(-count // ITEMS), -(-size // PASS_CHARS))
+    parts = [short.filter(F.pmod(key, F.lit(passes)) == k) for k in range(passes)]
+    parts += [long.filter(key == r[0]) for r in long.select(key).distinct().collect()]
+    common, total = None, items.count()
+    if len(parts) > 1:
+        def count_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, _, data, offsets in W.pieces(batch.column("text")):
+                    for own in _item_shingles(data, offsets, shingle)[0]:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.unique(own).view(np.int64))], names=["gram"])
+
+        shared = items.select("text").mapInArrow(count_items, "gram long").groupBy("gram").agg(
+            F.count("*").alias("n")).filter("n > 1").toArrow()
+        known = shared.column("gram").to_numpy().view(np.uint64)
+        common = _sorted_by(known, shared.column("n").to_numpy())
+    found = None
+    for part in parts:
+        own = part.orderBy("item_id", "text").collect()
+        index = spark.sparkContext.broadcast(Index([r["item_id"] for r in own], [r["text"] for r in own], shingle, total, common))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -250,7 +287,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
                         names=["doc_id", "text_hash", "item_id", "similarity", "start"])
 
         part_found = rows.mapInArrow(run, schema)
-        found = part_found if passes == 1 else found.unionByName(part_found)
+        found = part_found if found is None else found.unionByName(part_found)
     return found
 
 
