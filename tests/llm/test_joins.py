@@ -228,3 +228,26 @@ def test_similarities_do_not_depend_on_passes(spark, monkeypatch):
     monkeypatch.setattr(D, "ITEM_CHARS", 300)  # the last item is longer
     assert by_id(D.contamination(frame(spark, own), items).collect()) == want
     assert (601, 7) in {(r[0], r[2]) for r in want}
+
+
+def test_no_match_just_above_the_threshold_is_lost():
+    rng = np.random.default_rng(6)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 20_000, n)) for n in (60, 211, 330, 804, 1004) for _ in range(6)]
+    index, texts = D.Index(list(range(len(items))), items, 5), []
+    for i, item in enumerate(items):
+        for _ in range(8):
+            own, value = item.split(), 1.0
+            while value >= 0.8:  # scattered edits until the next one is too many
+                kept, before = list(own), value
+                own[rng.integers(len(own))] = "edited"
+                value = _value(index, own, i)
+            around = [[f"x{x}" for x in rng.integers(0, 9_999, rng.integers(0, 90))] for _ in range(2)]
+            texts.append((i, " ".join(around[0] + kept + around[1])))
+    grams, first = D._shingles(*D.W.utf8(pa.array([t for _, t in texts])), 5)
+    found = {(t, item) for t, item, *_ in D.matches(grams, first, index, 0.8)}
+    assert {(t, i) for t, (i, _) in enumerate(texts)} <= found
+
+
+def _value(index, own, item):
+    grams, _ = D._shingles(*D.W.utf8(pa.array([" ".join(own)])), 5)
+    return index.similarity(grams, item, 0, 0)[0]

@@ -4,8 +4,9 @@ Every text is cut into overlapping windows about as long as the benchmark
 items, each window has a 64-bit SimHash of its word shingles, and a multi-index
 finds every item fingerprint within RADIUS bits: 64 bits are four blocks, of
 RADIUS = 15 differing bits one block holds three at most, and the index lists
-each item under all block values within three bits of its own. Candidates are
-verified by the weighted Jaccard similarity of their shingles at every
+each item under all block values within three bits of its own. Windows can miss
+what is just similar enough, so a second source is exact: a run that is similar
+to an item holds one of its rarest shingles at least. Candidates are verified by the weighted Jaccard similarity of their shingles at every
 alignment near the window.
 """
 
@@ -89,11 +90,12 @@ class Index:
 
     They are weighed as part of a benchmark of ``total`` items, of whose
     shingles ``common`` has those of two items or more, sorted, and their
-    numbers of items; without it these items are the whole benchmark.
+    numbers of items; without it these items are the whole benchmark. ``least``
+    is the smallest similarity asked for.
     """
 
     def __init__(self, ids: list, texts: list[str], n: int, total: int = 0,
-                 common: tuple[np.ndarray, np.ndarray] | None = None):
+                 common: tuple[np.ndarray, np.ndarray] | None = None, least: float = SIMILARITY):
         self.ids, self.n = ids, n
         data, offsets = W.utf8(pa.array(texts, pa.string()))
         self.grams, self.length = _item_shingles(data, offsets, n)
@@ -122,11 +124,20 @@ class Index:
                 tables.append((np.searchsorted(near[order], np.arange((1 << 16) + 1)).astype(np.int32),
                                item[order].astype(np.int32)))
             self.groups.append((size, np.array(items), prints, tables))
-        self.exact = []
-        for k in range(1, n):
-            own = [i for i, g in enumerate(self.grams) if len(g) and self.length[i] == k]
-            if own:
-                self.exact.append((k, *_sorted_by(np.array([self.grams[i][0] for i in own], np.uint64), np.array(own))))
+        # Of each item its rarest shingles, by their number of words: a run
+        # without any of them lacks more of the item's weight than it may.
+        self.rare = []
+        for k in range(1, n + 1):
+            keys, at = [np.zeros(0, np.uint64)], []
+            for i in np.flatnonzero(self.length == k):
+                own = np.unique(self.grams[i])
+                if len(own):
+                    own = own[np.argsort(-self.weights(own), kind="stable")]
+                    lacks = np.cumsum(self.weights(own))
+                    keys.append(own[:np.searchsorted(lacks, (1 - least) * lacks[-1] + 1e-6) + 1])
+                    at += [i] * len(keys[-1])
+            if at:
+                self.rare.append((k, *_sorted_by(np.concatenate(keys), np.array(at))))
 
     def weights(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -188,14 +199,25 @@ def matches(grams: np.ndarray, first: np.ndarray, index: Index, least: float) ->
     if not len(grams):
         return
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    # Items of one shingle shorter than n: equal or not.
-    for k, keys, items in index.exact:
+    for k, keys, items in index.rare:
         flat, begin = _of_length(grams, first, k)
         lo, hi = np.searchsorted(keys, flat), np.searchsorted(keys, flat, "right")
-        for at in np.flatnonzero(lo < hi):
-            t = int(np.searchsorted(begin, at, "right")) - 1
-            for item in items[lo[at]:hi[at]]:
-                best.setdefault((t, int(item)), (1.0, int(at - begin[t])))
+        places = np.repeat(np.arange(len(flat)), hi - lo)
+        found = items[np.arange(len(places)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
+        order = np.lexsort((places, found))
+        places, found = places[order], found[order]
+        text = np.searchsorted(begin, places, "right") - 1
+        # Places of one item and text less than a run apart are judged together.
+        size = np.array([len(g) for g in index.grams], np.int64)[found]
+        new = np.ones(len(places), bool)
+        new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1]) | (np.diff(places) >= size[1:])
+        cuts = np.flatnonzero(new)
+        for a, b in zip(cuts, np.append(cuts[1:], len(places))):
+            t, item = int(text[a]), int(found[a])
+            value, at = index.similarity(grams[first[t]:first[t + 1]], item, int(places[a] - begin[t] - size[a] + 1),
+                                         int(places[b - 1] - begin[t]))
+            if value >= least and value > best.get((t, item), (0.0, 0))[0]:
+                best[t, item] = value, at
     rows, first_row = grams, first
     grams, first = _of_length(rows, first_row, index.n)
     largest = max((g[0] for g in index.groups), default=0)
@@ -272,7 +294,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     found = None
     for part in parts:
         own = part.orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(Index([r["item_id"] for r in own], [r["text"] for r in own], shingle, total, common))
+        index = spark.sparkContext.broadcast(Index([r["item_id"] for r in own], [r["text"] for r in own], shingle, total, common, similarity))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
