@@ -17,8 +17,8 @@ from tradeflow.llm.line_dedup import remove_boilerplate
 from tradeflow.llm.ngram_join import keep_one
 from tradeflow.llm.packing import pack
 
-#: Toxicity from which a document is rejected.
-REJECT = 0.5
+#: Toxicity from which a document is rejected: where op6_toxicity predicts toxic.
+REJECT = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,11 @@ def test_stages_take_awkward_rows(spark, stage):
     clean = {0, 3, 5, 9, 15, 300, 301, 302, 400}
     assert clean <= set(ids) and set(ids) <= {i for i, *_ in rows()}
     assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_what_the_operator_calls_toxic_is_rejected(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(corpus_pipeline.toxic, "fit", lambda docs, labels: None)
+    monkeypatch.setattr(corpus_pipeline.toxic, "score", lambda docs, model: docs.withColumn("toxicity", F.col("doc_id") / 10))
+    docs = frame(spark, [(k, "text", "en", "s") for k in range(6)])
+    assert {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, SF).collect()} == {0, 1, 2}
