@@ -12,11 +12,14 @@ import corpus_pipeline
 from tradeflow.llm.exact_dedup import exact_dedup
 from tradeflow.llm import quality, toxicity
 from tradeflow.llm.decontamination import contamination
+from tradeflow.llm.divergence import divergence
 from tradeflow.llm.learning import fold
 from tradeflow.llm.line_dedup import remove_boilerplate
 from tradeflow.llm.lm_scoring import lm_scores
 from tradeflow.llm.ngram_join import ngram_join
 from tradeflow.llm.packing import pack
+from tradeflow.llm.secret_scan import scan
+from tradeflow.llm.spelling import variants
 from tradeflow.llm.substring_dedup import substring_dedup
 from tradeflow.llm.warc import archive_pages, read_records
 
@@ -196,14 +199,111 @@ FROM texts LEFT JOIN kept USING (r)
 """
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and each source's own terms."""
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents),
+terms AS (
+  SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM texts),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+own AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sides AS (SELECT DISTINCT lang, source FROM texts),
+dense AS (
+  SELECT s.lang, s.source, k.term, coalesce(o.n, 0) AS n, k.n AS lang_n
+  FROM sides s JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER grp + 2 * count(*) OVER grp) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 2)) // (sum(lang_n) OVER grp + 2 * count(*) OVER grp) AS q
+  FROM dense WINDOW grp AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sides a JOIN sides b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the frequent form that it is one edit away from."""
+    return variants(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) x(i)),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+hashed AS (
+  SELECT run, n, 4294967295 - list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+             string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END))::UBIGINT[]),
+             lambda c, b: xor(t[(xor(c, b) & 255)::BIGINT + 1], c >> 8)) AS h
+  FROM (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL), crc_table),
+damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, n
+  FROM hashed),
+vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gaps AS (
+  SELECT word, p, substring(word, 1, p::INT - 1) || substring(word, p::INT + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM vocabulary)),
+shorter AS (SELECT DISTINCT g.word, v.word AS other FROM gaps g JOIN vocabulary v ON g.rest = v.word),
+near AS (
+  SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT word, other FROM shorter UNION ALL SELECT other, word FROM shorter),
+counted AS (
+  SELECT near.word, other, v.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) AS place
+  FROM near JOIN vocabulary v ON other = v.word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n
+  FROM vocabulary v LEFT JOIN counted c ON c.word = v.word AND place = 1),
+followed(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT f.word, formed.form FROM followed f JOIN formed ON formed.word = f.root WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT followed.word, root FROM followed JOIN formed ON formed.word = root
+                    WHERE formed.form IS NULL) r USING (word)
+"""
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets."""
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_line_dedup, op3_quality, op4_packing, op5_decontamination, op6_toxicity,
-        op7_exact_dedup, op8_lm_scoring, op9_ngram_join, op10_substring_dedup)} | {"pipeline": corpus_pipeline.run}
+        op7_exact_dedup, op8_lm_scoring, op9_ngram_join, op10_substring_dedup, op11_divergence, op12_spelling,
+        op13_secrets)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     """The other queries have no SQL form; tests hold them against brute force."""
     return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_lm_scoring": OP8_SQL,
             "op9_ngram_join": OP9_SQL,
-            "op10_substring_dedup": OP10_SQL}
+            "op10_substring_dedup": OP10_SQL, "op11_divergence": OP11_SQL, "op12_spelling": OP12_SQL}
