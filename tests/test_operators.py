@@ -282,3 +282,44 @@ def test_date_cells_become_dates(spark):
     out = normalize_trade(long, "value", dims.INVALID_REPORTERS, dims.EXCLUDED_PARTNERS, date_kind="date_kind")
     got = sorted((r.date, r.value) for r in out.collect())
     assert got == [(dt.date(2024, 3, 1), 1.0), (dt.date(2024, 4, 1), 2.0)]  # text with a day is not a month
+
+
+def test_strict_lookup_counts_while_it_writes(spark, monkeypatch):
+    import sys
+
+    from tradeflow.operators import UnmappedValues, lookup as plain, materialize_mapped
+    module = sys.modules["tradeflow.operators.lookup"]
+    dim = spark.createDataFrame([("a", 1)], "k string, v int")
+    good = plain(spark.createDataFrame([("a",), (None,)], "k string"), dim, "k")
+    audits = []
+    audit = module.assert_all_mapped
+    monkeypatch.setattr(module, "assert_all_mapped", lambda *a: audits.append(a[2]) or audit(*a))
+    assert sorted(materialize_mapped(good, [("k", "v")], "here").collect(), key=str) == sorted(good.collect(), key=str)
+    assert audits == []  # nothing unmapped: no second job
+    bad = plain(spark.createDataFrame([("a",), ("c",), ("b",), ("c",), (None,)], "k string"), dim, "k")
+    with pytest.raises(UnmappedValues, match="Unmapped values in here: k -> v: b, c$") as failed:
+        materialize_mapped(bad, [("k", "v")], "here")
+    assert audits == ["here"]
+    assert sorted(r.value for r in spark.read.parquet(failed.value.table).collect()) == ["b", "c"]
+    assert materialize_mapped(good.limit(0), [("k", "v")], "here").collect() == []
+
+
+def test_lookup_strict_lists_all(spark):
+    from tradeflow.operators import lookup_strict
+    dim = spark.createDataFrame([("a", 1, "x"), ("b", None, "y")], "k string, v int, w string")
+    df = spark.createDataFrame([("a",), ("a",)], "k string")
+    assert [tuple(r) for r in lookup_strict(df, dim, "k", ["v", "w"], "t").collect()] == [("a", 1, "x")] * 2
+    with pytest.raises(ValueError, match="t: k -> v: b, q; k -> w: q"):
+        lookup_strict(spark.createDataFrame([("q",), ("b",), ("a",)], "k string"), dim, "k", ["v", "w"], "t")
+
+
+def test_a_header_cell_stored_twice_counts_once(spark):
+    base = ("b.xlsx", "p/b.xlsx", dt.datetime(2024, 1, 1), 0, "Sheet 1")
+    cells = [(4, 2, "M"), (5, 2, "P"), (9, 2, "China"), (9, 2, "China"), (9, 3, "China"), (11, 0, "Spain"), (11, 1, "2024-01"),
+             (11, 2, "1"), (11, 3, "2"), (3000, 0, "Malta"), (3000, 1, "2024-02"), (3000, 2, "3")]
+    df = spark.createDataFrame([(*base, *c) for c in cells],
+                               "source_name string, source_path string, source_mtime timestamp, sheet_ord int, "
+                               "sheet string, row int, col int, text string")
+    got = sorted((r.row, r.country, r.date, r.partner, r.partner_ord, r.value) for r in matrix_to_long(df).collect())
+    assert got == [(11, "Spain", "2024-01", "China", 0, 1.0), (11, "Spain", "2024-01", "China.1", 1, 2.0),
+                   (3000, "Malta", "2024-02", "China", 0, 3.0)]

@@ -58,3 +58,55 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def _big_tab(spark, rows):
+    tab = ["'a.xlsx' as source_name", "'p/a.xlsx' as source_path", "timestamp'2024-01-01' as source_mtime",
+           "0 as sheet_ord", "'Sheet 1' as sheet"]
+    fixed = spark.createDataFrame(
+        [(4, 2, "M"), (5, 2, "P"), (6, 2, "I"), (7, 2, "V"), (9, 0, "R"), (9, 2, "China"), (9, 3, "China"), (9, 5, "Japan"),
+         (10, 2, "units")], "row int, col int, text string").selectExpr(*tab, "row", "col", "text")
+    body = spark.range(rows).selectExpr(*tab, "cast(11 + id as int) as row", "explode(array("
+                                        "named_struct('col', 0, 'text', 'Spain'), named_struct('col', 1, 'text', '2024-01'), "
+                                        "named_struct('col', 2, 'text', '1'), named_struct('col', 3, 'text', cast(id as string)), "
+                                        "named_struct('col', 5, 'text', ':'))) as c").selectExpr(
+        "source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row", "c.col", "c.text")
+    return fixed.unionByName(body)
+
+
+def test_unpivot_moves_the_cells_once(spark):
+    from tradeflow.operators.matrix import matrix_to_long
+    plan = _plan(matrix_to_long(_big_tab(spark, 100).checkpoint()))
+    assert plan.count("Exchange ") <= 3 and plan.count("Exchange hashpartitioning") == 3
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_tab_of_a_million_rows_is_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from tradeflow.operators.matrix import matrix_to_long
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        long = matrix_to_long(_big_tab(spark, 1_000_000).checkpoint())
+        per_task = long.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.sum("value").alias("s"), F.count_distinct("partner").alias("p"),
+            F.count(F.when((F.col("country") == "Spain") & (F.col("date") == "2024-01"), 1)).alias("labelled")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r.n for r in per_task) == 3_000_000 and sum(r.s for r in per_task) == 1_000_000 + 999_999 * 500_000
+    assert sum(r.labelled for r in per_task) == 3_000_000
+    assert len(per_task) >= 3 and max(r.n for r in per_task) < 1_200_000
+    assert {r.p for r in per_task} == {3}  # China, China.1, Japan
+
+
+def test_keep_latest_of_a_bucketed_cache_has_no_exchange(spark):
+    from tradeflow.workloads.increment import bucketed_rebuild
+    plan = _plan(bucketed_rebuild(spark, SF))
+    assert "Exchange" not in plan and "Bucketed: true" in plan and "Window" in plan
+
+
+def test_the_strict_lookup_reads_its_rows_once(spark):
+    """The result is the written table: nothing of the plan before it runs again."""
+    from tradeflow.workloads.star import product_lookup_strict
+    plan = _plan(product_lookup_strict(spark, SF))
+    assert "lineitem" not in plan and "Join" not in plan and "mapped-" in plan

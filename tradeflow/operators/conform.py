@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean_label, parse_month
 from .filters import drop_missing, exclude_values
-from .lookup import assert_mapped, lookup, lookup_default
+from .lookup import lookup, lookup_default, materialize_mapped
 
 
 def normalize_trade(df: DataFrame, measure: str, invalid_reporters: Sequence[str],
@@ -49,7 +49,7 @@ def strict_inline(df: DataFrame, source: str, target: str, context: str) -> Data
     """In-plan mapping check: the job fails on the first unmapped value.
 
     No extra job runs, but only one offending value is reported; use
-    :func:`~tradeflow.operators.lookup.assert_mapped` for the full list.
+    :func:`~tradeflow.operators.lookup.materialize_mapped` for the full list.
     """
     bad = F.col(target).isNull() & F.col(source).isNotNull()
     msg = F.concat(F.lit(f"Unmapped values in {context}: {source} -> {target}: "), F.col(source).cast("string"))
@@ -67,17 +67,18 @@ def conform_tyre(df: DataFrame, product_dim: DataFrame, category_dim: DataFrame,
                  *, eager: bool | None = True) -> DataFrame:
     """product -> hs_code, category -> general_category, all strict.
 
-    ``eager``: True runs the audit job now (full list of unmapped values);
+    ``eager``: True writes the rows now and fails with the full list of unmapped
+    values (:func:`~tradeflow.operators.lookup.materialize_mapped`);
     False fails the job in-plan on the first one; None leaves the check to the
     caller (e.g. on the written output).
     """
     out = lookup(df, product_dim, "product", ["hs_code", "category"])
     out = lookup(out, category_dim, "category", ["general_category"])
     checks = [("product", "hs_code"), ("product", "category"), ("category", "general_category")]
-    for source, target in checks:
-        if eager:
-            assert_mapped(out, source, target, context)
-        elif eager is not None:
+    if eager:
+        return materialize_mapped(out, checks, context)
+    if eager is not None:
+        for source, target in checks:
             out = strict_inline(out, source, target, context)
     return out
 
@@ -87,7 +88,7 @@ def conform_vehicle(df: DataFrame, product_dim: DataFrame, general_dim: DataFram
     """product -> hs_code (strict); excluded headings out; hs -> general, default Other, Other out."""
     out = lookup(df, product_dim, "product", ["hs_code"])
     if eager:
-        assert_mapped(out, "product", "hs_code", context)
+        out = materialize_mapped(out, [("product", "hs_code")], context)
     elif eager is not None:
         out = strict_inline(out, "product", "hs_code", context)
     out = exclude_values(out, "hs_code", excluded_hs)

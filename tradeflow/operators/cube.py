@@ -36,6 +36,55 @@ def _by_position(index: Column, size: Column, value) -> Column:
                                    lambda p: value(F.try_element_at(at, p)))))
 
 
+BASE_COLUMNS = ("dataset_code", "dataset_label", "source_updated", "source_path")
+
+
+def _codes_of(d: Column, size: Column) -> Column:
+    return _by_position(F.col("dimension")[d]["category"]["index"], size, lambda c: c)
+
+
+def _labels_of(d: Column, size: Column) -> Column:
+    category = F.col("dimension")[d]["category"]
+    return _by_position(category["index"], size, lambda c: F.coalesce(F.try_element_at(category["label"], c), c))
+
+
+def _base() -> list[Column]:
+    return [F.coalesce(F.col("extension.datasetId"), F.lit("")).alias("dataset_code"),
+            F.coalesce(F.col("label"), F.lit("")).alias("dataset_label"),
+            F.coalesce(F.col("updated"), F.lit("")).alias("source_updated"), F.col("source_path")]
+
+
+def _position(stride: Column, size: Column) -> Column:
+    return F.pmod(F.call_function("div", F.col("flat_index"), stride), size).cast("int")
+
+
+def _layout_columns(aliases: Mapping[str, str], dims: Sequence[str]) -> list[Column]:
+    names = F.transform("id", lambda d: _alias(d, aliases))
+    layout = []
+    for k, name in enumerate(dims):
+        # get() by a position of -1, where the dimension is absent, is null.
+        i = F.array_position(names, F.lit(name)).cast("int") - 1
+        d, size = F.get("id", i), F.get("size", i)
+        layout += [F.get(strides("size"), i).alias(f"__stride{k}"), size.alias(f"__size{k}"),
+                   _codes_of(d, size).alias(f"__codes{k}"), _labels_of(d, size).alias(f"__labels{k}")]
+    return layout
+
+
+def cube_layout(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES, dims: Sequence[str] = ()) -> DataFrame:
+    """Per document: what :func:`resolve_cells` needs to place the cells of ``dims``."""
+    return cubes.select(*_base(), *_layout_columns(aliases, dims))
+
+
+def resolve_cells(cells: DataFrame, dims: Sequence[str], value: Column, status: Column) -> DataFrame:
+    """Codes and labels of cells that carry ``flat_index`` and their document's :func:`cube_layout`."""
+    columns = []
+    for k, name in enumerate(dims):
+        at = _position(F.col(f"__stride{k}"), F.col(f"__size{k}"))
+        columns += [F.get(f"__codes{k}", at).alias(f"{name}_code"), F.get(f"__labels{k}", at).alias(f"{name}_label")]
+    return cells.select(*BASE_COLUMNS, "flat_index", value.alias("value"),
+                        F.coalesce(status, F.lit("")).alias("status"), *columns)
+
+
 def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES,
                 dims: Sequence[str] | None = None) -> DataFrame:
     """One row per stored cell: flat index -> coordinates -> codes and labels.
@@ -43,6 +92,8 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
     Per document (before the cells are exploded) each dimension's categories
     are laid out by position once, so a cell resolves a code by array index.
     A label missing for a code falls back to the code; a missing status is ``''``.
+    A document larger than a task is read by
+    :func:`~tradeflow.sources.large_cubes.scan_large_cubes` instead.
 
     With ``dims`` (names after aliasing) only these are resolved, as plain
     columns ``<dim>_code`` and ``<dim>_label``, null where a document lacks the
@@ -52,34 +103,16 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
     Output: dataset_code, dataset_label, source_updated, source_path,
     flat_index, value, status, and the dimensions.
     """
-    dim = F.col("dimension")
-
-    def codes_of(d: Column, size: Column) -> Column:
-        return _by_position(dim[d]["category"]["index"], size, lambda c: c)
-
-    def labels_of(d: Column, size: Column) -> Column:
-        return _by_position(dim[d]["category"]["index"], size,
-                            lambda c: F.coalesce(F.try_element_at(dim[d]["category"]["label"], c), c))
-
     names = F.transform("id", lambda d: _alias(d, aliases))
     every = F.arrays_zip(F.col("id").alias("d"), F.col("size").alias("n"))
     if dims is None:
         layout = [names.alias("__names"), strides("size").alias("__strides"), F.col("size").alias("__sizes"),
-                  F.transform(every, lambda x: codes_of(x["d"], x["n"])).alias("__codes"),
-                  F.transform(every, lambda x: labels_of(x["d"], x["n"])).alias("__labels")]
+                  F.transform(every, lambda x: _codes_of(x["d"], x["n"])).alias("__codes"),
+                  F.transform(every, lambda x: _labels_of(x["d"], x["n"])).alias("__labels")]
     else:
-        layout = []
-        for k, name in enumerate(dims):
-            # get() by a position of -1, where the dimension is absent, is null.
-            i = F.array_position(names, F.lit(name)).cast("int") - 1
-            d, size = F.get("id", i), F.get("size", i)
-            layout += [F.get(strides("size"), i).alias(f"__stride{k}"), size.alias(f"__size{k}"),
-                       codes_of(d, size).alias(f"__codes{k}"), labels_of(d, size).alias(f"__labels{k}")]
+        layout = _layout_columns(aliases, dims)
     docs = cubes.select(
-        F.coalesce(F.col("extension.datasetId"), F.lit("")).alias("dataset_code"),
-        F.coalesce(F.col("label"), F.lit("")).alias("dataset_label"),
-        F.coalesce(F.col("updated"), F.lit("")).alias("source_updated"),
-        F.col("source_path"), *layout,
+        *_base(), *layout,
         # Value and status maps zipped once per document (hashed key match), so
         # each cell carries its own status and no map is scanned per cell.
         F.map_zip_with(
@@ -92,23 +125,15 @@ def decode_cube(cubes: DataFrame, aliases: Mapping[str, str] = DIMENSION_ALIASES
     # __cells below this projection and evaluate the whole document twice.
     cells = docs.select("*", F.explode_outer("__cells").alias("__key", "__cell")).drop("__cells")
     cells = cells.where(F.col("__cell.a").isNotNull()).withColumn("flat_index", F.col("__key").cast("long"))
-
-    def position(stride: Column, size: Column) -> Column:
-        return F.pmod(F.call_function("div", F.col("flat_index"), stride), size).cast("int")
-
-    base = ["dataset_code", "dataset_label", "source_updated", "source_path", "flat_index",
-            F.col("__cell.a.v").alias("value"), F.coalesce(F.col("__cell.s"), F.lit("")).alias("status")]
     if dims is not None:
-        columns = []
-        for k, name in enumerate(dims):
-            at = position(F.col(f"__stride{k}"), F.col(f"__size{k}"))
-            columns += [F.get(f"__codes{k}", at).alias(f"{name}_code"), F.get(f"__labels{k}", at).alias(f"{name}_label")]
-        return cells.select(*base, *columns)
+        return resolve_cells(cells, dims, F.col("__cell.a.v"), F.col("__cell.s"))
+    base = [*BASE_COLUMNS, "flat_index", F.col("__cell.a.v").alias("value"),
+            F.coalesce(F.col("__cell.s"), F.lit("")).alias("status")]
     most = cubes.agg(F.max(F.size("id"))).first()[0] or 0
     n = F.size("__names")
     codes, labels = [], []
     for i in map(F.lit, range(most)):  # null past a document's own dimensions
-        at = position(F.get("__strides", i), F.get("__sizes", i))
+        at = _position(F.get("__strides", i), F.get("__sizes", i))
         codes.append(F.get(F.get("__codes", i), at))
         labels.append(F.get(F.get("__labels", i), at))
     decoded = cells.select(

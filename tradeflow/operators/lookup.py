@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -68,19 +68,31 @@ def unique_by(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.withColumn(keys[0], checked).select(*dim.columns)
 
 
+class UnmappedValues(ValueError):
+    """Non-null sources without a target; ``table`` holds all of them (source, target, value)."""
+
+    def __init__(self, message: str, table: str):
+        super().__init__(message)
+        self.table = table
+
+
 def assert_mapped(df: DataFrame, source: str, target: str, context: str) -> None:
     """Fail listing every unmapped value (``context: source -> target: a, b``)."""
     assert_all_mapped(df, [(source, target)], context)
 
 
+def _failed(checks: Sequence[tuple[str, str]]) -> Column:
+    """Per row the (source, target, value) of each check that fails, else null."""
+    return F.array(*[F.when(F.col(t).isNull() & F.col(s).isNotNull(), F.struct(
+        F.lit(s).alias("source"), F.lit(t).alias("target"), F.col(s).cast("string").alias("value"))) for s, t in checks])
+
+
 def assert_all_mapped(df: DataFrame, checks: Sequence[tuple[str, str]], context: str) -> None:
     """Fail where a non-null source has no target, for all ``(source, target)``
     pairs in one pass over ``df``. The full list is written to the checkpoint
-    folder; the error lists it up to MAX_LISTED values a pair and names the
-    table."""
-    failed = F.array(*[F.when(F.col(t).isNull() & F.col(s).isNotNull(), F.struct(
-        F.lit(s).alias("source"), F.lit(t).alias("target"), F.col(s).cast("string").alias("value"))) for s, t in checks])
-    audit = df.select(F.explode(F.array_compact(failed)).alias("a")).select("a.*").distinct()
+    folder; the error (:class:`UnmappedValues`) lists it up to MAX_LISTED values
+    a pair and names the table."""
+    audit = df.select(F.explode(F.array_compact(_failed(checks))).alias("a")).select("a.*").distinct()
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/unmapped-{uuid.uuid4().hex}"
     audit.write.parquet(path)
     found = df.sparkSession.read.schema(audit.schema).parquet(path)
@@ -94,17 +106,42 @@ def assert_all_mapped(df: DataFrame, checks: Sequence[tuple[str, str]], context:
             said.append(f"{s} -> {t}: {', '.join(r.value for r in own.collect())}"
                         + (f", ... ({counts[s, t]} values)" if counts[s, t] > MAX_LISTED else ""))
     more = f" (all in {path})" if max(counts.values()) > MAX_LISTED else ""
-    raise ValueError(f"Unmapped values in {context}{more}: {'; '.join(said)}")
+    raise UnmappedValues(f"Unmapped values in {context}{more}: {'; '.join(said)}", path)
+
+
+def write_counted(df: DataFrame, checks: Sequence[tuple[str, str]], write: Callable[[DataFrame], None]) -> int:
+    """``write(df)``, and how many rows of it fail one of the checks.
+
+    The rows are counted by the job that writes them; the plan of ``df`` runs
+    once. A task that runs again may count its rows again, so the number says
+    whether there are any, not how many.
+    """
+    unmapped = Observation()
+    bad = F.exists(_failed(checks), lambda x: x.isNotNull())
+    write(df.observe(unmapped, F.count(F.when(bad, F.lit(1))).alias("rows")))
+    return unmapped.get["rows"]
+
+
+def materialize_mapped(df: DataFrame, checks: Sequence[tuple[str, str]], context: str) -> DataFrame:
+    """``df`` written to the checkpoint folder, or :class:`UnmappedValues` with
+    the full list. Only where the write has counted unmapped rows does an audit
+    read the written rows."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/mapped-{uuid.uuid4().hex}"
+    unmapped = write_counted(df, checks, lambda rows: rows.write.parquet(path))
+    written = spark.read.schema(df.schema).parquet(path)
+    if unmapped:
+        assert_all_mapped(written, checks, context)
+    return written
 
 
 def lookup_strict(df: DataFrame, dim: DataFrame, on, add: Sequence[str], context: str, *,
                   source: str | None = None, known_rows: int | None = None) -> DataFrame:
-    """Lookup that fails when a non-null key finds no entry for an added column."""
+    """Lookup that fails when a non-null key finds no entry for an added column;
+    the result is written once (see :func:`materialize_mapped`)."""
     out = lookup(df, dim, on, add, known_rows=known_rows)
     src = source or next(iter(_key_map(on)))
-    for target in add:
-        assert_mapped(out, src, target, context)
-    return out
+    return materialize_mapped(out, [(src, target) for target in add], context)
 
 
 def compose_dims(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:

@@ -48,19 +48,95 @@ def dedupe_headers(headers: DataFrame, keys: Sequence[str], text: str = "text",
         F.concat(F.col(text), F.lit("."), rn.cast("string")))).drop("__bucket", "__rn", "__off")
 
 
-def _meta_fields(meta_rows: Mapping[int, str]) -> list[Column]:
-    """Aggregates: each metadata field from column 2 of its row, else column 0."""
+def sheet_metadata(cells: DataFrame, meta_rows: Mapping[int, str] = META_ROWS,
+                   keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
+    """Per tab: each metadata field from column 2 of its row, else column 0."""
     def cell(row: int, col: int) -> Column:
         return F.max(F.when((F.col("row") == row) & (F.col("col") == col), F.col("text")))
 
-    return [F.coalesce(cell(r, 2), cell(r, 0)).alias(name) for r, name in meta_rows.items()]
+    meta = cells.where(F.col("row").isin(list(meta_rows)) & F.col("col").isin(0, 2))
+    return meta.groupBy(*keys).agg(*[F.coalesce(cell(r, 2), cell(r, 0)).alias(name) for r, name in meta_rows.items()])
 
 
-def sheet_metadata(cells: DataFrame, meta_rows: Mapping[int, str] = META_ROWS,
-                   keys: Sequence[str] = SHEET_KEYS) -> DataFrame:
-    """Per tab: each metadata field from column 2 of its row, else column 0."""
-    meta = cells.where(F.col("row").isin(list(meta_rows)) & F.col("col").isin(0, 2))
-    return meta.groupBy(*keys).agg(*_meta_fields(meta_rows))
+#: Rows of a tab that one task takes at a time.
+ROW_RANGE = 1024
+
+
+def _tab_layouts(cells: DataFrame, header_row: int, meta_rows: Mapping[int, str]) -> DataFrame:
+    """One row per complete tab: metadata, the columns of country and month,
+    ``__columns`` (per sheet column its partner and position, null elsewhere)
+    and ``__ranges`` (the row ranges that hold data).
+
+    A workbook's layout comes from one aggregate over its cells: sets of header
+    cells, used columns, metadata cells and row ranges, never of data cells, so
+    they are as large as sheets are wide. All that follows is keyed by workbook
+    and stays where that aggregate put it.
+    """
+    is_data = F.col("row") > F.lit(header_row + 1)
+    fact = F.struct(F.col("sheet_ord"), F.col("row"), F.col("col"), F.col("text"))
+    none = F.lit(None)
+    # Kinds of facts: h a header cell, m a metadata cell, c a used column, r a row
+    # range, w a tab that is wider than one column.
+    facts = cells.groupBy("source_path").agg(
+        F.collect_set(F.when(F.col("row") == header_row, fact)).alias("h"),
+        F.collect_set(F.when(F.col("row").isin(list(meta_rows)) & F.col("col").isin(0, 2), fact)).alias("m"),
+        F.collect_set(F.when(is_data, F.struct("sheet_ord", "col"))).alias("c"),
+        F.collect_set(F.when(is_data, F.struct("sheet_ord", _range("row").alias("row")))).alias("r"),
+        F.collect_set(F.when(F.col("col") >= 1, F.col("sheet_ord"))).alias("w"))
+
+    def as_facts(kind: str, row, col, text, sheet=lambda x: x["sheet_ord"]):
+        return F.transform(kind, lambda x: F.struct(
+            F.lit(kind).alias("kind"), sheet(x).cast("int").alias("sheet_ord"), row(x).cast("int").alias("row"),
+            col(x).cast("int").alias("col"), text(x).cast("string").alias("text")))
+
+    rows = facts.select("source_path", F.explode(F.concat(
+        as_facts("h", lambda x: x["row"], lambda x: x["col"], lambda x: x["text"]),
+        as_facts("m", lambda x: x["row"], lambda x: x["col"], lambda x: x["text"]),
+        as_facts("c", lambda x: none, lambda x: x["col"], lambda x: none),
+        as_facts("r", lambda x: x["row"], lambda x: none, lambda x: none),
+        as_facts("w", lambda x: none, lambda x: none, lambda x: none, lambda x: x))).alias("f")).select("source_path", "f.*")
+    # A cell that a damaged sheet stores twice counts once.
+    twice = Window.partitionBy("source_path", "sheet_ord", "kind", "row", "col").orderBy("text")
+    rows = rows.withColumn("__nth", F.row_number().over(twice)).where("__nth = 1").drop("__nth")
+    # Repeated headers of a tab get .1, .2 ... in column order.
+    nth = F.row_number().over(Window.partitionBy("source_path", "sheet_ord", "kind", "text").orderBy("col")) - 1
+    rows = rows.withColumn("name", F.when(F.col("kind") == "h", F.when(nth == 0, F.col("text")).otherwise(
+        F.concat("text", F.lit("."), nth.cast("string")))))
+
+    def of(kind: str, value):
+        return F.when(F.col("kind") == kind, value)
+
+    def meta(row: int, col: int) -> Column:
+        return F.max(of("m", F.when((F.col("row") == row) & (F.col("col") == col), F.col("text"))))
+
+    tabs = (rows.groupBy("source_path", "sheet_ord").agg(
+                F.array_sort(F.collect_list(of("c", F.col("col")))).alias("__used"),
+                F.map_from_entries(F.collect_list(of("h", F.struct("col", "name")))).alias("__names"),
+                F.collect_list(of("r", F.col("row"))).alias("__ranges"),
+                F.max(F.col("kind") == "w").alias("__wide"),
+                *[F.coalesce(meta(r, 2), meta(r, 0)).alias(name) for r, name in meta_rows.items()])
+            .where(F.col("__wide") & (F.size("__used") > 2)))
+    # Partners of the value columns; positions count the partners of a workbook as first seen.
+    partners = tabs.select("*", F.explode(F.slice("__used", 3, F.size("__used"))).alias("__col")).withColumn(
+        "__partner", F.coalesce(F.try_element_at("__names", F.col("__col")),
+                                F.concat(F.lit("Unnamed: "), F.col("__col").cast("string"))))
+    partners = partners.withColumn("__first", F.min(F.struct("sheet_ord", "__col")).over(
+        Window.partitionBy("source_path", "__partner")))
+    partners = partners.withColumn(
+        "__ord", F.dense_rank().over(Window.partitionBy("source_path").orderBy("__first")) - 1)
+    kept = ["__used", "__ranges", *meta_rows.values()]
+    layout = partners.groupBy("source_path", "sheet_ord").agg(
+        *[F.first(c).alias(c) for c in kept],
+        F.map_from_entries(F.collect_list(F.struct("__col", F.struct(
+            F.col("__partner").alias("partner"), F.col("__ord").alias("partner_ord"))))).alias("__by_col"))
+    columns = F.transform(F.sequence(F.lit(0), F.element_at("__used", -1)), lambda c: F.try_element_at("__by_col", c))
+    return layout.select("source_path", "sheet_ord", F.element_at("__used", 1).alias("__country_col"),
+                         F.element_at("__used", 2).alias("__date_col"), *meta_rows.values(),
+                         columns.alias("__columns"), "__ranges")
+
+
+def _range(row: str) -> Column:
+    return F.floor(F.col(row) / F.lit(ROW_RANGE)).cast("int")
 
 
 def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = HEADER_ROW,
@@ -77,45 +153,29 @@ def matrix_to_long(cells: DataFrame, measure: str = "value", header_row: int = H
     ``partner_ord`` is the first-seen position of the partner header in the
     workbook (tabs in order, columns left to right).
 
-    Everything about a tab (extent, metadata, the columns of country and month)
-    comes from one aggregate and one join; so does the header of a column.
-    ``cells`` is read several times and should be a written table.
+    The cells move once: dealt by (workbook, tab, row range), so a large tab is
+    many tasks, they meet their tab's layout and give each row its country and
+    month. ``cells`` is read twice and should be a written table.
     """
     if "kind" not in cells.columns:
         cells = cells.withColumn("kind", F.lit(None).cast("string"))
     c = cells.where(F.col("sheet").startswith(sheet_prefix) & F.col("text").isNotNull()
                     & (F.col("text") != F.lit("")))
-    k = SHEET_KEYS
-
-    is_data = F.col("row") > F.lit(header_row + 1)
-    # A tab's distinct columns: as many as a sheet is wide, whatever its rows.
-    used = F.array_sort(F.collect_set(F.when(is_data, F.col("col"))))
-    tabs = c.groupBy(*k).agg(F.max("row").alias("__max_row"), F.max("col").alias("__max_col"),
-                             used.alias("__used"), *_meta_fields(meta_rows))
-    complete = (F.col("__max_row") - F.lit(header_row) >= 2) & (F.col("__max_col") + 1 >= 2)
-    tabs = tabs.where(complete).select(*k, F.get("__used", F.lit(0)).alias("__country_col"),
-                                       F.get("__used", F.lit(1)).alias("__date_col"), *meta_rows.values())
-    data = c.where(is_data).join(tabs, k)
-    by_row = Window.partitionBy(*k, "row")
+    keys = [*SHEET_KEYS, "__range"]
+    layouts = _tab_layouts(c, header_row, meta_rows).withColumn("__range", F.explode("__ranges")).drop("__ranges")
+    data = c.where(F.col("row") > F.lit(header_row + 1)).withColumn("__range", _range("row")).join(layouts, keys)
+    at = F.get("__columns", F.col("col"))
+    data = data.select(*keys, "source_name", "source_mtime", "sheet", "row", "col", "text", "kind", *meta_rows.values(),
+                       "__country_col", "__date_col", at["partner"].alias("partner"),
+                       at["partner_ord"].alias("partner_ord"))
+    by_row = Window.partitionBy(*keys, "row")
     data = data.withColumns({
         "country": F.max(F.when(F.col("col") == F.col("__country_col"), F.col("text"))).over(by_row),
         "date": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("text"))).over(by_row),
         "date_kind": F.max(F.when(F.col("col") == F.col("__date_col"), F.col("kind"))).over(by_row),
     })
-    # A tab with one used column has no month column and no values.
-    values = data.where((F.col("col") != F.col("__country_col")) & (F.col("col") != F.col("__date_col")))
-
-    headers = dedupe_headers(c.where(F.col("row") == F.lit(header_row)).select(*k, "source_name", "col", "text"),
-                             k).select(*k, "col", "header")
-    values = values.join(headers, k + ["col"], "left").withColumn(
-        "partner", F.coalesce(F.col("header"), F.concat(F.lit("Unnamed: "), F.col("col").cast("string"))))
-
-    first_seen = values.groupBy("source_path", "partner").agg(
-        F.min(F.struct("sheet_ord", "col")).alias("__first"))
-    first_seen = first_seen.withColumn(
-        "partner_ord", F.dense_rank().over(Window.partitionBy("source_path").orderBy("__first")) - 1)
-    values = values.join(first_seen.select("source_path", "partner", "partner_ord"), ["source_path", "partner"])
-
+    # The columns of country and month have no partner.
+    values = data.where(F.col("partner").isNotNull())
     return values.select(
         "source_name", "source_path", "source_mtime", "sheet_ord", "sheet", "row",
         "country", "date", "date_kind", *meta_rows.values(), "partner", "partner_ord",

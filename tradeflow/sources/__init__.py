@@ -1,0 +1,8 @@
+"""Readers. Their functions travel to the executors with their code, so
+executors need not have this package installed."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -35,10 +35,10 @@ def scan_cubes(spark: SparkSession, path: str, glob: str = "*.json", recursive:
     request plan splits slices until they do). A file that is not JSON or not
     of the schema's shape has its text in ``malformed``; see :func:`cube_errors`.
     """
-    reader = spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
+    reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return parse_cubes(reader.text(path).select(F.col("value").alias("json"),
+    return parse_cubes(reader.text(path, wholetext=True).select(F.col("value").alias("json"),
                                                 F.col("_metadata.file_path").alias("source_path")))
 
 

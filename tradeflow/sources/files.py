@@ -9,13 +9,21 @@ from __future__ import annotations
 import fnmatch
 import re
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 
 
+#: Spark's names of file systems that pyarrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
 def locate(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI or an absolute path."""
+    """File system and path of a URI, as Spark writes it, or of an absolute path."""
     uri = re.sub(r"^file:/+", "/", uri)
-    return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
+    if uri.startswith("/"):
+        return pafs.LocalFileSystem(), uri
+    scheme, _, rest = uri.partition("://")
+    return pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def folder_files(folder: str, pattern: str) -> list[tuple[str, str, int, object]]:
@@ -28,7 +36,7 @@ def folder_files(folder: str, pattern: str) -> list[tuple[str, str, int, object]
             if f.type == pafs.FileType.File and fnmatch.fnmatchcase(f.base_name, pattern)]
 
 
-def read_bytes(uri: str) -> bytes:
+def open_file(uri: str) -> pa.NativeFile:
+    """A file for reading at any place."""
     fs, path = locate(uri)
-    with fs.open_input_file(path) as source:
-        return source.read()
+    return fs.open_input_file(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.increment import MANIFEST_SCHEMA
+from ..sinks.paths import names
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -40,15 +41,20 @@ def read_year_or_fallback(spark: SparkSession, path: str, year: int, fallback: D
     return fallback.where((d >= F.lit(lo).cast("date")) & (d < F.lit(hi).cast("date")))
 
 
+def complete_versions(spark: SparkSession, root: str) -> list[str]:
+    """Versions that were written to their end, newest first."""
+    root = root.rstrip("/")
+    found = sorted((n.removeprefix("version=") for n in names(spark, root) if n.startswith("version=")), reverse=True)
+    return [v for v in found if path_exists(spark, f"{root}/version={v}/_SUCCESS")]
+
+
 def newest_version(spark: SparkSession, root: str) -> str | None:
     """The newest version folder that was written to its end."""
-    if not path_exists(spark, root):
-        return None
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-    names = sorted((f.getPath().getName() for f in listed if f.getPath().getName().startswith("version=")), reverse=True)
-    return next((f"{root.rstrip('/')}/{n}" for n in names if path_exists(spark, f"{root.rstrip('/')}/{n}/_SUCCESS")), None)
+    root = root.rstrip("/")
+    for name in sorted((n for n in names(spark, root) if n.startswith("version=")), reverse=True):
+        if path_exists(spark, f"{root}/{name}/_SUCCESS"):
+            return f"{root}/{name}"
+    return None
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:

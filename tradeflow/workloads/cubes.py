@@ -1,6 +1,6 @@
-"""Cube workloads: JSON-stat responses built by Spark from the star facts.
+"""Cube workloads: JSON-stat responses encoded by Spark from the star facts.
 
-One response document per ship year, laid out like the statistics API:
+One response document per ship year, a file each, laid out like the statistics API:
 dimensions freq x reporter x partner x product x indicators x time, cells
 stored sparsely by flat row-major index. Cell values are exact decimal sums
 (value: extended price of lines not flagged N; weight: quantity of lines with
@@ -10,16 +10,19 @@ sees what a landing folder would hold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..operators import bounded_broadcast
 from ..operators.cube import CONFORM_DIMS, check_latest_periods, conform_cube, cube_cell_counts, decode_cube
 from ..operators.cube import latest_period as latest_period_op
-from ..sources.cubes import cube_errors, parse_cubes
+from ..operators.cube_encode import CubeDim, encode_cubes, write_documents
+from ..operators.ranking import with_global_rank
+from ..sources.cubes import cube_errors, parse_cubes, require_whole_cubes, scan_cubes
+from ..sources.large_cubes import decode_large, require_whole_large, scan_large_cubes
 from .star import EXACT, STAR_TYRE_PRODUCTS, STAR_VEHICLE_PRODUCTS, star_facts
-from .fixtures import materialized
+from .fixtures import landed
 from .tables import table
 
 # Product dimension of the star cube, in position order.
@@ -29,20 +32,6 @@ INDICATOR_CODES = ("VALUE_IN_EUROS", "QUANTITY_IN_100KG")
 # and the step of keys whose labels carry a validity note.
 UNLABELLED_REPORTER = 24
 NOTE_EVERY = 5
-MAX_NATIONS = 1000
-
-
-def _lit_map(pairs) -> F.Column:
-    flat = []
-    for k, v in pairs:
-        flat += [F.lit(k), F.lit(v)]
-    return F.create_map(*flat)
-
-
-def _category(index_pairs, label_pairs) -> F.Column:
-    return F.struct(F.lit(None).cast("string").alias("label"),
-                    F.struct(_lit_map(index_pairs).cast("map<string,bigint>").alias("index"),
-                             _lit_map(label_pairs).alias("label")).alias("category"))
 
 
 def star_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,77 +47,63 @@ def star_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def star_cube_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON text of one response document per year: (source_path, json)."""
-    nations = table(spark, sf, "nation").select("n_nationkey", "n_name").limit(MAX_NATIONS + 1).collect()
-    if len(nations) > MAX_NATIONS:
-        raise ValueError("nation dimension too large to inline")
-    n_nat = len(nations)
-    rep_index = [(f"N{r.n_nationkey}", r.n_nationkey) for r in nations]
-    rep_label = [(f"N{r.n_nationkey}", r.n_name + (" (incl. X from 1991)" if r.n_nationkey % NOTE_EVERY == 0 else ""))
-                 for r in nations if r.n_nationkey != UNLABELLED_REPORTER]
-    par_label = [(f"N{r.n_nationkey}", r.n_name) for r in nations]
-    prod_dim = dims.small_table(spark, [(p, code, i) for i, (p, code) in enumerate(CUBE_PRODUCTS)],
-                                     "product string, product_code string, product_pos int")
-
-    # One pass over the cells: both indicators stacked by an explode (no
-    # self-union), month positions by windows over the year, which is the
-    # document grouping anyway.
-    cells = star_cells(spark, sf)
-    sides = F.explode(F.array(
-        F.struct(F.lit(0).alias("ind_pos"), F.col("v").cast("double").alias("value"), F.col("nv").alias("n")),
-        F.struct(F.lit(1).alias("ind_pos"), F.col("w").cast("double").alias("value"), F.col("nw").alias("n")),
-    ))
-    stacked = cells.select("year", "reporter_key", "partner_key", "product", "date", sides.alias("s")).where(
-        F.col("s.n") > 0)
-    by_year = Window.partitionBy("year")
-    stacked = (stacked.withColumn("t_pos", F.dense_rank().over(by_year.orderBy("date")) - 1)
-               .withColumn("t_size", F.max("t_pos").over(by_year) + 1)
-               .join(bounded_broadcast(prod_dim, len(CUBE_PRODUCTS)), "product"))
-    flat = (((F.col("reporter_key").cast("long") * n_nat + F.col("partner_key")) * len(CUBE_PRODUCTS)
-             + F.col("product_pos")) * 2 + F.col("s.ind_pos")) * F.col("t_size") + F.col("t_pos")
-    stacked = stacked.withColumn("flat", flat.cast("string"))
-    docs = stacked.groupBy("year").agg(
-        F.map_from_entries(F.collect_list(F.struct("flat", F.col("s.value")))).alias("value"),
-        F.map_from_entries(F.collect_list(F.when(F.col("s.n") < 2, F.struct("flat", F.lit("p")))))
-        .alias("status"),
-        F.map_from_entries(F.collect_set(F.struct(F.date_format("date", "yyyy-MM"), F.col("t_pos").cast("long"))))
-        .alias("t_index"),
-        F.max("t_size").alias("t_size"),
-    )
-
-    dimension = F.create_map(
-        F.lit("freq"), _category([("M", 0)], [("M", "Monthly")]),
-        F.lit("reporter"), _category(rep_index, rep_label),
-        F.lit("partner"), _category(rep_index, par_label),
-        F.lit("product"), _category([(code, i) for i, (_p, code) in enumerate(CUBE_PRODUCTS)],
-                                    [(code, p) for p, code in CUBE_PRODUCTS]),
-        F.lit("indicators"), _category([(c, i) for i, c in enumerate(INDICATOR_CODES)],
-                                       [(c, c) for c in INDICATOR_CODES]),
-        F.lit("time"), F.struct(F.lit(None).cast("string").alias("label"),
-                                F.struct(F.col("t_index").alias("index"),
-                                         F.map_from_arrays(F.map_keys("t_index"), F.map_keys("t_index"))
-                                         .alias("label")).alias("category")),
-    )
-    doc = F.struct(
-        F.concat(F.lit("Star trade "), F.col("year").cast("string")).alias("label"),
-        F.concat((F.col("year") + 1).cast("string"), F.lit("-02-01T00:00:00+0000")).alias("updated"),
-        F.array(*[F.lit(d) for d in ("freq", "reporter", "partner", "product", "indicators", "time")]).alias("id"),
-        F.array(F.lit(1).cast("long"), F.lit(n_nat).cast("long"), F.lit(n_nat).cast("long"),
-                F.lit(len(CUBE_PRODUCTS)).cast("long"), F.lit(2).cast("long"),
-                F.col("t_size").cast("long")).alias("size"),
-        dimension.alias("dimension"),
-        F.col("value"), F.col("status"),
-        F.struct(F.concat(F.lit("star-"), F.col("year").cast("string")).alias("datasetId")).alias("extension"),
-    )
-    return docs.select(F.concat(F.lit("landing/star/"), F.col("year").cast("string"), F.lit(".json"))
-                       .alias("source_path"), F.to_json(doc).alias("json"))
+def coded_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per stored cell, both indicators stacked: year, the codes of all
+    dimensions, value, status ('p' for a single line, else null)."""
+    products = dims.small_table(spark, list(CUBE_PRODUCTS), "product string, product_code string")
+    sides = F.explode(F.array(*[
+        F.struct(F.lit(code).alias("indicator_code"), F.col(amount).cast("double").alias("value"), F.col(n).alias("n"))
+        for code, amount, n in zip(INDICATOR_CODES, ("v", "w"), ("nv", "nw"))]))
+    stacked = star_cells(spark, sf).select("year", "reporter_key", "partner_key", "product", "date", sides.alias("s"))
+    return stacked.where(F.col("s.n") > 0).join(bounded_broadcast(products, len(CUBE_PRODUCTS)), "product").select(
+        "year", F.lit("M").alias("freq_code"), _nation_code("reporter_key").alias("reporter_code"),
+        _nation_code("partner_key").alias("partner_code"), "product_code", "s.indicator_code",
+        F.date_format("date", "yyyy-MM").alias("time_code"), "s.value",
+        F.when(F.col("s.n") < 2, F.lit("p")).alias("status"))
+
+
+def _nation_code(key: str) -> F.Column:
+    return F.concat(F.lit("N"), F.col(key).cast("string"))
+
+
+def _cube_dims(spark: SparkSession, sf: str) -> list[CubeDim]:
+    """The dimensions of the star cube; time has the months of each document."""
+    nation = with_global_rank(table(spark, sf, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "__rank")
+    note = F.when(F.col("n_nationkey") % NOTE_EVERY == 0, F.concat("n_name", F.lit(" (incl. X from 1991)"))).otherwise(
+        F.col("n_name"))
+    codes = [_nation_code("n_nationkey").alias("code"), (F.col("__rank") - 1).alias("pos")]
+    reporters = nation.select(*codes, F.when(F.col("n_nationkey") != UNLABELLED_REPORTER, note).alias("label"))
+
+    def fixed(rows: list[tuple[str, str]]) -> DataFrame:
+        return dims.small_table(spark, [(c, label, k) for k, (c, label) in enumerate(rows)],
+                                "code string, label string, pos int")
+    return [CubeDim("freq", "freq_code", fixed([("M", "Monthly")])),
+            CubeDim("reporter", "reporter_code", reporters),
+            CubeDim("partner", "partner_code", nation.select(*codes, F.col("n_name").alias("label"))),
+            CubeDim("product", "product_code", fixed([(code, p) for p, code in CUBE_PRODUCTS])),
+            CubeDim("indicators", "indicator_code", fixed([(c, c) for c in INDICATOR_CODES])),
+            CubeDim("time", "time_code")]
+
+
+def _year_header() -> dict[str, F.Column]:
+    year = F.col("year").cast("string")
+    return {"label": F.concat(F.lit("Star trade "), year), "datasetId": F.concat(F.lit("star-"), year),
+            "updated": F.concat((F.col("year") + 1).cast("string"), F.lit("-02-01T00:00:00+0000"))}
+
+
+def star_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON text of one response document per year: (source_path, json), read
+    from files that are written once per session (as a landing folder holds them)."""
+    folder = landed(spark, sf, "cube_docs", lambda path: write_documents(
+        encode_cubes(coded_cells(spark, sf), ["year"], _cube_dims(spark, sf), _year_header()), path, "year"))
+    return spark.read.text(folder, wholetext=True).select(
+        F.concat(F.lit("landing/star/"), F.col("year").cast("string"), F.lit(".json")).alias("source_path"),
+        F.col("value").alias("json"))
 
 
 def star_cubes(spark: SparkSession, sf: str) -> DataFrame:
-    """The response documents, written once per session to the checkpoint
-    folder (as a landing folder holds them), then parsed by each query."""
-    return parse_cubes(materialized(spark, sf, "cube_docs", lambda: star_cube_docs(spark, sf)))
+    """The response documents, parsed by each query."""
+    return parse_cubes(star_texts(spark, sf))
 
 
 CUBE_DIMS = ["reporter", "partner", "product", "indicator", "time"]
@@ -159,7 +134,7 @@ def cube_slice_stats(spark: SparkSession, sf: str) -> DataFrame:
 def damaged_docs(spark: SparkSession, sf: str) -> DataFrame:
     """The response documents, three of four years damaged: cut off, cells as a
     list, one cell that is no number, whole."""
-    texts = materialized(spark, sf, "cube_docs", lambda: star_cube_docs(spark, sf))
+    texts = star_texts(spark, sf)
     kind = F.regexp_extract("source_path", r"(\d+)\.json$", 1).cast("int") % 4
     return texts.select("source_path", (
         F.when(kind == 0, F.expr("substring(json, 1, length(json) div 2)"))
@@ -168,6 +143,31 @@ def damaged_docs(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("json"))).alias("json"))
 
 
+def cube_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells encoded to one document per indicator, product and year, written,
+    read back and decoded: the cells again."""
+    doc = F.concat_ws("_", "indicator_code", "product_code", F.col("year").cast("string"))
+    nation = table(spark, sf, "nation").select(_nation_code("n_nationkey").alias("code"), F.col("n_name").alias("label"))
+    sides = [CubeDim("reporter", "reporter_code", nation), CubeDim("partner", "partner_code", nation),
+             *[CubeDim(d, f"{c}_code") for d, c in (("product", "product"), ("indicators", "indicator"), ("time", "time"))]]
+    header = {"label": F.col("doc"), "updated": F.lit(""), "datasetId": F.col("doc")}
+    folder = landed(spark, sf, "cube_slices", lambda path: write_documents(
+        encode_cubes(coded_cells(spark, sf).withColumn("doc", doc), ["doc"], sides, header), path, "doc"))
+    long = decode_cube(require_whole_cubes(scan_cubes(spark, folder, glob="*.txt")), dims=CUBE_DIMS)
+    return long.select("dataset_code", "value", "status", *[f"{d}_code" for d in CUBE_DIMS], "reporter_label", "partner_label")
+
+
+def cube_large_doc(spark: SparkSession, sf: str) -> DataFrame:
+    """All cells as one document, read by byte ranges and decoded."""
+    header = {"label": F.lit("Star trade"), "updated": F.lit("now"), "datasetId": F.col("doc")}
+    folder = landed(spark, sf, "cube_whole", lambda path: write_documents(
+        encode_cubes(coded_cells(spark, sf).withColumn("doc", F.lit("star")), ["doc"], _cube_dims(spark, sf), header),
+        path, "doc"))
+    long = decode_large(require_whole_large(scan_large_cubes(spark, folder, glob="*.txt")), CUBE_DIMS)
+    return long.select("dataset_code", "dataset_label", "flat_index", "value", "status",
+                       *[f"{d}_{kind}" for d in CUBE_DIMS for kind in ("code", "label")])
+
+
 def cube_errors_q(spark: SparkSession, sf: str) -> DataFrame:
     """The documents that cannot be decoded whole."""
     return cube_errors(parse_cubes(damaged_docs(spark, sf)))
@@ -266,6 +266,24 @@ FROM decoded JOIN gen ON decoded.product_code = gen.hs_code
 WHERE indicator_code = 'QUANTITY_IN_100KG'""",
 }
 
+SQL["cube_roundtrip"] = _CELLS_SQL + """
+SELECT indicator_code || '_' || product_code || '_' || CAST(year AS VARCHAR) AS dataset_code, value, status,
+       'N' || CAST(rk AS VARCHAR) AS reporter_code, 'N' || CAST(pk AS VARCHAR) AS partner_code, product_code,
+       indicator_code, strftime(date, '%Y-%m') AS time_code, rname AS reporter_label, pname AS partner_label
+FROM decoded"""
+
+SQL["cube_large_doc"] = _CELLS_SQL + """,
+every_month AS (
+  SELECT date, dense_rank() OVER (ORDER BY date) - 1 AS pos, count(*) OVER () AS size FROM (SELECT DISTINCT date FROM cells))
+SELECT 'star' AS dataset_code, 'Star trade' AS dataset_label,
+       (((CAST(rk AS BIGINT) * nat.n + pk) * 6 + product_pos) * 2 + ind_pos) * every_month.size + every_month.pos AS flat_index,
+       value, status, 'N' || CAST(rk AS VARCHAR) AS reporter_code,
+       CASE WHEN rk = 24 THEN 'N24' WHEN rk % 5 = 0 THEN rname || ' (incl. X from 1991)' ELSE rname END AS reporter_label,
+       'N' || CAST(pk AS VARCHAR) AS partner_code, pname AS partner_label, decoded.product_code,
+       decoded.product AS product_label, indicator_code, indicator_code AS indicator_label,
+       strftime(date, '%Y-%m') AS time_code, strftime(date, '%Y-%m') AS time_label
+FROM decoded JOIN every_month USING (date) JOIN pd USING (product), nat"""
+
 SQL["cube_errors"] = """
 SELECT 'landing/star/' || CAST(y AS VARCHAR) || '.json' AS source_path, 'not of the expected shape' AS error
 FROM (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -275,6 +293,8 @@ WHERE y % 4 <> 3"""
 QUERIES = {
     "cube_decode": cube_decode,
     "cube_errors": cube_errors_q,
+    "cube_large_doc": cube_large_doc,
+    "cube_roundtrip": cube_roundtrip,
     "cube_latest_period": cube_latest_period,
     "cube_slice_stats": cube_slice_stats,
     "cube_tyre_value": cube_tyre_value,

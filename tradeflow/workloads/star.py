@@ -18,7 +18,7 @@ from ..operators import (align_measures, align_pair, bounded_broadcast, combined
                          enrich_partner, keep_latest, keep_values, lookup, lookup_default, ordered,
                          strict_inline, unmapped_values)
 from ..operators._broadcast import MAX_BROADCAST_ROWS
-from ..operators.lookup import assert_all_mapped
+from ..operators.lookup import UnmappedValues, materialize_mapped
 from ..operators.ranking import with_global_rank
 from .tables import table
 
@@ -203,8 +203,8 @@ def product_lookup_strict(spark: SparkSession, sf: str) -> DataFrame:
     out = lookup(_line_products(spark, sf), code_dim, "product", ["hs_code"], known_rows=len(CHAIN_PRODUCTS))
     out = lookup(out, cat_dim, "hs_code", ["category"], known_rows=len(dims.TYRE_PRODUCTS))
     out = lookup(out, gen_dim, "category", ["general_category"], known_rows=len(dims.TYRE_CATEGORY_GENERAL))
-    assert_all_mapped(out, [("product", "hs_code"), ("hs_code", "category"),
-                            ("category", "general_category")], "star lines")
+    out = materialize_mapped(out, [("product", "hs_code"), ("hs_code", "category"),
+                                   ("category", "general_category")], "star lines")
     return out.select("l_orderkey", "l_linenumber", "product", "hs_code", "category", "general_category")
 
 
@@ -230,6 +230,26 @@ def unmapped_audit(spark: SparkSession, sf: str) -> DataFrame:
     return unmapped_values(out, "product", "hs_code")
 
 
+# Codes whose category the failing strict lookup knows.
+STRICT_KNOWN = ("401110", "401120", "40112090")
+
+
+def unmapped_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """What a strict two-step lookup over whole line items reports when types
+    and codes are missing from its dictionaries."""
+    code_dim = dims.small_table(spark, [(p, c) for p, c in CHAIN_PRODUCTS if p != "LARGE"],
+                                "product string, hs_code string")
+    cat_dim = dims.small_table(spark, [(code, cat) for _l, code, cat in dims.TYRE_PRODUCTS if code in STRICT_KNOWN],
+                               "hs_code string, category string")
+    out = lookup(_line_products(spark, sf), code_dim, "product", ["hs_code"], known_rows=len(CHAIN_PRODUCTS))
+    out = lookup(out, cat_dim, "hs_code", ["category"], known_rows=len(STRICT_KNOWN))
+    try:
+        materialize_mapped(out, [("product", "hs_code"), ("hs_code", "category")], "star lines")
+    except UnmappedValues as failed:
+        return spark.read.schema("source string, target string, value string").parquet(failed.table)
+    return spark.createDataFrame([], "source string, target string, value string")
+
+
 def partner_region_default(spark: SparkSession, sf: str) -> DataFrame:
     """Aligned totals per partner continent; unknown partners grouped under the default."""
     facts = star_facts(spark, sf).select("partner", F.col("l_extendedprice").cast(EXACT).alias("value"))
@@ -329,6 +349,13 @@ LEFT JOIN ({_PARTNER_DIM_SQL}) pr ON n.n_name = pr.partner""",
     "unmapped_audit": """
 SELECT DISTINCT p.p_type AS product FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 WHERE p.p_type NOT IN ('ECONOMY', 'PROMO', 'STANDARD', 'SMALL') ORDER BY 1""",
+    "unmapped_strict": """
+WITH codes(product, hs_code) AS (VALUES ('ECONOMY', '401110'), ('PROMO', '401120'), ('STANDARD', '40112090'),
+  ('SMALL', '401170'), ('MEDIUM', '401180'))
+SELECT DISTINCT CASE WHEN hs_code IS NULL THEN 'product' ELSE 'hs_code' END AS source,
+       CASE WHEN hs_code IS NULL THEN 'hs_code' ELSE 'category' END AS target, coalesce(hs_code, p_type) AS value
+FROM lineitem JOIN part ON l_partkey = p_partkey LEFT JOIN codes ON p_type = product
+WHERE p_type IS NOT NULL AND coalesce(hs_code, '') NOT IN ('401110', '401120', '40112090')""",
     "partner_region_default": f"""
 WITH f AS ({_star_sql()})
 SELECT coalesce(pr.partner_continent, 'Unknown') AS partner_continent,
@@ -344,5 +371,6 @@ QUERIES = {
     "product_lookup_strict": product_lookup_strict,
     "partner_lookup_default": partner_lookup_default,
     "unmapped_audit": unmapped_audit,
+    "unmapped_strict": unmapped_strict,
     "partner_region_default": partner_region_default,
 }
