@@ -54,30 +54,32 @@ def _body(entries: Column) -> Column:
 def _placed(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim]) -> tuple[DataFrame, list[DataFrame], DataFrame]:
     """Cells with ``__flat``; per dimension (doc..., code, label, pos) or (code,
     label, pos); documents with ``__sizes``."""
-    tables, sizes, documents = [], [], cells.select(*doc).distinct()
+    # Everything below reads the cells and the documents several times.
+    cells = cells.checkpoint()
+    tables, sizes, documents = [], [], cells.select(*doc).distinct().checkpoint()
     for k, dim in enumerate(dims):
         if dim.categories is None:
             own = cells.select(*doc, F.col(dim.code).cast("string").alias("code")).distinct()
-            own = own.withColumn("pos", (F.dense_rank().over(Window.partitionBy(*doc).orderBy("code")) - 1).cast("long"))
+            own = own.withColumn("pos", (F.dense_rank().over(Window.partitionBy(*doc).orderBy("code")) - 1).cast("long")).checkpoint()
             tables.append(own.withColumn("label", F.col("code")))
             counted = own.groupBy(*doc).agg(F.count(F.lit(1)).alias(f"__n{k}"))
             documents = documents.join(counted, list(doc))
             keys = [*doc, dim.code]
         else:
             own = dim.categories if "pos" in dim.categories.columns else dense_positions(dim.categories)
-            own = own.select(F.col("code").cast("string").alias("code"), "label", F.col("pos").cast("long").alias("pos"))
+            own = own.select(F.col("code").cast("string").alias("code"), "label", F.col("pos").cast("long").alias("pos")).checkpoint()
             tables.append(own)
             documents = documents.withColumn(f"__n{k}", F.lit(own.count()).cast("long"))
             keys = [dim.code]
         side = own.select(*[c for c in doc if c in own.columns], F.col("code").alias(dim.code), F.col("pos").alias(f"__p{k}"))
         cells = cells.join(bounded_broadcast(side, check=True), keys)
         sizes.append(F.col(f"__n{k}"))
-    documents = documents.select(*doc, F.array(*sizes).alias("__sizes"))
+    documents = documents.select(*doc, F.array(*sizes).alias("__sizes")).checkpoint()
     cells = cells.join(bounded_broadcast(documents, check=True), list(doc))
     flat = F.lit(0).cast("long")
     for k in range(len(dims)):
         flat = flat * F.get("__sizes", F.lit(k)) + F.col(f"__p{k}")
-    return cells.withColumn("__flat", flat), tables, documents
+    return cells.withColumn("__flat", flat).checkpoint(), tables, documents
 
 
 def encode_cubes(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim], header: dict[str, Column],

@@ -139,7 +139,7 @@ def damaged_docs(spark: SparkSession, sf: str) -> DataFrame:
     return texts.select("source_path", (
         F.when(kind == 0, F.expr("substring(json, 1, length(json) div 2)"))
         .when(kind == 1, F.regexp_replace("json", r'"value":\{[^}]*\}', '"value":[1.0,2.0]'))
-        .when(kind == 2, F.regexp_replace("json", r'"value":\{("\d+"):[^,}]*', r'"value":{$1:"n/a"'))
+        .when(kind == 2, F.regexp_replace("json", r'"value":\{\s*("\d+"):[^,}]*', r'"value":{$1:"n/a"'))
         .otherwise(F.col("json"))).alias("json"))
 
 
