@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ._broadcast import bounded_broadcast
@@ -51,9 +51,10 @@ def _body(entries: Column) -> Column:
     return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
-def _placed(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim]) -> tuple[DataFrame, list[DataFrame], DataFrame]:
-    """Cells with ``__flat``; per dimension (doc..., code, label, pos) or (code,
-    label, pos); documents with ``__sizes``."""
+def _placed(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim]
+            ) -> tuple[DataFrame, list[tuple[DataFrame, Row | None]], DataFrame]:
+    """Cells with ``__flat``; per dimension (doc..., code, label, pos), or (code,
+    label, pos) and how far its positions go; documents with ``__sizes``."""
     # Everything below reads the cells and the documents several times.
     cells = cells.checkpoint()
     tables, sizes, documents = [], [], cells.select(*doc).distinct().checkpoint()
@@ -61,18 +62,21 @@ def _placed(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim]) -> tu
         if dim.categories is None:
             own = cells.select(*doc, F.col(dim.code).cast("string").alias("code")).distinct()
             own = own.withColumn("pos", (F.dense_rank().over(Window.partitionBy(*doc).orderBy("code")) - 1).cast("long")).checkpoint()
-            tables.append(own.withColumn("label", F.col("code")))
+            tables.append((own.withColumn("label", F.col("code")), None))
             counted = own.groupBy(*doc).agg(F.count(F.lit(1)).alias(f"__n{k}"))
             documents = documents.join(counted, list(doc))
             keys = [*doc, dim.code]
         else:
             own = dim.categories if "pos" in dim.categories.columns else dense_positions(dim.categories)
             own = own.select(F.col("code").cast("string").alias("code"), "label", F.col("pos").cast("long").alias("pos")).checkpoint()
-            tables.append(own)
-            documents = documents.withColumn(f"__n{k}", F.lit(own.count()).cast("long"))
+            extent = own.agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"),
+                             F.min(F.when(F.col("label").isNotNull(), F.col("pos"))).alias("labelled")).first()
+            tables.append((own, extent))
+            documents = documents.withColumn(f"__n{k}", F.lit(extent.n).cast("long"))
             keys = [dim.code]
         side = own.select(*[c for c in doc if c in own.columns], F.col("code").alias(dim.code), F.col("pos").alias(f"__p{k}"))
-        cells = cells.join(bounded_broadcast(side, check=True), keys)
+        known = tables[-1][1]
+        cells = cells.join(bounded_broadcast(side, known.n) if known else bounded_broadcast(side, check=True), keys)
         sizes.append(F.col(f"__n{k}"))
     documents = documents.select(*doc, F.array(*sizes).alias("__sizes")).checkpoint()
     cells = cells.join(bounded_broadcast(documents, check=True), list(doc))
@@ -118,8 +122,8 @@ def encode_cubes(cells: DataFrame, doc: Sequence[str], dims: Sequence[CubeDim],
     pieces.append(documents.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(s).alias("section"), F.lit(p).cast("long").alias("part"), t.alias("text")) for s, p, t in frame])).alias("f"))
         .select(*keys, "f.*"))
-    for k, (dim, table) in enumerate(zip(dims, tables)):
-        pieces.append(_dimension(documents, keys, k, dim, table))
+    for k, (dim, (table, extent)) in enumerate(zip(dims, tables)):
+        pieces.append(_dimension(documents, keys, k, dim, table, extent))
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
@@ -139,27 +143,28 @@ def _joined(parts: DataFrame, keys: list[str], section: int) -> DataFrame:
 _SPAN = 1 << 40
 
 
-def _dimension(documents: DataFrame, keys: list[str], k: int, dim: CubeDim, table: DataFrame) -> DataFrame:
+def _dimension(documents: DataFrame, keys: list[str], k: int, dim: CubeDim, table: DataFrame, extent: Row | None) -> DataFrame:
     """The pieces of one dimension in every document."""
     own = [c for c in keys if c in table.columns]
     base, half = 2 * k * _SPAN, _SPAN
 
-    def listed(entry: str, present: Column, offset: int) -> DataFrame:
+    def listed(entry: str, present: Column, offset: int, first_pos: int | None) -> DataFrame:
         chunk = F.floor(F.col("pos") / CATEGORIES_A_PIECE)
         body = _body(F.transform(
             F.array_sort(F.collect_list(F.struct("pos", F.col("code").alias("key"), F.col(entry).alias("value")))),
             lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))))
-        parts = table.where(present).withColumn("__pos", F.col("pos")).groupBy(*own, chunk.alias("part")).agg(body.alias("text"))
+        parts = table.where(present).groupBy(*own, chunk.alias("part")).agg(body.alias("text"))
         if own:
             first = parts.groupBy(*own).agg(F.min("part").alias("__first"))
             parts = parts.join(first, own)
         else:
             # A label may be missing from the first chunk; the least of the chunks has no comma.
-            parts = parts.withColumn("__first", F.lit(parts.agg(F.min("part")).first()[0]))
+            parts = parts.withColumn("__first", F.lit((first_pos or 0) // CATEGORIES_A_PIECE))
         comma = F.when(F.col("part") > F.col("__first"), F.lit(",")).otherwise(F.lit(""))
         return parts.select(*own, (F.col("part").cast("long") + offset).alias("part"), F.concat(comma, "text").alias("text"))
 
-    lists = listed("pos", F.lit(True), base).unionByName(listed("label", F.col("label").isNotNull(), base + half))
+    lists = listed("pos", F.lit(True), base, extent and extent.first).unionByName(
+        listed("label", F.col("label").isNotNull(), base + half, extent and extent.labelled))
     fixed = documents.select(*keys, F.explode(F.array(
         F.struct(F.lit(base - 1).cast("long").alias("part"),
                  F.lit((',' if k else '') + f'"{dim.name}":{{"category":{{"index":{{').alias("text")),
@@ -169,7 +174,7 @@ def _dimension(documents: DataFrame, keys: list[str], k: int, dim: CubeDim, tabl
         lists = documents.select(*keys).join(lists, own)
     else:
         # Every document repeats the shared pieces: one row per document and part number, matched by that.
-        last = (table.agg(F.max("pos")).first()[0] or 0) // CATEGORIES_A_PIECE
+        last = (extent.last or 0) // CATEGORIES_A_PIECE
         numbers = F.concat(*[F.sequence(F.lit(base + at).cast("long"), F.lit(base + at + last).cast("long")) for at in (0, half)])
         lists = documents.select(*keys, F.explode(numbers).alias("part")).join(lists, "part")
     return fixed.unionByName(lists.select(*keys, "part", "text")).withColumn("section", F.lit(DIMENSIONS)).select(
