@@ -112,3 +112,17 @@ def test_sample_is_bounded_and_ignores_other_folds(spark):
     assert (y == 1).sum() <= 20 and (y == 0).sum() == 20 and weight[y == 0][0] > weight[y == 1][0]
     for t in texts.to_pylist():
         assert zlib.crc32(t.split()[1].encode()) % 4 != 2 and len(t) < 100
+
+
+def test_training_reads_its_texts_in_blocks(monkeypatch):
+    """Blocks of any size give the same network."""
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 80, n)) + (" vile" if n % 2 else "") for n in rng.integers(0, 60, 80)])
+    y = np.array([float(t.endswith("vile")) for t in texts.to_pylist()])
+    nets = []
+    for size in (1 << 20, 100, 1):
+        monkeypatch.setattr(toxicity.W, "PIECE_BYTES", size)
+        nets.append(toxicity.train(texts, y, np.ones(len(y)), epochs=1))
+    for other in nets[1:]:
+        assert all(np.array_equal(nets[0].p[k], other.p[k]) for k in other.p)
+        assert (nets[0].scale, nets[0].shift) == (other.scale, other.shift)

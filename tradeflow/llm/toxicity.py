@@ -59,6 +59,25 @@ def _char_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     return slots[order], words[order]
 
 
+def _blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about PIECE_BYTES together."""
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + W.PIECE_BYTES, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def _hashes(data: np.ndarray, offsets: np.ndarray, words: W.Words) -> np.ndarray:
+    """The hash of each word, made for a block of texts at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for lo, hi in _blocks(offsets):
+        own, begin = slice(words.first[lo], words.first[hi]), offsets[lo]
+        part = W.Words(words.starts[own] - begin, words.ends[own] - begin, words.first[lo:hi + 1] - words.first[lo])
+        out.append(W.hash_words(data[begin:offsets[hi]], part))
+    return np.concatenate(out)
+
+
 class Piece:
     """Distinct words and windows of some texts. Word 0 pads short windows; a
     text without words has one window of padding."""
@@ -66,7 +85,7 @@ class Piece:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         data = _SEEN[data]
         words = W.split_words(data, offsets)
-        hashes, shown, at = np.unique(W.hash_words(data, words), return_index=True, return_inverse=True)
+        hashes, shown, at = np.unique(_hashes(data, offsets, words), return_index=True, return_inverse=True)
         self.slot = np.concatenate([[0], 1 + (hashes % np.uint64(WORD_SLOTS - 1)).astype(np.int64)])
         self.char, self.char_word = _char_grams(data, words.starts[shown], words.ends[shown])
         counts = np.diff(words.first)
@@ -208,9 +227,13 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
     # Embeddings begin with how much oftener a word, or words with an n-gram,
     # stand in documents of label 1, in standard deviations; what has little
     # support stays zero.
-    pair = np.unique(np.repeat(piece.text, WIDTH) * len(piece.slot) + piece.ids(slice(None)).ravel())
-    hit = np.bincount(pair % len(piece.slot), y[pair // len(piece.slot)], len(piece.slot))
-    seen = np.bincount(pair % len(piece.slot), minlength=len(piece.slot))
+    hit, seen = np.zeros(len(piece.slot)), np.zeros(len(piece.slot), np.int64)
+    bounds = np.append(piece.first, len(piece.text))
+    for lo, hi in _blocks(offsets - offsets[0]):
+        own = slice(bounds[lo], bounds[hi])
+        pair = np.unique(np.repeat(piece.text[own], WIDTH) * len(piece.slot) + piece.ids(own).ravel())
+        hit += np.bincount(pair % len(piece.slot), y[pair // len(piece.slot)], len(piece.slot))
+        seen += np.bincount(pair % len(piece.slot), minlength=len(piece.slot))
     share = hit[1:].sum() / max(1, seen[1:].sum())
     for kind, slots, word, n in (("word", piece.slot[1:], np.arange(len(piece.slot) - 1), WORD_SLOTS),
                                  ("char", piece.char, piece.char_word, CHAR_SLOTS)):
