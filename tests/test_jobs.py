@@ -188,3 +188,20 @@ def test_merge_aligns_stages(spark, sources):
     assert len(out) == 1
     row = out[0]
     assert (row.value, row.weight, row.type, row.partner_continent) == (10.0, 200.0, "Tyre", "Asia")
+
+
+def test_a_bucketed_cache_gives_the_same_stage(spark, sources):
+    now = time.time() - 1000
+    _book(f"{sources}/a.xlsx", [("Spain", "2024-01", [10, 2, 7]), ("Spain", "2023-02", [1, 2, 3])], now)
+    _book(f"{sources}/b.xlsx", [("Spain", "2024-01", [11, 3, 8]), ("Malta", "2024-01", [4, 5, 6])], now + 1)
+    root = tempfile.mkdtemp(prefix="tf-bkt-")
+    layout = StageLayout((sources,), f"{root}/cache", f"{root}/stage", cache_table="tyre_value_cache", cache_buckets=4)
+    spec = stage_spec("tyre", "value")
+    assert build_stage(spark, spec, layout, f"{root}/manifest") == [2023, 2024]
+    _run(spark, f"{root}/plain", sources, full=True)
+    assert _stage_rows(spark, layout.stage) == _stage_rows(spark, f"{root}/plain/stage")
+    _book(f"{sources}/b.xlsx", [("Spain", "2024-01", [12, 3, 8])], now + 2)
+    spark.sql("DROP TABLE tyre_value_cache")  # as in a new session: the files alone remain
+    assert build_stage(spark, spec, layout, f"{root}/manifest") == [2024]
+    _run(spark, f"{root}/again", sources, full=True)
+    assert _stage_rows(spark, layout.stage) == _stage_rows(spark, f"{root}/again/stage")

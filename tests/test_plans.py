@@ -110,3 +110,14 @@ def test_the_strict_lookup_reads_its_rows_once(spark):
     from tradeflow.workloads.star import product_lookup_strict
     plan = _plan(product_lookup_strict(spark, SF))
     assert "lineitem" not in plan and "Join" not in plan and "mapped-" in plan
+
+
+def test_a_numbered_plan_has_many_tasks_and_no_cross_join(spark, monkeypatch):
+    from tradeflow.plans import numbered
+    from tradeflow.workloads.plans import many_chunks, star_lists
+    monkeypatch.setattr(numbered, "SLICES_A_TASK", 5)
+    slices = numbered.numbered_slices(spark, star_lists(spark, SF))
+    assert slices.rdd.getNumPartitions() > 10 and slices.select("cache_path").distinct().count() == slices.count()
+    for df in (slices, many_chunks(spark, SF)):
+        plan = _plan(df)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "Range (0" in plan

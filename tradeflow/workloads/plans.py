@@ -9,10 +9,14 @@ slice when more than ``MONTH_LIMIT`` lines that month.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dims
 from ..functions import chunk_array
+from ..plans.numbered import PlanLists, numbered_slices, positioned, refine_numbered, rejected_paths, with_urls
 from ..plans.requests import TOO_LARGE, chunk_id, pending_slices, refine_plan, request_manifest, request_plan
 from .tables import table
 
@@ -138,20 +142,38 @@ def chunk_brands(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("chunk", ",").alias("brands"))
 
 
+def star_lists(spark: SparkSession, sf: str) -> PlanLists:
+    """The lists of the star config as tables with positions."""
+    part = table(spark, sf, "part").select(F.col("p_type").alias("product_group"), F.col("p_brand").alias("product_code")).distinct()
+    years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    reporters = table(spark, sf, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("reporter"))
+    indicators = dims.small_table(spark, [(0, "value", "VALUE_IN_EUROS"), (1, "weight", "QUANTITY_IN_100KG")],
+                                  "pos long, indicator_alias string, indicator_code string")
+    return PlanLists(DATASET, BASE_URL, indicators, positioned(part, ["product_group", "product_code"]), positioned(years, ["year"]),
+                     positioned(reporters, ["reporter"]), CHUNK, MONTHS, ("1",))
+
+
+def numbered_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan after two rounds of refinement, made from slice numbers."""
+    lists, rejected = star_lists(spark, sf), rejected_paths(slice_outcomes(spark, sf))
+    plan = numbered_slices(spark, lists)
+    for _ in range(2):
+        plan = refine_numbered(plan, rejected, lists)
+    return with_urls(plan, lists).select(*_OUT, F.size("reporters").alias("n_reporters"))
+
+
 def many_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """A plan with a chunk for each supplier: more than 99 of them. Products are
     the part types, the only month is January and every slice is too large."""
-    suppliers = table(spark, sf, "supplier").agg(
-        F.array_sort(F.collect_list(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")))).alias("s"))
-    types = table(spark, sf, "part").select("p_type").distinct().agg(
-        F.map_from_entries(F.collect_list(F.struct("p_type", F.array("p_type")))).alias("t"))
-    config = star_config(spark, sf).crossJoin(F.broadcast(suppliers)).crossJoin(F.broadcast(types)).withColumns({
-        "reporters": F.col("s"), "products": F.col("t"), "reporter_chunk_size": F.lit(1).cast("long"),
-        "months": F.array(F.lit(1).cast("long")),
-        "indicators": F.create_map(F.lit("value"), F.lit("VALUE_IN_EUROS"))}).drop("s", "t")
-    plan = request_plan(config)
+    suppliers = table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("reporter"))
+    types = table(spark, sf, "part").select(F.col("p_type").alias("product_group"), F.col("p_type").alias("product_code")).distinct()
+    lists = replace(star_lists(spark, sf), reporters=positioned(suppliers, ["reporter"]), chunk_size=1, months=[1],
+                    products=positioned(types, ["product_code"]),
+                    indicators=dims.small_table(spark, [(0, "value", "VALUE_IN_EUROS")],
+                                                "pos long, indicator_alias string, indicator_code string"))
+    plan = numbered_slices(spark, lists)
     for _ in range(2):
-        plan = refine_plan(plan, plan.select("cache_path", F.lit(TOO_LARGE).alias("status_code")))
+        plan = refine_numbered(plan, plan, lists)
     return plan.select("product_code", "year", "month", "reporter_chunk", "granularity", "cache_path",
                        F.array_join("reporters", ",").alias("reporters"))
 
@@ -272,11 +294,14 @@ FROM (SELECT p_type, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY p_
 GROUP BY p_type, i // 4""",
 }
 
+SQL["numbered_plan"] = SQL["refined_slices"]
+
 QUERIES = {
     "request_slices": request_slices,
     "refined_slices": refined_slices,
     "pending_year_slices": pending_year_slices,
     "request_stats": request_stats,
     "many_chunks": many_chunks,
+    "numbered_plan": numbered_plan,
     "chunk_brands": chunk_brands,
 }

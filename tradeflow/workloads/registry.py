@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import columns, cubes, increment, jobs, matrix, plans, recovery, stages, star
+from . import columns, cubes, increment, jobs, matrix, observe, plans, recovery, stages, star
 
-_MODULES = [star, columns, cubes, matrix, plans, increment, stages, recovery, jobs]
+_MODULES = [star, columns, cubes, matrix, plans, increment, stages, recovery, jobs, observe]
 
 
 def queries() -> dict:
