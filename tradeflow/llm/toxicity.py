@@ -30,8 +30,8 @@ EPOCHS, RATE, BATCH = 6, 0.01, 512
 #: Labelled documents that must hold a word (or words with an n-gram) before it
 #: has an embedding of its own.
 SUPPORT = 8
-#: Windows read at once when scoring.
-READ = 4096
+#: Windows read at once when scoring, and distinct words whose n-grams are held at once.
+READ, WORDS = 4096, 1 << 14
 
 # Bytes as the network sees them: A-Z lowered, ASCII punctuation and controls
 # separate words.
@@ -40,8 +40,18 @@ _SEEN[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
 
 
 def _char_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(slots of the words' character n-grams, word of each, ascending); the
-    ends of a word count as characters."""
+    """(slots of the words' character n-grams, word of each, ascending), made
+    for WORDS words at a time."""
+    slots, words = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for lo in range(0, len(starts), WORDS):
+        slot, word = _grams(data, starts[lo:lo + WORDS], ends[lo:lo + WORDS])
+        slots.append(slot.astype(np.int32))
+        words.append((word + lo).astype(np.int32))
+    return np.concatenate(slots), np.concatenate(words)
+
+
+def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of some words; the ends of a word count as characters."""
     n = ends - starts + 2
     first = np.concatenate([[0], np.cumsum(n)])
     at = np.arange(first[-1]) - np.repeat(first[:-1], n)
@@ -95,7 +105,7 @@ class Piece:
         self.start = words.first[:-1][self.text] + nth * STRIDE
         self.end = words.first[1:][self.text]
         self.first = np.cumsum(windows) - windows
-        self.word = np.concatenate([at + 1, [0]])
+        self.word = np.concatenate([at + 1, [0]]).astype(np.int32)
 
     def ids(self, windows: np.ndarray | slice) -> np.ndarray:
         """Distinct-word indexes of some windows, WIDTH each."""
@@ -125,8 +135,11 @@ class Network:
         out = np.zeros((len(slot), WORD_DIM + CHAR_DIM), np.float32)
         out[:, :WORD_DIM] = self.p["word"][slot]
         if len(char):
-            cuts = np.flatnonzero(np.diff(char_word, prepend=-1))
-            out[1:, WORD_DIM:] = np.maximum.reduceat(self.p["char"][char], cuts, axis=0)
+            cuts = np.append(np.flatnonzero(np.diff(char_word, prepend=-1)), len(char))
+            for lo in range(0, len(cuts) - 1, WORDS):
+                own = cuts[lo:lo + WORDS + 1]
+                out[1 + lo:lo + len(own), WORD_DIM:] = np.maximum.reduceat(
+                    self.p["char"][char[own[0]:own[-1]]], own[:-1] - own[0], axis=0)
         out[0] = 0
         return out
 
