@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     names = list(queries())
-    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 def test_stages(spark):
