@@ -123,3 +123,14 @@ def test_a_numbered_plan_has_many_tasks_and_no_cross_join(spark, monkeypatch):
     for df in (slices, many_chunks(spark, SF)):
         plan = _plan(df)
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "Range (0" in plan
+
+
+def test_a_cache_has_buckets_for_its_rows(spark, monkeypatch):
+    from tradeflow.sinks import buckets
+    from tradeflow.workloads.increment import bucketed_rebuild
+    assert buckets.buckets_for(36_000_000) * buckets.BUCKET_ROWS >= 36_000_000
+    assert buckets.buckets_for(0) == buckets.LEAST_BUCKETS
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 500)
+    wanted = buckets.buckets_for(spark.read.parquet(f"{SF}/lineitem.parquet").count())
+    assert wanted > buckets.LEAST_BUCKETS
+    assert f"out of {wanted}" in _plan(bucketed_rebuild(spark, SF))

@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 
 from .paths import make_folder
 
+#: Rows of one source that a bucket holds, over all partitions, and the fewest
+#: buckets of a table. A task writes or reads one bucket, so this bounds what it
+#: sorts, however many rows the table has.
+BUCKET_ROWS, LEAST_BUCKETS = 500_000, 8
+
+
+def buckets_for(rows: int) -> int:
+    """How many buckets a cache needs whose sources have up to ``rows`` rows each."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
 
 @dataclass(frozen=True)
 class Bucketed:

@@ -18,7 +18,7 @@ from .. import dims
 from ..operators import keep_latest
 from ..operators.increment import affected_years, diff_sources, profile_sources
 from ..session import checkpoint_dir
-from ..sinks.buckets import Bucketed, bucketed_table, write_bucketed
+from ..sinks.buckets import Bucketed, bucketed_table, buckets_for, write_bucketed
 from .tables import table
 
 
@@ -125,12 +125,14 @@ def bucketed_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bucketed_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Both snapshots in one cache of 8 buckets, written one after the other."""
+    """Both snapshots in one cache, written one after the other; it has as many
+    buckets as the lines need."""
+    buckets = buckets_for(table(spark, sf, "lineitem").count())
     name = f"snapshots_{uuid.uuid4().hex}"
     cache = Bucketed(name, f"{checkpoint_dir(spark).rstrip('/')}/workloads/{name}",
                      "l_orderkey bigint, l_linenumber int, l_shipdate timestamp_ntz, l_suppkey bigint, l_partkey bigint, "
                      "value decimal(18,2), source_name string, source_mtime timestamp, source_id string, year int",
-                     ("source_id", "year"), ("l_orderkey", "l_linenumber"), 8)
+                     ("source_id", "year"), ("l_orderkey", "l_linenumber"), buckets)
     for version, mtime, restated in (("v1", "2024-01-01 00:00:00", False), ("v2", "2024-02-01 00:00:00", True)):
         rows = _snapshot(spark, sf, f"lines_{version}.xlsx", mtime, restated)
         write_bucketed(rows.withColumn("source_id", F.lit(version)), cache)
