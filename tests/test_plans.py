@@ -134,3 +134,12 @@ def test_a_cache_has_buckets_for_its_rows(spark, monkeypatch):
     wanted = buckets.buckets_for(spark.read.parquet(f"{SF}/lineitem.parquet").count())
     assert wanted > buckets.LEAST_BUCKETS
     assert f"out of {wanted}" in _plan(bucketed_rebuild(spark, SF))
+
+
+def test_the_merge_joins_its_facts_once(spark, monkeypatch):
+    """The stages read their lines from the written facts."""
+    from tradeflow.workloads import stages
+    plans, write = [], stages.overwrite_years
+    monkeypatch.setattr(stages, "overwrite_years", lambda s, rows, path: (plans.append(_plan(rows)), write(s, rows, path)))
+    stages.merge_stages(spark, SF)
+    assert len(plans) == 4 and not any("Join" in p or "lineitem" in p for p in plans)

@@ -67,7 +67,13 @@ def read_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_stages(spark: SparkSession, sf: str) -> DataFrame:
     """The stage jobs' merge over four stage tables, published as the sorted export."""
-    facts = star_facts(spark, sf).join(star_product_dim(spark).drop("keep"), "product")
+    held = _folder(spark, "merge-facts")
+    # Joined once: each of the four stages below reads its lines from here.
+    (star_facts(spark, sf).join(star_product_dim(spark).drop("keep"), "product")
+     .select("type", "country", "date", "product", "partner", "hs_code", "category", "general_category",
+             "l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity")
+     .write.parquet(held))
+    facts = spark.read.parquet(held)
     stages = {}
     for module in ("tyre", "vehicle"):
         own = facts.where(F.lower("type") == module)
