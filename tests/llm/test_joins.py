@@ -251,3 +251,29 @@ def test_no_match_just_above_the_threshold_is_lost():
 def _value(index, own, item):
     grams, _ = D._shingles(*D.W.utf8(pa.array([" ".join(own)])), 5)
     return index.similarity(grams, item, 0, 0)[0]
+
+
+def test_lm_scores_of_rare_words(spark, monkeypatch):
+    """Almost every word is dealt again, to where it is counted."""
+    import tradeflow.llm.lm_scoring as module
+    monkeypatch.setattr(module, "HOT", 2)
+    monkeypatch.setattr(module, "HOT_WORDS", 2)
+    own = rows() + [(500 + k, "x " * 700 + f"only{k} here{k}", "en", "s") for k in range(3)]
+    same_scores(lm_scores(frame(spark, own)).collect(), brute_scores(own, own, 1))
+    same_scores(lm_scores(frame(spark, own[20:]), frame(spark, own[:20]).select("text")).collect(), brute_scores(own[20:], own[:20], 0))
+
+
+def test_lm_positions_are_packed_small():
+    import tradeflow.llm.lm_scoring as module
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 48, 70_000, dtype=np.uint64))
+    ranked = module.Ranked(keys, rng.integers(1, 9_000, len(keys)))
+    for n in (0, 1, 255, 256, 40_000):
+        words = keys[np.minimum(rng.zipf(1.3, n), len(keys)) - 1] if n else keys[:0]
+        words[::9] = rng.integers(0, 1 << 48, len(words[::9]), dtype=np.uint64)
+        assert (ranked.get(ranked.put(words)) == words).all()
+        assert n < 40_000 or len(ranked.put(words)) < 3 * n  # 6 bytes each before
+        begin, length = module._runs(np.sort(words))
+        assert (np.repeat(np.sort(words)[begin], length) == np.sort(words)).all()
+    begin, length = module._runs(np.repeat(np.arange(3), [255, 700, 1]))
+    assert begin.tolist() == [0, 255, 510, 765, 955] and length.tolist() == [255, 255, 255, 190, 1]

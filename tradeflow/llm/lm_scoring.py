@@ -35,22 +35,37 @@ PACK_BYTES = 4 << 20
 START = np.uint64(0x5354415254)  # context of a text's first word
 LOW = np.uint64((1 << 48) - 1)   # of a word's hash, 48 bits go along
 
-_PACK = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("context", pa.binary()),
-                   ("context_n", pa.binary()), ("word", pa.binary()), ("doc", pa.binary()), ("value", pa.binary())])
-_PACK_SQL = ("bucket long, kind int, keys binary, context binary, context_n binary, word binary, doc binary, value binary")
-POSITIONS, MISSES, COUNTS, SUMS = range(4)
+_PACK = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), *((c, pa.binary()) for c in (
+    "piece", "context", "context_n", "word", "doc", "keys", "value"))])
+_PACK_SQL = "bucket long, kind int, piece binary, context binary, context_n binary, word binary, doc binary, keys binary, value binary"
+#: Kinds of packed rows. The bucket of sums is their piece: its documents with
+#: their words and what is known at once (DOCUMENTS), more for some of them (SUMS).
+POSITIONS, MISSES, COUNTS, DOCUMENTS, SUMS = range(5)
+COLD = 0xFFFF  # the rank of words that are not hot, and of hot ones beyond
 
 
-def _row(bucket: int, kind: int, **parts: np.ndarray) -> pa.RecordBatch:
+def _row(bucket: int, kind: int, **parts: bytes) -> pa.RecordBatch:
     made = {"bucket": pa.array([bucket], pa.int64()), "kind": pa.array([kind], pa.int32())}
     for name in _PACK.names[2:]:
-        made[name] = pa.array([np.ascontiguousarray(parts[name]).tobytes() if name in parts else None], pa.binary())
+        made[name] = pa.array([parts.get(name)], pa.binary())
     return pa.RecordBatch.from_pydict(made, _PACK)
 
 
-def _six(words: np.ndarray) -> np.ndarray:
+def _put(values: np.ndarray) -> bytes:
+    """Numbers, compressed: the first bytes of all, the second ones and so on."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _get(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], n * size, "zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _six(words: np.ndarray) -> bytes:
     """The low 48 bits of each number as six bytes."""
-    return words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
 def _from_six(data: bytes) -> np.ndarray:
@@ -59,6 +74,45 @@ def _from_six(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+class Ranked:
+    """Words as bytes: the hot ones by their rank."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.by_rank = keys, np.append(keys[np.argsort(-counts, kind="stable")][:COLD], np.uint64(0))
+        self.rank = np.full(len(keys), COLD, np.uint16)
+        self.rank[np.argsort(-counts, kind="stable")[:COLD]] = np.arange(min(len(keys), COLD))
+
+    def put(self, words: np.ndarray) -> bytes:
+        code = np.full(len(words), COLD, np.uint16)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
+            code = np.where(self.keys[at] == words, self.rank[at], code)
+        ranks = _put(code)
+        return len(ranks).to_bytes(8, "little") + ranks + _six(words[code == COLD])
+
+    def get(self, data: bytes) -> np.ndarray:
+        end = 8 + int.from_bytes(data[:8], "little")
+        code = _get(data[8:end], np.uint16)
+        out = self.by_rank[np.minimum(code, len(self.by_rank) - 1)]
+        out[code == COLD] = _from_six(data[end:])
+        return out
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where runs of equal values begin, how long each is, at most 255)."""
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
+    n = np.diff(begin, append=len(values))
+    parts = -(-n // 255)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.repeat(begin, parts) + 255 * nth, np.minimum(np.repeat(n, parts) - 255 * nth, 255).astype(np.uint8)
+
+
+def _piece(keys: np.ndarray) -> int:
+    """The number of a piece: a hash of its documents' keys."""
+    own = np.ascontiguousarray(keys).view(np.uint64).ravel()
+    return int(W.mix(W.mix(own.copy()) + np.arange(1, len(own) + 1, dtype=np.uint64) * START).sum().view(np.int64))
+
+
 def _positions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, context, text) of each position; words are A-Z lowered."""
     data = W.lower_ascii(data)
@@ -162,6 +216,7 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
         {"text_hash": F.xxhash64("text"), "key": F.xxhash64("doc_id", "text")})
     source = rows if corpus is None else corpus.select(text_or_empty().alias("text"))
     total, (hot_words, hot_contexts, hot_pairs) = _hot(source)
+    ranked = Ranked(*hot_words)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     if total <= leave_out:
@@ -187,12 +242,13 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
             pair = _pair(context, word)
             if scored:
                 # Sums known here: hot bigrams; every text has a row, with its words.
-                n = np.bincount(doc, minlength=len(keys))
+                piece = _piece(keys)
                 both, one = _lookup(*hot_pairs, pair), _lookup(*hot_contexts, context)
                 done = both > leave_out
                 value = np.zeros(len(word))
                 value[done] = np.log((both[done] - leave_out) / (one[done] - leave_out))
-                yield _row(-1, SUMS, keys=keys, context_n=n, value=np.bincount(doc, value, len(keys)))
+                yield _row(piece, DOCUMENTS, keys=keys.tobytes(), context_n=_put(np.bincount(doc, minlength=len(keys))),
+                           value=np.bincount(doc, value, len(keys)).tobytes())
             else:
                 # Hot bigrams are counted, so they need not be dealt.
                 done = _lookup(*hot_pairs, pair) > 0
@@ -205,51 +261,61 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
             word, context, doc, bucket = (x[order] for x in (word, context, doc, bucket))
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
-                begin = np.flatnonzero(np.concatenate([[True], context[a + 1:b] != context[a:b - 1]]))
-                own, at = np.unique(doc[a:b], return_inverse=True)
-                yield _row(bucket[a], POSITIONS, context=_six(context[a:b][begin]),
-                           context_n=np.diff(begin, append=b - a).astype(np.uint32), word=_six(word[a:b]),
-                           **({"keys": keys[own], "doc": at.astype(np.uint16)} if scored else {}),
-                           **({"value": np.zeros(1, bool)} if not counted else {}))
+                begin, n = _runs(context[a:b])
+                yield _row(bucket[a], POSITIONS, context=ranked.put(context[a:b][begin]), context_n=_put(n), word=ranked.put(word[a:b]),
+                           **({"piece": np.int64(piece).tobytes(), "doc": _put(doc[a:b].astype(np.uint16))} if scored else {}),
+                           **({} if counted else {"value": b"-"}))
         return run
 
     def by_bucket(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by bucket; one bucket is held at a time.
+        # Rows come sorted by bucket, sums last; one bucket or piece is held at a time.
         now, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != now and held:
-                    yield from work(now, held)
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                group = row["kind"] >= DOCUMENTS, row["bucket"]
+                if group != now and held:
+                    yield from add_up(now[1], held) if now[0] else work(now[1], held)
                     held = []
-                now = row["bucket"]
-                if row["kind"] == SUMS:
-                    yield _row(-1, SUMS, **{k: np.frombuffer(row[k], np.uint8) for k in ("keys", "context_n", "value")
-                                             if row[k] is not None})
+                now = group
+                if row["kind"] == DOCUMENTS:
+                    yield _row(row["bucket"], DOCUMENTS, **{k: row[k] for k in ("keys", "context_n", "value")})
                 else:
                     held.append(row)
         if held:
-            yield from work(now, held)
-
-    def documents(held: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct document keys, the document of each position, -1 if it is
-        not scored, which positions count)."""
-        keys, doc, counts, base = [np.zeros((0, 2), np.int64)], [], [], 0
+            yield from add_up(now[1], held) if now[0] else work(now[1], held)
+
+    def add_up(piece: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
+        doc = np.concatenate([_get(r["doc"], np.uint16) for r in held])
+        value = np.bincount(doc, np.concatenate([np.frombuffer(r["value"], np.float64) for r in held]))
+        own = np.flatnonzero(np.bincount(doc))
+        yield _row(piece, SUMS, doc=_put(own.astype(np.uint16)), value=value[own].tobytes())
+
+    def documents(held: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(pieces of the distinct documents, their places there, the document of
+        each position, -1 if it is not scored, which positions count)."""
+        pieces, places, doc, counts, base = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], [], [], 0
         for row in held:
-            n = len(row["word"]) // 6
+            n = int(_get(row["context_n"], np.uint8).sum())
             counts.append(np.full(n, row["value"] is None))
-            if row["keys"] is None:
+            if row["doc"] is None:
                 doc.append(np.full(n, -1, np.int32))
             else:
-                own = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
-                keys.append(own)
-                doc.append(np.frombuffer(row["doc"], np.uint16).astype(np.int32) + np.int32(base))
+                own, at = np.unique(_get(row["doc"], np.uint16), return_inverse=True)
+                pieces.append(np.full(len(own), np.frombuffer(row["piece"], np.int64)[0]))
+                places.append(own)
+                doc.append(at.astype(np.int32) + np.int32(base))
                 base += len(own)
-        return np.concatenate(keys), np.concatenate(doc), np.concatenate(counts)
+        return np.concatenate(pieces), np.concatenate(places), np.concatenate(doc), np.concatenate(counts)
+
+    def sums(piece: np.ndarray, place: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for own, i in _by(piece):
+            yield _row(own, SUMS, doc=_put(place[i]), value=value[i].tobytes())
 
     def join_pairs(bucket: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
-        context = np.concatenate([np.repeat(_from_six(r["context"]), np.frombuffer(r["context_n"], np.uint32)) for r in held])
-        word = np.concatenate([_from_six(r["word"]) for r in held])
-        keys, doc, counted = documents(held)
+        context = np.concatenate([np.repeat(ranked.get(r["context"]), _get(r["context_n"], np.uint8)) for r in held])
+        word = np.concatenate([ranked.get(r["word"]) for r in held])
+        piece, place, doc, counted = documents(held)
         held.clear()  # a bucket's arrays are most of what a task holds
         both = _count(_pair(context, word), counted)
         one = _lookup(*hot_contexts, context).astype(np.int64)
@@ -267,28 +333,37 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
         value[at] = low(known[at])
         miss &= known == 0
         done = scored & ~miss
-        if len(keys):
-            yield _row(-1, SUMS, keys=keys, value=np.bincount(doc[done], value[done], len(keys)))
-        own, n = np.unique(word[counted], return_counts=True)
-        for b, i in _by(own % np.uint64(buckets)):
-            yield _row(b, COUNTS, word=_six(own[i]), context_n=n[i].astype(np.int64))
+        if len(piece):
+            yield from sums(piece, place, np.bincount(doc[done], value[done], len(piece)))
+        del value, done, scored, hit
+        # Counts of hot words are known everywhere.
+        own, n = np.unique(word[counted & (known == 0)], return_counts=True)
+        for b, i in _by((own % np.uint64(buckets)).astype(np.int64)):
+            yield _row(b, COUNTS, word=_six(own[i]), context_n=_put(n[i].astype(np.int64)))
+        del known, counted
         word, doc = word[miss], doc[miss]
-        for b, i in _by(word % np.uint64(buckets)):
-            docs_here, at = np.unique(doc[i], return_inverse=True)
-            yield _row(b, MISSES, word=_six(word[i]), keys=keys[docs_here], doc=at.astype(np.uint32))
+        order = np.lexsort((doc, word))
+        word, doc = word[order], doc[order]
+        for b, i in _by((word % np.uint64(buckets)).astype(np.int64)):
+            begin, n = _runs(word[i])
+            pieces, at = np.unique(piece[doc[i]], return_inverse=True)
+            yield _row(b, MISSES, word=_six(word[i][begin]), context_n=_put(n), piece=pieces.tobytes(),
+                       keys=_put(at.astype(np.uint32)), doc=_put(place[doc[i]]))
 
     def join_words(bucket: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
         counts = [r for r in held if r["kind"] == COUNTS]
         if counts:
             own, at = np.unique(np.concatenate([_from_six(r["word"]) for r in counts]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([np.frombuffer(r["context_n"], np.int64) for r in counts]))
+            n = np.bincount(at, np.concatenate([_get(r["context_n"], np.int64) for r in counts]))
         else:
             own, n = np.zeros(0, np.uint64), np.zeros(0)
         for row in held:
             if row["kind"] == MISSES:
-                value = low(_lookup(own, n, _from_six(row["word"])))
-                keys = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
-                yield _row(-1, SUMS, keys=keys, value=np.bincount(np.frombuffer(row["doc"], np.uint32), value, len(keys)))
+                value = np.repeat(low(_lookup(own, n, _from_six(row["word"]))), _get(row["context_n"], np.uint8))
+                at, place = _get(row["keys"], np.uint32).astype(np.int64), _get(row["doc"], np.uint16)
+                document, which = np.unique((at << 16) + place, return_inverse=True)
+                yield from sums(np.frombuffer(row["piece"], np.int64)[document >> 16], (document & 0xFFFF).astype(np.uint16),
+                                np.bincount(which, value))
 
     def _count(keys: np.ndarray, counted: np.ndarray) -> np.ndarray:
         """How many counted positions each position's key has."""
@@ -306,27 +381,43 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
             yield int(bucket[order[a]]), order[a:b]
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A piece's documents come first, then what is to be added to them. A
+        # piece that occurs again adds its own.
+        now, keys, n, value, rows = None, None, None, None, 0
+
+        def added() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"key": pa.array(keys[:, 0]), "text_hash": pa.array(keys[:, 1]), "n_words": pa.array(n),
+                                               "value": pa.array(value), "rows": pa.array(np.full(len(keys), rows))})
+
         for batch in batches:
-            for row in batch.to_pylist():
-                keys = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
-                n = np.frombuffer(row["context_n"], np.int64) if row["context_n"] else np.zeros(len(keys), np.int64)
-                yield pa.RecordBatch.from_pydict({"key": pa.array(keys[:, 0]), "text_hash": pa.array(keys[:, 1]),
-                                                  "n_words": pa.array(n), "value": pa.array(np.frombuffer(row["value"], np.float64)),
-                                                  "rows": pa.array(np.full(len(keys), int(row["context_n"] is not None)))})
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["bucket"] != now:
+                    if now is not None:
+                        yield added()
+                    now, keys = row["bucket"], np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
+                    n, value, rows = np.zeros(len(keys), np.int64), np.zeros(len(keys)), 0
+                own = np.frombuffer(row["value"], np.float64)
+                if row["kind"] == DOCUMENTS:
+                    n, value, rows = n + _get(row["context_n"], np.int64), value + own, rows + 1
+                else:
+                    value[_get(row["doc"], np.uint16)] += own  # a document once a row
+        if now is not None:
+            yield added()
 
     def meet(df: DataFrame, work) -> DataFrame:
-        spread = F.when(F.col("kind") == SUMS, F.xxhash64("keys")).otherwise(F.col("bucket"))
-        return (df.repartition(spread).sortWithinPartitions("bucket")
+        sums = F.col("kind") >= DOCUMENTS
+        return (df.repartition(F.when(sums, F.xxhash64("bucket")).otherwise(F.col("bucket"))).sortWithinPartitions(sums, "bucket")
                 .mapInArrow(lambda batches: by_bucket(batches, work), _PACK_SQL))
 
     placed = rows.mapInArrow(deal(True, corpus is None), _PACK_SQL)
     if corpus is not None:
         placed = placed.unionByName(source.mapInArrow(deal(False, True), _PACK_SQL))
-    sums = (meet(meet(placed, join_pairs), join_words).mapInArrow(
-        unpack, "key long, text_hash long, n_words long, value double, rows long")
-        .groupBy("key", "text_hash").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("value"),
-                                         F.sum("rows").alias("rows")))
+    scored = (meet(meet(placed, join_pairs), join_words).repartition("bucket").sortWithinPartitions("bucket", "kind")
+              .mapInArrow(unpack, "key long, text_hash long, n_words long, value double, rows long")
+              .groupBy("key", "text_hash").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("value"),
+                                               F.sum("rows").alias("rows")))
     # Repeated rows share a key: each has its share of the sum.
-    return (rows.select("doc_id", "text_hash", "key").join(sums, ["key", "text_hash"])
+    return (rows.select("doc_id", "text_hash", "key").join(scored, ["key", "text_hash"])
             .select("doc_id", "text_hash", F.expr("n_words div rows").alias("n_words"),
                     (F.col("value") / F.col("rows")).alias("log_score")))
