@@ -277,3 +277,31 @@ def test_lm_positions_are_packed_small():
         assert (np.repeat(np.sort(words)[begin], length) == np.sort(words)).all()
     begin, length = module._runs(np.repeat(np.arange(3), [255, 700, 1]))
     assert begin.tolist() == [0, 255, 510, 765, 955] and length.tolist() == [255, 255, 255, 190, 1]
+
+
+def test_long_sets_are_told_apart_in_buckets():
+    """Sets of thousands of n-grams are no candidates unless they overlap; similar ones always are."""
+    import tradeflow.llm.ngram_join as J
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (30, 300, 900, 1024, 1025, 1100, 2000, 4000, 4100, 6000, 9000, 20_000):
+        own = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        own[:len(own) // 20] &= np.uint64((1 << 55) - 1)  # one crowded range
+        sets += [np.unique(own)]
+        for share in (0.02, 0.1, 0.3):
+            kept = own[rng.random(len(own)) > share]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 64, int(share * len(own) / 3), dtype=np.uint64)])))
+        sets.append(np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)))
+    size = np.array([len(s) for s in sets])
+    prints = J.Prints([J.long_counts(s) if len(s) > J.LONG else J._signature(s).tobytes() + J._histogram(s).tobytes() for s in sets], size)
+    i, j = np.triu_indices(len(sets), 1)
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    similar = 100 * both >= 80 * (size[i] + size[j] - both)
+    near = np.zeros(len(i), bool)
+    near[prints.near(i, j, 80)] = True
+    assert similar.sum() > 20 and (near | ~similar).all()
+    apart = (both == 0) & (size[i] > 3000) & (size[j] > 3000)
+    assert apart.sum() > 50 and not near[apart].any()
+    nodes = J.Nodes(prints.bits, size, size, prints.slack, np.arange(len(sets)))
+    met = {(a, b) for x, y in J.traverse(nodes, 80) for a, b in zip(x.tolist(), y.tolist())}
+    assert {(a, b) for a, b, s in zip(i.tolist(), j.tolist(), similar) if s} <= met

@@ -35,6 +35,9 @@ from tradeflow.llm.countmin import Repeated, cells_for, repeated_cells, share, s
 BITS, MOST_BITS, FANOUT, SMALL = 1024, 1 << 16, 8, 8
 #: Ranges of the hashes whose elements are counted beside a bucket's signature.
 RANGES = 128
+#: Sets of more n-grams fill a bitmap and such counts; they have four-bit counts
+#: of ranges of 4 to 8 n-grams instead, of at least that many ranges.
+LONG, LONG_RANGES = 1024, 512
 #: At most this many n-grams count as frequent (each in more than that share of
 #: all rows); the bound of what is sent to every task.
 FREQUENT = 1 << 16
@@ -104,6 +107,54 @@ def near_histograms(counts: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.n
     return np.concatenate([np.zeros(0, np.int64), *keep])
 
 
+def long_counts(own: np.ndarray) -> bytes:
+    """Counts of a long set's n-grams by range of their hashes, up to 15, two a byte."""
+    ranges = max(LONG_RANGES, 1 << (len(own) // 8 - 1).bit_length())
+    counts = np.minimum(np.bincount((own >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64), minlength=ranges), 15)
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+
+
+class Prints:
+    """What the sets that meet in buckets are compared by: ``bits`` and ``slack``
+    for the signature tree (a long set may hold anything) and counts by range."""
+
+    def __init__(self, prints: list[bytes], size: np.ndarray):
+        long = size > LONG
+        self.size, self.bits = size, np.full((len(size), BITS // 8), 255, np.uint8)
+        self.ranges = np.where(long, [2 * len(p) for p in prints], RANGES)
+        self.at, self.counts = np.zeros(len(size), np.int64), {}
+        for ranges in np.unique(self.ranges * np.where(long, 1, -1)).tolist():  # negative: short sets
+            own = np.flatnonzero((self.ranges == abs(ranges)) & (long == (ranges > 0)))
+            self.at[own] = np.arange(len(own))
+            raw = np.frombuffer(b"".join([prints[k] for k in own]), np.uint8).reshape(len(own), -1)
+            if ranges < 0:
+                self.bits[own], self.counts[RANGES] = raw[:, :BITS // 8], raw[:, BITS // 8:]
+            else:
+                self.counts[ranges] = np.stack([raw & 15, raw >> 4], 2).reshape(len(own), ranges)
+        self.bits = self.bits.view(np.uint64)
+        self.slack = np.where(long, size, size - _pop(self.bits))
+
+    def near(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        """Indexes of the pairs whose ranges could overlap enough, ascending."""
+        keep = [np.zeros(0, np.int64)]
+        first, second = np.minimum(self.ranges[i], self.ranges[j]), np.maximum(self.ranges[i], self.ranges[j])
+        for few, many in np.unique(np.stack([first, second], 1), axis=0).tolist():
+            at = np.flatnonzero((first == few) & (second == many))
+            ordered = self.ranges[i[at]] == few
+            a, b = np.where(ordered, i[at], j[at]), np.where(ordered, j[at], i[at])
+            step = max(1, 8 * PAIR_WORDS // many)
+            for lo in range(0, len(at), step):
+                u, v = a[lo:lo + step], b[lo:lo + step]
+                x, y = self.counts[few][self.at[u]], self.counts[many][self.at[v]]
+                over = [self.size[k] - c.sum(axis=1, dtype=np.int64) for k, c in ((u, x), (v, y))]
+                if few < many:
+                    # Counts cut off at different heights: what is over on either side may be shared.
+                    y, over = y.reshape(len(v), few, -1).sum(axis=2, dtype=np.uint16), [over[0] + over[1]]
+                overlap = np.minimum(x, y).sum(axis=1, dtype=np.int64) + np.minimum.reduce(over)
+                keep.append(at[lo:lo + step][overlap >= needed_overlap(self.size[u] + self.size[v], percent)])
+        return np.sort(np.concatenate(keep))
+
+
 def _pop(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
 
@@ -292,7 +343,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
                     late = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
                 first = np.concatenate([own[~late], own[late]])[:prefix_length(len(own), percent)]
                 out["keys"].append(first.view(np.int64))
-                out["bits"].append(_signature(own).tobytes() + _histogram(own).tobytes())
+                out["bits"].append(long_counts(own) if len(own) > LONG else _signature(own).tobytes() + _histogram(own).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), batch.column("text_hash"), pa.array(out["n_shingles"], pa.int64()),
                  pa.array(out["node"], pa.binary()), pa.array(out["bands"], pa.list_(pa.int64())),
@@ -408,14 +459,13 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
         if not len(table):
             return
         key, ids, home, component, size = (table.column(c).to_numpy() for c in ("key", "id", "home", "component", "size"))
-        both = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, BITS // 8 + RANGES)
-        bits, counts = np.ascontiguousarray(both[:, :BITS // 8]).view(np.uint64), both[:, BITS // 8:]
-        all_nodes = Nodes(bits, size, size, size - _pop(bits), component)
+        prints = Prints(table.column("bits").to_pylist(), size)
+        all_nodes = Nodes(prints.bits, size, size, prints.slack, component)
 
         def pair_rows(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
             apart = home[i] != home[j]  # pairs of one home are judged
             i, j = i[apart], j[apart]
-            near = near_histograms(counts, size, i, j, percent)
+            near = prints.near(i, j, percent)
             pairs = np.array(_spanning(ids[i[near]], ids[j[near]]), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
