@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ import pytest
 from messy import frame, rows
 
 from tradeflow.llm import quality, toxicity
-from tradeflow.llm.learning import fold, labelled_sample, sigmoid
+from tradeflow.llm.learning import fold, labelled_sample, sigmoid, trained
 from tradeflow.llm.queries import op3_quality, op6_toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -126,3 +128,17 @@ def test_training_reads_its_texts_in_blocks(monkeypatch):
     for other in nets[1:]:
         assert all(np.array_equal(nets[0].p[k], other.p[k]) for k in other.p)
         assert (nets[0].scale, nets[0].shift) == (other.scale, other.shift)
+
+
+def test_training_runs_in_a_task(spark):
+    """The driver gets the model, not the texts."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+
+    def train(texts, y, weight):
+        return SimpleNamespace(process=os.getpid(), texts=sorted(texts.to_pylist()), share=float((y * weight).sum() / max(1, weight.sum())))
+
+    made = trained(docs, labels, "toxic", train, SimpleNamespace)
+    assert made.process != os.getpid()
+    assert made.texts == sorted(f"text {k}" for k in range(40)) and made.share == 0.5
+    assert trained(docs, labels.limit(0), "toxic", train, SimpleNamespace).texts == []

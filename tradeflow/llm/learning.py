@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows that a model is fitted on: at most so many of each class, with
-#: texts of at most so many bytes. Bounds what the driver holds. Scores cover
-#: every row and the whole of every text.
+#: texts of at most so many bytes. Bounds what the task that trains holds. Scores
+#: cover every row and the whole of every text.
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 1 << 16
 
@@ -21,32 +22,66 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS,
-                    text_bytes: int = SAMPLE_BYTES) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(texts, labels, weights) of a sample of labelled documents.
-
-    Of each class the ``rows`` ids with the smallest hash are taken, so the
-    sample does not depend on how tables are split. A document with several
-    labels has the largest. Weights restore the classes' shares.
-    """
+def _sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, text_bytes: int) -> tuple[DataFrame | None, dict[int, int]]:
+    """(doc_id, text, label of a sample, one row an id; labelled ids by class)."""
     own = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(
         F.max(F.col(label).cast("int")).alias("label"))
     totals = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [own.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in sorted(totals)]
     if not parts:
-        return pa.array([], pa.string()), np.zeros(0), np.zeros(0)
+        return None, totals
     chosen = parts[0]
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
-    found = (docs.select("doc_id", "text").filter(F.octet_length("text") <= text_bytes)
-             .join(F.broadcast(chosen), "doc_id")  # of at most rows rows a class
-             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label").toArrow().combine_chunks())
+    return (docs.select("doc_id", "text").filter(F.octet_length("text") <= text_bytes)
+            .join(F.broadcast(chosen), "doc_id")  # of at most rows rows a class
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))), totals
+
+
+def _weighed(found: pa.Table | None, totals: dict[int, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(texts, labels, weights) of the sample's rows."""
+    if found is None or not len(found):
+        return pa.array([], pa.string()), np.zeros(0), np.zeros(0)
+    found = found.combine_chunks()
     y = found.column("label").to_numpy().astype(np.float64)
     seen = {c: max(1, int((y == c).sum())) for c in totals}
-    weight = np.array([totals[c] / seen[c] for c in y]) if len(y) else np.zeros(0)
-    texts = found.column("text").combine_chunks() if len(y) else pa.array([], pa.string())
-    return texts, y, weight / max(1e-9, weight.mean()) if len(y) else weight
+    weight = np.array([totals[c] / seen[c] for c in y])
+    return found.column("text").combine_chunks(), y, weight / max(1e-9, weight.mean())
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS,
+                    text_bytes: int = SAMPLE_BYTES) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(texts, labels, weights) of a sample of labelled documents.
+
+    Of each class the ``rows`` ids with the smallest hash are taken, so the
+    sample does not depend on how tables are split. A document with several
+    labels has the largest. Weights restore the classes' shares.
+    """
+    found, totals = _sample(docs, labels, label, rows, text_bytes)
+    return _weighed(None if found is None else found.orderBy(F.xxhash64("doc_id"), "doc_id")
+                    .select("text", "label").toArrow(), totals)
+
+
+def trained(docs: DataFrame, labels: DataFrame, label: str, train: Callable, empty: Callable):
+    """What ``train`` makes of the labelled sample, in a task: the driver gets
+    the model's attributes alone, which fill the one that ``empty`` makes."""
+    found, totals = _sample(docs, labels, label, SAMPLE_ROWS, SAMPLE_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if rows := [b for b in batches if len(b)]:
+            model = train(*_weighed(pa.Table.from_batches(rows), totals))
+            yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(vars(model))], pa.binary())})
+
+    made = None
+    if found is not None:
+        # The same order whatever the partitions before: one task has all rows.
+        made = (found.select(F.xxhash64("doc_id").alias("place"), "doc_id", "text", "label").repartition(1)
+                .sortWithinPartitions("place", "doc_id").select("text", "label").mapInArrow(run, "model binary").first())
+    if made is None:
+        return train(*_weighed(None, totals))
+    model = empty()
+    vars(model).update(pickle.loads(made["model"]))
+    return model
 
 
 class Adam:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from tradeflow.llm import words as W
 from tradeflow.llm.common import text_or_empty
-from tradeflow.llm.learning import Adam, batches_of, calibrate, labelled_sample, sigmoid, sum_by
+from tradeflow.llm.learning import Adam, batches_of, calibrate, sigmoid, sum_by, trained
 
 PASSAGE = 64
 WORD_SLOTS, SHAPE_SLOTS, DIM = 1 << 13, 1 << 8, 12
@@ -179,8 +179,9 @@ def train(texts: pa.Array, y: np.ndarray, weight: np.ndarray, epochs: int = EPOC
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
-    """Train on a bounded sample (see ``learning``) of the labelled documents."""
-    return train(*labelled_sample(docs, labels, label))
+    """Train on a bounded sample (see ``learning``) of the labelled documents, in
+    a task of its own."""
+    return trained(docs, labels, label, train, Network)
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
