@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -106,3 +108,54 @@ def test_all_terms_of_a_seed_are_asked():
     seed = np.arange(40).repeat(2)
     texts = [seed] + [np.array([k] * 5) for k in range(40)]
     assert len(P.Index(texts).neighbours(0)) == 41
+
+
+def test_known_words_are_encoded_once_and_stay_with_the_worker():
+    encoder, asked = pickle.loads(pickle.dumps(WordEncoder(PATH))), []
+    own = encoder._encode
+    encoder._encode = lambda word: asked.append(word) or own(word)
+    first = encoder(pa.array(["the boat, the river", None]))
+    again = encoder(pa.array(["river boat the", "the harbor"]))
+    assert sorted(filter(None, asked)) == [",", "boat", "harbor", "river", "the"]
+    assert first[1].tolist() == [5, 0] and again[1].tolist()[0] == 3
+    assert again[0].tolist() == Tokenizer.from_file(PATH).encode("river boat the the harbor", add_special_tokens=False).ids
+
+
+def test_known_words_are_no_python_objects():
+    """300,000 words, which a Python worker keeps for as long as it lives."""
+    encoder = WordEncoder(PATH)
+    encoder(pa.array(["a"]))
+    tracemalloc.start()
+    try:
+        for k in range(3):
+            encoder(pa.array([" ".join(f"w{k}x{i}" for i in range(100_000))]))
+        assert len(encoder.known) > 300_000 and tracemalloc.get_traced_memory()[0] < 16 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_filling_goes_by_all_scores_though_used_documents_leave_the_index():
+    rng = np.random.default_rng(3)
+    ids = [rng.integers(0, 60, rng.integers(1, 90)) for _ in range(200)]
+    index, rest, start = P.Index(ids), np.array([len(a) for a in ids]), np.zeros(200, int)
+    for pieces in P.fill(ids, 128):
+        seed = int(np.flatnonzero(rest)[0])
+        score = index.scores(seed)
+        order = [seed] + [d for d in sorted(range(200), key=lambda d: (-score[d], d)) if d != seed and rest[d]]
+        assert pieces[0][0] == seed
+        want, room = [], 128
+        for d in order:
+            if room and rest[d] and (d == seed or score[d]):
+                n = min(room, rest[d])
+                want.append((d, start[d], n))
+                room, rest[d], start[d] = room - n, rest[d] - n, start[d] + n
+        assert pieces[:len(want)] == want
+        for d, at, n in pieces[len(want):]:
+            assert at == start[d]
+            rest[d], start[d] = rest[d] - n, start[d] + n
+    assert not rest.any()
+
+
+def test_documents_are_counted_by_id():
+    ids = [np.array(x, np.uint16) for x in ([3, 1, 3, 65535], [3], [], [1, 1])]
+    assert {k: int(n) for k, n in enumerate(P.document_counts(ids)) if n} == {1: 2, 3: 2, 65535: 1}

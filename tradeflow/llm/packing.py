@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeflow.llm import words as W
 from tradeflow.llm.common import release, scratch, text_or_empty
@@ -36,6 +38,9 @@ TOP = 4
 #: Cells of a first term's documents by their second one. Larger ones than this
 #: share of a shard are spread evenly over the shards that they touch.
 CELLS, CELL_SHARE = 16, 4
+#: Neighbours sorted at once. The index is cleared of used documents whenever
+#: this share of what it holds is used.
+AT_ONCE, USED_SHARE = 32, 0.2
 
 
 class Corpus(NamedTuple):
@@ -76,23 +81,47 @@ class Index:
             corpus = Corpus(n, lengths.mean() if n else 0.0, self.end - self.begin)
         idf = corpus.idf()
         norm = K1 * (1 - B + B * lengths[self.doc] / max(1.0, corpus.mean))
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+        # Rounded to 32 bits, held as what their sums are made in.
+        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32).astype(np.float64)
         # Each document's terms, heaviest first: its query.
         order = np.lexsort((term, -self.weight, self.doc))
         self.term = term[order]
         self.own = np.searchsorted(self.doc[order], np.arange(n + 1))
         self.n = n
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share query terms with the seed, best first."""
+    def scores(self, seed: int) -> np.ndarray:
+        """Each document's score for the seed's terms, 0 for those without any."""
         query = self.term[self.own[seed]:self.own[seed + 1]][:QUERY_TERMS]
         if not len(query):
-            return query
-        doc = np.concatenate([self.doc[self.begin[t]:self.end[t]] for t in query])
-        weight = np.concatenate([self.weight[self.begin[t]:self.end[t]] for t in query])
-        score = np.bincount(doc, weight, self.n)
-        found = np.flatnonzero(score)
-        return found[np.lexsort((found, -score[found]))]
+            return np.zeros(self.n)
+        spans = list(zip(self.begin[query].tolist(), self.end[query].tolist()))
+        return np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]),
+                           np.concatenate([self.weight[a:b] for a, b in spans]), self.n)
+
+    def neighbours(self, seed: int) -> np.ndarray:
+        """Documents that share query terms with the seed, best first."""
+        return np.concatenate([*best_first(self.scores(seed)), np.zeros(0, np.int64)])
+
+    def keep(self, docs: np.ndarray) -> None:
+        """Forget the other documents (a mask), which will not be found any more."""
+        stay = docs[self.doc]
+        before = np.concatenate([[0], np.cumsum(stay)])
+        self.begin, self.end = before[self.begin], before[self.end]
+        self.doc, self.weight = self.doc[stay], self.weight[stay]
+
+
+def best_first(score: np.ndarray) -> Iterator[np.ndarray]:
+    """Documents with a score in the order of score and number: the best AT_ONCE
+    (with all that equal the last of them), then the others."""
+    found = np.flatnonzero(score)
+    if len(found) > 2 * AT_ONCE:
+        own = score[found]
+        first = own >= np.partition(own, -AT_ONCE)[-AT_ONCE]
+        parts = [found[first], found[~first]]
+    else:
+        parts = [found]
+    for part in parts:
+        yield part[np.argsort(-score[part], kind="stable")]
 
 
 def fill(ids: list[np.ndarray], sequence: int = SEQUENCE, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
@@ -106,6 +135,7 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE, corpus: Corpus | None
     rest = length - start
     index = Index([a[s:] for a, s in zip(ids, start)], corpus)
     unused, after = rest > 0, 0
+    held = left = int(unused.sum())
     while True:
         while after < len(ids) and not unused[after]:
             after += 1
@@ -114,17 +144,24 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE, corpus: Corpus | None
         pieces, room = [], sequence
 
         def place(d: int) -> int:
+            nonlocal left
             n = int(min(rest[d], room))
             pieces.append((int(d), int(start[d]), n))
             start[d] += n
             rest[d] -= n
-            unused[d] = rest[d] > 0
+            if not rest[d]:
+                unused[d] = False
+                left -= 1
             return room - n
 
         room = place(after)
         if room:
-            near = index.neighbours(after)
-            for d in near[unused[near]]:
+            if left < (1 - USED_SHARE) * held:
+                index.keep(unused)
+                held = left
+            score = index.scores(after)
+            score[~unused] = 0
+            for d in chain.from_iterable(best_first(score)):
                 room = place(d)
                 if not room:
                     break
@@ -138,6 +175,13 @@ def fill(ids: list[np.ndarray], sequence: int = SEQUENCE, corpus: Corpus | None
         yield pieces
 
 
+def document_counts(ids: list[np.ndarray]) -> np.ndarray:
+    """In how many documents each id occurs."""
+    ordered = [np.sort(own) for own in ids]
+    first = [own[np.append(True, own[1:] != own[:-1])] for own in ordered if len(own)]
+    return np.bincount(np.concatenate([np.zeros(0, np.uint16), *first]), minlength=1 << 16)
+
+
 def _ids(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16) for x in table.column("ids").to_pylist()]
 
@@ -175,36 +219,43 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         raise ValueError("sequence must be a power of two")
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = pa.schema([("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("size", pa.int64()), ("spread", pa.int64()),
+                        ("ids", pa.binary()), ("sums", pa.binary())])
+    words = docs.sparkSession.sparkContext.broadcast(WordEncoder(tokenizer_path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = words.value
+        # After the terms' entries: documents, ids and bytes of text.
+        sums = np.zeros((1 << 16) + 3, np.int64)
         for batch in batches:
             for lo, hi, *_ in W.pieces(batch.column("text"), 8 * W.PIECE_BYTES):
                 ids, n = encoder(batch.column("text")[lo:hi])
                 bounds = np.concatenate([[0], np.cumsum(n)])
                 end = np.array([end_id], np.uint16).tobytes()
+                bodies = [ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:])]
+                size = batch.column("size")[lo:hi]
+                sums[:1 << 16] += document_counts([np.frombuffer(body, np.uint16) for body in bodies])
+                sums[1 << 16:] += [hi - lo, len(ids) + hi - lo, size.to_numpy().sum()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[lo:hi], batch.column("size")[lo:hi], batch.column("spread")[lo:hi],
-                     pa.array([ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:])], pa.binary())],
-                    names=["doc_id", "size", "spread", "ids"])
+                    [batch.column("doc_id")[lo:hi], size, batch.column("spread")[lo:hi],
+                     pa.array(bodies, pa.binary()), pa.nulls(hi - lo, pa.binary())], schema)
+        # One row more, of the task's sums.
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, f.type) for f in schema][:-1] + [pa.array([sums.tobytes()], pa.binary())], schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # After the terms' entries: documents, ids and bytes of text.
         sums = np.zeros((1 << 16) + 3, np.int64)
         for batch in batches:
-            for own in _ids(batch):
-                sums[np.unique(own)] += 1
-                sums[1 << 16] += 1
-                sums[(1 << 16) + 1] += len(own)
-            sums[(1 << 16) + 2] += batch.column("size").to_numpy().sum()
+            for own in batch.column("sums").to_pylist():
+                sums += np.frombuffer(own, np.int64)
         term = np.flatnonzero(sums)
         yield pa.RecordBatch.from_pydict({"term": pa.array(term, pa.int64()), "n": pa.array(sums[term])})
 
     encoded = scratch(rows.select("doc_id", "text", (F.octet_length("text") + 1).cast("long").alias("size"),
                                   F.xxhash64("doc_id", "text", F.lit(3)).alias("spread"))
-                      .mapInArrow(encode, f"doc_id {kind}, size long, spread long, ids binary"), "packing-ids")
+                      .mapInArrow(encode, f"doc_id {kind}, size long, spread long, ids binary, sums binary"), "packing-ids")
     sums = np.zeros((1 << 16) + 3, np.int64)
-    for r in encoded.select("ids", "size").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    counted = encoded.filter("sums IS NOT NULL").select("sums").mapInArrow(count, "term long, n long")
+    for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
         sums[r["term"]] = r["n"]
     n, tokens, size = (int(x) for x in sums[1 << 16:])
     least = n / max(1, -(-size // shard_bytes)) / 2
@@ -217,22 +268,20 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
             cell = terms[:, 0] * CELLS + (W.mix(terms[:, 1].astype(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], names=["cell", *batch.schema.names])
 
-    placed = scratch(encoded.mapInArrow(place, f"cell long, doc_id {kind}, size long, spread long, ids binary"), "packing-cells")
+    placed = scratch(encoded.filter("sums IS NULL").drop("sums").mapInArrow(place, f"cell long, doc_id {kind}, size long, spread long, ids binary"), "packing-cells")
     release(encoded)
     # At most 65,536 terms times CELLS rows.
     cells = placed.groupBy("cell").agg(F.sum("size").alias("size")).orderBy("cell").toArrow()
     cell, size = (cells.column(c).to_numpy() for c in ("cell", "size"))
     dealer = docs.sparkSession.sparkContext.broadcast((cell, size, np.cumsum(size) - size))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("long")
+    def deal(cells: pa.Array, spread: pa.Array) -> pa.Array:
         cell, size, begin = dealer.value
-        for batch in batches:
-            at = np.searchsorted(cell, batch.column("cell").to_numpy())
-            part = (batch.column("spread").to_numpy().view(np.uint64) >> np.uint64(11)) / float(1 << 53)
-            inside = np.where(size[at] > shard_bytes / CELL_SHARE, part * size[at], 0.0)
-            shard = ((begin[at] + inside) // shard_bytes).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), batch.column("doc_id"), batch.column("ids")],
-                                             names=["shard", "doc_id", "ids"])
+        at = np.searchsorted(cell, cells.to_numpy())
+        part = (spread.to_numpy().view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+        inside = np.where(size[at] > shard_bytes / CELL_SHARE, part * size[at], 0.0)
+        return pa.array(((begin[at] + inside) // shard_bytes).astype(np.int64))
 
     def pack_shard(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
@@ -265,6 +314,6 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         return pa.array(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0,
                                                                zlib.crc32(bodies[i]))), pa.int64())
 
-    return (placed.mapInArrow(deal, f"shard long, doc_id {kind}, ids binary").groupBy("shard")
+    return (placed.select(deal("cell", "spread").alias("shard"), "doc_id", "ids").groupBy("shard")
             .applyInArrow(pack_shard, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                       "sequence_id long, offset long" + (", ids array<int>" if with_ids else "")))

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 from tradeflow.llm import words as W
 
-#: Distinct words a task remembers before it starts anew.
+#: Distinct words an encoder remembers before it starts anew.
 MOST_WORDS = 1 << 19
 # Lower-case letters of ASCII and Latin-1, and the latter's two UTF-8 bytes as
 # byte-level vocabularies write them: a printable byte as the character of that
@@ -33,13 +33,20 @@ class WordEncoder:
     space only separates, letters and marks are separate tokens, A-Z count as
     a-z. Then a text's ids are its words' ids in a row, each distinct word is
     encoded once, and words may be compared after lowering A-Z and after
-    setting off the marks that follow a letter."""
+    setting off the marks that follow a letter. It travels as its path; as a
+    broadcast, the tasks of a stage that share a Python worker share its words."""
 
     def __init__(self, path: str):
+        self.path, self.tokenizer = path, None
+        self._forget()
+
+    def __reduce__(self):
+        return type(self), (self.path,)
+
+    def _open(self) -> None:
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(self.path)
         self.merges = self.tokenizer.model
-        self._forget()
 
     def _encode(self, word: str) -> list[int]:
         if word.strip(_PLAIN):
@@ -49,7 +56,7 @@ class WordEncoder:
         return [t.id for t in self.merges.tokenize(word if word.isascii() else word.translate(_BYTES))]
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids = np.zeros(0, np.uint16)
         self.ends = np.zeros(1, np.int64)
 
@@ -74,21 +81,22 @@ class WordEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); null has none."""
-        split = pc.ascii_split_whitespace(self._set_off(texts))
-        words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        if self.tokenizer is None:
+            self._open()
         if len(self.known) > MOST_WORDS:
             self._forget()
-        new = [w for w in distinct if w not in self.known]
+        split = pc.ascii_split_whitespace(self._set_off(texts))
+        # The known words come first, so they keep their numbers.
+        words = pa.concat_arrays([self.known, split.flatten()]).dictionary_encode()
+        new = words.dictionary[len(self.known):].to_pylist()
+        at = words.indices.to_numpy()[len(self.known):]
         if new:
             ids = [self._encode(w) for w in new]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             encoded = np.fromiter(chain.from_iterable(ids), np.uint16, lengths.sum())
-            self.known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
+            self.known = words.dictionary
             self.ids = np.concatenate([self.ids, encoded])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        at = at[words.indices.to_numpy(zero_copy_only=False)] if len(distinct) else np.zeros(0, np.int64)
         begin, n = self.ends[at], self.ends[at + 1] - self.ends[at]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(begin - total[:-1], n) + np.arange(total[-1])]
