@@ -7,6 +7,9 @@ executor repeats part of one stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +22,23 @@ from tradeflow.llm.packing import pack
 
 #: Toxicity from which a document is rejected: where op6_toxicity predicts toxic.
 REJECT = 0.3
+#: Bytes of rows that go to a Python worker at once. A batch lies in the
+#: executor's memory outside its heap and again in the worker's, once a core.
+BATCH_BYTES = "8m"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with rows going to Python in batches of BATCH_BYTES."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+    return run
 
 
+@in_small_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer, fitted on the labels, does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -30,21 +48,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.toDF(*docs.columns)
 
 
+@in_small_batches
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that occur on many sites; near copies stay whole."""
     return remove_boilerplate(docs, prove_copies=True).select(*docs.columns)
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return keep_one(docs)
 
 
+@in_small_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' ids in sequences of 4096, a row per piece."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from messy import frame, rows
 
@@ -52,3 +53,20 @@ def test_what_the_operator_calls_toxic_is_rejected(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline.toxic, "score", lambda docs, model: docs.withColumn("toxicity", F.col("doc_id") / 10))
     docs = frame(spark, [(k, "text", "en", "s") for k in range(6)])
     assert {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, SF).collect()} == {0, 1, 2}
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_send_small_batches_to_python(spark, stage):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([len(batch)], pa.int64()), "size": pa.array([batch.nbytes], pa.int64())})
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    try:
+        stage(spark, frame(spark).withColumnRenamed("score", "toxicity").limit(0), SF)
+        texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 8192) AS text")
+        found = texts.mapInArrow(sizes, "rows long, size long").collect()
+        assert sum(r.rows for r in found) == 3000 and max(r["size"] for r in found) < 9 << 20
+    finally:
+        spark.conf.unset(limit)
