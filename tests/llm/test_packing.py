@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import pickle
 import random
+import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -159,3 +163,19 @@ def test_filling_goes_by_all_scores_though_used_documents_leave_the_index():
 def test_documents_are_counted_by_id():
     ids = [np.array(x, np.uint16) for x in ([3, 1, 3, 65535], [3], [], [1, 1])]
     assert {k: int(n) for k, n in enumerate(P.document_counts(ids)) if n} == {1: 2, 3: 2, 65535: 1}
+
+
+def test_workers_keep_little_memory_after_packing(spark):
+    """A worker outlives its task, and lies beside the executor's heap."""
+    def held(batches):
+        for _ in batches:
+            time.sleep(0.5)  # so that each worker gets one
+            found = re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+            yield pa.RecordBatch.from_pydict({"pid": pa.array([os.getpid()]), "mb": pa.array([int(found[0]) >> 10])})
+
+    # 48 MB of 20,000 words, most of it in one worker at a time.
+    texts = spark.range(0, 4000, 1, 1).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 1500), k -> concat('w', hash(id, k) % 10000))) AS text")
+    P.pack(texts, PATH).write.format("noop").mode("overwrite").save()
+    after = spark.range(0, 4, 1, 4).mapInArrow(held, "pid long, mb long").collect()
+    assert max(r.mb for r in after) < 170, after

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import text_or_empty
+from tradeflow.llm.common import lean, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -308,7 +308,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
                          pa.array([v for *_, v, _ in hits], pa.float64()), pa.array([int(s) for *_, s in hits], pa.int64())],
                         names=["doc_id", "text_hash", "item_id", "similarity", "start"])
 
-        part_found = rows.mapInArrow(run, schema)
+        part_found = rows.mapInArrow(lean(run), schema)
         found = part_found if found is None else found.unionByName(part_found)
     return found
 

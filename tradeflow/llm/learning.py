@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeflow.llm.common import lean
+
 #: Labelled rows that a model is fitted on: at most so many of each class, with
 #: texts of at most so many bytes. Bounds what the task that trains holds. Scores
 #: cover every row and the whole of every text.
@@ -76,7 +78,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str, train: Callable, emp
     if found is not None:
         # The same order whatever the partitions before: one task has all rows.
         made = (found.select(F.xxhash64("doc_id").alias("place"), "doc_id", "text", "label").repartition(1)
-                .sortWithinPartitions("place", "doc_id").select("text", "label").mapInArrow(run, "model binary").first())
+                .sortWithinPartitions("place", "doc_id").select("text", "label").mapInArrow(lean(run), "model binary").first())
     if made is None:
         return train(*_weighed(None, totals))
     model = empty()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import join_counted, release, scratch, text_or_empty
+from tradeflow.llm.common import join_counted, lean, release, scratch, text_or_empty
 from tradeflow.llm.components import connected_components
 from tradeflow.llm.countmin import Repeated, cells_for, repeated_cells, share, split_by_members
 
@@ -278,7 +278,7 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
         if held:
             yield chunk()
 
-    found = scratch(rows.select("text").mapInArrow(report, "key long, n long, total long")
+    found = scratch(rows.select("text").mapInArrow(lean(report), "key long, n long, total long")
                     .groupBy("key").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "frequent")
     total = found.agg(F.sum("total")).first()[0] or 0
     least = max(64, total / FREQUENT)
@@ -351,8 +351,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
                 names=["doc_id", "key", "text_hash", "n_shingles", "node", "bands", "keys", "bits"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    featured = scratch(rows.mapInArrow(features, f"doc_id {kind}, key long, text_hash long, n_shingles long, "
-                                                 "node binary, bands array<long>, keys array<long>, bits binary"), "shingles")
+    featured = scratch(rows.mapInArrow(lean(features), f"doc_id {kind}, key long, text_hash long, n_shingles long, "
+                                                       "node binary, bands array<long>, keys array<long>, bits binary"), "shingles")
     # Equal sets have equal features; any row of a class may stand for it.
     classes = scratch(
         featured.filter("n_shingles > 0").groupBy("node").agg(
@@ -388,7 +388,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             "home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
             "id", "block", "judged", "component", "text")
         links = scratch(work.repartition("home", "low", "high").sortWithinPartitions("home", "low", "high")
-                        .mapInArrow(judge_homes, "a long, b long, overlap long, together long"), "home-links")
+                        .mapInArrow(lean(judge_homes), "a long, b long, overlap long, together long"), "home-links")
         release(placed, crowds)
         return links
 
@@ -486,12 +486,12 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
             for i, j in traverse(Nodes(*(x[order] for x in all_nodes)), percent):
                 yield pair_rows(order[i], order[j])
 
-    entered = scratch(classes.select("id", "keys").mapInArrow(enter, "key long, id long").join(homes, "id"), "bucket-entries")
+    entered = scratch(classes.select("id", "keys").mapInArrow(lean(enter), "key long, id long").join(homes, "id"), "bucket-entries")
     mixed = entered.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low < high")
     members = (entered.select("key", "id").join(mixed.select("key"), "key")
                .join(components.join(classes.select("id", "size", "bits"), "id"), "id"))
     pairs = (members.select("key", "id", "home", "component", "size", "bits").repartition("key")
-             .sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
+             .sortWithinPartitions("key").mapInArrow(lean(meet), "a long, b long").distinct())
     pairs = scratch(pairs, "pairs")
     release(entered)
     families = connected_components(pairs).select("id", F.col("component").alias("family"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import release, scratch, text_or_empty
+from tradeflow.llm.common import give_back, lean, release, scratch, text_or_empty
 from tradeflow.llm.tokens import WordEncoder
 
 SEQUENCE = 4096
@@ -252,7 +252,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
 
     encoded = scratch(rows.select("doc_id", "text", (F.octet_length("text") + 1).cast("long").alias("size"),
                                   F.xxhash64("doc_id", "text", F.lit(3)).alias("spread"))
-                      .mapInArrow(encode, f"doc_id {kind}, size long, spread long, ids binary, sums binary"), "packing-ids")
+                      .mapInArrow(lean(encode), f"doc_id {kind}, size long, spread long, ids binary, sums binary"), "packing-ids")
     sums = np.zeros((1 << 16) + 3, np.int64)
     counted = encoded.filter("sums IS NOT NULL").select("sums").mapInArrow(count, "term long, n long")
     for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
@@ -268,7 +268,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
             cell = terms[:, 0] * CELLS + (W.mix(terms[:, 1].astype(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], names=["cell", *batch.schema.names])
 
-    placed = scratch(encoded.filter("sums IS NULL").drop("sums").mapInArrow(place, f"cell long, doc_id {kind}, size long, spread long, ids binary"), "packing-cells")
+    placed = scratch(encoded.filter("sums IS NULL").drop("sums").mapInArrow(lean(place), f"cell long, doc_id {kind}, size long, spread long, ids binary"), "packing-cells")
     release(encoded)
     # At most 65,536 terms times CELLS rows.
     cells = placed.groupBy("cell").agg(F.sum("size").alias("size")).orderBy("cell").toArrow()
@@ -284,6 +284,12 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
         return pa.array(((begin[at] + inside) // shard_bytes).astype(np.int64))
 
     def pack_shard(key: tuple, table: pa.Table) -> pa.Table:
+        try:
+            return packed(key, table)
+        finally:
+            give_back()
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
         table = table.combine_chunks()
         # The same order whenever the shard is computed again.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import words as W
-from tradeflow.llm.common import text_or_empty
+from tradeflow.llm.common import lean, text_or_empty
 from tradeflow.llm.learning import Adam, batches_of, calibrate, sigmoid, sum_by, trained
 
 WIDTH, STRIDE = 24, 12
@@ -299,4 +299,4 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
                 [*kept.columns, pa.array(np.concatenate([np.zeros(0), *scores]))], names=[*kept.schema.names, "toxicity"])
 
     schema = docs.drop("toxicity").schema.add("toxicity", "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
