@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from messy import by_id, frame, lower, rows, words
+from pyspark.sql import functions as F
 
+from tradeflow.llm import common, components
 from tradeflow.llm import decontamination as D
 from tradeflow.llm import ngram_join as N
 from tradeflow.llm.components import connected_components
@@ -107,6 +110,36 @@ def test_components(spark):
     assert by_id(found.collect()) == sorted(want.items())
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_of_links_in_many_tasks(spark, kind):
+    drawn = np.random.default_rng(3).integers(0, 700, (500, 2)).tolist()
+    label = {k: k for k in chain.from_iterable(drawn)}
+    if kind == "string":
+        label = {k: f"é{k}" for k in label}
+    for _ in range(700):
+        for a, b in drawn:
+            label[a] = label[b] = min(label[a], label[b])
+    name = str if kind == "long" else lambda k: f"é{k}"
+    links = spark.createDataFrame([(name(a), name(b)) for a, b in drawn], "a string, b string").repartition(7)
+    found = connected_components(links.select(*(F.col(c).cast(kind) for c in "ab")))
+    assert sorted(map(tuple, found.collect())) == sorted((k if kind == "long" else name(k), v) for k, v in label.items())
+
+
+def test_components_within_a_task_take_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components, "MOST_ROUNDS", 1)
+    links = [(k, k + 1) for k in range(50)] + [(k, 100 + k % 7) for k in range(200, 300)]
+    found = connected_components(spark.createDataFrame(links, "a long, b long").coalesce(1))
+    want = {**{k: 0 for k in range(51)}, **{k: 100 + k % 7 for k in range(200, 300)}, **{k: k for k in range(100, 107)}}
+    assert by_id(found.collect()) == sorted(want.items())
+
+
+def test_scratch_tables_do_not_outlast_their_use(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "checkpoint_dir", lambda spark: str(tmp_path))
+    assert N.keep_one(frame(spark)).count()
+    left = Counter(p.name.rsplit("-", 1)[0] for p in (tmp_path / "llm").iterdir())
+    assert set(left) <= {"shingle-counts", "home-links", "around", "class-components", "stay"} and sum(left.values()) <= 9
+
+
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog while seven wise owls watch the quiet river bend."),
          (2, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"),
          (3, "three short words"), (4, None), (5, ""), (2, "a second text of the same item id with some more words in it, twelve")]

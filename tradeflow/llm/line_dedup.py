@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import join_counted, scratch, text_or_empty
+from tradeflow.llm.common import join_counted, release, scratch, text_or_empty
 from tradeflow.llm.ngram_join import ngram_join
 
 #: Distinct sites from which a line is boilerplate, and the characters (without
@@ -104,6 +104,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: i
         over = scratch(rows.join(marks, same).filter(~little).select("__hash", "text", "source"), "dominated")
         copies = scratch(_copies(over, min_sites), "copies")
         marks = join_counted(marks, copies, ["__hash"], "__n", over.count(), "left")
+        release(over)
         same = rows["doc_id"].eqNullSafe(marks["__doc_id"]) & (rows["__text_hash"] == marks["__hash"])
         cut = F.col("__marks").isNotNull() & (little | F.col("__n").isNull())
     every = F.split("text", "\n")

@@ -282,8 +282,9 @@ def _frequent(rows: DataFrame, n: int) -> np.ndarray:
                     .groupBy("key").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "frequent")
     total = found.agg(F.sum("total")).first()[0] or 0
     least = max(64, total / FREQUENT)
-    return np.sort(np.array([r["key"] for r in found.filter(F.col("n") >= least).select("key").collect()],
-                            np.int64).view(np.uint64))
+    often = np.array([r["key"] for r in found.filter(F.col("n") >= least).select("key").collect()], np.int64)
+    release(found)
+    return np.sort(often.view(np.uint64))
 
 
 def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -366,8 +367,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     shown = classes.select("id", F.col("shown.key").alias("key"), F.col("shown.text_hash").alias("text_hash"))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        """``wanted`` (id and more columns) with a text of each class."""
-        wanted = scratch(shown.join(wanted, "id"), "wanted")
+        """``wanted`` (a written table of key, text_hash and more columns) with a
+        text of each class."""
         near, _ = split_by_members(rows.select("key", "text_hash", "text"), wanted.select("text_hash"), "text_hash")
         # Repeated rows show the same text: one is enough. The grouping takes
         # the join's partitions as they are.
@@ -383,13 +384,14 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
         crowded = join_counted(placed, crowds, ["home"], "n", placed.count()).withColumn(
             "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int"))
         # Every pair of a home's blocks is a piece of work of its own.
-        work = texts_of(crowded.select("id", "home", "judged", "component", "block", "blocks")).select(
+        wanted = scratch(shown.join(crowded.select("id", "home", "judged", "component", "block", "blocks"), "id"), "wanted")
+        work = texts_of(wanted).select(
             "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
             "home", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
             "id", "block", "judged", "component", "text")
         links = scratch(work.repartition("home", "low", "high").sortWithinPartitions("home", "low", "high")
                         .mapInArrow(lean(judge_homes), "a long, b long, overlap long, together long"), "home-links")
-        release(placed, crowds)
+        release(placed, crowds, wanted)
         return links
 
     def judge_homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,8 +424,8 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
                     .groupBy("id").agg(F.min("first")["id"].alias("home")), "homes")
     release(entries, groups)
     links = links_within(homes.select("id", "home", F.col("id").alias("judged"), F.col("id").alias("component")))
-    components = scratch(connected_components(links), "home-components")
-    components = homes.join(components, "id", "left").select(
+    home_components = scratch(connected_components(links), "home-components")
+    components = homes.join(home_components, "id", "left").select(
         "id", "home", F.coalesce("component", "id").alias("component") if not all_links
         else F.col("id").alias("component"))
 
@@ -497,6 +499,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     families = connected_components(pairs).select("id", F.col("component").alias("family"))
     links = links.unionByName(links_within(components.join(families, "id").select(
         "id", F.col("family").alias("home"), F.col("home").alias("judged"), "component")))
+    release(pairs, homes, home_components)
 
     joined = scratch(connected_components(links), "components")
     named = classes.select("id", "node", "least_id", "copies").join(joined, "id", "left")
@@ -505,6 +508,7 @@ def ngram_join(docs: DataFrame, n: int = 5, percent: int = 80, all_links: bool =
     groups = scratch(named.join(reach, "component").select(
         "node", F.col("id").alias("class_id"), F.col("component").alias("group_id"), "component_id", "copies"),
                      "class-components")
+    release(classes, joined)
     base = found.select("doc_id", "text_hash", "n_shingles", "node")
     members = join_counted(base.filter("n_shingles > 0"), groups, ["node"], "copies", found.count())
     names = ["doc_id", "text_hash", "n_shingles", "class_id", "group_id", "component_id"]
@@ -527,6 +531,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     stay = scratch(members.join(chosen, same).groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
                    .select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__hash"), F.col("n").alias("__n")),
                    "stay")
+    release(members)
     rows = docs.withColumn("__text_hash", F.xxhash64(text_or_empty()))
     key = rows["doc_id"].eqNullSafe(stay["__doc_id"]) & (rows["__text_hash"] == stay["__hash"])
     kept = rows.join(stay, key)
