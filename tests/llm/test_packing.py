@@ -20,6 +20,7 @@ from messy import frame, rows
 from tokenizers import Tokenizer
 
 from tradeflow.llm import packing as P
+from tradeflow.llm import tokens as T
 from tradeflow.llm.tokens import WordEncoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +36,32 @@ def test_words_encode_as_whole_texts_do():
             assert whole.encode(text or "", add_special_tokens=False).ids == got.tolist(), text
 
 
+def test_pieces_of_texts_are_split_and_looked_up_alike(monkeypatch):
+    """A lowered U+0130 ends in a combining mark, which joins the marks after it."""
+    monkeypatch.setattr(T, "PIECE_BYTES", 16)
+    monkeypatch.setattr(T, "COPY_WORDS", 3)
+    whole, own = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    texts = ["\u0130>a, b", None, "", "!a\u0130.", "É! the boat, the river; Boat's end.", "\u0131>", "<|endoftext|> A!"] * 3
+    ids, n = own(pa.array(texts, pa.string()))
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [part.tolist() for part in np.split(ids, np.cumsum(n)[:-1])] == want
+
+
+def test_subjects_are_the_heaviest_common_terms(monkeypatch):
+    monkeypatch.setattr(P, "GROUP", 7)
+    rng = np.random.default_rng(5)
+    ids = [rng.integers(0, rng.integers(1, 60), rng.integers(1, 90)).astype(np.uint16) for _ in range(100)]
+    corpus = P.Corpus(100, 45.0, P.document_counts(ids))
+    idf, want = corpus.idf(), []
+    for own in ids:
+        tf = Counter(own.tolist())
+        weight = {t: idf[t] * n / (n + P.K1 * (1 - P.B + P.B * len(own) / 45.0)) - 1e6 * (corpus.df[t] < 30) for t, n in tf.items()}
+        top = sorted(sorted(tf), key=lambda t: -weight[t])[:P.TOP]
+        top.sort(key=lambda t: int(P.W.mix(np.array([t], np.uint64))[0]))
+        want.append([top[0], top[min(1, len(top) - 1)]])
+    assert corpus.subjects(ids, idf, 30).tolist() == want and corpus.subjects([], idf, 30).shape == (0, 2)
+
+
 @pytest.mark.parametrize("sequence, shard_bytes", [(4096, 8 << 20), (64, 10_000)])
 def test_pack(spark, sequence, shard_bytes):
     whole = Tokenizer.from_file(PATH)

@@ -35,6 +35,8 @@ SHARD_BYTES = 8 << 20
 QUERY_TERMS, K1, B = None, 1.2, 0.75
 #: Heavy terms that tell a document's subject.
 TOP = 4
+#: Documents whose terms are weighed at once.
+GROUP = 64
 #: Cells of a first term's documents by their second one. Larger ones than this
 #: share of a shard are spread evenly over the shards that they touch.
 CELLS, CELL_SHARE = 16, 4
@@ -53,16 +55,36 @@ class Corpus(NamedTuple):
     def idf(self) -> np.ndarray:
         return np.log(1 + (self.n - self.df + 0.5) / (self.df + 0.5))
 
-    def subject(self, ids: np.ndarray, idf: np.ndarray, least: float) -> tuple[int, int]:
-        """Of a document's TOP heaviest terms, those in at least ``least``
+    def subjects(self, ids: list[np.ndarray], idf: np.ndarray, least: float) -> np.ndarray:
+        """Of each document's TOP heaviest terms, those in at least ``least``
         documents before others, the two with the smallest hashes: documents
         that share most of these terms mostly agree."""
-        term, tf = np.unique(ids, return_counts=True)
-        weight = idf[term] * tf / (tf + K1 * (1 - B + B * len(ids) / max(1.0, self.mean)))
-        weight -= 1e6 * (self.df[term] < least)
-        top = term[np.argsort(-weight, kind="stable")[:TOP]] if len(term) > TOP else term
-        top = top[np.argsort(W.mix(top.astype(np.uint64)))]
-        return int(top[0]), int(top[min(1, len(top) - 1)])
+        out = [np.zeros((0, 2), np.int64)]
+        for lo in range(0, len(ids), GROUP):
+            own = ids[lo:lo + GROUP]
+            lengths = np.fromiter(map(len, own), np.int64, len(own))
+            pair = np.repeat(np.arange(len(own), dtype=np.uint32) << np.uint32(16), lengths) | np.concatenate(own)
+            pair.sort()
+            begin = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+            doc, term = (pair[begin] >> np.uint32(16)).astype(np.int64), pair[begin] & np.uint32(0xFFFF)
+            tf = np.diff(begin, append=len(pair))
+            weight = idf[term] * tf / (tf + (K1 * (1 - B + B * lengths / max(1.0, self.mean)))[doc])
+            weight -= 1e6 * (self.df[term] < least)
+            # The heaviest terms one after the other, of equal weights the smaller term.
+            first = np.searchsorted(doc, np.arange(len(own)))
+            top = np.full((len(own), TOP), -1)
+            for k in range(TOP):
+                best = np.maximum.reduceat(weight, first)
+                at = np.flatnonzero(weight == best[doc])
+                at = at[np.append(True, doc[at[1:]] != doc[at[:-1]])]
+                at = at[weight[at] > -np.inf]
+                top[doc[at], k] = term[at]
+                weight[at] = -np.inf
+            hashes = W.mix(top.astype(np.uint64))
+            hashes[top < 0] = np.iinfo(np.uint64).max
+            top = np.take_along_axis(top, np.argsort(hashes, axis=1, kind="stable"), 1)
+            out.append(np.where(top[:, :2] < 0, top[:, :1], top[:, :2]))
+        return np.concatenate(out)
 
 
 class Index:
@@ -264,7 +286,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, idf = corpus.value, corpus.value.idf()
         for batch in batches:
-            terms = np.array([whole.subject(own, idf, least) for own in _ids(batch)], np.int64).reshape(-1, 2)
+            terms = whole.subjects(_ids(batch), idf, least)
             cell = terms[:, 0] * CELLS + (W.mix(terms[:, 1].astype(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], names=["cell", *batch.schema.names])
 

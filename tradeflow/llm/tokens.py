@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,9 @@ from tradeflow.llm import words as W
 
 #: Distinct words an encoder remembers before it starts anew.
 MOST_WORDS = 1 << 19
+#: Bytes of text whose words are told apart before they are looked up, and words
+#: whose ids are copied at once: little enough for a core's cache.
+PIECE_BYTES, COPY_WORDS = 1 << 18, 1 << 16
 # Lower-case letters of ASCII and Latin-1, and the latter's two UTF-8 bytes as
 # byte-level vocabularies write them: a printable byte as the character of that
 # number, the others as the characters from U+0100 on, in their order.
@@ -49,35 +52,37 @@ class WordEncoder:
         self.merges = self.tokenizer.model
 
     def _encode(self, word: str) -> list[int]:
-        if word.strip(_PLAIN):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        # Normalising and splitting leave such a word as it is: only the merges
-        # are left, on its bytes in the vocabulary's alphabet.
-        return [t.id for t in self.merges.tokenize(word if word.isascii() else word.translate(_BYTES))]
+        # Normalising and splitting leave a word of plain letters as it is: only
+        # the merges are left, on its bytes in the vocabulary's alphabet.
+        if not (word.isascii() and word.isalpha() and word.islower()):
+            if word.strip(_PLAIN):
+                return self.tokenizer.encode(word, add_special_tokens=False).ids
+            word = word.translate(_BYTES)
+        return [t.id for t in self.merges.tokenize(word)]
 
     def _forget(self) -> None:
         self.known = pa.array([], pa.string())
         self.ids = np.zeros(0, np.uint16)
         self.ends = np.zeros(1, np.int64)
 
-    def _set_off(self, texts: pa.Array) -> pa.Array:
+    def _set_off(self, data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """The texts with A-Z lowered and a space between each letter and an
         ASCII mark after it; as they are where special tokens may occur."""
-        data, offsets = W.utf8(texts)
-        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
         if len(data) > 1 and b"<|" not in data.tobytes():
-            mark = _MARK[data]
-            letter = _LETTER[data]
-            # The second byte of U+00C0 to U+024F but for the two signs there.
-            letter[1:] |= (data[:-1] >= 0xC3) & (data[:-1] <= 0xC9) & ~((data[:-1] == 0xC3) & _SIGN[data[1:]])
-            at = np.flatnonzero(mark[1:] & letter[:-1]) + 1
+            at = np.flatnonzero(_MARK[data])
+            at = at[at > 0]
+            one, two = data[at - 1], np.where(at > 1, data[at - 2], 0)
+            # The second byte of U+00C0 to U+024F but for the two signs there and
+            # U+0130, which gets a combining mark when it is lowered.
+            wide = (two >= 0xC3) & (two <= 0xC9) & ~((two == 0xC3) & _SIGN[one]) & ~((two == 0xC4) & (one == 0xB0))
+            at = at[_LETTER[one] | wide]
             # A letter before a non-ASCII byte may carry a combining mark, which
             # composes with some letters in one case only.
-            plain = np.append(data[1:], 0) < 128
-            data = np.where(plain, W.lower_ascii(data), data)
-            data = np.insert(data, at, 32)  # at a text's start it changes nothing
+            low, before = W.lower_ascii(data), np.flatnonzero(data[1:] >= 128)
+            low[before] = data[before]
+            data = np.insert(low, at, 32)  # at a text's start it changes nothing
             offsets = offsets + np.searchsorted(at, offsets)
-        return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+        return pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); null has none."""
@@ -85,20 +90,30 @@ class WordEncoder:
             self._open()
         if len(self.known) > MOST_WORDS:
             self._forget()
-        split = pc.ascii_split_whitespace(self._set_off(texts))
+        split = [pc.ascii_split_whitespace(self._set_off(data, offsets)) for *_, data, offsets in W.pieces(texts, PIECE_BYTES)]
+        distinct = [own.flatten().dictionary_encode() for own in split]
         # The known words come first, so they keep their numbers.
-        words = pa.concat_arrays([self.known, split.flatten()]).dictionary_encode()
-        new = words.dictionary[len(self.known):].to_pylist()
-        at = words.indices.to_numpy()[len(self.known):]
+        words = pa.concat_arrays([self.known, *(own.dictionary for own in distinct)]).dictionary_encode()
+        new = words.dictionary[len(self.known):].to_numpy(zero_copy_only=False).tolist()
+        number = words.indices.to_numpy()[len(self.known):]
+        first = np.cumsum([0, *(len(own.dictionary) for own in distinct)])
+        at = np.concatenate([number[:0], *(number[k:][own.indices.to_numpy()] for k, own in zip(first, distinct))])
         if new:
-            ids = [self._encode(w) for w in new]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            encoded = np.fromiter(chain.from_iterable(ids), np.uint16, lengths.sum())
+            encoded, lengths = array("H"), np.zeros(len(new), np.int64)
+            for k, word in enumerate(new):
+                own = self._encode(word)
+                encoded.extend(own)
+                lengths[k] = len(own)
             self.known = words.dictionary
-            self.ids = np.concatenate([self.ids, encoded])
+            self.ids = np.concatenate([self.ids, np.frombuffer(encoded, np.uint16)])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-        begin, n = self.ends[at], self.ends[at + 1] - self.ends[at]
-        total = np.concatenate([[0], np.cumsum(n)])
-        ids = self.ids[np.repeat(begin - total[:-1], n) + np.arange(total[-1])]
-        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
-        return ids, np.diff(total[bounds])
+        copied, counts = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(at), COPY_WORDS):
+            own = at[lo:lo + COPY_WORDS]
+            begin, n = self.ends[own], self.ends[own + 1] - self.ends[own]
+            after = np.cumsum(n)
+            copied.append(self.ids[np.repeat(begin - after + n, n) + np.arange(after[-1])])
+            counts.append(n)
+        total = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        bounds = np.cumsum(np.concatenate([[0], *(np.diff(own.offsets.to_numpy()) for own in split)]))
+        return np.concatenate(copied), np.diff(total[bounds])
