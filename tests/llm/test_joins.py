@@ -338,3 +338,35 @@ def test_long_sets_are_told_apart_in_buckets():
     nodes = J.Nodes(prints.bits, size, size, prints.slack, np.arange(len(sets)))
     met = {(a, b) for x, y in J.traverse(nodes, 80) for a, b in zip(x.tolist(), y.tolist())}
     assert {(a, b) for a, b, s in zip(i.tolist(), j.tolist(), similar) if s} <= met
+
+
+def test_lm_rows_do_not_grow_by_pieces_and_buckets(spark, monkeypatch):
+    """Sums come back in a row for each two of a few buckets and groups, not one for each piece."""
+    import tradeflow.llm.lm_scoring as module
+    monkeypatch.setattr(module, "HOT", 2)
+    monkeypatch.setattr(module, "HOT_WORDS", 2)
+    monkeypatch.setattr(module, "LEAST_BUCKETS", 4)
+    monkeypatch.setattr(module, "BUCKET_BYTES", 1 << 12)
+    own = [(k, " ".join("x " * 9 + f"only{k}of{j}" for j in range(20)), "en", "s") for k in range(96)]
+    docs, made = frame(spark, own).repartition(24), []
+    plain = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **b: made.append(plain(self, *a, **b)) or made[-1])
+    same_scores(lm_scores(docs).collect(), brute_scores(own, own, 1))
+    sent = [df.filter("kind >= 3").count() for df in made if "kind" in df.columns and "bucket" in df.columns]
+    size = sum(len(t) for _, t, *_ in own)
+    buckets = size // module.BUCKET_BYTES
+    assert buckets > 10 and len(sent) == 3 and sent[0] <= 24
+    assert sent[-1] <= 24 + buckets + buckets * buckets // 2 < 96 * 20 // 4
+
+
+def test_lm_scores_of_pieces_over_batches(spark, monkeypatch):
+    """Pieces of many reads, pieces that occur again, and texts that one piece can't number."""
+    import tradeflow.llm.lm_scoring as module
+    for name, most in (("HOT", 2), ("HOT_WORDS", 2), ("BUCKET_BYTES", 1 << 10), ("PACK_BYTES", 3000), ("READ_BYTES", 500)):
+        monkeypatch.setattr(module, name, most)
+    own = rows() + [(500 + k, f"a{k % 7} b c{k} a{k % 3} b", "en", "s") for k in range(60)]
+    one = frame(spark, own).coalesce(1)
+    same_scores(lm_scores(one.union(one)).collect(), brute_scores(own + own, own + own, 1))
+    monkeypatch.setattr(module, "PACK_BYTES", 1 << 24)
+    many = [(k, f"a b{k}" if k % 9_000 == 0 else "a" if k % 2 else None, "en", "s") for k in range(70_000)]
+    same_scores(lm_scores(frame(spark, many).coalesce(1)).collect(), brute_scores(many, many, 1))

@@ -6,6 +6,10 @@ positions that ask for them. Positions whose bigram was not seen back off: they
 are dealt anew by their word, where they meet the unigram counts. Scores come
 back as one sum per document and bucket.
 
+Every bucket has something for every other one, so what is dealt comes in rows
+as large as memory allows: positions in pieces of PACK_BYTES of text, sums by
+groups of pieces, and the second deal has as many buckets as rare words fill.
+
 Contexts and bigrams that make up 1/HOT or more of the corpus, at most HOT of
 each, and words that make up 1/HOT_WORDS, are counted beforehand and sent to
 every task (a megabyte): positions of a hot bigram are scored where they lie,
@@ -30,25 +34,50 @@ HOT, HOT_WORDS = 1024, 1 << 16
 CHUNK = 1 << 22
 #: Bytes of text per bucket; sets how many buckets there are.
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 16
-#: Texts of one packed row.
-PACK_BYTES = 4 << 20
+#: First buckets to a group of pieces.
+GROUPED = 2
+#: Texts of one piece, of which a bucket gets one row, and texts read at once.
+PACK_BYTES, READ_BYTES = 16 << 20, 4 << 20
+#: Packed rows sent at once.
+SEND_BYTES, SEND_ROWS = 1 << 20, 4096
 START = np.uint64(0x5354415254)  # context of a text's first word
 LOW = np.uint64((1 << 48) - 1)   # of a word's hash, 48 bits go along
 
 _PACK = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), *((c, pa.binary()) for c in (
     "piece", "context", "context_n", "word", "doc", "keys", "value"))])
 _PACK_SQL = "bucket long, kind int, piece binary, context binary, context_n binary, word binary, doc binary, keys binary, value binary"
-#: Kinds of packed rows. The bucket of sums is their piece: its documents with
-#: their words and what is known at once (DOCUMENTS), more for some of them (SUMS).
+#: Kinds of packed rows. The bucket of sums is a group of pieces: the documents of
+#: one with their words and what is known at once (DOCUMENTS), more for some of
+#: the group's (SUMS).
 POSITIONS, MISSES, COUNTS, DOCUMENTS, SUMS = range(5)
 COLD = 0xFFFF  # the rank of words that are not hot, and of hot ones beyond
 
 
-def _row(bucket: int, kind: int, **parts: bytes) -> pa.RecordBatch:
-    made = {"bucket": pa.array([bucket], pa.int64()), "kind": pa.array([kind], pa.int32())}
-    for name in _PACK.names[2:]:
-        made[name] = pa.array([parts.get(name)], pa.binary())
-    return pa.RecordBatch.from_pydict(made, _PACK)
+def _row(bucket: int, kind: int, **parts: bytes) -> dict:
+    return {"bucket": int(bucket), "kind": kind, **parts}
+
+
+def _packed(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about SEND_BYTES: one a row would cost more than its work."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({c.name: pa.array([r.get(c.name) for r in held], c.type) for c in _PACK}, _PACK)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(part) for part in row.values() if isinstance(part, bytes))
+        if size >= SEND_BYTES or len(held) >= SEND_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        columns = list(zip(batch.schema.names, batch.columns))
+        for i in range(len(batch)):
+            yield {name: column[i].as_py() for name, column in columns}
 
 
 def _put(values: np.ndarray) -> bytes:
@@ -136,6 +165,39 @@ def _lookup(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndar
     return np.where(keys[at] == wanted, counts[at], 0)
 
 
+def _sums(group: int, pieces: np.ndarray, doc: np.ndarray, value: np.ndarray) -> dict:
+    """Sums of documents that ascend: the number of the piece and the place there."""
+    return _row(group, SUMS, piece=pieces.tobytes(), doc=_put(np.diff(doc, prepend=0)), value=_pack_values(value))
+
+
+def _sums_of(row: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(piece, places, sums) of each piece in a row of sums."""
+    doc, value = np.cumsum(_get(row["doc"], np.int64)), _unpack_values(row["value"])
+    pieces = np.frombuffer(row["piece"], np.int64).tolist()
+    cuts = np.searchsorted(doc, np.arange(len(pieces) + 1) << 16).tolist()
+    for piece, a, b in zip(pieces, cuts, cuts[1:]):
+        if a < b:
+            yield piece, doc[a:b] & 0xFFFF, value[a:b]
+
+
+def _add(sums: np.ndarray | None, place: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Sums by place with more added; places ascend."""
+    lacks = place[-1] + 1 - (0 if sums is None else len(sums))
+    if lacks > 0:
+        sums = np.concatenate([*([] if sums is None else [sums]), np.zeros(lacks)])
+    sums[place] += value
+    return sums
+
+
+def _pack_values(value: np.ndarray) -> bytes:
+    """Sums, compressed: those of single positions are of few values."""
+    return len(value).to_bytes(8, "little") + pa.compress(value.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack_values(data: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], 8 * int.from_bytes(data[:8], "little"), "zstd", asbytes=True), np.float64)
+
+
 def _hot(corpus: DataFrame) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
     """(positions in the corpus, [(keys, exact counts)] of the hot words,
     contexts and bigrams)."""
@@ -219,103 +281,149 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
     ranked = Ranked(*hot_words)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
+    groups = max(LEAST_BUCKETS, buckets // GROUPED)
+    # Only words that are not hot are dealt again; another corpus does not tell how many.
+    rare = 1 - hot_words[1].sum() / total if corpus is None and total else 1
+    word_buckets = max(LEAST_BUCKETS, int(np.ceil(buckets * rare)))
     if total <= leave_out:
         return rows.select("doc_id", "text_hash", F.size(F.array_remove(F.split(F.trim("text"), "[ \t\n\x0b\f\r]+"), ""))
                            .cast("long").alias("n_words"), F.lit(0.0).alias("log_score"))
 
+    def _group(piece):
+        """The group of a piece, or of each."""
+        return piece % groups
+
     def low(count: np.ndarray) -> np.ndarray:
         """Log score of words by their counts, own position left out."""
         return np.log(backoff) + np.log(np.maximum(count - leave_out, 0.5)) - np.log(total - leave_out)
 
     def deal(scored: bool, counted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _packed(pieces(batches))
+
+        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            held, texts, size = [], 0, 0
             for batch in batches:
-                for lo, hi, data, offsets in W.pieces(batch.column("text"), PACK_BYTES):
+                for lo, hi, data, offsets in W.pieces(batch.column("text"), READ_BYTES):
                     for a in range(lo, hi, 1 << 16):
                         b = min(hi, a + (1 << 16))
-                        base = offsets[a - lo]
+                        begin, end = offsets[a - lo], offsets[b - lo]
+                        if held and (texts + b - a > 1 << 16 or size + end - begin > PACK_BYTES):
+                            yield from dealt(held)
+                            held, texts, size = [], 0, 0
                         keys = np.stack([batch.column(c)[a:b].to_numpy() for c in ("key", "text_hash")], 1) if scored else None
-                        yield from dealt(data[base:offsets[b - lo]], offsets[a - lo:b - lo + 1] - base, keys)
-
-        def dealt(data, offsets, keys) -> Iterator[pa.RecordBatch]:
+                        held.append(read(data[begin:end], offsets[a - lo:b - lo + 1] - begin, keys, texts))
+                        texts, size = texts + b - a, size + end - begin
+            if held:
+                yield from dealt(held)
+
+        def read(data, offsets, keys, base: int) -> tuple:
+            """(keys, words and known sums of texts; word, context, text and bucket
+            of positions to deal); ``base`` texts of the piece come before."""
             word, context, doc = _positions(data, offsets)
             pair = _pair(context, word)
+            n = value = None
             if scored:
                 # Sums known here: hot bigrams; every text has a row, with its words.
-                piece = _piece(keys)
                 both, one = _lookup(*hot_pairs, pair), _lookup(*hot_contexts, context)
-                done = both > leave_out
+                hot, done = one > 0, both > leave_out
                 value = np.zeros(len(word))
                 value[done] = np.log((both[done] - leave_out) / (one[done] - leave_out))
-                yield _row(piece, DOCUMENTS, keys=keys.tobytes(), context_n=_put(np.bincount(doc, minlength=len(keys))),
-                           value=np.bincount(doc, value, len(keys)).tobytes())
+                n, value = np.bincount(doc, minlength=len(keys)), np.bincount(doc, value, len(keys))
             else:
                 # Hot bigrams are counted, so they need not be dealt.
-                done = _lookup(*hot_pairs, pair) > 0
+                hot, done = _lookup(*hot_contexts, context) > 0, _lookup(*hot_pairs, pair) > 0
             # A hot bigram that only its own position has (of a corpus of at
             # most HOT words) is dealt like others, to back off.
-            word, context, doc, pair = (x[~done] for x in (word, context, doc, pair))
-            hot = _lookup(*hot_contexts, context) > 0
-            bucket = (np.where(hot, pair, W.mix(context.copy())) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, context, bucket))
+            word, context, doc, pair, hot = (x[~done] for x in (word, context, doc, pair, hot))
+            bucket = np.where(hot, pair, W.mix(context.copy())) % np.uint64(buckets)
+            # Numbers of 16 bits are the quickest to sort.
+            return keys, n, value, word, context, (doc + base).astype(np.uint16), bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+
+        def dealt(held: list[tuple]) -> Iterator[dict]:
+            parts = list(zip(*held))
+            if scored:
+                keys = np.concatenate(parts[0])
+                piece = _piece(keys)
+                yield _row(_group(piece), DOCUMENTS, piece=np.int64(piece).tobytes(), keys=keys.tobytes(),
+                           context_n=_put(np.concatenate(parts[1])), value=np.concatenate(parts[2]).tobytes())
+            word, context, doc, bucket = map(np.concatenate, parts[3:])
+            held.clear()
+            del parts
+            # Texts ascend, and stay so among equals.
+            order = np.lexsort((context, bucket))
             word, context, doc, bucket = (x[order] for x in (word, context, doc, bucket))
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            cuts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
                 begin, n = _runs(context[a:b])
                 yield _row(bucket[a], POSITIONS, context=ranked.put(context[a:b][begin]), context_n=_put(n), word=ranked.put(word[a:b]),
-                           **({"piece": np.int64(piece).tobytes(), "doc": _put(doc[a:b].astype(np.uint16))} if scored else {}),
+                           **({"piece": np.int64(piece).tobytes(), "doc": _put(doc[a:b])} if scored else {}),
                            **({} if counted else {"value": b"-"}))
         return run
 
-    def by_bucket(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by bucket, sums last; one bucket or piece is held at a time.
-        now, held = None, []
-        for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                group = row["kind"] >= DOCUMENTS, row["bucket"]
-                if group != now and held:
-                    yield from add_up(now[1], held) if now[0] else work(now[1], held)
-                    held = []
-                now = group
-                if row["kind"] == DOCUMENTS:
-                    yield _row(row["bucket"], DOCUMENTS, **{k: row[k] for k in ("keys", "context_n", "value")})
-                else:
-                    held.append(row)
-        if held:
-            yield from add_up(now[1], held) if now[0] else work(now[1], held)
-
-    def add_up(piece: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
-        doc = np.concatenate([_get(r["doc"], np.uint16) for r in held])
-        value = np.bincount(doc, np.concatenate([np.frombuffer(r["value"], np.float64) for r in held]))
-        own = np.flatnonzero(np.bincount(doc))
-        yield _row(piece, SUMS, doc=_put(own.astype(np.uint16)), value=value[own].tobytes())
-
-    def documents(held: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(pieces of the distinct documents, their places there, the document of
-        each position, -1 if it is not scored, which positions count)."""
-        pieces, places, doc, counts, base = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], [], [], 0
+    def by_bucket(batches: Iterator[pa.RecordBatch], work) -> Iterator[dict]:
+        # Rows come sorted by bucket, sums last; one bucket's are held at a time,
+        # sums are added as they come.
+        now, held, added = None, [], {}
+        for row in _unpacked(batches):
+            group = row["kind"] >= DOCUMENTS, row["bucket"]
+            if group != now and now is not None:
+                yield from merged(now[1], added) if now[0] else work(held)
+                held, added = [], {}
+            now = group
+            if row["kind"] == DOCUMENTS:
+                yield row
+            elif row["kind"] == SUMS:
+                for piece, place, value in _sums_of(row):
+                    added[piece] = _add(added.get(piece), place, value)
+            else:
+                held.append(row)
+        if now is not None:
+            yield from merged(now[1], added) if now[0] else work(held)
+
+    def merged(group: int, added: dict[int, np.ndarray]) -> Iterator[dict]:
+        if added:
+            places = [np.flatnonzero(own) for own in added.values()]
+            yield _sums(group, np.fromiter(added, np.int64), np.concatenate([(k << 16) + at for k, at in enumerate(places)]),
+                        np.concatenate([own[at] for own, at in zip(added.values(), places)]))
+
+    def documents(held: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pieces, the document of each position, -1 if it is not scored, which
+        positions count); a document is the number of its piece and its place."""
+        pieces, doc, counts = [], [], []
         for row in held:
             n = int(_get(row["context_n"], np.uint8).sum())
             counts.append(np.full(n, row["value"] is None))
             if row["doc"] is None:
-                doc.append(np.full(n, -1, np.int32))
+                doc.append(np.full(n, -1, np.int64))
             else:
-                own, at = np.unique(_get(row["doc"], np.uint16), return_inverse=True)
-                pieces.append(np.full(len(own), np.frombuffer(row["piece"], np.int64)[0]))
-                places.append(own)
-                doc.append(at.astype(np.int32) + np.int32(base))
-                base += len(own)
-        return np.concatenate(pieces), np.concatenate(places), np.concatenate(doc), np.concatenate(counts)
-
-    def sums(piece: np.ndarray, place: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for own, i in _by(piece):
-            yield _row(own, SUMS, doc=_put(place[i]), value=value[i].tobytes())
-
-    def join_pairs(bucket: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
+                doc.append(_get(row["doc"], np.uint16) + np.int64(len(pieces) << 16))
+                pieces.append(row["piece"])
+        return np.frombuffer(b"".join(pieces), np.int64), np.concatenate(doc), np.concatenate(counts)
+
+    def sums(pieces: np.ndarray, doc: np.ndarray, value: np.ndarray) -> Iterator[dict]:
+        """A row for each group of pieces, a number for each document."""
+        if not len(doc):
+            return
+        group = _group(pieces)
+        order = np.argsort(group, kind="stable")
+        nth = np.empty(len(pieces), np.int64)
+        nth[order] = np.arange(len(pieces))
+        pieces, group, doc = pieces[order], group[order], (nth[doc >> 16] << 16) + (doc & 0xFFFF)
+        order = np.argsort(doc)
+        doc, value = doc[order], value[order]
+        begin = np.flatnonzero(np.diff(doc, prepend=-1))
+        doc, value = doc[begin], np.add.reduceat(value, begin)
+        cuts = np.flatnonzero(np.diff(group, prepend=-1))
+        ends = [*cuts[1:], len(pieces)]
+        for p, q, a, b in zip(cuts, ends, np.searchsorted(doc, cuts << 16), np.searchsorted(doc, np.array(ends) << 16)):
+            if a < b:
+                yield _sums(group[p], pieces[p:q], doc[a:b] - (p << 16), value[a:b])
+
+    def join_pairs(held: list[dict]) -> Iterator[dict]:
         context = np.concatenate([np.repeat(ranked.get(r["context"]), _get(r["context_n"], np.uint8)) for r in held])
         word = np.concatenate([ranked.get(r["word"]) for r in held])
-        piece, place, doc, counted = documents(held)
+        pieces, doc, counted = documents(held)
         held.clear()  # a bucket's arrays are most of what a task holds
         both = _count(_pair(context, word), counted)
         one = _lookup(*hot_contexts, context).astype(np.int64)
@@ -333,37 +441,40 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
         value[at] = low(known[at])
         miss &= known == 0
         done = scored & ~miss
-        if len(piece):
-            yield from sums(piece, place, np.bincount(doc[done], value[done], len(piece)))
-        del value, done, scored, hit
+        del scored, hit, at
+        yield from sums(pieces, doc[done], value[done])
+        del value, done
         # Counts of hot words are known everywhere.
         own, n = np.unique(word[counted & (known == 0)], return_counts=True)
-        for b, i in _by((own % np.uint64(buckets)).astype(np.int64)):
+        for b, i in _by((own % np.uint64(word_buckets)).astype(np.int64)):
             yield _row(b, COUNTS, word=_six(own[i]), context_n=_put(n[i].astype(np.int64)))
-        del known, counted
+        del known, counted, own, n
         word, doc = word[miss], doc[miss]
         order = np.lexsort((doc, word))
         word, doc = word[order], doc[order]
-        for b, i in _by((word % np.uint64(buckets)).astype(np.int64)):
+        for b, i in _by((word % np.uint64(word_buckets)).astype(np.int64)):
             begin, n = _runs(word[i])
-            pieces, at = np.unique(piece[doc[i]], return_inverse=True)
-            yield _row(b, MISSES, word=_six(word[i][begin]), context_n=_put(n), piece=pieces.tobytes(),
-                       keys=_put(at.astype(np.uint32)), doc=_put(place[doc[i]]))
+            asked, at = np.unique(doc[i] >> 16, return_inverse=True)
+            yield _row(b, MISSES, word=_six(word[i][begin]), context_n=_put(n), piece=pieces[asked].tobytes(),
+                       keys=_put(at.astype(np.uint32)), doc=_put((doc[i] & 0xFFFF).astype(np.uint16)))
 
-    def join_words(bucket: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
+    def join_words(held: list[dict]) -> Iterator[dict]:
         counts = [r for r in held if r["kind"] == COUNTS]
         if counts:
             own, at = np.unique(np.concatenate([_from_six(r["word"]) for r in counts]), return_inverse=True)
             n = np.bincount(at, np.concatenate([_get(r["context_n"], np.int64) for r in counts]))
         else:
             own, n = np.zeros(0, np.uint64), np.zeros(0)
-        for row in held:
-            if row["kind"] == MISSES:
-                value = np.repeat(low(_lookup(own, n, _from_six(row["word"]))), _get(row["context_n"], np.uint8))
-                at, place = _get(row["keys"], np.uint32).astype(np.int64), _get(row["doc"], np.uint16)
-                document, which = np.unique((at << 16) + place, return_inverse=True)
-                yield from sums(np.frombuffer(row["piece"], np.int64)[document >> 16], (document & 0xFFFF).astype(np.uint16),
-                                np.bincount(which, value))
+        misses = [r for r in held if r["kind"] == MISSES]
+        held.clear()
+        if misses:
+            pieces, at = np.unique(np.frombuffer(b"".join(r["piece"] for r in misses), np.int64), return_inverse=True)
+            base = np.cumsum([0, *(len(r["piece"]) // 8 for r in misses)])
+            doc = np.concatenate([(at[a + _get(r["keys"], np.uint32).astype(np.int64)] << 16) + _get(r["doc"], np.uint16)
+                                  for a, r in zip(base, misses)])
+            value = np.concatenate([np.repeat(low(_lookup(own, n, _from_six(r["word"]))), _get(r["context_n"], np.uint8))
+                                    for r in misses])
+            yield from sums(pieces, doc, value)
 
     def _count(keys: np.ndarray, counted: np.ndarray) -> np.ndarray:
         """How many counted positions each position's key has."""
@@ -381,34 +492,32 @@ def lm_scores(docs: DataFrame, corpus: DataFrame | None = None, backoff: float =
             yield int(bucket[order[a]]), order[a:b]
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A piece's documents come first, then what is to be added to them. A
+        # A group's documents come first, then what is to be added to them. A
         # piece that occurs again adds its own.
-        now, keys, n, value, rows = None, None, None, None, 0
-
-        def added() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"key": pa.array(keys[:, 0]), "text_hash": pa.array(keys[:, 1]), "n_words": pa.array(n),
-                                               "value": pa.array(value), "rows": pa.array(np.full(len(keys), rows))})
-
-        for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["bucket"] != now:
-                    if now is not None:
-                        yield added()
-                    now, keys = row["bucket"], np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
-                    n, value, rows = np.zeros(len(keys), np.int64), np.zeros(len(keys)), 0
-                own = np.frombuffer(row["value"], np.float64)
-                if row["kind"] == DOCUMENTS:
-                    n, value, rows = n + _get(row["context_n"], np.int64), value + own, rows + 1
-                else:
-                    value[_get(row["doc"], np.uint16)] += own  # a document once a row
-        if now is not None:
-            yield added()
+        def added() -> Iterator[pa.RecordBatch]:
+            for keys, n, value, rows in found.values():
+                yield pa.RecordBatch.from_pydict({"key": pa.array(keys[:, 0]), "text_hash": pa.array(keys[:, 1]), "n_words": pa.array(n),
+                                                  "value": pa.array(value), "rows": pa.array(np.full(len(keys), rows))})
+
+        now, found = None, {}
+        for row in _unpacked(batches):
+            if row["bucket"] != now:
+                yield from added()
+                found = {}
+            now = row["bucket"]
+            if row["kind"] == DOCUMENTS:
+                piece, keys = int.from_bytes(row["piece"], "little", signed=True), np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
+                _, n, value, rows = found.get(piece, (keys, 0, 0.0, 0))
+                found[piece] = keys, n + _get(row["context_n"], np.int64), value + np.frombuffer(row["value"], np.float64), rows + 1
+            else:
+                for piece, place, own in _sums_of(row):
+                    found[piece][2][place] += own  # a document once a row
+        yield from added()
 
     def meet(df: DataFrame, work) -> DataFrame:
         sums = F.col("kind") >= DOCUMENTS
         return (df.repartition(F.when(sums, F.xxhash64("bucket")).otherwise(F.col("bucket"))).sortWithinPartitions(sums, "bucket")
-                .mapInArrow(lambda batches: by_bucket(batches, work), _PACK_SQL))
+                .mapInArrow(lambda batches: _packed(by_bucket(batches, work)), _PACK_SQL))
 
     placed = rows.mapInArrow(deal(True, corpus is None), _PACK_SQL)
     if corpus is not None:
